@@ -175,3 +175,354 @@ def rpt_11_cancel(spark, sf):
     f = cube(spark, sf).frame(["origin.region", "airline.carrier_name"])
     return f.groupBy(F.col("origin_region").alias("region"), F.col("airline_carrier_name").alias("carrier_name")) \
         .agg(R.n_flights().alias("flights"), R.cancellation_rate().alias("cancellation_rate"))
+
+
+# ---------------------------------------------------------------------------
+# OLAP operations over the cube (OLAP-*, AGG-16, AGG-17)
+# ---------------------------------------------------------------------------
+
+_QN = "'Q' || CAST(quarter AS VARCHAR)"
+
+
+@q("olap_4_roll_up_calendar_quarter", S.with_fact(f"""
+SELECT year AS date_year, quarter AS date_quarter, max({_QN}) AS date_quarter_name, count(*) AS flights,
+       CAST(sum(cancelled) AS BIGINT) AS cancelled, CAST({S.ON_TIME} AS BIGINT) AS on_time,
+       CAST({S.OPERATED} AS BIGINT) AS operated, {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate
+FROM fact GROUP BY 1, 2"""))
+def olap_4(spark, sf):
+    return cube(spark, sf).roll_up("date", "Calendar", "quarter", ["flights", "cancelled", "on_time_rate"])
+
+
+@q("olap_5_drill_down_quarter_to_month", S.with_fact(f"""
+SELECT origin_region, year AS date_year, quarter AS date_quarter, max({_QN}) AS date_quarter_name,
+       month AS date_month, max(monthname(fl_date)) AS date_month_name, count(*) AS flights,
+       CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated,
+       {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate
+FROM fact WHERE year = 1997 GROUP BY 1, 2, 3, 5"""))
+def olap_5(spark, sf):
+    return cube(spark, sf).drill_down("date", "Calendar", "quarter", ["flights", "on_time_rate"],
+                                      member={"date.year": 1997}, across=["origin.region"])
+
+
+@q("olap_6_slice_carrier", S.with_fact(f"""
+SELECT year AS date_year, count(*) AS flights, CAST(sum(cancelled) AS BIGINT) AS cancelled,
+       {S.rate('sum(cancelled)', 'count(*)')} AS cancellation_rate
+FROM fact WHERE carrier_code = 'BUILDING' GROUP BY 1"""))
+def olap_6(spark, sf):
+    return cube(spark, sf).slice_("airline.carrier", "BUILDING", ["date.year"], ["flights", "cancellation_rate"])
+
+
+@q("olap_7_dice_carrier_quarter_band", S.with_fact(f"""
+SELECT carrier_code AS airline_carrier, max(carrier_name) AS airline_carrier_name, quarter AS date_quarter,
+       max({_QN}) AS date_quarter_name, distance_band AS route_distance_band, count(*) AS flights,
+       CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated,
+       {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate
+FROM fact WHERE carrier_code IN ('BUILDING', 'MACHINERY') AND quarter IN (1, 2)
+  AND distance_band IN ('Short', 'Medium')
+GROUP BY 1, 3, 5"""))
+def olap_7(spark, sf):
+    return cube(spark, sf).dice({"airline.carrier": ["BUILDING", "MACHINERY"], "date.quarter": [1, 2],
+                                 "route.distance_band": ["Short", "Medium"]},
+                                ["airline.carrier", "date.quarter", "route.distance_band"],
+                                ["flights", "on_time_rate"])
+
+
+@q("olap_8_pivot_carrier_by_quarter", S.with_fact("""
+SELECT carrier_name AS airline_carrier_name,
+       count(*) FILTER (WHERE quarter = 1) AS "1", count(*) FILTER (WHERE quarter = 2) AS "2",
+       count(*) FILTER (WHERE quarter = 3) AS "3", count(*) FILTER (WHERE quarter = 4) AS "4"
+FROM fact GROUP BY 1"""))
+def olap_8(spark, sf):
+    return cube(spark, sf).pivot(["airline.carrier_name"], "date.quarter", "flights", [1, 2, 3, 4])
+
+
+@q("olap_9_summary", S.with_fact(f"""
+SELECT count(*) AS flights, CAST(sum(cancelled) AS BIGINT) AS cancelled, CAST({S.ON_TIME} AS BIGINT) AS on_time,
+       CAST({S.OPERATED} AS BIGINT) AS operated, {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate,
+       {S.rate('sum(cancelled)', 'count(*)')} AS cancellation_rate,
+       sum(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated,
+       count(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated_n,
+       round(avg(CASE WHEN cancelled = 0 THEN arr_delay END), 4) AS avg_arr_delay,
+       sum(distance) AS distance, CAST(sum(total_delay_minutes) AS BIGINT) AS total_delay_minutes,
+       sum(process_hours) AS txn_process_time_hours, count(complete_time) AS completed,
+       round(sum(process_hours) / count(complete_time), 4) AS avg_process_hours
+FROM fact"""))
+def olap_9(spark, sf):
+    return cube(spark, sf).summary(["flights", "cancelled", "on_time_rate", "cancellation_rate", "avg_arr_delay",
+                                    "distance", "total_delay_minutes", "avg_process_hours"])
+
+
+@q("olap_10_kpi_completion", S.with_fact("""
+SELECT y.date_year, y.value, y.goal, round(y.value / nullif(y.goal, 0), 4) AS status,
+       round(y.value - p.value, 4) AS trend
+FROM (SELECT year AS date_year, CAST(sum(1 - cancelled) AS DOUBLE) AS value, CAST(count(*) AS DOUBLE) AS goal
+      FROM fact GROUP BY 1) y
+LEFT JOIN (SELECT year AS date_year, CAST(sum(1 - cancelled) AS DOUBLE) AS value FROM fact GROUP BY 1) p
+  ON p.date_year = y.date_year - 1"""))
+def olap_10(spark, sf):
+    return cube(spark, sf).kpi("On-Time Performance Rate")
+
+
+@q("olap_12_month_attribute", S.with_fact("""
+SELECT month AS date_month, max(monthname(fl_date)) AS date_month_name, count(*) AS flights
+FROM fact GROUP BY 1"""))
+def olap_12(spark, sf):
+    return cube(spark, sf).query(["date.month"], ["flights"])
+
+
+@q("olap_13_members_states_in_region", S.with_ctes("", """
+SELECT DISTINCT f.origin AS origin_state FROM fact f WHERE f.origin_region = 'EUROPE'
+UNION SELECT DISTINCT f.dest FROM fact f WHERE f.dest_region = 'EUROPE'"""))
+def olap_13(spark, sf):
+    return cube(spark, sf).members("origin.state", {"origin.region": "EUROPE"})
+
+
+@q("agg_16_rollup_calendar", S.with_fact(f"""
+SELECT year AS date_year, quarter AS date_quarter,
+       CASE WHEN GROUPING(quarter) = 1 THEN NULL ELSE max({_QN}) END AS date_quarter_name,
+       month AS date_month,
+       CASE WHEN GROUPING(month) = 1 THEN NULL ELSE max(monthname(fl_date)) END AS date_month_name,
+       count(*) AS flights, CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated,
+       {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate,
+       CAST(GROUPING(year, quarter, month) AS BIGINT) AS grouping_id
+FROM fact GROUP BY ROLLUP (year, quarter, month)"""))
+def agg_16(spark, sf):
+    out = cube(spark, sf).query(["date.year", "date.quarter", "date.month"], ["flights", "on_time_rate"],
+                                totals="rollup")
+    return out.withColumn("grouping_id", F.col("grouping_id").cast("long"))
+
+
+@q("agg_17_cube_carrier_band", S.with_fact("""
+SELECT carrier_name AS airline_carrier_name, distance_band AS route_distance_band, count(*) AS flights,
+       CAST(sum(cancelled) AS BIGINT) AS cancelled,
+       CAST(GROUPING(carrier_name, distance_band) AS BIGINT) AS grouping_id
+FROM fact GROUP BY CUBE (carrier_name, distance_band)"""))
+def agg_17(spark, sf):
+    out = cube(spark, sf).query(["airline.carrier_name", "route.distance_band"], ["flights", "cancelled"],
+                                totals="cube")
+    return out.withColumn("grouping_id", F.col("grouping_id").cast("long"))
+
+
+# ---------------------------------------------------------------------------
+# Aggregations over the flat table and entities (AGG-*, DQ-3)
+# ---------------------------------------------------------------------------
+
+from dwkit.operators import aggregates as A  # noqa: E402
+from dwkit.operators import windows as W  # noqa: E402
+from dwkit.operators import sampling as SM  # noqa: E402
+from dwkit.plans import fixtures as FX  # noqa: E402
+
+
+def flat(spark, sf):
+    return build(spark, sf)["flat"]
+
+
+@q("agg_2_status_counts_by_year", S.with_fact("""
+SELECT CAST(year(fl_date) AS SMALLINT) AS year, CAST(sum(1 - cancelled) AS BIGINT) AS operated,
+       CAST(sum(cancelled) AS BIGINT) AS cancelled, count(*) AS total
+FROM flat GROUP BY 1"""))
+def agg_2(spark, sf):
+    return A.status_counts(flat(spark, sf), "cancelled", ["year"])
+
+
+@q("agg_3_arr_delay_stats_by_carrier", S.with_fact("""
+SELECT carrier_code AS op_unique_carrier, count(arr_delay) AS n, min(arr_delay) AS min_value,
+       max(arr_delay) AS max_value, round(avg(arr_delay), 2) AS avg_value
+FROM flat GROUP BY 1"""))
+def agg_3(spark, sf):
+    return A.measure_stats(flat(spark, sf), "arr_delay", ["op_unique_carrier"])
+
+
+@q("agg_4_count_distinct", S.with_fact("""
+SELECT count(DISTINCT carrier_code) AS distinct_op_unique_carrier, count(DISTINCT origin) AS distinct_origin,
+       count(DISTINCT dest) AS distinct_dest, count(DISTINCT flight_number) AS distinct_op_carrier_fl_num
+FROM flat"""))
+def agg_4(spark, sf):
+    return A.distinct_count(flat(spark, sf), ["op_unique_carrier", "origin", "dest", "op_carrier_fl_num"])
+
+
+@q("agg_5_process_hours_by_region_status", S.with_fact("""
+SELECT origin_region AS region, cancelled, count(*) AS completed,
+       CAST(CAST(avg(process_hours) AS DECIMAL(10,2)) AS DOUBLE) AS avg_hours,
+       CAST(CAST(min(process_hours) AS DECIMAL(10,2)) AS DOUBLE) AS min_hours,
+       CAST(CAST(max(process_hours) AS DECIMAL(10,2)) AS DOUBLE) AS max_hours
+FROM fact WHERE process_hours IS NOT NULL GROUP BY 1, 2"""))
+def agg_5(spark, sf):
+    f = cube(spark, sf).frame(["origin.region"]).withColumnRenamed("origin_region", "region")
+    out = A.process_time_by(f.withColumn("cancelled", F.col("cancelled").cast("int")), ["region", "cancelled"])
+    return out.withColumns({c: F.col(c).cast("double") for c in ("avg_hours", "min_hours", "max_hours")})
+
+
+@q("agg_6_duplicate_line_keys", """
+SELECT l_orderkey, l_linenumber, count(*) AS row_count FROM lineitem
+GROUP BY 1, 2 HAVING count(*) > 1""")
+def agg_6(spark, sf):
+    return A.duplicate_keys(FX.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@q("agg_7_group_by_delay_bucket", S.with_fact("""
+SELECT CAST(floor(arr_delay / 100) * 100 AS BIGINT) AS delay_bucket, count(*) AS flights
+FROM flat GROUP BY 1"""))
+def agg_7(spark, sf):
+    bucket = (F.floor(F.col("arr_delay") / 100) * 100).cast("long").alias("delay_bucket")
+    return A.grouped(flat(spark, sf), [bucket], {"flights": F.count(F.lit(1))})
+
+
+@q("agg_8_distinct_carrier_origin", S.with_fact("SELECT DISTINCT carrier_code AS op_unique_carrier, origin FROM flat"))
+def agg_8(spark, sf):
+    from dwkit.operators.sets import dedup
+    return dedup(flat(spark, sf).select("op_unique_carrier", "origin"))
+
+
+@q("agg_9_first_line_per_order", """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber, l_quantity,
+         l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn FROM lineitem) t
+WHERE rn = 1""")
+def agg_9(spark, sf):
+    return W.first_per_key(FX.table(spark, sf, "lineitem"), "l_orderkey", FX.LINE_ORDER)
+
+
+@q("agg_10_value_counts_cancellation_code", S.with_fact("""
+SELECT cancellation_code AS value, count(*) AS count,
+       round_even(count(*) * 100.0 / (SELECT count(*) FROM flat), 2) AS pct
+FROM flat GROUP BY 1"""))
+def agg_10(spark, sf):
+    return A.value_counts(flat(spark, sf), "cancellation_code")
+
+
+@q("agg_11_correlation_dep_arr", S.with_fact("""
+SELECT round(corr(dep_delay, arr_delay), 4) AS correlation, count(*) AS pairs
+FROM flat WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL"""))
+def agg_11(spark, sf):
+    return A.correlation(flat(spark, sf), "dep_delay", "arr_delay")
+
+
+@q("agg_12_completion_status", S.with_fact("""
+SELECT count(*) AS total_rows, count(complete_time) AS completed, count(*) - count(complete_time) AS pending,
+       count(process_hours) AS with_hours,
+       CAST(CAST(count(complete_time) * 100.0 / count(*) AS DECIMAL(5,2)) AS DOUBLE) AS pct_complete
+FROM fact"""))
+def agg_12(spark, sf):
+    out = A.completion_status(build(spark, sf)["fact"])
+    return out.withColumn("pct_complete", F.col("pct_complete").cast("double"))
+
+
+_DELAY_RECORDS = """
+, delays AS (SELECT * FROM flat WHERE cancelled = 0 AND greatest(carrier_delay, weather_delay, nas_delay,
+             security_delay, late_aircraft_delay, 0) > 0)"""
+
+
+@q("agg_15_component_counts", S.with_ctes(_DELAY_RECORDS, " UNION ALL ".join(
+    f"""SELECT '{p}' AS component, CAST(sum(CASE WHEN {p} > 0 THEN 1 ELSE 0 END) AS BIGINT) AS non_zero,
+       round_even(sum(CASE WHEN {p} > 0 THEN 1 ELSE 0 END) * 100.0 / count(*), 2) AS pct FROM delays"""
+    for p in S.PARTS)))
+def agg_15(spark, sf):
+    return A.component_counts(build(spark, sf)["delay_record"], list(S.PARTS))
+
+
+_PV = [("op_unique_carrier", "carrier_code"), ("cancellation_code", "cancellation_code"),
+       ("day_of_week", "dayofweek(fl_date) + 1"), ("month", "month(fl_date)")]
+
+
+@q("dq_3_profile_values", S.with_fact(" UNION ALL ".join(
+    f"""SELECT '{c}' AS column, CAST({e} AS VARCHAR) AS value, count(*) AS count,
+       round_even(count(*) * 100.0 / (SELECT count(*) FROM flat), 2) AS pct FROM flat GROUP BY 2"""
+    for c, e in _PV)))
+def dq_3(spark, sf):
+    return A.profile_values(flat(spark, sf), [c for c, _ in _PV])
+
+
+# ---------------------------------------------------------------------------
+# Windows, sorting, sampling (WIN-*, SORT-*, SAMP-1)
+# ---------------------------------------------------------------------------
+
+_FEED = """
+, feed AS (
+  SELECT l_orderkey AS operation_id, CAST(l_shipdate AS TIMESTAMP) AS accm_txn_complete_time FROM lineitem
+  UNION ALL
+  SELECT (SELECT max(o_orderkey) FROM orders) + i, TIMESTAMP '2002-01-01 00:00:00' FROM range(1, 501) r(i))"""
+
+
+@q("win_1_latest_completion_per_id", S.with_ctes(_FEED, """
+SELECT operation_id, accm_txn_complete_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY operation_id ORDER BY accm_txn_complete_time DESC NULLS LAST) AS rn
+  FROM feed) t WHERE rn = 1"""))
+def win_1(spark, sf):
+    from dwkit.operators.snapshot import latest_completion
+    return latest_completion(FX.completion_feed(spark, sf))
+
+
+_FLIGHTS = """
+, flights AS (
+  SELECT row_number() OVER (ORDER BY carrier_code NULLS FIRST, flight_number NULLS FIRST, origin NULLS FIRST,
+         dest NULLS FIRST) AS flight_id, carrier_code, flight_number, origin AS origin_code, dest AS dest_code,
+         min(distance) AS distance
+  FROM flat GROUP BY carrier_code, flight_number, origin, dest)"""
+
+
+@q("win_2_surrogate_flight_ids", S.with_ctes(_FLIGHTS, "SELECT CAST(flight_id AS INTEGER) AS flight_id, "
+                                             "carrier_code, flight_number, origin_code, dest_code, distance FROM flights"))
+def win_2(spark, sf):
+    return build(spark, sf)["flight"]
+
+
+@q("win_3_parallel_period_carrier_year", S.with_ctes("""
+, by_year AS (SELECT carrier_name, CAST(year AS INTEGER) AS year, count(*) AS flights FROM fact GROUP BY 1, 2)""", """
+SELECT a.carrier_name, a.year, a.flights, b.flights AS flights_prior, a.flights - b.flights AS flights_trend
+FROM by_year a LEFT JOIN by_year b ON b.carrier_name = a.carrier_name AND b.year = a.year - 1"""))
+def win_3(spark, sf):
+    f = cube(spark, sf).frame(["airline.carrier_name", "date.year"])
+    agg = f.groupBy(F.col("airline_carrier_name").alias("carrier_name"),
+                    F.col("date_year").cast("int").alias("year")).agg(F.count(F.lit(1)).alias("flights"))
+    return W.parallel_period(agg, "year", ["carrier_name"], "flights")
+
+
+@q("win_4_carrier_share_within_region", S.with_fact("""
+SELECT origin_region AS region, carrier_name, count(*) AS flights,
+       count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY origin_region) AS share
+FROM fact GROUP BY 1, 2"""))
+def win_4(spark, sf):
+    f = cube(spark, sf).frame(["origin.region", "airline.carrier_name"])
+    agg = f.groupBy(F.col("origin_region").alias("region"), F.col("airline_carrier_name").alias("carrier_name")) \
+        .agg(F.count(F.lit(1)).alias("flights"))
+    return W.share(agg, "flights", ["region"])
+
+
+@q("win_5_carrier_rank_within_region", S.with_fact("""
+SELECT origin_region AS region, carrier_name, count(*) AS flights,
+       dense_rank() OVER (PARTITION BY origin_region ORDER BY count(*) DESC) AS rank
+FROM fact GROUP BY 1, 2"""))
+def win_5(spark, sf):
+    f = cube(spark, sf).frame(["origin.region", "airline.carrier_name"])
+    agg = f.groupBy(F.col("origin_region").alias("region"), F.col("airline_carrier_name").alias("carrier_name")) \
+        .agg(F.count(F.lit(1)).alias("flights"))
+    return W.ranked(agg, "flights", ["region"], dense=True).withColumn("rank", F.col("rank").cast("long"))
+
+
+@q("sort_2_top_10_arrival_delay", S.with_fact("""
+SELECT operation_id, carrier_code AS op_unique_carrier, arr_delay FROM flat
+ORDER BY arr_delay DESC NULLS LAST, operation_id LIMIT 10"""))
+def sort_2(spark, sf):
+    f = flat(spark, sf).select("operation_id", "op_unique_carrier", "arr_delay")
+    return SM.top_n(f, 10, [F.col("arr_delay").desc_nulls_last(), F.col("operation_id")])
+
+
+@q("sort_4_random_rows")
+def sort_4(spark, sf):
+    """Repeatable random 100 operations (seeded hash); checked by unit tests."""
+    return SM.random_rows(flat(spark, sf).select("operation_id", "op_unique_carrier"), 100, ["operation_id"], 42)
+
+
+@q("samp_1_stratified_sample_counts", S.with_fact("""
+SELECT cancelled, CAST(round_even(count(*) * 0.1, 0) AS BIGINT) AS sampled FROM flat GROUP BY 1"""))
+def samp_1_counts(spark, sf):
+    s = SM.stratified_sample(flat(spark, sf), "cancelled", 0.1, ["operation_id"], 42)
+    return s.groupBy("cancelled").agg(F.count(F.lit(1)).alias("sampled"))
+
+
+@q("samp_1_stratified_sample")
+def samp_1(spark, sf):
+    """Exact 10 % per cancelled stratum (rows-only check; exactness in tests)."""
+    return SM.stratified_sample(flat(spark, sf), "cancelled", 0.1, ["operation_id"], 42)

@@ -165,14 +165,19 @@ class CubeModel:
             out = out.join(d, out[r.fact_key] == d[f"__k_{role_name}"], "inner").drop(f"__k_{role_name}")
         return out
 
-    def _group_cols(self, attrs: Sequence[str]) -> tuple[list[Column], list[Column]]:
-        keys, shows = [], []
+    def _group_cols(self, f: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, list[str], list[tuple[str, str]]]:
+        """Add one column per attribute named ``role_attr`` (the key) and
+        return (frame, key names, [(display source, output name)])."""
+        names, shows, add = [], [], {}
         for ref in attrs:
             r, a = self._attr(ref)
-            keys.append(F.col(f"{r.name}_{a.key}").alias(self.col_name(ref)))
+            n = self.col_name(ref)
+            if n != f"{r.name}_{a.key}":
+                add[n] = F.col(f"{r.name}_{a.key}")
+            names.append(n)
             if a.display and a.display != a.key:
-                shows.append(F.max(F.col(f"{r.name}_{a.display}")).alias(f"{self.col_name(ref)}_name"))
-        return keys, shows
+                shows.append((f"{r.name}_{a.display}", f"{n}_name"))
+        return (f.withColumns(add) if add else f), names, shows
 
     def _measures(self, names: Sequence[str]) -> tuple[list[Column], list[tuple[str, Column]]]:
         base = {m.name: m for m in self.measures}
@@ -194,14 +199,17 @@ class CubeModel:
         """Measures by attributes.  ``totals``: None (plain GROUP BY),
         ``"rollup"`` (hierarchy prefixes, AGG-16) or ``"cube"`` (all
         combinations, AGG-17); subtotal rows carry ``grouping_id``."""
-        f = self.frame(rows, filters)
-        keys, shows = self._group_cols(rows)
+        f, names, shows = self._group_cols(self.frame(rows, filters), rows)
         aggs, post = self._measures(measures)
         if totals is None:
-            out = f.groupBy(*keys).agg(*aggs, *shows)
+            out = f.groupBy(*names).agg(*aggs, *[F.max(src).alias(n) for src, n in shows])
         else:
-            g = f.rollup(*keys) if totals == "rollup" else f.cube(*keys)
-            out = g.agg(*aggs, *shows, F.grouping_id().alias("grouping_id"))
+            g = f.rollup(*names) if totals == "rollup" else f.cube(*names)
+            # A subtotal row has no member, so it has no display name either.
+            key_of = {f"{n}_name": n for n in names}
+            disp = [F.when(F.grouping(key_of[n]) == 1, F.lit(None)).otherwise(F.max(src)).alias(n)
+                    for src, n in shows]
+            out = g.agg(*aggs, *disp, F.grouping_id().alias("grouping_id"))
         for n, e in post:
             out = out.withColumn(n, e)
         return out
@@ -235,11 +243,9 @@ class CubeModel:
               filters: Mapping[str, object] | None = None) -> DataFrame:
         """Rows x column members of one base measure (OLAP-8).  ``values``
         are passed so no extra job is needed to discover them."""
-        f = self.frame([*rows, col], filters)
-        keys, _ = self._group_cols(rows)
-        r, a = self._attr(col)
+        f, names, _ = self._group_cols(self.frame([*rows, col], filters), [*rows, col])
         m = {x.name: x for x in self.measures}[measure]
-        return f.groupBy(*keys).pivot(f"{r.name}_{a.key}", list(values)).agg(m.agg())
+        return f.groupBy(*names[:-1]).pivot(names[-1], list(values)).agg(m.agg())
 
     def summary(self, measures: Sequence[str], filters: Mapping[str, object] | None = None) -> DataFrame:
         """All headline measures in one row (OLAP-9)."""
