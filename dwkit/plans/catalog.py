@@ -526,3 +526,171 @@ def samp_1_counts(spark, sf):
 def samp_1(spark, sf):
     """Exact 10 % per cancelled stratum (rows-only check; exactness in tests)."""
     return SM.stratified_sample(flat(spark, sf), "cancelled", 0.1, ["operation_id"], 42)
+
+
+# ---------------------------------------------------------------------------
+# Warehouse tables: normalisation, dimensions, fact load (NORM-*, DIM-*, JOIN-1/3/8)
+# ---------------------------------------------------------------------------
+
+from dwkit.operators import joins as J  # noqa: E402
+from dwkit.operators import quality as Q  # noqa: E402
+from dwkit.operators import scd as SCD  # noqa: E402
+from dwkit.operators import snapshot as ACC  # noqa: E402
+from dwkit.operators import dims as D  # noqa: E402
+from dwkit.operators import sets as SET  # noqa: E402
+from dwkit.sources.reference import US_FEDERAL_HOLIDAYS_2024  # noqa: E402
+
+_KEYS = _FLIGHTS + """
+, carriers AS (SELECT carrier_code, min(carrier_name) AS carrier_name FROM flat
+               WHERE carrier_code IS NOT NULL GROUP BY 1),
+airline_keys AS (SELECT CAST(row_number() OVER (ORDER BY carrier_code) AS INTEGER) AS airline_key,
+                 carrier_code, carrier_name FROM carriers),
+airports AS (SELECT DISTINCT code FROM (SELECT origin AS code FROM flat UNION ALL SELECT dest FROM flat) x
+             WHERE code IS NOT NULL),
+airport_keys AS (SELECT CAST(row_number() OVER (ORDER BY code) AS INTEGER) AS airport_key, code FROM airports),
+ops AS (
+  SELECT f.*, CAST(fl.flight_id AS INTEGER) AS flight_id, fl.distance AS route_distance
+  FROM flat f JOIN flights fl
+    ON fl.carrier_code IS NOT DISTINCT FROM f.carrier_code AND fl.flight_number IS NOT DISTINCT FROM f.flight_number
+   AND fl.origin_code IS NOT DISTINCT FROM f.origin AND fl.dest_code IS NOT DISTINCT FROM f.dest),
+fact_keys AS (
+  SELECT CAST(row_number() OVER (ORDER BY f.operation_id) AS INTEGER) AS operation_key,
+    CAST(year(f.fl_date) * 10000 + month(f.fl_date) * 100 + day(f.fl_date) AS INTEGER) AS date_key,
+    a.airline_key, o.airport_key AS origin_airport_key, d.airport_key AS dest_airport_key,
+    p.flight_id AS route_key,
+    CASE f.cancellation_code_clean WHEN 'N/A' THEN 0 WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3
+         WHEN 'D' THEN 4 END AS cancellation_key,
+    f.operation_id, f.dep_delay, f.arr_delay, p.route_distance AS distance,
+    CAST(f.carrier_delay AS SMALLINT) AS carrier_delay, CAST(f.weather_delay AS SMALLINT) AS weather_delay,
+    CAST(f.nas_delay AS SMALLINT) AS nas_delay, CAST(f.security_delay AS SMALLINT) AS security_delay,
+    CAST(f.late_aircraft_delay AS SMALLINT) AS late_aircraft_delay,
+    CAST(f.total_delay_minutes AS SMALLINT) AS total_delay_minutes, CAST(f.cancelled AS SMALLINT) AS cancelled,
+    f.create_time AS accm_txn_create_time, f.complete_time AS accm_txn_complete_time,
+    f.process_hours AS txn_process_time_hours
+  FROM fact f
+  JOIN airline_keys a ON a.carrier_code = f.carrier_code
+  JOIN airport_keys o ON o.code = f.origin
+  JOIN airport_keys d ON d.code = f.dest
+  JOIN ops p ON p.operation_id = f.operation_id)"""
+
+
+@q("norm_1_flight_operations", S.with_ctes(_KEYS, """
+SELECT operation_id, flight_id, fl_date, CAST(year(fl_date) AS SMALLINT) AS year,
+       CAST(month(fl_date) AS TINYINT) AS month, CAST(day(fl_date) AS TINYINT) AS day_of_month,
+       CAST(dayofweek(fl_date) + 1 AS TINYINT) AS day_of_week, dep_delay, arr_delay,
+       CAST(cancelled AS TINYINT) AS cancelled, cancellation_code
+FROM ops"""))
+def norm_1_ops(spark, sf):
+    return build(spark, sf)["flight_operation"]
+
+
+@q("norm_1_airlines", S.with_ctes(_KEYS, "SELECT carrier_code, carrier_name FROM carriers"))
+def norm_1_airlines(spark, sf):
+    return build(spark, sf)["airline"]
+
+
+@q("norm_2_delay_records", S.with_ctes(_DELAY_RECORDS, """
+SELECT CAST(row_number() OVER (ORDER BY operation_id) AS INTEGER) AS delay_id, operation_id,
+       carrier_delay, weather_delay, nas_delay, security_delay, late_aircraft_delay FROM delays"""))
+def norm_2(spark, sf):
+    return build(spark, sf)["delay_record"]
+
+
+@q("set_2_airports_from_roles", S.with_ctes(_KEYS, """
+SELECT code AS airport_code, code AS city_name, code AS state_name FROM airports"""))
+def set_2(spark, sf):
+    return build(spark, sf)["airport"]
+
+
+@q("join_8_assign_flight_fk", S.with_ctes(_KEYS, "SELECT operation_id, flight_id FROM ops"))
+def join_8(spark, sf):
+    f = flat(spark, sf)
+    keys = ["op_unique_carrier", "op_carrier_fl_num", "origin", "dest"]
+    return J.assign_fk(f.select("operation_id", *keys), build(spark, sf)["flight"], keys, "flight_id",
+                       ["carrier_code", "flight_number", "origin_code", "dest_code"]).select("operation_id", "flight_id")
+
+
+@q("join_1_prepare_operations", S.with_ctes(_KEYS, """
+SELECT operation_id, flight_id,
+       CASE WHEN cancelled = 0 THEN 'N/A' ELSE coalesce(cancellation_code, 'A') END AS cancellation_code_clean,
+       """ + ", ".join(f"CAST(CASE WHEN cancelled = 0 THEN {p} ELSE 0 END AS SMALLINT) AS {p}" for p in S.PARTS) + """,
+       CAST(CASE WHEN cancelled = 0 THEN carrier_delay + weather_delay + nas_delay + security_delay
+            + late_aircraft_delay ELSE 0 END AS SMALLINT) AS total_delay_minutes
+FROM ops"""))
+def join_1(spark, sf):
+    p = build(spark, sf)["prepared"]
+    return p.select("operation_id", "flight_id", "cancellation_code_clean", *S.PARTS, "total_delay_minutes")
+
+
+@q("join_3_load_fact", S.with_ctes(_KEYS, "SELECT * FROM fact_keys"))
+def join_3(spark, sf):
+    return build(spark, sf)["fact"]
+
+
+@q("join_3_fact_errors", S.with_ctes(_KEYS, """
+SELECT 'fact_flight_operation' AS source_table, 2 AS error_code,
+       'lookup failed: ' || concat_ws(',', CASE WHEN carrier_code IS NULL THEN 'airline_key' END,
+              CASE WHEN origin IS NULL THEN 'origin_airport_key' END,
+              CASE WHEN dest IS NULL THEN 'dest_airport_key' END) AS error_description,
+       concat_ws('|', CAST(operation_id AS VARCHAR), coalesce(CAST(flight_id AS VARCHAR), ''),
+                 coalesce(carrier_code, ''), coalesce(origin, ''), coalesce(dest, ''),
+                 CASE WHEN cancelled = 0 THEN 'N/A' ELSE coalesce(cancellation_code, 'A') END,
+                 CAST(fl_date AS VARCHAR)) AS raw_row,
+       TIMESTAMP '2025-01-01 00:00:00' AS captured_at
+FROM ops WHERE carrier_code IS NULL OR origin IS NULL OR dest IS NULL"""))
+def join_3_errors(spark, sf):
+    return build(spark, sf)["fact_errors"]
+
+
+@q("dim_1_date_dim", S.with_fact("""
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, CAST(year(d) AS SMALLINT) AS year,
+       CAST(quarter(d) AS SMALLINT) AS quarter, 'Q' || CAST(quarter(d) AS VARCHAR) AS quarter_name,
+       CAST(month(d) AS SMALLINT) AS month, monthname(d) AS month_name, strftime(d, '%b %Y') AS month_year,
+       CAST(week(d) AS SMALLINT) AS week_of_year, CAST(day(d) AS SMALLINT) AS day_of_month,
+       CAST(dayofweek(d) + 1 AS SMALLINT) AS day_of_week, dayname(d) AS day_name,
+       dayofweek(d) IN (0, 6) AS is_weekend, d IN (""" + ", ".join(
+    f"DATE '{h.isoformat()}'" for h in US_FEDERAL_HOLIDAYS_2024) + """) AS is_public_holiday
+FROM (SELECT CAST(ts AS DATE) AS d FROM generate_series(
+        (SELECT CAST(min(fl_date) AS TIMESTAMP) FROM flat), (SELECT CAST(max(fl_date) AS TIMESTAMP) FROM flat),
+        INTERVAL 1 DAY) t(ts)) days"""))
+def dim_1(spark, sf):
+    return build(spark, sf)["dim_date"]
+
+
+@q("dim_2_airport_dim", S.with_ctes(_KEYS, """
+SELECT k.airport_key, k.code AS airport_code, k.code AS city_name, k.code AS state_name,
+       coalesce(r.region, 'Unknown') AS region, coalesce(r.region_code, 'XX') AS region_code
+FROM airport_keys k LEFT JOIN regions r ON r.state_name = k.code"""))
+def dim_2(spark, sf):
+    return build(spark, sf)["dim_airport"]
+
+
+@q("dim_3_route_dim", S.with_ctes(_KEYS, """
+SELECT CAST(flight_id AS INTEGER) AS route_key, CAST(flight_id AS INTEGER) AS flight_id, carrier_code,
+       flight_number, origin_code, dest_code, distance,
+       CASE WHEN distance IS NULL THEN NULL WHEN distance < 500 THEN 'Short' WHEN distance <= 1500 THEN 'Medium'
+            ELSE 'Long' END AS distance_band
+FROM flights"""))
+def dim_3(spark, sf):
+    return build(spark, sf)["dim_route"]
+
+
+@q("dim_4_region_reference", S.with_fact("SELECT state_name, region, region_code FROM regions"))
+def dim_4(spark, sf):
+    return FX.region_reference(spark, sf)
+
+
+@q("dim_5_flights_by_reason", S.with_fact("""
+SELECT cancellation_code_clean AS cancellation_code, count(*) AS flights FROM fact GROUP BY 1"""))
+def dim_5(spark, sf):
+    w = build(spark, sf)
+    return J.star(w["fact"], [(w["dim_reason"], "cancellation_key")], broadcast=True) \
+        .groupBy("cancellation_code").agg(F.count(F.lit(1)).alias("flights"))
+
+
+@q("err_1_airport_error_rows", S.with_ctes(_KEYS, """
+SELECT 'airport' AS source_table, 1 AS error_code, 'No region for state_name' AS error_description,
+       code || '|' || code AS raw_row, TIMESTAMP '2025-01-01 00:00:00' AS captured_at
+FROM airports WHERE code NOT IN (SELECT state_name FROM regions)"""))
+def err_1(spark, sf):
+    return build(spark, sf)["airport_errors"]

@@ -122,3 +122,12 @@ def region_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation -> region, with the MIDDLE EAST hole."""
     from dwkit.operators.dims import region_reference_from
     return region_reference_from(table(spark, sf_dir, "nation"), table(spark, sf_dir, "region"), [REGION_HOLE])
+
+
+def renamed_carriers(airlines: DataFrame) -> DataFrame:
+    """Second airline batch for the SCD2 fixture: carriers whose code sorts
+    before 'C' get a new name; the others arrive unchanged."""
+    return airlines.select(
+        "carrier_code",
+        F.when(F.col("carrier_code") < "C", F.concat(F.col("carrier_name"), F.lit(" (renamed)")))
+        .otherwise(F.col("carrier_name")).alias("carrier_name"))
