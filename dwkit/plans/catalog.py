@@ -694,3 +694,396 @@ SELECT 'airport' AS source_table, 1 AS error_code, 'No region for state_name' AS
 FROM airports WHERE code NOT IN (SELECT state_name FROM regions)"""))
 def err_1(spark, sf):
     return build(spark, sf)["airport_errors"]
+
+
+# ---------------------------------------------------------------------------
+# Slowly changing dimensions (SCD-*, JOIN-12, FLT-5)
+# ---------------------------------------------------------------------------
+
+_SCD2 = _KEYS + """
+, v1 AS (SELECT airline_key, carrier_code, carrier_name, TIMESTAMP '1900-01-01 00:00:00' AS scd_effective_date,
+                CASE WHEN carrier_code < 'C' THEN TIMESTAMP '1998-01-01 00:00:00'
+                     ELSE TIMESTAMP '9999-12-31 00:00:00' END AS scd_expiry_date,
+                carrier_code >= 'C' AS is_current_record FROM airline_keys),
+v2 AS (SELECT CAST((SELECT count(*) FROM carriers) + row_number() OVER (ORDER BY carrier_code) AS INTEGER)
+                AS airline_key, carrier_code, carrier_name || ' (renamed)' AS carrier_name,
+              TIMESTAMP '1998-01-01 00:00:00' AS scd_effective_date, TIMESTAMP '9999-12-31 00:00:00' AS scd_expiry_date,
+              true AS is_current_record FROM carriers WHERE carrier_code < 'C'),
+airline_scd AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2)"""
+
+
+def _airline_two_loads(spark, sf):
+    w = build(spark, sf)
+    first = D.airline_dim(None, w["airline"], FX.RUN_TS)
+    return first, D.airline_dim(first, FX.renamed_carriers(w["airline"]), FX.CHANGE_TS)
+
+
+@q("scd_4_scd2_two_loads", S.with_ctes(_SCD2, "SELECT * FROM airline_scd"))
+def scd_4(spark, sf):
+    return _airline_two_loads(spark, sf)[1]
+
+
+@q("scd_4_scd2_rerun_is_noop", S.with_ctes(_SCD2, "SELECT count(*) AS row_count FROM airline_scd"))
+def scd_4_rerun(spark, sf):
+    w = build(spark, sf)
+    _, second = _airline_two_loads(spark, sf)
+    again = D.airline_dim(second, FX.renamed_carriers(w["airline"]), FX.RUN_TS)
+    return again.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@q("scd_5_classify_second_batch", S.with_ctes(_SCD2, """
+SELECT carrier_code, CASE WHEN carrier_code < 'C' THEN carrier_name || ' (renamed)' ELSE carrier_name END
+       AS carrier_name, CASE WHEN carrier_code < 'C' THEN 'changed' ELSE 'unchanged' END AS scd_status
+FROM carriers"""))
+def scd_5(spark, sf):
+    w = build(spark, sf)
+    first, _ = _airline_two_loads(spark, sf)
+    return SCD.scd2_classify(first, FX.renamed_carriers(w["airline"]), "carrier_code", ["carrier_name"])
+
+
+@q("scd_6_current_versions", S.with_ctes(_SCD2, "SELECT * FROM airline_scd WHERE is_current_record"))
+def scd_6(spark, sf):
+    return SCD.current(_airline_two_loads(spark, sf)[1])
+
+
+@q("flt_5_history_of_carrier", S.with_ctes(_SCD2, "SELECT * FROM airline_scd WHERE carrier_code = 'AUTOMOBILE'"))
+def flt_5(spark, sf):
+    return SCD.history_of(_airline_two_loads(spark, sf)[1], "carrier_code", "AUTOMOBILE")
+
+
+@q("join_12_as_of_carrier_name", S.with_ctes(_SCD2, """
+SELECT s.carrier_name, count(*) AS flights
+FROM fact f JOIN airline_scd s ON s.carrier_code = f.carrier_code
+ AND s.scd_effective_date <= CAST(f.fl_date AS TIMESTAMP) AND CAST(f.fl_date AS TIMESTAMP) < s.scd_expiry_date
+GROUP BY 1"""))
+def join_12(spark, sf):
+    w = build(spark, sf)
+    dim = _airline_two_loads(spark, sf)[1]
+    f = cube(spark, sf).frame(["airline.carrier", "date.day"]).select(
+        F.col("airline_carrier_code").alias("carrier_code"), F.col("date_full_date").alias("fl_date"))
+    del w
+    return J.lookup_as_of(f, dim, "carrier_code", "fl_date", ["carrier_name"], how="inner") \
+        .groupBy("carrier_name").agg(F.count(F.lit(1)).alias("flights"))
+
+
+@q("scd_1_scd1_two_loads", S.with_ctes(_KEYS + """
+, m AS (SELECT CAST(row_number() OVER (ORDER BY code) AS INTEGER) AS airport_key, code FROM airports
+        WHERE code IN (SELECT state_name FROM regions)),
+u AS (SELECT CAST((SELECT count(*) FROM m) + row_number() OVER (ORDER BY code) AS INTEGER) AS airport_key, code
+      FROM airports WHERE code NOT IN (SELECT state_name FROM regions))""", """
+SELECT k.airport_key, k.code AS airport_code, k.code AS city_name, k.code AS state_name,
+       coalesce(r.region, 'Unknown') AS region, coalesce(r.region_code, 'XX') AS region_code
+FROM (SELECT * FROM m UNION ALL SELECT * FROM u) k LEFT JOIN regions r ON r.state_name = k.code"""))
+def scd_1(spark, sf):
+    w = build(spark, sf)
+    regions = FX.region_reference(spark, sf)
+    first, _ = D.airport_dim(None, w["airport"], regions, FX.RUN_TS, unmatched="quarantine")
+    second, _ = D.airport_dim(first, w["airport"], regions, FX.RUN_TS, unmatched="default")
+    return second
+
+
+@q("scd_7_default_member", S.with_ctes(_KEYS, """
+SELECT k.airport_key, k.code AS airport_code, k.code AS city_name, k.code AS state_name,
+       coalesce(r.region, 'Unknown') AS region, coalesce(r.region_code, 'XX') AS region_code
+FROM airport_keys k LEFT JOIN regions r ON r.state_name = k.code
+UNION ALL SELECT 0, 'N/A', 'N/A', 'N/A', 'N/A', 'XX'"""))
+def scd_7(spark, sf):
+    row = {"airport_key": 0, "airport_code": "N/A", "city_name": "N/A", "state_name": "N/A", "region": "N/A",
+           "region_code": "XX"}
+    return SCD.with_default_member(build(spark, sf)["dim_airport"], row)
+
+
+# ---------------------------------------------------------------------------
+# Accumulating snapshot (ACC-*, PRJ-7, DQ-11)
+# ---------------------------------------------------------------------------
+
+_LATEST = _FEED + """
+, latest AS (SELECT operation_id, max(accm_txn_complete_time) AS accm_txn_complete_time FROM feed GROUP BY 1)"""
+
+
+@q("acc_2_feed_stats", S.with_ctes(_FEED, """
+SELECT count(*) AS staged_rows, count(DISTINCT operation_id) AS distinct_ids,
+       count(*) - count(DISTINCT operation_id) AS duplicate_rows FROM feed"""))
+def acc_2(spark, sf):
+    return ACC.feed_stats(build(spark, sf)["feed"])
+
+
+@q("acc_4_apply_completions", S.with_fact("""
+SELECT operation_id, complete_time AS accm_txn_complete_time, process_hours AS txn_process_time_hours
+FROM fact"""))
+def acc_4(spark, sf):
+    return build(spark, sf)["fact"].select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")
+
+
+@q("acc_4_completion_errors", S.with_ctes(_LATEST, """
+SELECT l.operation_id, l.accm_txn_complete_time, 'operation_id not found in fact table' AS error_reason,
+       TIMESTAMP '2025-01-01 00:00:00' AS captured_at, CAST(NULL AS BIGINT) AS batch_id
+FROM latest l WHERE l.operation_id NOT IN (SELECT operation_id FROM fact)"""))
+def acc_4_errors(spark, sf):
+    return build(spark, sf)["accum_errors"]
+
+
+@q("acc_4_rerun_is_noop", S.with_fact("""
+SELECT count(*) AS row_count, count(complete_time) AS completed, sum(process_hours) AS hours FROM fact"""))
+def acc_4_rerun(spark, sf):
+    w = build(spark, sf)
+    again, _ = ACC.apply_completions(w["fact"], w["feed"], FX.RUN_TS)
+    return again.agg(F.count(F.lit(1)).alias("row_count"), F.count("accm_txn_complete_time").alias("completed"),
+                     F.sum("txn_process_time_hours").alias("hours"))
+
+
+@q("acc_9_error_summary", S.with_ctes(_LATEST, """
+SELECT count(*) AS error_rows, min(operation_id) AS min_id, max(operation_id) AS max_id,
+       TIMESTAMP '2025-01-01 00:00:00' AS first_captured, TIMESTAMP '2025-01-01 00:00:00' AS last_captured
+FROM latest WHERE operation_id NOT IN (SELECT operation_id FROM fact)"""))
+def acc_9(spark, sf):
+    return ACC.error_summary(build(spark, sf)["accum_errors"])
+
+
+@q("dq_11_completed_before_created", S.with_fact("""
+SELECT carrier_name, count(*) AS violations FROM fact WHERE complete_time <= create_time GROUP BY 1"""))
+def dq_11(spark, sf):
+    f = cube(spark, sf).frame(["airline.carrier_name"])
+    return Q.check_timeline(f, "accm_txn_create_time", "accm_txn_complete_time") \
+        .groupBy(F.col("airline_carrier_name").alias("carrier_name")).agg(F.count(F.lit(1)).alias("violations"))
+
+
+# ---------------------------------------------------------------------------
+# Quality, reconciliation, references (DQ-*, JOIN-2/6/7/9/10/11/13, SET-*)
+# ---------------------------------------------------------------------------
+
+_PROFILE_COLS = [("operation_id", "operation_id", "bigint"), ("fl_date", "fl_date", "date"),
+                 ("op_unique_carrier", "carrier_code", "string"), ("origin", "origin", "string"),
+                 ("dest", "dest", "string"), ("arr_delay", "arr_delay", "double"),
+                 ("cancelled", "CAST(cancelled AS TINYINT)", "tinyint"),
+                 ("cancellation_code", "cancellation_code", "string"), ("distance", "distance", "double")]
+
+
+def _profile_sql() -> str:
+    parts = []
+    for i, (name, expr, dtype) in enumerate(_PROFILE_COLS):
+        pct = f"round_even((count(*) - count({expr})) * 100.0 / count(*), 2)"
+        parts.append(f"""SELECT '{name}' AS column, '{dtype}' AS dtype, count(*) AS total_rows,
+       count(*) - count({expr}) AS null_count, {pct} AS null_pct,
+       printf('%.2f', 100 - {pct}) || '%' AS completeness, count(DISTINCT {expr}) AS unique_values,
+       CAST(min({expr}) AS VARCHAR) AS min, CAST(max({expr}) AS VARCHAR) AS max,
+       CAST(NULL AS VARCHAR) AS sample_values FROM flat""")
+    return " UNION ALL ".join(parts)
+
+
+@q("dq_1_profile", S.with_fact(_profile_sql()))
+def dq_1(spark, sf):
+    return Q.profile(flat(spark, sf).select(*[c for c, _, _ in _PROFILE_COLS]), samples=False)
+
+
+@q("dq_1_profile_with_samples")
+def dq_1_samples(spark, sf):
+    """Profile including bounded sample values (rows-only; samples are hash-picked)."""
+    return Q.profile(flat(spark, sf))
+
+
+def _rules():
+    return Q.flight_rules(dep_time="dep_delay", parts=S.PARTS, elapsed=None)
+
+
+_CHECKS = """
+SELECT 0 AS check_no, 'Cancelled flights with non-null dep_time' AS "check",
+       CAST(count(*) FILTER (WHERE cancelled = 1 AND dep_delay IS NOT NULL) AS DOUBLE) AS value,
+       CASE WHEN count(*) FILTER (WHERE cancelled = 1 AND dep_delay IS NOT NULL) > 0 THEN 'HIGH' ELSE 'OK' END
+         AS severity FROM flat
+UNION ALL SELECT 1, 'Operated flights missing dep_time',
+       CAST(count(*) FILTER (WHERE cancelled = 0 AND dep_delay IS NULL) AS DOUBLE),
+       CASE WHEN count(*) FILTER (WHERE cancelled = 0 AND dep_delay IS NULL) > 0 THEN 'MEDIUM' ELSE 'OK' END FROM flat
+UNION ALL SELECT 2, 'Cancelled flights with non-zero delay components',
+       CAST(count(*) FILTER (WHERE cancelled = 1 AND carrier_delay + weather_delay + nas_delay + security_delay
+            + late_aircraft_delay > 0) AS DOUBLE), 'LOW' FROM flat
+UNION ALL SELECT 3, 'dep_delay / arr_delay Pearson correlation',
+       round(corr(dep_delay, arr_delay), 4),
+       CASE WHEN round(corr(dep_delay, arr_delay), 4) > 0.8 THEN 'OK' ELSE 'REVIEW' END FROM flat
+UNION ALL SELECT 4, 'Earliest date as yyyyMMdd', CAST(strftime(min(fl_date), '%Y%m%d') AS DOUBLE), 'INFO' FROM flat
+UNION ALL SELECT 5, 'Latest date as yyyyMMdd', CAST(strftime(max(fl_date), '%Y%m%d') AS DOUBLE), 'INFO' FROM flat
+UNION ALL SELECT 6, 'Months covered', CAST(count(DISTINCT month(fl_date)) AS DOUBLE), 'INFO' FROM flat"""
+
+
+@q("dq_2_run_checks", S.with_fact(_CHECKS))
+def dq_2(spark, sf):
+    return Q.run_checks(flat(spark, sf), _rules())
+
+
+@q("dq_4_check_references", S.with_fact("""
+SELECT rel AS relationship, CAST(n AS BIGINT) AS orphans, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (VALUES ('fact.date_key', 0), ('fact.airline_key', 0), ('fact.origin_airport_key', 0),
+             ('fact.dest_airport_key', 0), ('fact.route_key', 0), ('fact.cancellation_key', 0),
+             ('flight_operation.flight_id', 0)) t(rel, n)"""))
+def dq_4(spark, sf):
+    w = build(spark, sf)
+    f = w["fact"]
+    return Q.check_references([
+        ("fact.date_key", f, "date_key", w["dim_date"], "date_key"),
+        ("fact.airline_key", f, "airline_key", w["dim_airline"], "airline_key"),
+        ("fact.origin_airport_key", f, "origin_airport_key", w["dim_airport"], "airport_key"),
+        ("fact.dest_airport_key", f, "dest_airport_key", w["dim_airport"], "airport_key"),
+        ("fact.route_key", f, "route_key", w["dim_route"], "route_key"),
+        ("fact.cancellation_key", f, "cancellation_key", w["dim_reason"], "cancellation_key"),
+        ("flight_operation.flight_id", w["flight_operation"], "flight_id", w["flight"], "flight_id"),
+    ])
+
+
+@q("dq_6_row_counts", S.with_ctes(_KEYS, """
+SELECT 'flight_operation' AS table_name, count(*) AS row_count FROM flat
+UNION ALL SELECT 'flight', count(*) FROM flights
+UNION ALL SELECT 'dim_airline', count(*) FROM carriers
+UNION ALL SELECT 'dim_airport', count(*) FROM airports
+UNION ALL SELECT 'fact', count(*) FROM fact
+UNION ALL SELECT 'fact_errors', count(*) FROM flat WHERE dest IS NULL OR origin IS NULL OR carrier_code IS NULL"""))
+def dq_6(spark, sf):
+    w = build(spark, sf)
+    return Q.row_counts({"flight_operation": w["flight_operation"], "flight": w["flight"],
+                         "dim_airline": w["dim_airline"], "dim_airport": w["dim_airport"], "fact": w["fact"],
+                         "fact_errors": w["fact_errors"]})
+
+
+@q("dq_7_null_fk_counts", S.with_fact(
+    "SELECT " + ", ".join(f"CAST(0 AS BIGINT) AS null_{k}" for k in
+                         ["date_key", "airline_key", "origin_airport_key", "dest_airport_key", "route_key",
+                          "cancellation_key"]) + " FROM (SELECT 1) t"))
+def dq_7(spark, sf):
+    from dwkit.plans.fact import FK_COLUMNS
+    return Q.null_counts(build(spark, sf)["fact"], FK_COLUMNS)
+
+
+@q("dq_8_reconcile", S.with_fact("""
+SELECT (SELECT count(*) FROM flat) AS source_rows, count(*) AS loaded_rows,
+       CAST(sum(1 - cancelled) AS BIGINT) AS operated_rows, CAST(sum(cancelled) AS BIGINT) AS cancelled_rows,
+       (SELECT count(*) FROM flat WHERE dest IS NULL OR origin IS NULL OR carrier_code IS NULL) AS rejected_rows,
+       true AS balanced, true AS status_balanced
+FROM fact"""))
+def dq_8(spark, sf):
+    w = build(spark, sf)
+    return Q.reconcile(w["prepared"], w["fact"], w["fact_errors"])
+
+
+@q("dq_9_10_13_14_violation_counts", """
+SELECT CAST(0 AS BIGINT) AS total_mismatch, CAST(0 AS BIGINT) AS hours_mismatch,
+       (SELECT count(*) FROM customer WHERE length(rtrim(c_name)) <> length(c_name)) AS padded_names,
+       CAST(0 AS BIGINT) AS cancelled_without_reason""")
+def dq_9(spark, sf):
+    from dwkit.functions.dates import hours_between
+    w = build(spark, sf)
+    f = w["fact"]
+    n = lambda df: df.select(F.count(F.lit(1))).scalar()
+    tot = Q.check_total(f, list(S.PARTS), "total_delay_minutes")
+    rec = Q.check_recompute(f.where(F.col("txn_process_time_hours").isNotNull()), "txn_process_time_hours",
+                            hours_between("accm_txn_create_time", "accm_txn_complete_time"))
+    pad = Q.check_padding(FX.table(spark, sf, "customer"), "c_name")
+    rsn = Q.check_reason(f)
+    return spark.range(1).select(n(tot).alias("total_mismatch"), n(rec).alias("hours_mismatch"),
+                                 n(pad).alias("padded_names"), n(rsn).alias("cancelled_without_reason"))
+
+
+@q("join_2_lookup_matched", S.with_ctes(_KEYS, """
+SELECT a.code AS airport_code, a.code AS city_name, a.code AS state_name, r.region, r.region_code
+FROM airports a JOIN regions r ON r.state_name = a.code"""))
+def join_2_matched(spark, sf):
+    m, _ = J.lookup(build(spark, sf)["airport"], FX.region_reference(spark, sf), "state_name",
+                    ["region", "region_code"])
+    return m
+
+
+@q("join_2_lookup_unmatched", S.with_ctes(_KEYS, """
+SELECT a.code AS airport_code, a.code AS city_name, a.code AS state_name FROM airports a
+WHERE a.code NOT IN (SELECT state_name FROM regions)"""))
+def join_2_unmatched(spark, sf):
+    _, u = J.lookup(build(spark, sf)["airport"], FX.region_reference(spark, sf), "state_name",
+                    ["region", "region_code"])
+    return u
+
+
+@q("join_6_orders_without_lines", """
+SELECT * FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)""")
+def join_6(spark, sf):
+    return J.orphans(FX.table(spark, sf, "orders"), "o_orderkey", FX.table(spark, sf, "lineitem"), "l_orderkey")
+
+
+@q("join_7_orders_with_lines_by_status", """
+SELECT o_orderstatus, count(*) AS orders FROM orders o
+WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem) GROUP BY 1""")
+def join_7(spark, sf):
+    o = FX.table(spark, sf, "orders")
+    li = FX.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return J.semi(o, li, "o_orderkey").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@q("join_9_map_nation_region", """
+SELECT n.n_name, coalesce(r.r_name, 'Unknown') AS region
+FROM nation n LEFT JOIN region r ON r.r_regionkey = n.n_regionkey AND r.r_name <> 'MIDDLE EAST'""")
+def join_9(spark, sf):
+    ref = FX.region_reference(spark, sf)
+    return J.map_values(FX.table(spark, sf, "nation").select("n_name"), "n_name", ref, "state_name", "region",
+                        "region")
+
+
+@q("set_3_unmapped_states", S.with_ctes(_KEYS, """
+SELECT code AS state_name FROM airports WHERE code NOT IN (SELECT state_name FROM regions)"""))
+def set_3(spark, sf):
+    return SET.missing_values(build(spark, sf)["airport"], "state_name", FX.region_reference(spark, sf),
+                              "state_name")
+
+
+@q("join_10_bring_distance", S.with_ctes(_KEYS, "SELECT operation_id, route_distance AS distance FROM ops"))
+def join_10(spark, sf):
+    w = build(spark, sf)
+    return J.bring(w["flight_operation"].select("operation_id", "flight_id"), w["flight"], "flight_id",
+                   ["distance"]).select("operation_id", "distance")
+
+
+@q("join_11_origin_dest_roles", S.with_fact("""
+SELECT origin_region, dest_region, count(*) AS flights FROM fact GROUP BY 1, 2"""))
+def join_11(spark, sf):
+    w = build(spark, sf)
+    f = J.join_role(w["fact"], w["dim_airport"], "origin_airport_key", "airport_key", "origin_", ["region"])
+    f = J.join_role(f, w["dim_airport"], "dest_airport_key", "airport_key", "dest_", ["region"])
+    return f.groupBy("origin_region", "dest_region").agg(F.count(F.lit(1)).alias("flights"))
+
+
+@q("join_13_check_reason_lookup", S.with_ctes(_KEYS, """
+SELECT CASE WHEN cancelled = 0 THEN 'N/A' ELSE coalesce(cancellation_code, 'A') END AS code,
+       count(*) AS row_count, 'PASS' AS status FROM ops GROUP BY 1"""))
+def join_13(spark, sf):
+    w = build(spark, sf)
+    return J.check_lookup(w["prepared"], "cancellation_code_clean", w["dim_reason"], "cancellation_code")
+
+
+@q("join_5_fk_spot_check", S.with_ctes(_KEYS, """
+SELECT k.operation_id, k.date_key, a.carrier_name, o.code AS origin_code, d.code AS dest_code
+FROM fact_keys k JOIN airline_keys a ON a.airline_key = k.airline_key
+JOIN airport_keys o ON o.airport_key = k.origin_airport_key JOIN airport_keys d ON d.airport_key = k.dest_airport_key
+ORDER BY k.operation_id LIMIT 10"""))
+def join_5(spark, sf):
+    w = build(spark, sf)
+    ap = w["dim_airport"]
+    f = SM.top_n(w["fact"].select("operation_id", "date_key", "airline_key", "origin_airport_key",
+                                  "dest_airport_key"), 10, [F.col("operation_id")])
+    out = J.fk_spot_check(f, [(w["dim_airline"], "airline_key", ["carrier_name"])])
+    out = J.join_role(out, ap, "origin_airport_key", "airport_key", "origin_", ["airport_code"])
+    out = J.join_role(out, ap, "dest_airport_key", "airport_key", "dest_", ["airport_code"])
+    return out.select("operation_id", "date_key", "carrier_name", F.col("origin_airport_code").alias("origin_code"),
+                      F.col("dest_airport_code").alias("dest_code"))
+
+
+@q("set_1_union_airport_roles", S.with_fact("""
+SELECT code, count(*) AS uses FROM (SELECT origin AS code FROM flat UNION ALL SELECT dest FROM flat) x
+WHERE code IS NOT NULL GROUP BY 1"""))
+def set_1(spark, sf):
+    f = flat(spark, sf)
+    u = SET.union_all([f.select(F.col("origin").alias("code")), f.select(F.col("dest").alias("code"))])
+    return u.where(F.col("code").isNotNull()).groupBy("code").agg(F.count(F.lit(1)).alias("uses"))
+
+
+@q("prj_4_clean_code_counts", S.with_fact("""
+SELECT CASE WHEN cancelled = 0 THEN 'N/A' ELSE coalesce(cancellation_code, 'A') END AS code, count(*) AS n
+FROM flat GROUP BY 1"""))
+def prj_4(spark, sf):
+    from dwkit.functions.expr import clean_code
+    return flat(spark, sf).groupBy(clean_code("cancelled", "cancellation_code").alias("code")) \
+        .agg(F.count(F.lit(1)).alias("n"))
