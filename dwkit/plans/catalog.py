@@ -7,6 +7,7 @@ that ``plans.warehouse.build`` derives from them) over their whole extent.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1087,3 +1088,28 @@ def prj_4(spark, sf):
     from dwkit.functions.expr import clean_code
     return flat(spark, sf).groupBy(clean_code("cancelled", "cancellation_code").alias("code")) \
         .agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------------------
+# Streaming (STR-1)
+# ---------------------------------------------------------------------------
+
+@q("str_1_stream_completions", ORACLES["acc_4_apply_completions"])
+def str_1(spark, sf):
+    """Completion feed written as CSV files (derived from lineitem), streamed
+    with ``availableNow``, read back through the merge-on-read view; the
+    result must equal the batch update (acc_4)."""
+    import tempfile
+    from dwkit.session import ensure_checkpoint_dir
+    from dwkit.streaming.completions import completed_view, completion_log, stream_completions
+    from dwkit.plans.warehouse import table_path
+    w = build(spark, sf)
+    base = tempfile.mkdtemp(prefix="str1-", dir=ensure_checkpoint_dir(spark).replace("file:", ""))
+    src = os.path.join(base, "incoming")
+    (w["feed"].select("operation_id", F.date_format("accm_txn_complete_time", "yyyy-MM-dd HH:mm:ss")
+                      .alias("accm_txn_complete_time"))
+     .write.option("header", True).csv(src))
+    stream_completions(spark, src, table_path(spark, sf, "fact_loaded"), os.path.join(base, "log"),
+                       os.path.join(base, "errors"), os.path.join(base, "ckpt"), FX.RUN_TS)
+    view = completed_view(w["fact_loaded"], completion_log(spark, os.path.join(base, "log")))
+    return view.select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")

@@ -28,6 +28,13 @@ TABLES = ["flat", "airline", "airport", "flight", "flight_operation", "delay_rec
           "fact_loaded", "fact_errors", "feed", "fact", "accum_errors"]
 
 _memo: dict[tuple[int, str], dict[str, DataFrame]] = {}
+_roots: dict[tuple[int, str], str] = {}
+
+
+def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """Folder of a stored warehouse table (after ``build``)."""
+    build(spark, sf_dir)
+    return os.path.join(_roots[(id(spark), os.path.abspath(sf_dir))], name)
 
 
 def _store(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
@@ -43,6 +50,7 @@ def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataF
         return _memo[key]
     tag = hashlib.sha1(f"{BUILD_VERSION}|{os.path.abspath(sf_dir)}|{run_ts}".encode()).hexdigest()[:12]
     root = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"warehouse-{tag}")
+    _roots[key] = root
     if all(os.path.exists(os.path.join(root, t, "_SUCCESS")) for t in TABLES):
         out = {t: spark.read.parquet(os.path.join(root, t)) for t in TABLES}
         _memo[key] = out
