@@ -1,11 +1,12 @@
 """Joins (JOIN-1..JOIN-13).
 
-Broadcast policy: a side is broadcast only when its size is proven bounded,
-either by construction (seed rows, a calendar of a bounded date range) or by a
-bounded count (`broadcast_if_small`, which reads at most ``max_rows + 1``
-rows).  Everything else is a plain equi join: the planner and AQE pick
-sort-merge or a runtime broadcast from real sizes, and AQE splits skewed
-partitions of a hot key.
+Broadcast policy: a side is hinted for broadcast only when its size is
+proven bounded, either by construction (seed rows, a calendar of a bounded
+date range) or by a bounded count (``broadcast_if_small(max_rows=...)``,
+which reads at most ``max_rows + 1`` rows).  Everything else is a plain equi
+join: the planner broadcasts only under ``autoBroadcastJoinThreshold`` (from
+table statistics), AQE re-checks real sizes at run time, and AQE splits
+skewed partitions of a hot key in sort-merge joins.
 """
 
 from __future__ import annotations
@@ -26,16 +27,25 @@ def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
                        decision: bool | None = None) -> DataFrame:
-    """Broadcast hint behind a size check.
-
-    ``decision=True`` is for sides bounded by construction, ``False`` never
-    broadcasts; ``None`` counts at most ``max_rows + 1`` rows and broadcasts
-    only if the side fits.  Beyond the bound the join stays a shuffle join.
+    """Broadcast behind a size check.
+
+    * ``decision=True``: the side is bounded by construction (seed rows, a
+      calendar of a bounded range): hint a broadcast.
+    * ``decision=False``: never broadcast.
+    * ``max_rows``: count at most ``max_rows + 1`` rows (one small job) and
+      hint only if the side fits.
+    * otherwise no hint: the planner broadcasts only when the estimated
+      size (file statistics of a stored table) is under
+      ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the real
+      size at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``);
+      beyond either bound the join stays a shuffle join.
     """
-    if decision is None:
+    if decision is None and max_rows is not None:
         decision = df.limit(max_rows + 1).count() <= max_rows
+    if decision is None:
+        return df
     return F.broadcast(df) if decision else df
 
 
@@ -68,7 +78,7 @@ def reduce_reference(ref: DataFrame, on, take: Sequence[str],
 def lookup(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
            order: Sequence[str] | None = None, ref_on=None,
            broadcast: bool | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+           max_broadcast_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Lookup with match / no-match outputs (JOIN-2).
 
     ``on`` names the key columns of ``df``; ``ref_on`` those of ``ref`` when

@@ -8,8 +8,10 @@ always balances (SURVEY hard part 7).
 
 Join strategy: the route dimension grows with the data (one row per
 scheduled flight), so its lookup is an ordinary equi join that the planner
-and AQE size at run time.  Date, airline, airport and reason dimensions are
-small; each is broadcast after a bounded size check.
+and AQE size at run time.  The date dimension (one row per day of a bounded
+range) and the seeded reason dimension are bounded by construction and
+hinted for broadcast; airline and airport dimensions are stored tables whose
+file size the planner checks against the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -42,9 +44,11 @@ def prepare(ops: DataFrame, delays: DataFrame, missing_code: str = "A") -> DataF
     })
 
 
-def _small(dim: DataFrame, key: str, cols: list[str], rename: dict[str, str]) -> DataFrame:
+def _small(dim: DataFrame, key: str, cols: list[str], rename: dict[str, str],
+           bounded: bool | None = None) -> DataFrame:
     d = reduce_reference(dim.select(key, *cols), key, cols)
-    return broadcast_if_small(d.select(*[F.col(c).alias(rename.get(c, c)) for c in [key, *cols]]))
+    return broadcast_if_small(d.select(*[F.col(c).alias(rename.get(c, c)) for c in [key, *cols]]),
+                              decision=bounded)
 
 
 def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport: DataFrame,
@@ -60,7 +64,7 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
                                       "distance"), "flight_id", ["route_key", "carrier_code", "origin_code",
                                                                  "dest_code", "distance"])
     x = prepared.withColumn("__dk", date_key("fl_date")).join(r, "flight_id", "left")
-    x = x.join(_small(dates, "date_key", [], {"date_key": "__dk2"}), F.col("__dk") == F.col("__dk2"), "left")
+    x = x.join(_small(dates, "date_key", [], {"date_key": "__dk2"}, True), F.col("__dk") == F.col("__dk2"), "left")
     x = x.withColumn("date_key", F.when(F.col("__dk2").isNotNull(), F.col("__dk"))).drop("__dk", "__dk2")
     x = x.join(_small(current(airline), "carrier_code", ["airline_key"], {}), "carrier_code", "left")
     x = x.join(_small(airport, "airport_code", ["airport_key"],
@@ -68,7 +72,7 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
     x = x.join(_small(airport, "airport_code", ["airport_key"],
                       {"airport_code": "dest_code", "airport_key": "dest_airport_key"}), "dest_code", "left")
     x = x.join(_small(reason, "cancellation_code", ["cancellation_key"],
-                      {"cancellation_code": "cancellation_code_clean"}), "cancellation_code_clean", "left")
+                      {"cancellation_code": "cancellation_code_clean"}, True), "cancellation_code_clean", "left")
     failed = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in FK_COLUMNS])
     x = x.withColumn("__failed", failed)
     ok = x.where(F.col("__failed") == "")
