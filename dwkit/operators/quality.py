@@ -26,48 +26,68 @@ def _orderable(dtype: str) -> bool:
 
 
 def profile(df: DataFrame, exact: bool = True, samples: bool = True, digits: int = 2) -> DataFrame:
-    """Column profile in one pass (DQ-1).
-
-    Per column: type, rows, nulls, null %, completeness text, distinct
-    values, min, max (as text) and up to five sample values.  Everything is
-    one aggregate; columns become rows with ``stack``.  Samples are bounded:
-    the smallest value in each of five hash buckets of the column (distinct
-    by construction, at most five, never a collected set).  ``exact=False``
-    uses HyperLogLog for the distinct count, avoiding the expand of many exact
-    distinct counts on very wide tables.
+    """Column profile (DQ-1): type, rows, nulls, null %, completeness text,
+    distinct values, min, max (as text) and up to five sample values.
+
+    Two aggregates, no row expansion of the wide input:
+
+    * one typed one-row aggregate: row count, non-null count, min and max
+      per column (columns become rows with ``explode`` of an array of
+      structs);
+    * with ``exact``, the columns are unpivoted to narrow
+      (column, value-as-text) pairs and grouped by both, so duplicates are
+      removed map-side before the shuffle; a second group by column counts
+      distinct values and picks the samples.  (``count(DISTINCT)`` over many
+      columns would instead replicate every wide row once per column.)
+      ``exact=False`` uses HyperLogLog inside the first aggregate.
+
+    Samples are bounded: the smallest value text in each of five hash
+    buckets of the column (distinct by construction, never a collected set).
     """
     dtypes = dict(df.dtypes)
     cols = list(df.columns)
+    orderable = {c: _orderable(dtypes[c]) for c in cols}
     aggs = [F.count(F.lit(1)).alias("__rows")]
     for i, c in enumerate(cols):
         x = F.col(c)
         aggs.append(F.count(x).alias(f"__nn{i}"))
-        aggs.append((F.count_distinct(x) if exact else F.approx_count_distinct(x)).alias(f"__nd{i}"))
-        if _orderable(dtypes[c]):
+        if not exact:
+            aggs.append(F.approx_count_distinct(x).alias(f"__nd{i}"))
+        if orderable[c]:
             aggs.append(F.min(x).cast("string").alias(f"__mn{i}"))
             aggs.append(F.max(x).cast("string").alias(f"__mx{i}"))
-            if samples:
-                b = F.pmod(F.xxhash64(x), F.lit(SAMPLE_BUCKETS))
-                for k in range(SAMPLE_BUCKETS):
-                    aggs.append(F.min(F.when(b == k, x)).alias(f"__s{i}_{k}"))
     one = df.agg(*aggs)
-    rows = []
-    for i, c in enumerate(cols):
-        orderable = _orderable(dtypes[c])
-        if orderable and samples:
-            smp = F.array_sort(F.array_compact(F.array(*[F.col(f"__s{i}_{k}") for k in range(SAMPLE_BUCKETS)])))
-            smp = F.concat(F.lit("["), F.array_join(smp.cast("array<string>"), ", "), F.lit("]"))
-        else:
-            smp = F.lit(None).cast("string")
-        rows.append(F.struct(
-            F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
-            F.col("__rows").alias("total_rows"),
-            (F.col("__rows") - F.col(f"__nn{i}")).alias("null_count"),
-            F.col(f"__nd{i}").cast("long").alias("unique_values"),
-            (F.col(f"__mn{i}") if orderable else F.lit(None).cast("string")).alias("min"),
-            (F.col(f"__mx{i}") if orderable else F.lit(None).cast("string")).alias("max"),
-            smp.alias("sample_values")))
+    none = F.lit(None).cast("string")
+    rows = [F.struct(
+        F.lit(c).alias("column"), F.lit(dtypes[c]).alias("dtype"),
+        F.col("__rows").alias("total_rows"),
+        (F.col("__rows") - F.col(f"__nn{i}")).alias("null_count"),
+        (F.lit(None).cast("long") if exact else F.col(f"__nd{i}").cast("long")).alias("unique_values"),
+        (F.col(f"__mn{i}") if orderable[c] else none).alias("min"),
+        (F.col(f"__mx{i}") if orderable[c] else none).alias("max"))
+        for i, c in enumerate(cols)]
     out = one.select(F.explode(F.array(*rows)).alias("__p")).select("__p.*")
+
+    if exact or samples:
+        pairs = df.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
+            .alias("__kv")).select("__kv.*").where(F.col("value").isNotNull())
+        distinct = pairs.distinct()
+        b = F.pmod(F.xxhash64("value"), F.lit(SAMPLE_BUCKETS))
+        per_col = distinct.groupBy("column").agg(
+            F.count(F.lit(1)).alias("__distinct"),
+            *[F.min(F.when(b == k, F.col("value"))).alias(f"__s{k}") for k in range(SAMPLE_BUCKETS)])
+        smp = F.array_sort(F.array_compact(F.array(*[F.col(f"__s{k}") for k in range(SAMPLE_BUCKETS)])))
+        per_col = per_col.select("column", "__distinct",
+                                 F.concat(F.lit("["), F.array_join(smp, ", "), F.lit("]")).alias("__smp"))
+        # both sides have one row per column: a small join
+        out = out.join(per_col, "column", "left")
+        if exact:
+            out = out.withColumn("unique_values", F.coalesce(F.col("__distinct"), F.lit(0)).cast("long"))
+        sample_col = F.coalesce(F.col("__smp"), F.lit("[]")) if samples else none
+        out = out.withColumn("sample_values", sample_col).drop("__distinct", "__smp")
+    else:
+        out = out.withColumn("sample_values", none)
     pct = F.bround(F.try_divide(F.col("null_count") * 100.0, F.col("total_rows")), digits).cast("double")
     return (out.withColumn("null_pct", F.coalesce(pct, F.lit(0.0)))
             .withColumn("completeness", F.concat(F.format_number(100 - F.col("null_pct"), 2), F.lit("%")))

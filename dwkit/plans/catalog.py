@@ -1113,3 +1113,24 @@ def str_1(spark, sf):
                        os.path.join(base, "errors"), os.path.join(base, "ckpt"), FX.RUN_TS)
     view = completed_view(w["fact_loaded"], completion_log(spark, os.path.join(base, "log")))
     return view.select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks (SRC-1, SRC-2, SRC-10)
+# ---------------------------------------------------------------------------
+
+@q("src_1_typed_csv_round_trip", S.with_fact("""
+SELECT operation_id, fl_date, carrier_code AS op_unique_carrier, arr_delay FROM flat"""))
+def src_1(spark, sf):
+    """The flat table exported as CSV (SRC-10) and read back with a declared
+    schema, FAILFAST, and a 4-column projection (SRC-1, SRC-2)."""
+    import tempfile
+    from dwkit.session import ensure_checkpoint_dir
+    from dwkit.sources.files import read_csv, write_csv
+    base = tempfile.mkdtemp(prefix="src1-", dir=ensure_checkpoint_dir(spark).replace("file:", ""))
+    cols = ["operation_id", "fl_date", "op_unique_carrier", "origin", "dest", "arr_delay", "cancelled"]
+    write_csv(flat(spark, sf).select(*cols), base + "/csv")
+    schema = ("operation_id bigint, fl_date date, op_unique_carrier string, origin string, dest string, "
+              "arr_delay double, cancelled tinyint")
+    return read_csv(spark, base + "/csv", schema, columns=["operation_id", "fl_date", "op_unique_carrier",
+                                                           "arr_delay"], date_format="yyyy-MM-dd")

@@ -1,10 +1,12 @@
-"""End-to-end warehouse build over the fixture roles.
+"""The warehouse built from the driver's tables (fixture roles).
 
-``build`` runs: flat table -> normalise -> dimensions -> prepared operations
--> fact load -> completion feed.  Every output table is written once as
+``build`` feeds the fixture flat table, completion feed and region
+reference to ``pipeline.run``.  Every output table is written once as
 Parquet under the session's checkpoint folder (the shared folder named by
 ``spark.checkpoint.dir`` on a cluster) and read back, which cuts lineage and
 lets report queries read stored warehouse tables, as a BI tool would.
+Region misses are loaded with the default region (and quarantined), so the
+only fact rejects are orders without lines (FIXTURES.md part B).
 """
 
 from __future__ import annotations
@@ -14,18 +16,11 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwkit.operators.dims import airline_dim, airport_dim, date_dim_for, reason_dim, route_dim
-from dwkit.operators.normalise import normalise
-from dwkit.operators.snapshot import apply_completions
 from dwkit.plans import fixtures as fx
-from dwkit.plans.fact import load_fact, prepare
+from dwkit.plans.pipeline import TABLES, run
 from dwkit.session import ensure_checkpoint_dir
-from dwkit.sources.reference import US_FEDERAL_HOLIDAYS_2024
 
-BUILD_VERSION = "1"
-TABLES = ["flat", "airline", "airport", "flight", "flight_operation", "delay_record", "dim_date",
-          "dim_airline", "dim_airport", "dim_route", "dim_reason", "airport_errors", "prepared",
-          "fact_loaded", "fact_errors", "feed", "fact", "accum_errors"]
+BUILD_VERSION = "2"
 
 _memo: dict[tuple[int, str], dict[str, DataFrame]] = {}
 _roots: dict[tuple[int, str], str] = {}
@@ -37,13 +32,6 @@ def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     return os.path.join(_roots[(id(spark), os.path.abspath(sf_dir))], name)
 
 
-def _store(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
-    path = os.path.join(root, name)
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
-        df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataFrame]:
     key = (id(spark), os.path.abspath(sf_dir))
     if key in _memo:
@@ -55,28 +43,7 @@ def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataF
         out = {t: spark.read.parquet(os.path.join(root, t)) for t in TABLES}
         _memo[key] = out
         return out
-    st = lambda name, df: _store(spark, root, name, df)
-    out: dict[str, DataFrame] = {}
-    out["flat"] = flat = st("flat", fx.flat_operations(spark, sf_dir))
-    ent = normalise(flat)
-    for k, v in ent.items():
-        out[k] = st(k, v)
-    out["dim_date"] = st("dim_date", date_dim_for(flat, "fl_date", US_FEDERAL_HOLIDAYS_2024))
-    out["dim_airline"] = st("dim_airline", airline_dim(None, out["airline"], run_ts))
-    dim_airport, airport_errors = airport_dim(None, out["airport"], fx.region_reference(spark, sf_dir), run_ts,
-                                                unmatched="default")
-    out["dim_airport"] = st("dim_airport", dim_airport)
-    out["airport_errors"] = st("airport_errors", airport_errors)
-    out["dim_route"] = st("dim_route", route_dim(None, out["flight"]))
-    out["dim_reason"] = st("dim_reason", reason_dim(spark))
-    out["prepared"] = st("prepared", prepare(out["flight_operation"], out["delay_record"]))
-    fact, errors = load_fact(out["prepared"], out["dim_date"], out["dim_airline"], out["dim_airport"],
-                             out["dim_route"], out["dim_reason"], run_ts)
-    out["fact_loaded"] = st("fact_loaded", fact)
-    out["fact_errors"] = st("fact_errors", errors)
-    out["feed"] = st("feed", fx.completion_feed(spark, sf_dir))
-    closed, accum_errors = apply_completions(out["fact_loaded"], out["feed"], run_ts)
-    out["fact"] = st("fact", closed)
-    out["accum_errors"] = st("accum_errors", accum_errors)
+    out = run(spark, fx.flat_operations(spark, sf_dir), fx.completion_feed(spark, sf_dir),
+              fx.region_reference(spark, sf_dir), root, run_ts, unmatched_airports="default")
     _memo[key] = out
     return out
