@@ -9,6 +9,6 @@ from dwkit.functions.dates import (  # noqa: F401
 )
 from dwkit.functions.expr import (  # noqa: F401
     band, clean_code, total_of, fill_defaults, any_positive, safe_divide,
-    trim_code, logical_length, typed_null, text_or_null, col_of,
+    trim_code, logical_length, typed_null, text_or_null, col_of, pearson,
     DISTANCE_BAND_EDGES, DISTANCE_BAND_LABELS,
 )

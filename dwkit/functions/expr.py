@@ -96,3 +96,15 @@ def text_or_null(c, null_texts: Sequence[str] = ("nan", "NaN", "None", "<NA>", "
     """Text cast where the placeholder strings of a dataframe export become null (FN-11)."""
     s = col_of(c).cast("string")
     return F.when(s.isin(*null_texts), F.lit(None).cast("string")).otherwise(s)
+
+
+def pearson(a, b) -> Column:
+    """Pearson correlation aggregate that is null (not an error) when either
+    side has zero variance.  Under ANSI mode the built-in ``corr`` raises a
+    division by zero there; covariance over the product of the standard
+    deviations (same streaming co-moment algorithm) with ``try_divide`` does
+    not."""
+    x, y = col_of(a).cast("double"), col_of(b).cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x), F.when(both, y)
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(F.var_pop(x) * F.var_pop(y)))

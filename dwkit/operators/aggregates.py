@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.functions.expr import pearson
+
 
 def status_counts(df: DataFrame, flag: str = "cancelled", by: Sequence[str] = ()) -> DataFrame:
     """Operated / cancelled / total row counts (AGG-2)."""
@@ -67,7 +69,7 @@ def profile_values(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataF
 
 def correlation(df: DataFrame, a: str, b: str, digits: int | None = 4) -> DataFrame:
     """Pearson correlation over rows where both values are present (AGG-11)."""
-    c = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+    c = pearson(a, b)
     if digits is not None:
         c = F.round(c, digits)
     return (df.where(F.col(a).isNotNull() & F.col(b).isNotNull())

@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.functions.expr import pearson
 from dwkit.operators.aggregates import duplicate_keys
 from dwkit.operators.joins import orphans
 
@@ -133,8 +134,7 @@ def flight_rules(cancelled: str = "cancelled", dep_time: str = "dep_time",
     """The warehouse's eight source checks, parameterised by column names."""
     c1 = F.col(cancelled) == 1
     c0 = F.col(cancelled) == 0
-    corr = F.round(F.corr(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(a).cast("double")),
-                          F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.col(b).cast("double"))), 4)
+    corr = F.round(pearson(a, b), 4)
     any_part = reduce(lambda x, y: x + y, [F.coalesce(F.col(p), F.lit(0)) for p in parts]) > 0 \
         if parts else F.lit(False)
     rules = [
