@@ -1134,3 +1134,117 @@ def src_1(spark, sf):
               "arr_delay double, cancelled tinyint")
     return read_csv(spark, base + "/csv", schema, columns=["operation_id", "fl_date", "op_unique_carrier",
                                                            "arr_delay"], date_format="yyyy-MM-dd")
+
+
+# ---------------------------------------------------------------------------
+# Report pages (RPT-3, RPT-4, RPT-6, RPT-11)
+# ---------------------------------------------------------------------------
+
+_EU = "(origin_region = 'EUROPE')"
+
+
+@q("rpt_3_delay_by_carrier_in_region", S.with_fact(f"""
+SELECT carrier_name AS airline_carrier_name, count(*) AS flights,
+       sum(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated,
+       count(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated_n,
+       round(avg(CASE WHEN cancelled = 0 THEN arr_delay END), 4) AS avg_arr_delay
+FROM fact WHERE {_EU} GROUP BY 1"""))
+def rpt_3_carrier(spark, sf):
+    return R.delay_overview(cube(spark, sf), {"origin.region": "EUROPE"})["delay_by_carrier"]
+
+
+@q("rpt_3_monthly_on_time_in_region", S.with_fact(f"""
+SELECT year AS date_year, month AS date_month, max(monthname(fl_date)) AS date_month_name,
+       CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated,
+       {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate
+FROM fact WHERE {_EU} GROUP BY 1, 2"""))
+def rpt_3_monthly(spark, sf):
+    return R.delay_overview(cube(spark, sf), {"origin.region": "EUROPE"})["monthly_on_time"]
+
+
+_CAUSES_EU = " UNION ALL ".join(
+    f"SELECT '{p}' AS cause, CAST(sum({p}) AS BIGINT) AS minutes FROM fact WHERE {_EU}" for p in S.PARTS)
+
+
+@q("rpt_3_cause_share_in_region", S.with_ctes(f", causes AS ({_CAUSES_EU})", """
+SELECT cause, minutes, round(CAST(minutes AS DOUBLE) / (SELECT sum(minutes) FROM causes), 4) AS share
+FROM causes"""))
+def rpt_3_causes(spark, sf):
+    return R.delay_overview(cube(spark, sf), {"origin.region": "EUROPE"})["cause_share"]
+
+
+@q("rpt_3_kpi_cards_in_region", S.with_fact(f"""
+SELECT count(*) AS flights, CAST(sum(cancelled) AS BIGINT) AS cancelled, CAST({S.ON_TIME} AS BIGINT) AS on_time,
+       CAST({S.OPERATED} AS BIGINT) AS operated, {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate,
+       {S.rate('sum(cancelled)', 'count(*)')} AS cancellation_rate,
+       sum(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated,
+       count(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated_n,
+       round(avg(CASE WHEN cancelled = 0 THEN arr_delay END), 4) AS avg_arr_delay
+FROM fact WHERE {_EU}"""))
+def rpt_3_kpis(spark, sf):
+    return R.delay_overview(cube(spark, sf), {"origin.region": "EUROPE"})["kpis"]
+
+
+@q("rpt_4_drill_table_with_totals", S.with_fact(f"""
+SELECT year AS date_year, quarter AS date_quarter,
+       CASE WHEN GROUPING(quarter) = 1 THEN NULL ELSE max({_QN}) END AS date_quarter_name,
+       count(*) AS flights, CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated,
+       {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate,
+       CAST(GROUPING(year, quarter) AS BIGINT) AS grouping_id
+FROM fact WHERE carrier_code = 'FURNITURE' GROUP BY ROLLUP (year, quarter)"""))
+def rpt_4(spark, sf):
+    out = R.drill_table(cube(spark, sf), "date", "Calendar", "quarter", ["flights", "on_time_rate"],
+                        {"airline.carrier": "FURNITURE"})
+    return out.withColumn("grouping_id", F.col("grouping_id").cast("long"))
+
+
+_BLD = "(carrier_code = 'BUILDING')"
+
+
+@q("rpt_6_carrier_detail_monthly", S.with_fact(f"""
+SELECT year AS date_year, month AS date_month, max(monthname(fl_date)) AS date_month_name, count(*) AS flights,
+       CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated,
+       {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate,
+       sum(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated,
+       count(CASE WHEN cancelled = 0 THEN arr_delay END) AS arr_delay_operated_n,
+       round(avg(CASE WHEN cancelled = 0 THEN arr_delay END), 4) AS avg_arr_delay
+FROM fact WHERE {_BLD} GROUP BY 1, 2"""))
+def rpt_6_monthly(spark, sf):
+    return R.carrier_detail(cube(spark, sf), "BUILDING")["monthly"]
+
+
+_CQ = " UNION ALL ".join(
+    f"SELECT year, quarter, '{p}' AS cause, CAST(sum({p}) AS BIGINT) AS minutes FROM fact WHERE {_BLD} "
+    "GROUP BY year, quarter" for p in S.PARTS)
+
+
+@q("rpt_6_carrier_detail_causes_by_quarter", S.with_ctes(f", cq AS ({_CQ})", """
+SELECT year, quarter, cause, minutes,
+       round(CAST(minutes AS DOUBLE) / sum(minutes) OVER (PARTITION BY year, quarter), 4) AS share FROM cq"""))
+def rpt_6_causes(spark, sf):
+    return R.carrier_detail(cube(spark, sf), "BUILDING")["causes_by_quarter"]
+
+
+@q("rpt_6_carrier_detail_top_routes", S.with_fact(f"""
+SELECT flight_number, origin, dest, round(avg(CASE WHEN cancelled = 0 THEN arr_delay END), 4) AS avg_arr_delay,
+       count(*) AS flights
+FROM fact WHERE {_BLD} GROUP BY 1, 2, 3
+ORDER BY avg_arr_delay DESC NULLS LAST, flight_number, origin, dest LIMIT 10"""))
+def rpt_6_routes(spark, sf):
+    return R.carrier_detail(cube(spark, sf), "BUILDING")["top_routes"]
+
+
+@q("rpt_6_carrier_detail_gauge", S.with_fact(f"""
+SELECT {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate, 85.0 AS target,
+       round({S.rate(S.ON_TIME, S.OPERATED)} - 85.0, 4) AS gap FROM fact WHERE {_BLD}"""))
+def rpt_6_gauge_one(spark, sf):
+    return R.carrier_detail(cube(spark, sf), "BUILDING")["gauge"]
+
+
+@q("rpt_11_riskiest_origin_dest_pairs", S.with_fact(f"""
+SELECT origin, dest, {S.headline_sql()} FROM fact GROUP BY 1, 2 HAVING count(*) >= 20
+ORDER BY cancellation_rate DESC NULLS LAST, origin, dest LIMIT 10"""))
+def rpt_11_riskiest(spark, sf):
+    f = cube(spark, sf).frame(["origin.airport", "dest.airport"]).withColumnsRenamed(
+        {"origin_airport_code": "origin", "dest_airport_code": "dest"})
+    return R.riskiest(f, ["origin", "dest"], 10, min_flights=20)

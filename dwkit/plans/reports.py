@@ -152,3 +152,57 @@ def gauge(df: DataFrame, target: float = 85.0, by: Sequence[str] = ()) -> DataFr
         "target": F.lit(float(target)),
         "gap": F.round(F.col("on_time_rate") - F.lit(float(target)), 4),
     })
+
+
+# -- composite report pages ---------------------------------------------------------
+
+def delay_overview(cube, filters: dict | None = None) -> dict[str, DataFrame]:
+    """Report page 2 (RPT-3): delay by carrier (bar), monthly on-time rate
+    (line), delay-cause share (donut) and KPI cards, all under the same
+    slicer filters (e.g. ``{"origin.region": "EUROPE"}``)."""
+    return {
+        "delay_by_carrier": cube.query(["airline.carrier_name"], ["avg_arr_delay", "flights"], filters),
+        "monthly_on_time": cube.query(["date.year", "date.month"], ["on_time_rate"], filters),
+        "cause_share": cause_breakdown(cube.frame([], filters)),
+        "kpis": cube.summary(["flights", "on_time_rate", "cancellation_rate", "avg_arr_delay"], filters),
+    }
+
+
+def carrier_detail(cube, carrier: str, target: float = 85.0, k: int = 10) -> dict[str, DataFrame]:
+    """Drill-through page for one carrier (RPT-6): monthly trend, delay cause
+    per quarter, top-k routes by average delay and the gauge vs ``target``."""
+    f = {"airline.carrier": carrier}
+    by_q = cube.frame(["date.year", "date.quarter"], f).withColumnsRenamed(
+        {"date_year": "year", "date_quarter": "quarter"})
+    routes = cube.frame(["route.flight_number", "route.origin_code", "route.dest_code"], f)
+    routes = routes.groupBy(F.col("route_flight_number").alias("flight_number"),
+                            F.col("route_origin_code").alias("origin"),
+                            F.col("route_dest_code").alias("dest")).agg(
+        avg_arrival_delay().alias("avg_arr_delay"), n_flights().alias("flights"))
+    from dwkit.operators.sampling import top_n
+    return {
+        "monthly": cube.query(["date.year", "date.month"], ["flights", "on_time_rate", "avg_arr_delay"], f),
+        "causes_by_quarter": cause_breakdown(by_q, ["year", "quarter"]),
+        "top_routes": top_n(routes, k, [F.col("avg_arr_delay").desc_nulls_last(), F.col("flight_number"),
+                                        F.col("origin"), F.col("dest")]),
+        "gauge": gauge(cube.frame([], f), target),
+    }
+
+
+def riskiest(df: DataFrame, keys: Sequence[str], k: int = 10, min_flights: int = 1,
+             measure: str = "cancellation_rate") -> DataFrame:
+    """The ``k`` groups with the highest rate (RPT-11), ties broken by the
+    keys; groups with fewer than ``min_flights`` rows are left out."""
+    from dwkit.operators.sampling import top_n
+    agg = df.groupBy(*keys).agg(*headline())
+    agg = agg.where(F.col("flights") >= min_flights)
+    return top_n(agg, k, [F.col(measure).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in keys]])
+
+
+def drill_table(cube, role: str, hierarchy: str, level: str, measures: Sequence[str],
+                member: dict | None = None) -> DataFrame:
+    """Table at the chosen hierarchy level with subtotals of every level
+    above it and a grand total (RPT-4)."""
+    levels = cube.hierarchy(role, hierarchy)
+    upto = levels[: levels.index(f"{role}.{level}") + 1]
+    return cube.query(upto, measures, member, totals="rollup")
