@@ -50,15 +50,24 @@ def to_ts(c) -> Column:
     return col_of(c).cast("timestamp_ntz")
 
 
+# Whole minutes since this anchor floor a zone-less timestamp to its minute
+# (every real date is after it, so truncation toward zero is a floor).
+_MINUTE_ANCHOR = "TIMESTAMP_NTZ'0001-01-01 00:00:00'"
+
+
+def minute_number(c) -> Column:
+    """Minutes from a fixed zone-less anchor to ``c`` (floored)."""
+    return F.timestamp_diff("MINUTE", F.expr(_MINUTE_ANCHOR), to_ts(c))
+
+
 def minutes_between(start, end) -> Column:
     """Minute boundaries crossed from ``start`` to ``end`` (FN-5).
 
     The warehouse measure counts boundaries, not elapsed minutes: 00:00:59 to
-    00:01:01 is 1.  Both ends are truncated to the minute before subtracting.
+    00:01:01 is 1.  Both ends are floored to the minute on zone-less
+    timestamps, so the session time zone (and daylight saving) never enters.
     """
-    s = F.date_trunc("minute", to_ts(start))
-    e = F.date_trunc("minute", to_ts(end))
-    return F.timestamp_diff("MINUTE", s, e)
+    return minute_number(end) - minute_number(start)
 
 
 def hours_between(start, end) -> Column:

@@ -20,7 +20,19 @@ from dwkit.plans import fixtures as fx
 from dwkit.plans.pipeline import TABLES, run
 from dwkit.session import ensure_checkpoint_dir
 
-BUILD_VERSION = "2"
+def _code_version() -> str:
+    """Hash of the library source: stored tables of an older build are never reused."""
+    h = hashlib.sha1()
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(fh.read())
+    return h.hexdigest()[:12]
+
+
+BUILD_VERSION = _code_version()
 
 _memo: dict[tuple[int, str], dict[str, DataFrame]] = {}
 _roots: dict[tuple[int, str], str] = {}
