@@ -21,7 +21,7 @@ from dwkit.sources.reference import REASON_COLUMNS, REASON_ROWS, UNKNOWN_REGION_
 
 DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "quarter_name", "month", "month_name",
                 "month_year", "week_of_year", "day_of_month", "day_of_week", "day_name",
-                "is_weekend", "is_public_holiday"]
+                "is_weekend", "is_public_holiday", "month_key"]
 
 
 def calendar(days: DataFrame, holidays: Sequence[_dt.date] = ()) -> DataFrame:
@@ -36,7 +36,8 @@ def calendar(days: DataFrame, holidays: Sequence[_dt.date] = ()) -> DataFrame:
         names["month_year"].alias("month_year"), parts["week_of_year"].alias("week_of_year"),
         parts["day_of_month"].alias("day_of_month"), parts["day_of_week"].alias("day_of_week"),
         names["day_name"].alias("day_name"), parts["is_weekend"].alias("is_weekend"),
-        hol.alias("is_public_holiday"))
+        hol.alias("is_public_holiday"),
+        (F.year(d) * 100 + F.month(d)).cast("int").alias("month_key"))
 
 
 def date_dim(spark: SparkSession, start, end, holidays: Sequence[_dt.date] = ()) -> DataFrame:

@@ -567,7 +567,8 @@ fact_keys AS (
     CAST(f.late_aircraft_delay AS SMALLINT) AS late_aircraft_delay,
     CAST(f.total_delay_minutes AS SMALLINT) AS total_delay_minutes, CAST(f.cancelled AS SMALLINT) AS cancelled,
     f.create_time AS accm_txn_create_time, f.complete_time AS accm_txn_complete_time,
-    f.process_hours AS txn_process_time_hours
+    f.process_hours AS txn_process_time_hours,
+    CAST(year(f.fl_date) AS SMALLINT) AS year
   FROM fact f
   JOIN airline_keys a ON a.carrier_code = f.carrier_code
   JOIN airport_keys o ON o.code = f.origin
@@ -650,7 +651,8 @@ SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date, CAST(
        CAST(week(d) AS SMALLINT) AS week_of_year, CAST(day(d) AS SMALLINT) AS day_of_month,
        CAST(dayofweek(d) + 1 AS SMALLINT) AS day_of_week, dayname(d) AS day_name,
        dayofweek(d) IN (0, 6) AS is_weekend, d IN (""" + ", ".join(
-    f"DATE '{h.isoformat()}'" for h in US_FEDERAL_HOLIDAYS_2024) + """) AS is_public_holiday
+    f"DATE '{h.isoformat()}'" for h in US_FEDERAL_HOLIDAYS_2024) + """) AS is_public_holiday,
+       CAST(year(d) * 100 + month(d) AS INTEGER) AS month_key
 FROM (SELECT CAST(ts AS DATE) AS d FROM generate_series(
         (SELECT CAST(min(fl_date) AS TIMESTAMP) FROM flat), (SELECT CAST(max(fl_date) AS TIMESTAMP) FROM flat),
         INTERVAL 1 DAY) t(ts)) days"""))

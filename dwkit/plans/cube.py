@@ -66,6 +66,9 @@ class Role:
     name: str
     dimension: Dimension
     fact_key: str
+    # extra (fact column, dimension column) equi keys, e.g. the fact's
+    # partition column, so the join can prune fact partitions dynamically
+    also: tuple[tuple[str, str], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -159,10 +162,16 @@ class CubeModel:
                 if rr.name == role_name:
                     d = d.where(F.col(a.key).isin(*v) if isinstance(v, (list, tuple, set))
                                 else F.col(a.key) == F.lit(v))
+            extra = [(fc, dc) for fc, dc in r.also if fc in out.columns]
             d = d.select(F.col(r.dimension.key).alias(f"__k_{role_name}"),
+                         *[F.col(dc).alias(f"__k_{role_name}_{i}") for i, (_, dc) in enumerate(extra)],
                          *[F.col(c).alias(f"{role_name}_{c}") for c in sorted(cols)])
             d = broadcast_if_small(d, decision=True if r.dimension.bounded else None)
-            out = out.join(d, out[r.fact_key] == d[f"__k_{role_name}"], "inner").drop(f"__k_{role_name}")
+            cond = out[r.fact_key] == d[f"__k_{role_name}"]
+            for i, (fc, _) in enumerate(extra):
+                cond = cond & (out[fc] == d[f"__k_{role_name}_{i}"])
+            out = out.join(d, cond, "inner").drop(f"__k_{role_name}",
+                                                  *[f"__k_{role_name}_{i}" for i in range(len(extra))])
         return out
 
     def _group_cols(self, f: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, list[str], list[tuple[str, str]]]:

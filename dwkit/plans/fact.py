@@ -53,12 +53,15 @@ def _small(dim: DataFrame, key: str, cols: list[str], rename: dict[str, str],
 
 def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport: DataFrame,
               route: DataFrame, reason: DataFrame, run_ts=None,
-              source_table: str = "fact_flight_operation") -> tuple[DataFrame, DataFrame]:
+              source_table: str = "fact_flight_operation",
+              partition: str | None = "month") -> tuple[DataFrame, DataFrame]:
     """Resolve the six keys; return ``(fact, errors)``.
 
     The route lookup brings ``carrier_code``, origin/destination codes and
     ``distance`` (denormalised onto the fact).  Airline resolves against
     current SCD2 rows only (no fan-out over history, SURVEY Q19).
+    ``partition`` adds the period column the fact is stored under
+    (``month_key`` = yyyyMM or ``year``), also present on the calendar.
     """
     r = reduce_reference(route.select("flight_id", "route_key", "carrier_code", "origin_code", "dest_code",
                                       "distance"), "flight_id", ["route_key", "carrier_code", "origin_code",
@@ -83,6 +86,10 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
                      "total_delay_minutes", F.col("cancelled").cast("short").alias("cancelled"),
                      *[F.col(c).cast("short").alias(c) for c in extra], "fl_date")
     fact = open_snapshot(fact, "fl_date").drop("fl_date")
+    if partition == "month":
+        fact = fact.withColumn("month_key", F.expr("date_key div 100").cast("int"))
+    elif partition == "year":
+        fact = fact.withColumn("year", F.expr("date_key div 10000").cast("short"))
     fact = with_surrogate(fact, "operation_key", ["operation_id"])
     errors = as_error_rows(bad, source_table, 2, F.concat(F.lit("lookup failed: "), F.col("__failed")),
                            ["operation_id", "flight_id", "carrier_code", "origin_code", "dest_code",

@@ -46,7 +46,7 @@ def flight_cube(tables: dict[str, DataFrame]) -> CubeModel:
         Attribute("code", "cancellation_code", "reason_description"),
         Attribute("party", "responsible_party"),
     ), bounded=True)
-    roles = [Role("date", date, "date_key"), Role("airline", airline, "airline_key"),
+    roles = [Role("date", date, "date_key", (("month_key", "month_key"), ("year", "year"))), Role("airline", airline, "airline_key"),
              Role("origin", airport, "origin_airport_key"), Role("dest", airport, "dest_airport_key"),
              Role("route", route, "route_key"), Role("reason", reason, "cancellation_key")]
     measures = [Measure(c, "sum", c) for c in SUM_COLUMNS if c in fact.columns]

@@ -31,16 +31,32 @@ TABLES = ["flat", "airline", "airport", "flight", "flight_operation", "delay_rec
           "fact_loaded", "fact_errors", "feed", "fact", "accum_errors"]
 
 
-def _store(spark: SparkSession, root: str, name: str, df: DataFrame) -> DataFrame:
+# Fact partition column per granularity: "month_key" (yyyyMM) suits large
+# volumes (pruning to a month); "year" keeps few folders for small data.
+FACT_PARTITIONS = {"month": "month_key", "year": "year"}
+
+
+def _store(spark: SparkSession, root: str, name: str, df: DataFrame,
+           partition_by: str | None = None, spread_by: str | None = None) -> DataFrame:
+    """Write once, read back.  A partitioned table is first range-partitioned
+    on (partition column, ``spread_by``): each task writes a contiguous slice,
+    so files stay few, and a month holding a third of the rows is still
+    split over many tasks (equal partition values are not kept together)."""
     path = os.path.join(root, name)
     if not os.path.exists(os.path.join(path, "_SUCCESS")):
-        df.write.mode("overwrite").parquet(path)
+        w = df
+        if partition_by:
+            w = w.repartitionByRange(partition_by, *([spread_by] if spread_by else []))
+        w = w.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(partition_by)
+        w.parquet(path)
     return spark.read.parquet(path)
 
 
 def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: DataFrame, out: str,
         run_ts=None, carrier_names: DataFrame | None = None, unmatched_airports: str = "quarantine",
-        holidays=US_FEDERAL_HOLIDAYS_2024) -> dict[str, DataFrame]:
+        holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month") -> dict[str, DataFrame]:
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
     st = lambda name, df: _store(spark, out, name, df)
     w: dict[str, DataFrame] = {}
@@ -56,13 +72,17 @@ def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: D
     w["dim_reason"] = st("dim_reason", reason_dim(spark))
     w["prepared"] = st("prepared", prepare(w["flight_operation"], w["delay_record"]))
     fact, errors = load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
-                             w["dim_reason"], run_ts)
-    w["fact_loaded"] = st("fact_loaded", fact)
+                             w["dim_reason"], run_ts, partition=fact_partition)
+    # The fact is partitioned by period: date filters prune files, and joins
+    # to the calendar on (date_key, period column) get dynamic partition pruning.
+    part = FACT_PARTITIONS[fact_partition] if fact_partition else None
+    fst = lambda name, df: _store(spark, out, name, df, part, "operation_id")
+    w["fact_loaded"] = fst("fact_loaded", fact)
     w["fact_errors"] = st("fact_errors", errors)
     if feed is not None:
         w["feed"] = st("feed", feed)
         closed, accum_errors = apply_completions(w["fact_loaded"], w["feed"], run_ts)
-        w["fact"] = st("fact", closed)
+        w["fact"] = fst("fact", closed)
         w["accum_errors"] = st("accum_errors", accum_errors)
     return w
 

@@ -172,8 +172,8 @@ def carrier_detail(cube, carrier: str, target: float = 85.0, k: int = 10) -> dic
     """Drill-through page for one carrier (RPT-6): monthly trend, delay cause
     per quarter, top-k routes by average delay and the gauge vs ``target``."""
     f = {"airline.carrier": carrier}
-    by_q = cube.frame(["date.year", "date.quarter"], f).withColumnsRenamed(
-        {"date_year": "year", "date_quarter": "quarter"})
+    by_q = cube.frame(["date.year", "date.quarter"], f).select(
+        F.col("date_year").alias("year"), F.col("date_quarter").alias("quarter"), *DELAY_PARTS)
     routes = cube.frame(["route.flight_number", "route.origin_code", "route.dest_code"], f)
     routes = routes.groupBy(F.col("route_flight_number").alias("flight_number"),
                             F.col("route_origin_code").alias("origin"),

@@ -34,6 +34,9 @@ def _code_version() -> str:
 
 BUILD_VERSION = _code_version()
 
+# Small test data: a folder per year.  Production volumes use "month".
+FACT_PARTITION = "year"
+
 _memo: dict[tuple[int, str], dict[str, DataFrame]] = {}
 _roots: dict[tuple[int, str], str] = {}
 
@@ -56,6 +59,7 @@ def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataF
         _memo[key] = out
         return out
     out = run(spark, fx.flat_operations(spark, sf_dir), fx.completion_feed(spark, sf_dir),
-              fx.region_reference(spark, sf_dir), root, run_ts, unmatched_airports="default")
+              fx.region_reference(spark, sf_dir), root, run_ts, unmatched_airports="default",
+              fact_partition=FACT_PARTITION)
     _memo[key] = out
     return out
