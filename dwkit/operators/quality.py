@@ -158,12 +158,29 @@ def flight_rules(cancelled: str = "cancelled", dep_time: str = "dep_time",
 
 def check_references(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Referential integrity report (DQ-4): per relationship the number of
-    child rows whose key has no parent, and PASS/FAIL."""
+    child rows whose non-null key has no parent, and PASS/FAIL.
+
+    Relationships of the same child table are checked in **one** scan of
+    it: each parent contributes its distinct keys with a hit flag through a
+    left join (dimension-sized, so usually broadcast), and one aggregate
+    counts the misses of every relationship.
+    """
+    groups: dict[int, list[tuple[int, str, DataFrame, str, DataFrame, str]]] = {}
+    for i, (name, child, key, parent, pkey) in enumerate(relations):
+        groups.setdefault(id(child), []).append((i, name, child, key, parent, pkey))
     parts = []
-    for name, child, key, parent, pkey in relations:
-        parts.append(orphans(child, key, parent, pkey).agg(F.count(F.lit(1)).alias("orphans"))
-                     .select(F.lit(name).alias("relationship"), "orphans"))
-    out = reduce(DataFrame.unionByName, parts)
+    for rels in groups.values():
+        child = rels[0][2]
+        x = child.select(*dict.fromkeys(r[3] for r in rels))
+        for i, _, _, key, parent, pkey in rels:
+            p = parent.select(F.col(pkey).alias(f"__pk{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
+            x = x.join(p, x[key] == p[f"__pk{i}"], "left").drop(f"__pk{i}")
+        counts = x.agg(*[F.count_if(F.col(key).isNotNull() & F.col(f"__hit{i}").isNull()).alias(f"__o{i}")
+                         for i, _, _, key, _, _ in rels])
+        rows = [F.struct(F.lit(i).alias("__n"), F.lit(name).alias("relationship"),
+                         F.col(f"__o{i}").alias("orphans")) for i, name, *_ in rels]
+        parts.append(counts.select(F.explode(F.array(*rows)).alias("__r")).select("__r.*"))
+    out = reduce(DataFrame.unionByName, parts).orderBy("__n").drop("__n")
     return out.withColumn("status", F.when(F.col("orphans") == 0, F.lit("PASS")).otherwise(F.lit("FAIL")))
 
 

@@ -67,3 +67,15 @@ def test_rollup_total_equals_grand_total(spark):
     assert grand == 15
     assert out.where("level = 1").agg(F.sum("n")).first()[0] == grand
     assert out.where("level = 1 and y is null").count() == 1   # a null member is not a subtotal
+
+
+def test_check_references_one_scan_per_child(spark):
+    from dwkit.operators.quality import check_references
+    child = spark.createDataFrame([(1, 10), (2, 99), (None, 10)], "a int, b int")
+    pa = spark.createDataFrame([(1,)], "a int")
+    pb = spark.createDataFrame([(10,), (10,)], "b int")
+    other = spark.createDataFrame([(5,)], "a int")
+    out = check_references([("c.a", child, "a", pa, "a"), ("c.b", child, "b", pb, "b"),
+                            ("o.a", other, "a", pa, "a")])
+    assert [(r.relationship, r.orphans, r.status) for r in out.collect()] == [
+        ("c.a", 1, "FAIL"), ("c.b", 1, "FAIL"), ("o.a", 1, "FAIL")]
