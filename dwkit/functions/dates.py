@@ -73,3 +73,22 @@ def minutes_between(start, end) -> Column:
 def hours_between(start, end) -> Column:
     """``minutes_between / 60.0`` as a double (process-hours measure)."""
     return (minutes_between(start, end) / F.lit(60.0)).cast("double")
+
+
+def ts_lit(v) -> Column:
+    """A zone-less timestamp constant from a ``datetime``/``date``/text/Column.
+
+    A Python ``datetime`` passed to ``F.lit`` becomes a zone-aware value and
+    shifts when cast under a session zone other than the driver's; going
+    through its text form keeps the wall-clock value whatever the zone.
+    """
+    import datetime as _dt
+    if isinstance(v, Column):
+        return v.cast("timestamp_ntz")
+    if v is None:
+        return F.lit(None).cast("timestamp_ntz")
+    if isinstance(v, _dt.datetime):
+        v = v.replace(tzinfo=None).isoformat(sep=" ")
+    elif isinstance(v, _dt.date):
+        v = v.isoformat() + " 00:00:00"
+    return F.lit(str(v)).cast("timestamp_ntz")

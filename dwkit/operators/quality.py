@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.functions.dates import ts_lit
 from dwkit.functions.expr import pearson
 from dwkit.operators.aggregates import duplicate_keys
 from dwkit.operators.joins import orphans
@@ -258,7 +259,7 @@ def as_error_rows(df: DataFrame, source: str, code: int, text: str | Column,
     """Quarantine row shape (ERR-1): source table, error code, text, the raw
     row joined by ``sep`` (nulls kept as empty fields) and the capture time."""
     ts = (F.current_timestamp() if run_ts is None else
-          (run_ts if isinstance(run_ts, Column) else F.lit(run_ts))).cast("timestamp_ntz")
+          ts_lit(run_ts)).cast("timestamp_ntz")
     raw = F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw_cols])
     return df.select(F.lit(source).alias("source_table"), F.lit(code).cast("int").alias("error_code"),
                      (text if isinstance(text, Column) else F.lit(text)).alias("error_description"),

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.functions.dates import ts_lit
 from dwkit.operators.windows import first_per_key, with_surrogate
 
 # Fixed values of the warehouse's SCD2 tracking columns.
@@ -24,7 +25,7 @@ EFF, EXP, CUR = "scd_effective_date", "scd_expiry_date", "is_current_record"
 
 
 def _ts(v) -> Column:
-    return v.cast("timestamp_ntz") if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return ts_lit(v)
 
 
 def _same(cols: Sequence[str], a: str, b: str) -> Column:

@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.functions.dates import hours_between
+from dwkit.functions.dates import hours_between, ts_lit
 from dwkit.operators.windows import latest_per_key
 
 CREATE, COMPLETE, HOURS = "accm_txn_create_time", "accm_txn_complete_time", "txn_process_time_hours"
@@ -23,7 +23,7 @@ UNKNOWN_ID = "operation_id not found in fact table"
 def _ts(v) -> Column:
     if v is None:
         return F.current_timestamp().cast("timestamp_ntz")
-    return v.cast("timestamp_ntz") if isinstance(v, Column) else F.lit(v).cast("timestamp_ntz")
+    return ts_lit(v)
 
 
 def open_snapshot(fact: DataFrame, date_col: str = "fl_date") -> DataFrame:

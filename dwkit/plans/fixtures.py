@@ -28,6 +28,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwkit.functions.dates import ts_lit
+
 LINE_ORDER = ["l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
               "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
 # Fixed fixture parameters.
@@ -114,7 +116,7 @@ def completion_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     top = orders.select(F.max("o_orderkey")).scalar()
     extra = spark.range(1, UNKNOWN_IDS + 1).select(
         (F.col("id") + top).alias("operation_id"),
-        F.lit(UNKNOWN_TIME).cast("timestamp_ntz").alias("accm_txn_complete_time"))
+        ts_lit(UNKNOWN_TIME).alias("accm_txn_complete_time"))
     return feed.unionByName(extra)
 
 

@@ -22,6 +22,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dwkit.functions.dates import ts_lit
 from dwkit.operators.snapshot import (COMPLETE, UNKNOWN_ID, apply_completions, compute_process_hours,
                                       latest_completion)
 from dwkit.operators.windows import first_per_key
@@ -38,7 +39,7 @@ def _process_batch(fact_path: str, log_path: str, errors_path: str, run_ts, key:
             (flagged.where(F.col("__hit").isNotNull())
              .select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id"))
              .write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}")))
-            ts = F.current_timestamp() if run_ts is None else F.lit(run_ts)
+            ts = F.current_timestamp() if run_ts is None else ts_lit(run_ts)
             (flagged.where(F.col("__hit").isNull())
              .select(key, COMPLETE, F.lit(UNKNOWN_ID).alias("error_reason"),
                      ts.cast("timestamp_ntz").alias("captured_at"))
