@@ -913,11 +913,25 @@ def dq_2(spark, sf):
     return Q.run_checks(flat(spark, sf), _rules())
 
 
-@q("dq_4_check_references", S.with_fact("""
-SELECT rel AS relationship, CAST(n AS BIGINT) AS orphans, CASE WHEN n = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-FROM (VALUES ('fact.date_key', 0), ('fact.airline_key', 0), ('fact.origin_airport_key', 0),
-             ('fact.dest_airport_key', 0), ('fact.route_key', 0), ('fact.cancellation_key', 0),
-             ('flight_operation.flight_id', 0)) t(rel, n)"""))
+@q("dq_4_check_references", S.with_ctes(_KEYS + """
+, dates AS (SELECT CAST(strftime(CAST(ts AS DATE), '%Y%m%d') AS INTEGER) AS date_key FROM generate_series(
+        (SELECT CAST(min(fl_date) AS TIMESTAMP) FROM flat), (SELECT CAST(max(fl_date) AS TIMESTAMP) FROM flat),
+        INTERVAL 1 DAY) t(ts))""", """
+SELECT relationship, orphans, CASE WHEN orphans = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (
+SELECT 'fact.date_key' AS relationship, count(*) FILTER (WHERE date_key IS NOT NULL AND date_key NOT IN (SELECT date_key FROM dates))
+       AS orphans FROM fact_keys
+UNION ALL SELECT 'fact.airline_key' AS relationship, count(*) FILTER (WHERE airline_key IS NOT NULL AND airline_key NOT IN (SELECT airline_key FROM airline_keys))
+       AS orphans FROM fact_keys
+UNION ALL SELECT 'fact.origin_airport_key' AS relationship, count(*) FILTER (WHERE origin_airport_key IS NOT NULL AND origin_airport_key NOT IN (SELECT airport_key FROM airport_keys))
+       AS orphans FROM fact_keys
+UNION ALL SELECT 'fact.dest_airport_key' AS relationship, count(*) FILTER (WHERE dest_airport_key IS NOT NULL AND dest_airport_key NOT IN (SELECT airport_key FROM airport_keys))
+       AS orphans FROM fact_keys
+UNION ALL SELECT 'fact.route_key' AS relationship, count(*) FILTER (WHERE route_key IS NOT NULL AND route_key NOT IN (SELECT flight_id FROM flights))
+       AS orphans FROM fact_keys
+UNION ALL SELECT 'fact.cancellation_key' AS relationship, count(*) FILTER (WHERE cancellation_key IS NOT NULL AND cancellation_key NOT IN (SELECT k FROM (SELECT unnest([0, 1, 2, 3, 4]) AS k) r))
+       AS orphans FROM fact_keys
+UNION ALL SELECT 'flight_operation.flight_id' AS relationship, count(*) FILTER (WHERE flight_id IS NOT NULL AND flight_id NOT IN (SELECT flight_id FROM flights))
+       AS orphans FROM ops) t"""))
 def dq_4(spark, sf):
     w = build(spark, sf)
     f = w["fact"]
@@ -946,10 +960,8 @@ def dq_6(spark, sf):
                          "fact_errors": w["fact_errors"]})
 
 
-@q("dq_7_null_fk_counts", S.with_fact(
-    "SELECT " + ", ".join(f"CAST(0 AS BIGINT) AS null_{k}" for k in
-                         ["date_key", "airline_key", "origin_airport_key", "dest_airport_key", "route_key",
-                          "cancellation_key"]) + " FROM (SELECT 1) t"))
+@q("dq_7_null_fk_counts", S.with_ctes(_KEYS, "SELECT " + ", ".join(
+    f"count(*) FILTER (WHERE {k} IS NULL) AS null_{k}" for k in ['date_key', 'airline_key', 'origin_airport_key', 'dest_airport_key', 'route_key', 'cancellation_key']) + " FROM fact_keys"))
 def dq_7(spark, sf):
     from dwkit.plans.fact import FK_COLUMNS
     return Q.null_counts(build(spark, sf)["fact"], FK_COLUMNS)
@@ -966,10 +978,15 @@ def dq_8(spark, sf):
     return Q.reconcile(w["prepared"], w["fact"], w["fact_errors"])
 
 
-@q("dq_9_10_13_14_violation_counts", """
-SELECT CAST(0 AS BIGINT) AS total_mismatch, CAST(0 AS BIGINT) AS hours_mismatch,
+@q("dq_9_10_13_14_violation_counts", S.with_ctes(_KEYS, """
+SELECT count(*) FILTER (WHERE total_delay_minutes <> carrier_delay + weather_delay + nas_delay + security_delay
+                        + late_aircraft_delay) AS total_mismatch,
+       count(*) FILTER (WHERE txn_process_time_hours IS NOT NULL AND abs(txn_process_time_hours - date_diff(
+           'minute', accm_txn_create_time, accm_txn_complete_time) / 60.0) > 0.01) AS hours_mismatch,
        (SELECT count(*) FROM customer WHERE length(rtrim(c_name)) <> length(c_name)) AS padded_names,
-       CAST(0 AS BIGINT) AS cancelled_without_reason""")
+       count(*) FILTER (WHERE cancelled = 1 AND (cancellation_key IS NULL OR cancellation_key = 0))
+         AS cancelled_without_reason
+FROM fact_keys"""))
 def dq_9(spark, sf):
     from dwkit.functions.dates import hours_between
     w = build(spark, sf)
@@ -1250,3 +1267,54 @@ def rpt_11_riskiest(spark, sf):
     f = cube(spark, sf).frame(["origin.airport", "dest.airport"]).withColumnsRenamed(
         {"origin_airport_code": "origin", "dest_airport_code": "dest"})
     return R.riskiest(f, ["origin", "dest"], 10, min_flights=20)
+
+
+# ---------------------------------------------------------------------------
+# Key uniqueness and dimension integrity (DQ-5, OLAP-11)
+# ---------------------------------------------------------------------------
+
+@q("dq_5_duplicate_dimension_keys", S.with_ctes(_KEYS, """
+SELECT 'dim_airport.airport_code' AS key_name,
+       (SELECT count(*) FROM (SELECT code FROM airport_keys GROUP BY 1 HAVING count(*) > 1) d) AS duplicated_keys
+UNION ALL SELECT 'dim_route.flight_id',
+       (SELECT count(*) FROM (SELECT flight_id FROM flights GROUP BY 1 HAVING count(*) > 1) d)
+UNION ALL SELECT 'fact.operation_id',
+       (SELECT count(*) FROM (SELECT operation_id FROM fact_keys GROUP BY 1 HAVING count(*) > 1) d)"""))
+def dq_5(spark, sf):
+    w = build(spark, sf)
+    checks = [("dim_airport.airport_code", w["dim_airport"], ["airport_code"]),
+              ("dim_route.flight_id", w["dim_route"], ["flight_id"]),
+              ("fact.operation_id", w["fact"], ["operation_id"])]
+    parts = [A.duplicate_keys(df, keys).agg(F.count(F.lit(1)).alias("duplicated_keys"))
+             .select(F.lit(name).alias("key_name"), "duplicated_keys") for name, df, keys in checks]
+    return SET.union_all(parts)
+
+
+@q("olap_11_check_dimensions", S.with_ctes(_KEYS + """
+, dates AS (SELECT CAST(strftime(CAST(ts AS DATE), '%Y%m%d') AS INTEGER) AS date_key FROM generate_series(
+        (SELECT CAST(min(fl_date) AS TIMESTAMP) FROM flat), (SELECT CAST(max(fl_date) AS TIMESTAMP) FROM flat),
+        INTERVAL 1 DAY) t(ts))""", """
+SELECT 'date_key' AS fk, count(*) FILTER (WHERE date_key IS NULL) AS null_keys,
+       count(*) FILTER (WHERE date_key IS NOT NULL AND date_key NOT IN (SELECT date_key FROM dates)) AS not_found,
+       (SELECT count(*) FROM (SELECT date_key FROM dates GROUP BY 1 HAVING count(*) > 1) d) AS duplicate_keys
+FROM fact_keys
+UNION ALL SELECT 'airline_key' AS fk, count(*) FILTER (WHERE airline_key IS NULL) AS null_keys,
+       count(*) FILTER (WHERE airline_key IS NOT NULL AND airline_key NOT IN (SELECT airline_key FROM airline_keys)) AS not_found,
+       (SELECT count(*) FROM (SELECT airline_key FROM airline_keys GROUP BY 1 HAVING count(*) > 1) d) AS duplicate_keys
+FROM fact_keys
+UNION ALL SELECT 'origin_airport_key' AS fk, count(*) FILTER (WHERE origin_airport_key IS NULL) AS null_keys,
+       count(*) FILTER (WHERE origin_airport_key IS NOT NULL AND origin_airport_key NOT IN (SELECT airport_key FROM airport_keys)) AS not_found,
+       (SELECT count(*) FROM (SELECT airport_key FROM airport_keys GROUP BY 1 HAVING count(*) > 1) d) AS duplicate_keys
+FROM fact_keys
+UNION ALL SELECT 'route_key' AS fk, count(*) FILTER (WHERE route_key IS NULL) AS null_keys,
+       count(*) FILTER (WHERE route_key IS NOT NULL AND route_key NOT IN (SELECT flight_id FROM flights)) AS not_found,
+       (SELECT count(*) FROM (SELECT flight_id FROM flights GROUP BY 1 HAVING count(*) > 1) d) AS duplicate_keys
+FROM fact_keys"""))
+def olap_11(spark, sf):
+    from dwkit.plans.cube import check_dimension
+    w = build(spark, sf)
+    f = w["fact"]
+    parts = [check_dimension(f, fk, dim, key).select(F.lit(fk).alias("fk"), "*") for fk, dim, key in [
+        ("date_key", w["dim_date"], "date_key"), ("airline_key", w["dim_airline"], "airline_key"),
+        ("origin_airport_key", w["dim_airport"], "airport_key"), ("route_key", w["dim_route"], "route_key")]]
+    return SET.union_all(parts)
