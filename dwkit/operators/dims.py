@@ -43,7 +43,7 @@ def calendar(days: DataFrame, holidays: Sequence[_dt.date] = ()) -> DataFrame:
 def date_dim(spark: SparkSession, start, end, holidays: Sequence[_dt.date] = ()) -> DataFrame:
     """Calendar dimension for ``start .. end`` inclusive (DIM-1).  Its size is
     the number of days in the range, so it may always be broadcast."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    days = spark.range(0, 1, 1, 1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date")))
                                  .alias("full_date"))
     return calendar(days, holidays)
 

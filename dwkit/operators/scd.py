@@ -154,6 +154,6 @@ def with_default_member(dim: DataFrame, row: dict) -> DataFrame:
     """Add a "not applicable" member (e.g. key 0) unless its key exists (SCD-7)."""
     spark = dim.sparkSession
     types = dict(dim.dtypes)
-    one = spark.range(1).select(*[F.lit(row.get(c)).cast(types[c]).alias(c) for c in dim.columns])
+    one = spark.range(0, 1, 1, 1).select(*[F.lit(row.get(c)).cast(types[c]).alias(c) for c in dim.columns])
     key = next(iter(row))
     return dim.unionByName(one.join(dim.select(key), key, "left_anti"))

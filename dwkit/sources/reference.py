@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
@@ -104,14 +105,25 @@ US_FEDERAL_HOLIDAYS_2024 = [
 ]
 
 
+def local_rows(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small constant table built on the JVM side (``inline`` of literal
+    structs): no Python worker, one partition."""
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+
+
+REASON_SCHEMA = T.StructType([T.StructField(c, T.IntegerType() if c == "cancellation_key" else T.StringType())
+                              for c in REASON_COLUMNS])
+REGION_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("state_name", "region", "region_code")])
+
+
 def seed_reasons(spark: SparkSession) -> DataFrame:
     """Cancellation reason rows including the default member (SRC-11)."""
-    schema = "cancellation_key int, cancellation_code string, reason_description string, " \
-             "responsible_party string, compensation_eligibility string"
-    return spark.createDataFrame(REASON_ROWS, schema)
+    return local_rows(spark, REASON_ROWS, REASON_SCHEMA)
 
 
 def us_region_reference(spark: SparkSession) -> DataFrame:
     """state_name, region, region_code for US states (DIM-4)."""
     rows = [(s, r, REGION_CODES.get(r, UNKNOWN_REGION_CODE)) for s, r in US_STATE_REGIONS.items()]
-    return spark.createDataFrame(rows, "state_name string, region string, region_code string")
+    return local_rows(spark, rows, REGION_SCHEMA)
