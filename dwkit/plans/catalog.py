@@ -1118,19 +1118,18 @@ def str_1(spark, sf):
     """Completion feed written as CSV files (derived from lineitem), streamed
     with ``availableNow``, read back through the merge-on-read view; the
     result must equal the batch update (acc_4)."""
-    import tempfile
-    from dwkit.session import ensure_checkpoint_dir
+    from dwkit.sources.files import scratch_path
     from dwkit.streaming.completions import completed_view, completion_log, stream_completions
     from dwkit.plans.warehouse import table_path
     w = build(spark, sf)
-    base = tempfile.mkdtemp(prefix="str1-", dir=ensure_checkpoint_dir(spark).replace("file:", ""))
-    src = os.path.join(base, "incoming")
+    base = scratch_path(spark, "str1")
+    src = base + "/incoming"
     (w["feed"].select("operation_id", F.date_format("accm_txn_complete_time", "yyyy-MM-dd HH:mm:ss")
                       .alias("accm_txn_complete_time"))
      .write.option("header", True).csv(src))
-    stream_completions(spark, src, table_path(spark, sf, "fact_loaded"), os.path.join(base, "log"),
-                       os.path.join(base, "errors"), os.path.join(base, "ckpt"), FX.RUN_TS)
-    view = completed_view(w["fact_loaded"], completion_log(spark, os.path.join(base, "log")))
+    stream_completions(spark, src, table_path(spark, sf, "fact_loaded"), base + "/log", base + "/errors",
+                       base + "/ckpt", FX.RUN_TS)
+    view = completed_view(w["fact_loaded"], completion_log(spark, base + "/log"))
     return view.select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")
 
 
@@ -1143,10 +1142,8 @@ SELECT operation_id, fl_date, carrier_code AS op_unique_carrier, arr_delay FROM
 def src_1(spark, sf):
     """The flat table exported as CSV (SRC-10) and read back with a declared
     schema, FAILFAST, and a 4-column projection (SRC-1, SRC-2)."""
-    import tempfile
-    from dwkit.session import ensure_checkpoint_dir
-    from dwkit.sources.files import read_csv, write_csv
-    base = tempfile.mkdtemp(prefix="src1-", dir=ensure_checkpoint_dir(spark).replace("file:", ""))
+    from dwkit.sources.files import read_csv, scratch_path, write_csv
+    base = scratch_path(spark, "src1")
     cols = ["operation_id", "fl_date", "op_unique_carrier", "origin", "dest", "arr_delay", "cancelled"]
     write_csv(flat(spark, sf).select(*cols), base + "/csv")
     schema = ("operation_id bigint, fl_date date, op_unique_carrier string, origin string, dest string, "

@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +23,7 @@ from dwkit.operators.dims import airline_dim, airport_dim, date_dim_for, reason_
 from dwkit.operators.normalise import normalise
 from dwkit.operators.snapshot import apply_completions
 from dwkit.plans.fact import load_fact, prepare
+from dwkit.sources.files import is_complete
 from dwkit.sources.reference import US_FEDERAL_HOLIDAYS_2024
 
 TABLES = ["flat", "airline", "airport", "flight", "flight_operation", "delay_record", "dim_date",
@@ -42,8 +42,8 @@ def _store(spark: SparkSession, root: str, name: str, df: DataFrame,
     on (partition column, ``spread_by``): each task writes a contiguous slice,
     so files stay few, and a month holding a third of the rows is still
     split over many tasks (equal partition values are not kept together)."""
-    path = os.path.join(root, name)
-    if not os.path.exists(os.path.join(path, "_SUCCESS")):
+    path = f"{root.rstrip('/')}/{name}"
+    if not is_complete(spark, path):
         w = df
         if partition_by:
             w = w.repartitionByRange(partition_by, *([spread_by] if spread_by else []))

@@ -13,12 +13,14 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dwkit.plans import fixtures as fx
 from dwkit.plans.pipeline import TABLES, run
 from dwkit.session import ensure_checkpoint_dir
+from dwkit.sources.files import is_complete
 
 def _code_version() -> str:
     """Hash of the library source: stored tables of an older build are never reused."""
@@ -37,6 +39,7 @@ BUILD_VERSION = _code_version()
 # Small test data: a folder per year.  Production volumes use "month".
 FACT_PARTITION = "year"
 
+_lock = threading.RLock()
 _memo: dict[tuple[int, str], dict[str, DataFrame]] = {}
 _roots: dict[tuple[int, str], str] = {}
 
@@ -44,18 +47,23 @@ _roots: dict[tuple[int, str], str] = {}
 def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a stored warehouse table (after ``build``)."""
     build(spark, sf_dir)
-    return os.path.join(_roots[(id(spark), os.path.abspath(sf_dir))], name)
+    return f"{_roots[(id(spark), os.path.abspath(sf_dir))]}/{name}"
 
 
 def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataFrame]:
+    with _lock:
+        return _build(spark, sf_dir, run_ts)
+
+
+def _build(spark: SparkSession, sf_dir: str, run_ts) -> dict[str, DataFrame]:
     key = (id(spark), os.path.abspath(sf_dir))
     if key in _memo:
         return _memo[key]
     tag = hashlib.sha1(f"{BUILD_VERSION}|{os.path.abspath(sf_dir)}|{run_ts}".encode()).hexdigest()[:12]
-    root = os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), f"warehouse-{tag}")
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/warehouse-{tag}"
     _roots[key] = root
-    if all(os.path.exists(os.path.join(root, t, "_SUCCESS")) for t in TABLES):
-        out = {t: spark.read.parquet(os.path.join(root, t)) for t in TABLES}
+    if all(is_complete(spark, f"{root}/{t}") for t in TABLES):
+        out = {t: spark.read.parquet(f"{root}/{t}") for t in TABLES}
         _memo[key] = out
         return out
     out = run(spark, fx.flat_operations(spark, sf_dir), fx.completion_feed(spark, sf_dir),

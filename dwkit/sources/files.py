@@ -8,7 +8,6 @@ folder holding numbered version folders, each completed version marked by a
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Mapping, Sequence
 
@@ -36,8 +35,8 @@ def read_table(spark: SparkSession, path_or_view: str, sql: str | None = None) -
     """Whole table (Parquet folder, newest version, or a view) or a SQL command (SRC-4)."""
     if sql is not None:
         return spark.sql(sql)
-    if os.path.sep in path_or_view or path_or_view.endswith(".parquet"):
-        v = latest_version(path_or_view)
+    if "/" in path_or_view or path_or_view.endswith(".parquet"):
+        v = latest_version(path_or_view, spark)
         return spark.read.parquet(v or path_or_view)
     return spark.table(path_or_view)
 
@@ -78,24 +77,43 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-_V = re.compile(r"^v(\d{6})$")
+_V = re.compile(r"/v(\d{6})/")
 
 
-def _versions(base: str) -> list[int]:
-    if not os.path.isdir(base):
+def exists(spark: SparkSession, path: str) -> bool:
+    """True if ``path`` exists, on any filesystem Spark can read (local,
+    HDFS, object stores).  Readers check paths while the plan is analysed,
+    so no job runs."""
+    try:
+        spark.read.format("text").load(path)
+        return True
+    except Exception:  # noqa: BLE001 - path not found (AnalysisException)
+        return False
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """A written table folder whose ``_SUCCESS`` marker exists."""
+    return exists(spark, path.rstrip("/") + "/_SUCCESS")
+
+
+def _versions(spark: SparkSession, base: str) -> list[int]:
+    """Numbers of the complete version folders under ``base``: one glob
+    listing through Spark's file source (any filesystem), then a direct
+    check of each candidate's ``_SUCCESS`` marker (hidden files are not
+    listed by globs)."""
+    try:
+        found = spark.read.format("binaryFile").load(base.rstrip("/") + "/v*").select("path").collect()
+    except Exception:  # noqa: BLE001 - no version yet
         return []
-    out = []
-    for name in os.listdir(base):
-        m = _V.match(name)
-        if m and os.path.exists(os.path.join(base, name, "_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    cands = sorted({int(m.group(1)) for r in found if (m := _V.search(r.path))})
+    return [v for v in cands if is_complete(spark, f"{base.rstrip('/')}/v{v:06d}")]
 
 
-def latest_version(base: str) -> str | None:
+def latest_version(base: str, spark: SparkSession | None = None) -> str | None:
     """Newest complete version folder of a table, or None."""
-    v = _versions(base)
-    return os.path.join(base, f"v{v[-1]:06d}") if v else None
+    spark = spark or SparkSession.getActiveSession()
+    v = _versions(spark, base)
+    return f"{base.rstrip('/')}/v{v[-1]:06d}" if v else None
 
 
 def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) -> str:
@@ -104,11 +122,10 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) ->
     Merges (SCD, snapshot) read the current version and write the next one,
     so a failed job never leaves a half-replaced table; readers switch when
     the ``_SUCCESS`` marker appears.  Not atomic across several tables.
-    On an object store the same layout works with a listing of the base.
     """
-    v = _versions(base)
+    v = _versions(df.sparkSession, base)
     nxt = (v[-1] + 1) if v else 1
-    path = os.path.join(base, f"v{nxt:06d}")
+    path = f"{base.rstrip('/')}/v{nxt:06d}"
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -116,6 +133,14 @@ def write_version(df: DataFrame, base: str, partition_by: Sequence[str] = ()) ->
     return path
 
 
+def scratch_path(spark: SparkSession, prefix: str) -> str:
+    """A fresh folder name under the shared checkpoint folder (created by the
+    first write; never a machine-local temp folder)."""
+    import uuid
+    from dwkit.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex[:12]}"
+
+
 def write_routed(df: DataFrame, flag: str, path: str) -> None:
     """Write both outputs of a routing (FLT-6, JOIN-2) in one pass,
     partitioned by the boolean ``flag`` column; read a branch back with a

@@ -17,8 +17,6 @@ folds the log into a new fact version with the batch operator.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,12 +36,12 @@ def _process_batch(fact_path: str, log_path: str, errors_path: str, run_ts, key:
         try:
             (flagged.where(F.col("__hit").isNotNull())
              .select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("overwrite").parquet(os.path.join(log_path, f"batch_id={batch_id}")))
+             .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}"))
             ts = F.current_timestamp() if run_ts is None else ts_lit(run_ts)
             (flagged.where(F.col("__hit").isNull())
              .select(key, COMPLETE, F.lit(UNKNOWN_ID).alias("error_reason"),
                      ts.cast("timestamp_ntz").alias("captured_at"))
-             .write.mode("overwrite").parquet(os.path.join(errors_path, f"batch_id={batch_id}")))
+             .write.mode("overwrite").parquet(f"{errors_path.rstrip('/')}/batch_id={batch_id}"))
         finally:
             flagged.unpersist()
     return fn
