@@ -9,8 +9,9 @@
   every row into one task): the frame is range-sorted across all tasks,
   checkpointed, counted per partition, and each partition adds the offset of
   the partitions before it.
-* Top-k per group is exact and salted: top-k inside (group, salt) first, then
-  top-k over at most ``salt * k`` survivors per group.
+* Top-k per group is ``row_number() <= k``; Spark inserts a partial
+  per-task group limit before the shuffle, so a hot group ships k rows per
+  task.
 """
 
 from __future__ import annotations
@@ -126,20 +127,15 @@ def ranked(df: DataFrame, measure: str, part: Sequence[str] | None = None,
 
 
 def top_k_per_group(df: DataFrame, part: Sequence[str], k: int, order: Sequence[Column],
-                    salt_buckets: int = 16, out: str | None = None) -> DataFrame:
+                    out: str | None = None) -> DataFrame:
     """Exact top ``k`` rows per group by ``order`` (SORT-5).
 
-    ``order`` must be a total order (end it with unique columns).  Stage one
-    ranks inside (group, salt) so a hot group is spread over
-    ``salt_buckets`` tasks; stage two ranks the at most ``salt_buckets * k``
-    survivors of each group.
+    ``order`` must be a total order (end it with unique columns).  Written
+    as ``row_number() <= k``, which Spark plans with a partial
+    ``WindowGroupLimit`` before the shuffle: every map task forwards at most
+    ``k`` rows per group, so a group holding a third of the table costs
+    ``k`` rows per task, not a third of the table in one task.
     """
-    part = list(part)
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(salt_buckets))
-    w1 = Window.partitionBy(*part, "__salt").orderBy(*order)
-    stage1 = (df.withColumn("__salt", salt)
-              .withColumn("__rn", F.row_number().over(w1))
-              .where(F.col("__rn") <= k).drop("__rn", "__salt"))
-    w2 = Window.partitionBy(*part).orderBy(*order)
-    res = stage1.withColumn("__rn", F.row_number().over(w2)).where(F.col("__rn") <= k)
+    w = Window.partitionBy(*part).orderBy(*order)
+    res = df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= k)
     return res.withColumnRenamed("__rn", out) if out else res.drop("__rn")

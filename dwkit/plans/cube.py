@@ -152,7 +152,7 @@ class CubeModel:
         for ref in [*attrs, *filters]:
             r, a = self._attr(ref)
             cols = need.setdefault(r.name, set())
-            cols.update(c for c in (a.key, a.display, a.order) if c)
+            cols.add(a.key)
         out = self.fact
         for role_name, cols in need.items():
             r = self.role(role_name)
@@ -174,19 +174,17 @@ class CubeModel:
                                                   *[f"__k_{role_name}_{i}" for i in range(len(extra))])
         return out
 
-    def _group_cols(self, f: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, list[str], list[tuple[str, str]]]:
+    def _group_cols(self, f: DataFrame, attrs: Sequence[str]) -> tuple[DataFrame, list[str], list]:
         """Add one column per attribute named ``role_attr`` (the key) and
-        return (frame, key names, [(display source, output name)])."""
-        names, shows, add = [], [], {}
+        return (frame, key names, [])."""
+        names, add = [], {}
         for ref in attrs:
             r, a = self._attr(ref)
             n = self.col_name(ref)
             if n != f"{r.name}_{a.key}":
                 add[n] = F.col(f"{r.name}_{a.key}")
             names.append(n)
-            if a.display and a.display != a.key:
-                shows.append((f"{r.name}_{a.display}", f"{n}_name"))
-        return (f.withColumns(add) if add else f), names, shows
+        return (f.withColumns(add) if add else f), names, []
 
     def _measures(self, names: Sequence[str]) -> tuple[list[Column], list[tuple[str, Column]]]:
         base = {m.name: m for m in self.measures}
@@ -211,18 +209,30 @@ class CubeModel:
         f, names, shows = self._group_cols(self.frame(rows, filters), rows)
         aggs, post = self._measures(measures)
         if totals is None:
-            out = f.groupBy(*names).agg(*aggs, *[F.max(src).alias(n) for src, n in shows])
+            out = f.groupBy(*names).agg(*aggs)
         else:
             g = f.rollup(*names) if totals == "rollup" else f.cube(*names)
-            # A subtotal row has no member, so it has no display name either.
-            key_of = {f"{n}_name": n for n in names}
-            disp = [F.when(F.grouping(key_of[n]) == 1, F.lit(None)).otherwise(F.max(src)).alias(n)
-                    for src, n in shows]
-            out = g.agg(*aggs, *disp, F.grouping_id().alias("grouping_id"))
+            out = g.agg(*aggs, F.grouping_id().alias("grouping_id"))
+        out = self._with_display(out, rows)
         for n, e in post:
             out = out.withColumn(n, e)
         return out
 
+    def _with_display(self, out: DataFrame, rows: Sequence[str]) -> DataFrame:
+        """Display names joined after aggregation from the dimension (one
+        row per key, dimension sized), so the aggregate groups by keys only
+        and stays a hash aggregate.  Subtotal rows (null key) get no name."""
+        for ref in rows:
+            r, a = self._attr(ref)
+            if not a.display or a.display == a.key:
+                continue
+            n = self.col_name(ref)
+            names = r.dimension.table.groupBy(F.col(a.key).alias("__dk")).agg(
+                F.max(a.display).alias(f"{n}_name"))
+            names = broadcast_if_small(names, decision=True if r.dimension.bounded else None)
+            out = out.join(names, out[n].eqNullSafe(names["__dk"]) & out[n].isNotNull(), "left").drop("__dk")
+        return out
+
     # -- OLAP operations ----------------------------------------------------------
     def roll_up(self, role: str, hierarchy: str, to_level: str, measures: Sequence[str],
                 filters: Mapping[str, object] | None = None) -> DataFrame:

@@ -51,6 +51,7 @@ def test_top_k_hot_group_exact(spark):
     want = sorted([(-(i * 7 % 101), i) for i in range(0, 30000, 3)])[:3]
     assert hot == [t for _, t in want]
     assert out.count() == 998 * 3
+    assert "WindowGroupLimit" in _plan(out) and "Partial" in _plan(out)   # per-task limit before the shuffle
 
 
 def test_lookup_keeps_every_row_of_hot_key(spark):
