@@ -5,7 +5,7 @@ the expressions stay inside whole-stage code generation.
 """
 
 from dwkit.functions.dates import (  # noqa: F401
-    date_key, date_parts, date_names, minutes_between, hours_between, to_ts,
+    date_key, date_parts, date_names, minutes_between, hours_between, to_ts, ts_lit, add_days, add_hours,
 )
 from dwkit.functions.expr import (  # noqa: F401
     band, clean_code, total_of, fill_defaults, any_positive, safe_divide,

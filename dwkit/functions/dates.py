@@ -92,3 +92,14 @@ def ts_lit(v) -> Column:
     elif isinstance(v, _dt.date):
         v = v.isoformat() + " 00:00:00"
     return F.lit(str(v)).cast("timestamp_ntz")
+
+
+def add_days(d, n) -> Column:
+    """``DATEADD(day, n, d)`` (FN-4)."""
+    return F.date_add(col_of(d), n if isinstance(n, Column) else F.lit(n))
+
+
+def add_hours(ts, hours) -> Column:
+    """Timestamp plus ``hours`` (may be fractional) as a zone-less timestamp (FN-4)."""
+    h = hours if isinstance(hours, Column) else F.lit(float(hours))
+    return to_ts(ts) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), h * F.lit(3600.0))

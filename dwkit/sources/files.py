@@ -143,6 +143,14 @@ def scratch_path(spark: SparkSession, prefix: str) -> str:
 
 def write_routed(df: DataFrame, flag: str, path: str) -> None:
     """Write both outputs of a routing (FLT-6, JOIN-2) in one pass,
-    partitioned by the boolean ``flag`` column; read a branch back with a
-    filter on the flag (partition pruning)."""
+    partitioned by the boolean ``flag`` column; read a branch back with
+    ``read_branch`` (partition pruning, no scan of the other branch)."""
     df.write.mode("overwrite").partitionBy(flag).parquet(path)
+
+
+def read_branch(spark: SparkSession, path: str, flag: str, value: bool) -> DataFrame:
+    """One branch of a routed table.  Partition discovery reads the flag
+    back as text (``true``/``false``), so it is cast before comparing; the
+    predicate is still a partition filter."""
+    df = spark.read.parquet(path)
+    return df.where(F.col(flag).cast("boolean") == F.lit(value)).withColumn(flag, F.col(flag).cast("boolean"))

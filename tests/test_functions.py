@@ -49,3 +49,10 @@ def test_safe_divide_and_totals(spark):
 def test_logical_length_ignores_trailing_blanks(spark):
     df = spark.createDataFrame([("A  ",)], "s string")
     assert df.select(logical_length("s"), F.length("s")).first() == (1, 3)
+
+
+def test_add_days_and_hours(spark):
+    from dwkit.functions import add_days, add_hours
+    df = spark.sql("select date'2024-02-28' d, timestamp_ntz'2024-01-01 23:30:00' t")
+    r = df.select(add_days("d", 1).alias("a"), add_days("d", 2).alias("b"), add_hours("t", 1.5).alias("c")).first()
+    assert (r.a, r.b, r.c) == (dt.date(2024, 2, 29), dt.date(2024, 3, 1), dt.datetime(2024, 1, 2, 1, 0))

@@ -72,3 +72,18 @@ def test_csv_round_trip_versioning_and_conversion(spark):
     refresh(df.where("id = 2"), os.path.join(d, "stg"))
     append(df, os.path.join(d, "stg"))
     assert spark.read.parquet(os.path.join(d, "stg")).count() == 3
+
+
+def test_write_routed_and_assert_unique(spark):
+    from dwkit.operators.quality import assert_unique
+    from dwkit.sources import read_branch, write_routed
+    d = tempfile.mkdtemp(prefix="dwkit-route-", dir="/tmp")
+    df = spark.range(10).withColumn("ok", F.col("id") % 3 != 0)
+    write_routed(df, "ok", os.path.join(d, "routed"))
+    ok = read_branch(spark, os.path.join(d, "routed"), "ok", True)
+    bad = read_branch(spark, os.path.join(d, "routed"), "ok", False)
+    assert ok.count() == 6 and bad.count() == 4
+    assert "PartitionFilters: [isnotnull(ok" in ok._jdf.queryExecution().executedPlan().toString()
+    assert_unique(df, ["id"])
+    with pytest.raises(AssertionError):
+        assert_unique(df.union(df.limit(1)), ["id"])
