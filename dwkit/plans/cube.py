@@ -202,10 +202,12 @@ class CubeModel:
         return [base[n].agg() for n in dict.fromkeys(wanted_base)], post
 
     def query(self, rows: Sequence[str], measures: Sequence[str], filters: Mapping[str, object] | None = None,
-              totals: str | None = None) -> DataFrame:
+              totals: str | None = None, sort: bool = False) -> DataFrame:
         """Measures by attributes.  ``totals``: None (plain GROUP BY),
         ``"rollup"`` (hierarchy prefixes, AGG-16) or ``"cube"`` (all
-        combinations, AGG-17); subtotal rows carry ``grouping_id``."""
+        combinations, AGG-17); subtotal rows carry ``grouping_id``.  With
+        ``sort`` the (small) result is ordered by the attributes' keys, so
+        months come in calendar order, not by name (OLAP-12, SURVEY Q14)."""
         f, names, shows = self._group_cols(self.frame(rows, filters), rows)
         aggs, post = self._measures(measures)
         if totals is None:
@@ -216,7 +218,7 @@ class CubeModel:
         out = self._with_display(out, rows)
         for n, e in post:
             out = out.withColumn(n, e)
-        return out
+        return out.orderBy(*[F.col(n).asc_nulls_last() for n in names]) if sort else out
 
     def _with_display(self, out: DataFrame, rows: Sequence[str]) -> DataFrame:
         """Display names joined after aggregation from the dimension (one

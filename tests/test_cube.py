@@ -52,3 +52,9 @@ def test_check_dimension(spark):
     dim = spark.createDataFrame([(1,), (1,)], "k int")
     r = check_dimension(fact, "k", dim, "k").first()
     assert (r.null_keys, r.not_found, r.duplicate_keys) == (1, 1, 1)
+
+
+def test_months_sort_by_number_not_name(spark):
+    c = _cube(spark)
+    names = [r.date_month_name for r in c.query(["date.month"], ["flights"], sort=True).collect()]
+    assert names == ["January", "February", "June"]

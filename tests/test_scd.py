@@ -49,3 +49,22 @@ def test_scd1_upsert_and_default_member(spark):
     assert scd1_merge(d2, d2.select("code", "city"), "code", ["city"], "sk").count() == 3
     dm = with_default_member(d2, {"sk": 0, "code": "N/A", "city": "N/A"})
     assert dm.count() == 4 and with_default_member(dm, {"sk": 0, "code": "N/A", "city": "N/A"}).count() == 4
+
+
+def test_reason_sheet_merge_keeps_default_member(spark):
+    from dwkit.operators.dims import reason_dim
+    sheet = spark.createDataFrame([("B", "Weather (updated)", "External", "No"), ("E", "New reason", "X", "Y")],
+                                  "cancellation_code string, reason_description string, responsible_party string, "
+                                  "compensation_eligibility string")
+    d = {r.cancellation_code: r for r in reason_dim(spark, incoming=sheet).collect()}
+    assert d["N/A"].cancellation_key == 0 and d["B"].cancellation_key == 2
+    assert d["B"].reason_description == "Weather (updated)" and d["E"].cancellation_key == 5
+    assert len(d) == 6
+
+
+def test_calendar_only_if_missing(spark):
+    from dwkit.operators.dims import add_missing_dates, date_dim
+    have = date_dim(spark, dt.date(2024, 1, 1), dt.date(2024, 1, 10))
+    want = date_dim(spark, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
+    out = add_missing_dates(have, want)
+    assert out.count() == 20 and out.select("date_key").distinct().count() == 20
