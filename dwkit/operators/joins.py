@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from dwkit.operators.windows import first_per_key
 
-DEFAULT_BROADCAST_ROWS = 500_000
 MATCH_FLAG = "__matched"
 
 

@@ -8,8 +8,6 @@ sink is safe.
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -87,5 +85,3 @@ def error_summary(errors: DataFrame, key: str = "operation_id", ts: str = "captu
                       F.max(key).alias("max_id"), F.min(ts).alias("first_captured"),
                       F.max(ts).alias("last_captured"))
 
-
-FIXED_CAPTURE = _dt.datetime(2025, 1, 1)

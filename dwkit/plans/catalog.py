@@ -35,10 +35,6 @@ def cube(spark: SparkSession, sf: str):
     return flight_cube(build(spark, sf))
 
 
-def _int(*names):
-    return {n: F.col(n).cast("int") for n in names}
-
-
 # ---------------------------------------------------------------------------
 # Reports (RPT-*)
 # ---------------------------------------------------------------------------

@@ -17,10 +17,6 @@ from dwkit.functions.expr import band, safe_divide
 from dwkit.operators.windows import share, top_k_per_group
 from dwkit.sources.reference import DELAY_PARTS
 
-CAUSE_NAMES = {"carrier_delay": "Carrier", "weather_delay": "Weather", "nas_delay": "NAS",
-               "security_delay": "Security", "late_aircraft_delay": "Late Aircraft"}
-
-
 # -- base counts (additive) ---------------------------------------------------
 
 def n_flights() -> Column:

@@ -56,3 +56,12 @@ def test_add_days_and_hours(spark):
     df = spark.sql("select date'2024-02-28' d, timestamp_ntz'2024-01-01 23:30:00' t")
     r = df.select(add_days("d", 1).alias("a"), add_days("d", 2).alias("b"), add_hours("t", 1.5).alias("c")).first()
     assert (r.a, r.b, r.c) == (dt.date(2024, 2, 29), dt.date(2024, 3, 1), dt.datetime(2024, 1, 2, 1, 0))
+
+
+def test_text_or_null_typed_null_fill_defaults(spark):
+    from dwkit.functions import fill_defaults, text_or_null, typed_null
+    df = spark.createDataFrame([("nan", None), ("7", 3)], "s string, n int")
+    out = fill_defaults(df.select(text_or_null("s").alias("s"), "n", typed_null("int").alias("z")), {"n": 0})
+    rows = [tuple(r) for r in out.collect()]
+    assert rows == [(None, 0, None), ("7", 3, None)]
+    assert dict(out.dtypes)["z"] == "int"
