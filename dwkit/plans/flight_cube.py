@@ -1,4 +1,4 @@
-"""The flight operations cube over the warehouse tables (OLAP-1..OLAP-3).
+"""A cube over the warehouse tables (OLAP-1..OLAP-3).
 
 Six dimensions (date, airline, origin and destination airport as two roles
 of one table, route, cancellation reason), the additive measures of the

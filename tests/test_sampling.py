@@ -30,3 +30,10 @@ def test_random_rows_repeatable(spark):
     b = [r.id for r in random_rows(df.repartition(3), 10, ["id"], 7).collect()]
     assert a == b and len(set(a)) == 10
     assert not math.isclose(sum(a), sum(range(10)))
+
+
+def test_random_rows_brute_force(spark):
+    df = spark.range(500).withColumn("g", F.col("id") % 4)
+    got = [r.id for r in random_rows(df, 7, ["id"], 3).collect()]
+    hashed = sorted((r.h, r.id) for r in df.select("id", seeded_hash(["id"], 3).alias("h")).collect())
+    assert got == [i for _, i in hashed[:7]]
