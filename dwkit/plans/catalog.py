@@ -478,13 +478,13 @@ def win_3(spark, sf):
 
 @q("win_4_carrier_share_within_region", S.with_fact("""
 SELECT origin_region AS region, carrier_name, count(*) AS flights,
-       count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY origin_region) AS share
+       round(count(*) * 1.0 / sum(count(*)) OVER (PARTITION BY origin_region), 4) AS share
 FROM fact GROUP BY 1, 2"""))
 def win_4(spark, sf):
     f = cube(spark, sf).frame(["origin.region", "airline.carrier_name"])
     agg = f.groupBy(F.col("origin_region").alias("region"), F.col("airline_carrier_name").alias("carrier_name")) \
         .agg(F.count(F.lit(1)).alias("flights"))
-    return W.share(agg, "flights", ["region"])
+    return W.share(agg, "flights", ["region"]).withColumn("share", F.round("share", 4))
 
 
 @q("win_5_carrier_rank_within_region", S.with_fact("""
