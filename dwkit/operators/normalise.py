@@ -59,14 +59,20 @@ def airports(flat: DataFrame) -> DataFrame:
     return entity_from_roles(flat, roles, "airport_code")
 
 
-def flights(flat: DataFrame) -> DataFrame:
-    """Route definitions: unique on the six identity columns, the smallest
-    attributes kept, ``flight_id`` dense by identity (NORM-1)."""
+def route_identities(flat: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
+    """Distinct route identities (six columns) with their smallest
+    attributes, renamed to the entity layout; returns (frame, keys, attrs)."""
     ident = _present(flat, ROUTE_IDENTITY)
     attrs = _present(flat, ROUTE_ATTRS)
     f = first_per_key(flat.select(*ident, *attrs), ident, attrs or ident)
     f = f.select(*[F.col(c).alias(ROUTE_RENAME.get(c, c)) for c in ident + attrs])
-    keys = [ROUTE_RENAME.get(c, c) for c in ident]
+    return f, [ROUTE_RENAME.get(c, c) for c in ident], attrs
+
+
+def flights(flat: DataFrame) -> DataFrame:
+    """Route definitions: unique on the six identity columns, the smallest
+    attributes kept, ``flight_id`` dense by identity (NORM-1)."""
+    f, keys, _ = route_identities(flat)
     return with_surrogate(f, "flight_id", [F.col(k).asc_nulls_first() for k in keys])
 
 
@@ -84,11 +90,11 @@ def operations(flat: DataFrame, flight: DataFrame, id_col: str = "operation_id",
 
 
 def delay_records(flat_or_ops: DataFrame, id_col: str = "operation_id",
-                  parts: Sequence[str] = DELAY_PARTS, flag: str = "cancelled") -> DataFrame:
+                  parts: Sequence[str] = DELAY_PARTS, flag: str = "cancelled", start=1) -> DataFrame:
     """Delay records: operated rows with any component > 0, 1 : 0..1
-    (NORM-2); ``delay_id`` dense by operation id."""
+    (NORM-2); ``delay_id`` dense by operation id from ``start``."""
     d = flat_or_ops.where((F.col(flag) == 0) & any_positive(*parts)).select(id_col, *parts)
-    return with_surrogate(d, "delay_id", [id_col])
+    return with_surrogate(d, "delay_id", [id_col], start=start)
 
 
 def normalise(flat: DataFrame, carrier_names: DataFrame | None = None,

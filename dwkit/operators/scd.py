@@ -64,18 +64,24 @@ def scd1_merge(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
     inc = _unique_batch(incoming, keys, attrs, order)
     if dim is None:
         return with_surrogate(inc, sk, keys, start=1).select(sk, *keys, *attrs)
+    # Null-safe key match: a null key part matches a null key part, as in
+    # the composite-key lookup (JOIN-8).  The incoming side carries a marker
+    # so a null attribute in the batch still overwrites (type 1 takes the
+    # batch row as it is).
     d = dim.alias("d")
-    # The incoming side carries a marker so a null attribute in the batch
-    # still overwrites (type 1 takes the batch row as it is).
     i = inc.withColumn("__in", F.lit(True)).alias("i")
-    j = d.join(i, keys, "full")
+    cond = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"i.{k}")) for k in keys])
+    j = d.join(i, cond, "full")
+    key_cols = [F.when(F.col(f"d.{sk}").isNotNull(), F.col(f"d.{k}")).otherwise(F.col(f"i.{k}")).alias(k)
+                for k in keys]
     kept = j.where(F.col(f"d.{sk}").isNotNull()).select(
-        F.col(f"d.{sk}").alias(sk), *keys,
+        F.col(f"d.{sk}").alias(sk), *key_cols,
         *[F.when(F.col("i.__in"), F.col(f"i.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in attrs])
-    new = j.where(F.col(f"d.{sk}").isNull()).select(*keys, *[F.col(f"i.{c}").alias(c) for c in attrs])
+    new = j.where(F.col(f"d.{sk}").isNull()).select(*[F.col(f"i.{k}").alias(k) for k in keys],
+                                                    *[F.col(f"i.{c}").alias(c) for c in attrs])
     start = dim.select(F.coalesce(F.max(sk), F.lit(0)) + 1).scalar()
-    inserted = with_surrogate(new, sk, keys, start=start).select(sk, *keys, *attrs)
-    return kept.unionByName(inserted)
+    inserted = with_surrogate(new, sk, [F.col(k).asc_nulls_first() for k in keys], start=start)
+    return kept.unionByName(inserted.select(sk, *keys, *attrs))
 
 
 def scd2_classify(dim: DataFrame, incoming: DataFrame, key: Sequence[str] | str,

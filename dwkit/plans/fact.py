@@ -54,7 +54,7 @@ def _small(dim: DataFrame, key: str, cols: list[str], rename: dict[str, str],
 def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport: DataFrame,
               route: DataFrame, reason: DataFrame, run_ts=None,
               source_table: str = "fact_flight_operation",
-              partition: str | None = "month") -> tuple[DataFrame, DataFrame]:
+              partition: str | None = "month", first_key=1) -> tuple[DataFrame, DataFrame]:
     """Resolve the six keys; return ``(fact, errors)``.
 
     The route lookup brings ``carrier_code``, origin/destination codes and
@@ -90,7 +90,7 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
         fact = fact.withColumn("month_key", F.expr("date_key div 100").cast("int"))
     elif partition == "year":
         fact = fact.withColumn("year", F.expr("date_key div 10000").cast("short"))
-    fact = with_surrogate(fact, "operation_key", ["operation_id"])
+    fact = with_surrogate(fact, "operation_key", ["operation_id"], start=first_key)
     errors = as_error_rows(bad, source_table, 2, F.concat(F.lit("lookup failed: "), F.col("__failed")),
                            ["operation_id", "flight_id", "carrier_code", "origin_code", "dest_code",
                             "cancellation_code_clean", "fl_date"], run_ts)

@@ -19,8 +19,13 @@ import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwkit.operators.dims import airline_dim, airport_dim, date_dim_for, reason_dim, route_dim
-from dwkit.operators.normalise import normalise
+from pyspark.sql import functions as F
+
+from dwkit.operators.dims import add_missing_dates, airline_dim, airport_dim, date_dim_for, reason_dim, route_dim
+from dwkit.operators.normalise import airlines, airports, delay_records, normalise, operations, route_identities
+from dwkit.operators.scd import scd1_merge
+from dwkit.operators.windows import with_surrogate
+from dwkit.sources.reference import DELAY_PARTS
 from dwkit.operators.snapshot import apply_completions
 from dwkit.plans.fact import load_fact, prepare
 from dwkit.sources.files import is_complete
@@ -87,6 +92,60 @@ def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: D
     return w
 
 
+def _next(df: DataFrame, col: str):
+    """``max(col) + 1`` of a stored table, as a scalar subquery column."""
+    return df.select(F.coalesce(F.max(col), F.lit(0)) + 1).scalar()
+
+
+def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFrame, regions: DataFrame, out: str,
+                  run_ts=None, carrier_names: DataFrame | None = None, unmatched_airports: str = "quarantine",
+                  holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month") -> dict[str, DataFrame]:
+    """Load a further flat batch into a warehouse built by ``run``.
+
+    Dimensions are merged into new versions written under ``out``: airlines
+    by SCD2 (renames expire the current row), airports and routes by SCD1,
+    the calendar gains only missing days; route identities already known keep
+    their ``flight_id`` (null-safe match), new ones and all new operations,
+    delay records and fact rows get ids after the previous maxima.  The fact
+    is append-only: the batch's rows are stored as a new segment under
+    ``out`` and the returned ``fact_loaded`` is the union of the segments, so
+    earlier fact files are never rewritten.  Completions are applied with
+    ``apply_completions``/the stream afterwards, as for the first load.
+    """
+    run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
+    st = lambda name, df: _store(spark, out, name, df)
+    part = FACT_PARTITIONS[fact_partition] if fact_partition else None
+    w: dict[str, DataFrame] = {}
+    if "operation_id" not in flat.columns:
+        flat = with_surrogate(flat, "operation_id", list(flat.columns), start=_next(prev["flight_operation"],
+                                                                                    "operation_id"))
+    w["flat"] = st("flat", flat)
+    ident, keys, attrs = route_identities(w["flat"])
+    w["flight"] = st("flight", scd1_merge(prev["flight"], ident, keys, attrs, "flight_id"))
+    w["flight_operation"] = st("flight_operation", operations(w["flat"], w["flight"]))
+    parts = [p for p in DELAY_PARTS if p in w["flat"].columns]
+    w["delay_record"] = st("delay_record", delay_records(w["flat"].select("operation_id", "cancelled", *parts),
+                                                         parts=parts, start=_next(prev["delay_record"], "delay_id")))
+    w["airline"] = st("airline", airlines(w["flat"], carrier_names))
+    w["airport"] = st("airport", airports(w["flat"]))
+    w["dim_date"] = st("dim_date", add_missing_dates(prev["dim_date"], date_dim_for(w["flat"], "fl_date", holidays)))
+    w["dim_airline"] = st("dim_airline", airline_dim(prev["dim_airline"], w["airline"], run_ts))
+    dim_airport, airport_errors = airport_dim(prev["dim_airport"], w["airport"], regions, run_ts,
+                                              unmatched=unmatched_airports)
+    w["dim_airport"] = st("dim_airport", dim_airport)
+    w["airport_errors"] = prev["airport_errors"].unionByName(st("airport_errors_batch", airport_errors))
+    w["dim_route"] = st("dim_route", route_dim(prev["dim_route"], w["flight"]))
+    w["dim_reason"] = prev["dim_reason"]
+    w["prepared"] = st("prepared", prepare(w["flight_operation"], w["delay_record"]))
+    fact, errors = load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
+                             w["dim_reason"], run_ts, partition=fact_partition,
+                             first_key=_next(prev["fact_loaded"], "operation_key"))
+    segment = _store(spark, out, "fact_segment", fact, part, "operation_id")
+    w["fact_loaded"] = prev["fact_loaded"].unionByName(segment)
+    w["fact_errors"] = prev["fact_errors"].unionByName(st("fact_errors_batch", errors))
+    return w
+
+
 def main(argv=None) -> None:
     from dwkit.session import local_session
     from dwkit.sources.files import read_csv

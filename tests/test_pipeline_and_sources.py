@@ -87,3 +87,38 @@ def test_write_routed_and_assert_unique(spark):
     assert_unique(df, ["id"])
     with pytest.raises(AssertionError):
         assert_unique(df.union(df.limit(1)), ["id"])
+
+
+def test_incremental_load_scd2_and_stable_ids(spark):
+    from dwkit.plans.pipeline import run_increment
+    d = tempfile.mkdtemp(prefix="dwkit-inc-", dir="/tmp")
+    names1 = spark.createDataFrame([("AA", "American"), ("NK", "Spirit")], "carrier_code string, carrier_name string")
+    names2 = spark.createDataFrame([("AA", "American Airlines"), ("NK", "Spirit")],
+                                   "carrier_code string, carrier_name string")
+
+    def load(rows, name):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(",".join(HEADER) + "\n" + "\n".join(rows) + "\n")
+        return read_csv(spark, os.path.join(d, name), FLAT_SCHEMA, date_format="yyyy-MM-dd")
+
+    first = load([_row(), _row(fl_date="2024-01-02", day_of_month=2, arr_delay=30.0, carrier_delay=30),
+                  _row(op_unique_carrier="NK", op_carrier_fl_num=7)], "b1.csv")
+    w1 = run(spark, first, None, us_region_reference(spark), os.path.join(d, "w1"), dt.datetime(2024, 1, 5),
+             carrier_names=names1)
+    second = load([_row(fl_date="2024-02-01", day_of_month=1, month=2),
+                   _row(op_carrier_fl_num=200, dest="ORD", dest_city_name="Chicago, IL", dest_state_nm="Illinois",
+                        fl_date="2024-02-02", day_of_month=2, month=2)], "b2.csv")
+    w2 = run_increment(spark, w1, second, us_region_reference(spark), os.path.join(d, "w2"),
+                       dt.datetime(2024, 2, 1), carrier_names=names2)
+    air = {(r.carrier_code, r.carrier_name): r for r in w2["dim_airline"].collect()}
+    assert len(air) == 3 and not air[("AA", "American")].is_current_record
+    assert air[("AA", "American Airlines")].scd_expiry_date == dt.datetime(9999, 12, 31)
+    f1 = {(r.carrier_code, r.flight_number, r.dest_code): r.flight_id for r in w1["flight"].collect()}
+    f2 = {(r.carrier_code, r.flight_number, r.dest_code): r.flight_id for r in w2["flight"].collect()}
+    assert all(f2[k] == v for k, v in f1.items()) and f2[("AA", 200, "ORD")] == max(f1.values()) + 1
+    fact = w2["fact_loaded"].collect()
+    assert sorted(r.operation_key for r in fact) == [1, 2, 3, 4, 5]
+    assert sorted(r.operation_id for r in fact) == [1, 2, 3, 4, 5]
+    new_aa = {r.airline_key for r in fact if r.operation_id >= 4}
+    assert new_aa == {air[("AA", "American Airlines")].airline_key}
+    assert w2["dim_date"].count() == 4           # each batch's date range: Jan 1-2, then Feb 1-2 added
