@@ -57,3 +57,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(input_bytes: float, cores: int, target_partition_bytes: float = 256 * 1024 ** 2,
+                 max_broadcast_bytes: float = 256 * 1024 ** 2) -> dict[str, str]:
+    """Settings for a cluster run, sized from the input volume.
+
+    * shuffle partitions: enough that a partition of the largest shuffle
+      (about the input size after projection) is ~``target_partition_bytes``,
+      and at least 3 waves of ``cores`` tasks; AQE coalesces small ones.
+    * file splits of 256 MB (large sequential Parquet reads, few tasks).
+    * AQE advisory size = the same target, skew splitting on: a partition
+      five times the median and over 1 GB is split.
+    * broadcast thresholds: the planner and AQE may broadcast tables up to
+      ``max_broadcast_bytes`` (bounded, checked from file statistics and
+      run-time sizes); everything larger stays a shuffle join.
+    """
+    parts = max(int(input_bytes / target_partition_bytes), 3 * cores)
+    mb = int(target_partition_bytes // (1024 ** 2))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": f"{mb}m",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{mb}m",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.autoBroadcastJoinThreshold": str(int(max_broadcast_bytes)),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(int(max_broadcast_bytes)),
+        "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -65,3 +65,10 @@ def test_text_or_null_typed_null_fill_defaults(spark):
     rows = [tuple(r) for r in out.collect()]
     assert rows == [(None, 0, None), ("7", 3, None)]
     assert dict(out.dtypes)["z"] == "int"
+
+
+def test_cluster_conf_sizes():
+    from dwkit.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 8000)
+    assert int(c["spark.sql.shuffle.partitions"]) == 409600
+    assert cluster_conf(1024 ** 3, 8)["spark.sql.shuffle.partitions"] == "24"

@@ -122,3 +122,13 @@ def test_incremental_load_scd2_and_stable_ids(spark):
     new_aa = {r.airline_key for r in fact if r.operation_id >= 4}
     assert new_aa == {air[("AA", "American Airlines")].airline_key}
     assert w2["dim_date"].count() == 4           # each batch's date range: Jan 1-2, then Feb 1-2 added
+
+
+def test_pipeline_cli(spark, capsys):
+    from dwkit.plans.pipeline import main
+    d = tempfile.mkdtemp(prefix="dwkit-cli-", dir="/tmp")
+    with open(os.path.join(d, "flat.csv"), "w") as fh:
+        fh.write(",".join(HEADER) + "\n" + "\n".join([_row(), _row(op_unique_carrier="B6")]) + "\n")
+    main(["--flat", os.path.join(d, "flat.csv"), "--out", os.path.join(d, "dw")])
+    out = capsys.readouterr().out
+    assert "fact_loaded 2" in out and "dim_airline 2" in out
