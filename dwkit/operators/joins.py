@@ -74,6 +74,22 @@ def reduce_reference(ref: DataFrame, on, take: Sequence[str],
     return first_per_key(ref.select(*cols), keys, list(order or take)).select(*keys, *take)
 
 
+def lookup_flagged(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
+                   order: Sequence[str] | None = None, ref_on=None,
+                   broadcast: bool | None = None, max_broadcast_rows: int | None = None,
+                   flag: str = "matched") -> DataFrame:
+    """Lookup as one frame with a boolean ``flag`` column (FLT-6): written
+    once with ``sources.write_routed``, both branches come from one pass."""
+    keys = _keys(on)
+    rkeys = _keys(ref_on) if ref_on is not None else keys
+    r = ref.select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)],
+                   *[c for c in list(dict.fromkeys([*(order or []), *take])) if c not in rkeys])
+    r = reduce_reference(r, keys, take, order).withColumn(MATCH_FLAG, F.lit(True))
+    r = broadcast_if_small(r, max_broadcast_rows, broadcast)
+    flagged = df.drop(*[c for c in take if c in df.columns]).join(r, keys, "left")
+    return flagged.withColumn(flag, F.col(MATCH_FLAG).isNotNull()).drop(MATCH_FLAG)
+
+
 def lookup(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
            order: Sequence[str] | None = None, ref_on=None,
            broadcast: bool | None = None,
@@ -86,15 +102,9 @@ def lookup(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
     Returns ``(matched, unmatched)``: matched rows carry the ``take``
     columns, unmatched rows keep only the input columns.
     """
-    keys = _keys(on)
-    rkeys = _keys(ref_on) if ref_on is not None else keys
-    r = ref.select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)],
-                   *[c for c in list(dict.fromkeys([*(order or []), *take])) if c not in rkeys])
-    r = reduce_reference(r, keys, take, order).withColumn(MATCH_FLAG, F.lit(True))
-    r = broadcast_if_small(r, max_broadcast_rows, broadcast)
-    flagged = df.drop(*[c for c in take if c in df.columns]).join(r, keys, "left")
-    matched = flagged.filter(F.col(MATCH_FLAG).isNotNull()).drop(MATCH_FLAG)
-    unmatched = flagged.filter(F.col(MATCH_FLAG).isNull()).select(*df.columns)
+    flagged = lookup_flagged(df, ref, on, take, order, ref_on, broadcast, max_broadcast_rows, MATCH_FLAG)
+    matched = flagged.where(F.col(MATCH_FLAG)).drop(MATCH_FLAG)
+    unmatched = flagged.where(~F.col(MATCH_FLAG)).select(*df.columns)
     return matched, unmatched
 
 

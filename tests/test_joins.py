@@ -45,3 +45,11 @@ def test_orphans_and_map_values(spark):
     ref = spark.createDataFrame([(10, "ten")], "k int, v string")
     got = sorted((r.id, r.label) for r in map_values(child, "p", ref, "k", "v", "label").collect())
     assert got == [(1, "ten"), (2, "Unknown"), (3, "Unknown")]
+
+
+def test_lookup_flagged_one_frame(spark):
+    from dwkit.operators.joins import lookup_flagged
+    df = spark.createDataFrame([(1, "a"), (2, "z"), (3, None)], "id int, k string")
+    ref = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    got = sorted((r.id, r.v, r.matched) for r in lookup_flagged(df, ref, "k", ["v"]).collect())
+    assert got == [(1, 1, True), (2, None, False), (3, None, False)]
