@@ -54,7 +54,7 @@ def compute_process_hours(fact: DataFrame) -> DataFrame:
 
 
 def apply_completions(fact: DataFrame, feed: DataFrame, run_ts=None, key: str = "operation_id",
-                      batch_id: int | None = None) -> tuple[DataFrame, DataFrame]:
+                      batch_id: int | None = None, stage_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Close snapshot rows from a completion feed (ACC-3..ACC-6).
 
     Returns ``(new_fact, errors)``.  The feed is reduced to the latest row
@@ -63,12 +63,16 @@ def apply_completions(fact: DataFrame, feed: DataFrame, run_ts=None, key: str =
     hours are computed for newly closed rows only.  A null id in the fact
     stays a fact row; a null id in the feed becomes an error row.  Ids not in the fact go to
     ``errors`` with a reason and the capture time (and ``batch_id`` when
-    streaming, so replays can be de-duplicated).
+    streaming, so replays can be de-duplicated).  With ``stage_path`` the
+    join result is written once and both outputs are read from it.
     """
     latest = latest_completion(feed, key).withColumnRenamed(COMPLETE, "__feed")
     # One full outer join serves both outputs: fact rows (matched or not)
     # and feed ids without a fact row.
     j = fact.withColumn("__fact", F.lit(True)).join(latest, key, "full")
+    if stage_path:  # both outputs split from one stored join result
+        from dwkit.sources.files import stage
+        j = stage(j, stage_path)
     out = (j.where(F.col("__fact").isNotNull())
            .withColumn(COMPLETE, F.coalesce(F.col(COMPLETE), F.col("__feed"))))
     out = compute_process_hours(out).select(*fact.columns)

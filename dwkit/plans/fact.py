@@ -54,7 +54,8 @@ def _small(dim: DataFrame, key: str, cols: list[str], rename: dict[str, str],
 def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport: DataFrame,
               route: DataFrame, reason: DataFrame, run_ts=None,
               source_table: str = "fact_flight_operation",
-              partition: str | None = "month", first_key=1) -> tuple[DataFrame, DataFrame]:
+              partition: str | None = "month", first_key=1,
+              stage_path: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Resolve the six keys; return ``(fact, errors)``.
 
     The route lookup brings ``carrier_code``, origin/destination codes and
@@ -62,6 +63,8 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
     current SCD2 rows only (no fan-out over history, SURVEY Q19).
     ``partition`` adds the period column the fact is stored under
     (``month_key`` = yyyyMM or ``year``), also present on the calendar.
+    With ``stage_path`` the flagged frame (all six lookups done) is written
+    once and both outputs are split from it, so the joins run once.
     """
     r = reduce_reference(route.select("flight_id", "route_key", "carrier_code", "origin_code", "dest_code",
                                       "distance"), "flight_id", ["route_key", "carrier_code", "origin_code",
@@ -78,6 +81,9 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
                       {"cancellation_code": "cancellation_code_clean"}, True), "cancellation_code_clean", "left")
     failed = F.concat_ws(",", *[F.when(F.col(k).isNull(), F.lit(k)) for k in FK_COLUMNS])
     x = x.withColumn("__failed", failed)
+    if stage_path:
+        from dwkit.sources.files import stage
+        x = stage(x, stage_path)
     ok = x.where(F.col("__failed") == "")
     bad = x.where(F.col("__failed") != "")
     measures = [c for c in FACT_MEASURES if c in prepared.columns]

@@ -62,33 +62,53 @@ def _store(spark: SparkSession, root: str, name: str, df: DataFrame,
 def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: DataFrame, out: str,
         run_ts=None, carrier_names: DataFrame | None = None, unmatched_airports: str = "quarantine",
         holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month") -> dict[str, DataFrame]:
+    """First load.  Each step is computed only if its table is not complete
+    yet, so a restart after a failure resumes at the first missing table."""
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
-    st = lambda name, df: _store(spark, out, name, df)
-    w: dict[str, DataFrame] = {}
-    w["flat"] = st("flat", flat)
-    for k, v in normalise(w["flat"], carrier_names).items():
-        w[k] = st(k, v)
-    w["dim_date"] = st("dim_date", date_dim_for(w["flat"], "fl_date", holidays))
-    w["dim_airline"] = st("dim_airline", airline_dim(None, w["airline"], run_ts))
-    dim_airport, airport_errors = airport_dim(None, w["airport"], regions, run_ts, unmatched=unmatched_airports)
-    w["dim_airport"] = st("dim_airport", dim_airport)
-    w["airport_errors"] = st("airport_errors", airport_errors)
-    w["dim_route"] = st("dim_route", route_dim(None, w["flight"]))
-    w["dim_reason"] = st("dim_reason", reason_dim(spark))
-    w["prepared"] = st("prepared", prepare(w["flight_operation"], w["delay_record"]))
-    fact, errors = load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
-                             w["dim_reason"], run_ts, partition=fact_partition)
-    # The fact is partitioned by period: date filters prune files, and joins
-    # to the calendar on (date_key, period column) get dynamic partition pruning.
+    root = out.rstrip("/")
     part = FACT_PARTITIONS[fact_partition] if fact_partition else None
-    fst = lambda name, df: _store(spark, out, name, df, part, "operation_id")
-    w["fact_loaded"] = fst("fact_loaded", fact)
-    w["fact_errors"] = st("fact_errors", errors)
+    w: dict[str, DataFrame] = {}
+
+    def st(name, make, partition_by=None, spread_by=None):
+        path = f"{root}/{name}"
+        if not is_complete(spark, path):
+            _store(spark, root, name, make(), partition_by, spread_by)
+        w[name] = spark.read.parquet(path)
+        return w[name]
+
+    def pair(names, make, partition_by=None):
+        """Two tables from one computation (e.g. loaded rows and rejects)."""
+        if not all(is_complete(spark, f"{root}/{n}") for n in names):
+            a, b = make()
+            _store(spark, root, names[0], a, partition_by, "operation_id" if partition_by else None)
+            _store(spark, root, names[1], b)
+        for n in names:
+            w[n] = spark.read.parquet(f"{root}/{n}")
+
+    st("flat", lambda: flat)
+    ent_names = ["airline", "airport", "flight", "flight_operation", "delay_record"]
+    if not all(is_complete(spark, f"{root}/{n}") for n in ent_names):
+        ent = normalise(w["flat"], carrier_names)
+        for k in ent_names:
+            st(k, lambda k=k: ent[k])
+    for k in ent_names:
+        st(k, lambda: None)
+    st("dim_date", lambda: date_dim_for(w["flat"], "fl_date", holidays))
+    st("dim_airline", lambda: airline_dim(None, w["airline"], run_ts))
+    pair(["dim_airport", "airport_errors"],
+         lambda: airport_dim(None, w["airport"], regions, run_ts, unmatched=unmatched_airports))
+    st("dim_route", lambda: route_dim(None, w["flight"]))
+    st("dim_reason", lambda: reason_dim(spark))
+    st("prepared", lambda: prepare(w["flight_operation"], w["delay_record"]))
+    pair(["fact_loaded", "fact_errors"],
+         lambda: load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
+                           w["dim_reason"], run_ts, partition=fact_partition,
+                           stage_path=f"{root}/_stage_fact_lookups"), part)
     if feed is not None:
-        w["feed"] = st("feed", feed)
-        closed, accum_errors = apply_completions(w["fact_loaded"], w["feed"], run_ts)
-        w["fact"] = fst("fact", closed)
-        w["accum_errors"] = st("accum_errors", accum_errors)
+        st("feed", lambda: feed)
+        pair(["fact", "accum_errors"],
+             lambda: apply_completions(w["fact_loaded"], w["feed"], run_ts,
+                                       stage_path=f"{root}/_stage_completions"), part)
     return w
 
 
@@ -139,7 +159,8 @@ def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFra
     w["prepared"] = st("prepared", prepare(w["flight_operation"], w["delay_record"]))
     fact, errors = load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
                              w["dim_reason"], run_ts, partition=fact_partition,
-                             first_key=_next(prev["fact_loaded"], "operation_key"))
+                             first_key=_next(prev["fact_loaded"], "operation_key"),
+                             stage_path=f"{out.rstrip('/')}/_stage_fact_lookups")
     segment = _store(spark, out, "fact_segment", fact, part, "operation_id")
     w["fact_loaded"] = prev["fact_loaded"].unionByName(segment)
     w["fact_errors"] = prev["fact_errors"].unionByName(st("fact_errors_batch", errors))

@@ -141,6 +141,14 @@ def scratch_path(spark: SparkSession, prefix: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex[:12]}"
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` once and read it back.  Used where one computed frame
+    feeds several outputs (e.g. loaded rows and reject rows of a lookup
+    chain), so the expensive joins run once, not once per output."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_routed(df: DataFrame, flag: str, path: str) -> None:
     """Write both outputs of a routing (FLT-6, JOIN-2) in one pass,
     partitioned by the boolean ``flag`` column; read a branch back with

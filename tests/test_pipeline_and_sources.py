@@ -132,3 +132,14 @@ def test_pipeline_cli(spark, capsys):
     main(["--flat", os.path.join(d, "flat.csv"), "--out", os.path.join(d, "dw")])
     out = capsys.readouterr().out
     assert "fact_loaded 2" in out and "dim_airline 2" in out
+
+
+def test_pipeline_rerun_reuses_complete_tables(spark):
+    d = tempfile.mkdtemp(prefix="dwkit-rerun-", dir="/tmp")
+    with open(os.path.join(d, "flat.csv"), "w") as fh:
+        fh.write(",".join(HEADER) + "\n" + "\n".join([_row(), _row(op_unique_carrier="B6")]) + "\n")
+    flat = read_csv(spark, os.path.join(d, "flat.csv"), FLAT_SCHEMA, date_format="yyyy-MM-dd")
+    w1 = run(spark, flat, None, us_region_reference(spark), os.path.join(d, "dw"), dt.datetime(2025, 1, 1))
+    files_before = sorted(w1["fact_loaded"].inputFiles())
+    w2 = run(spark, flat, None, us_region_reference(spark), os.path.join(d, "dw"), dt.datetime(2025, 1, 1))
+    assert sorted(w2["fact_loaded"].inputFiles()) == files_before and w2["fact_loaded"].count() == 2
