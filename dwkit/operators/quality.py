@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from dwkit.functions.dates import ts_lit
 from dwkit.functions.expr import pearson
 from dwkit.operators.aggregates import duplicate_keys
-from dwkit.operators.joins import orphans
 
 SAMPLE_BUCKETS = 5
 

@@ -7,7 +7,6 @@ that ``plans.warehouse.build`` derives from them) over their whole extent.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession

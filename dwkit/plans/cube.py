@@ -21,7 +21,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.functions.expr import safe_divide
 from dwkit.operators.joins import broadcast_if_small
 from dwkit.operators.windows import parallel_period
 
