@@ -140,7 +140,7 @@ def rpt_6(spark, sf):
 
 
 @q("rpt_6_gauge_by_carrier", S.with_fact(f"""
-SELECT carrier_name, {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate, 85.0 AS target,
+SELECT carrier_name, {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate, CAST(85.0 AS DOUBLE) AS target,
        round({S.rate(S.ON_TIME, S.OPERATED)} - 85.0, 4) AS gap
 FROM fact GROUP BY 1"""))
 def rpt_6_gauge(spark, sf):
@@ -512,7 +512,8 @@ def sort_4(spark, sf):
 
 
 @q("samp_1_stratified_sample_counts", S.with_fact("""
-SELECT cancelled, CAST(round_even(count(*) * 0.1, 0) AS BIGINT) AS sampled FROM flat GROUP BY 1"""))
+SELECT CAST(cancelled AS TINYINT) AS cancelled, CAST(round_even(count(*) * 0.1, 0) AS BIGINT) AS sampled
+FROM flat GROUP BY 1"""))
 def samp_1_counts(spark, sf):
     s = SM.stratified_sample(flat(spark, sf), "cancelled", 0.1, ["operation_id"], 42)
     return s.groupBy("cancelled").agg(F.count(F.lit(1)).alias("sampled"))
@@ -563,7 +564,7 @@ fact_keys AS (
     CAST(f.total_delay_minutes AS SMALLINT) AS total_delay_minutes, CAST(f.cancelled AS SMALLINT) AS cancelled,
     f.create_time AS accm_txn_create_time, f.complete_time AS accm_txn_complete_time,
     f.process_hours AS txn_process_time_hours,
-    CAST(year(f.fl_date) AS SMALLINT) AS year
+    CAST(year(f.fl_date) AS INTEGER) AS year
   FROM fact f
   JOIN airline_keys a ON a.carrier_code = f.carrier_code
   JOIN airport_keys o ON o.code = f.origin
@@ -1246,7 +1247,7 @@ def rpt_6_routes(spark, sf):
 
 
 @q("rpt_6_carrier_detail_gauge", S.with_fact(f"""
-SELECT {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate, 85.0 AS target,
+SELECT {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate, CAST(85.0 AS DOUBLE) AS target,
        round({S.rate(S.ON_TIME, S.OPERATED)} - 85.0, 4) AS gap FROM fact WHERE {_BLD}"""))
 def rpt_6_gauge_one(spark, sf):
     return R.carrier_detail(cube(spark, sf), "BUILDING")["gauge"]

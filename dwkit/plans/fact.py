@@ -95,7 +95,8 @@ def load_fact(prepared: DataFrame, dates: DataFrame, airline: DataFrame, airport
     if partition == "month":
         fact = fact.withColumn("month_key", F.expr("date_key div 100").cast("int"))
     elif partition == "year":
-        fact = fact.withColumn("year", F.expr("date_key div 10000").cast("short"))
+        # int, as partition discovery reads it back
+        fact = fact.withColumn("year", F.expr("date_key div 10000").cast("int"))
     fact = with_surrogate(fact, "operation_key", ["operation_id"], start=first_key)
     errors = as_error_rows(bad, source_table, 2, F.concat(F.lit("lookup failed: "), F.col("__failed")),
                            ["operation_id", "flight_id", "carrier_code", "origin_code", "dest_code",
