@@ -47,12 +47,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is left alone.  Only
-    when it is unset (local tests) is a private scratch folder created.
+    On a cluster that setting names a shared folder and is used as is; if it
+    is missing there, this fails rather than fall back to a folder local to
+    one machine.  Only a local-mode session (tests) without the setting gets
+    a private scratch folder.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder (HDFS, object store, NFS)")
         d = tempfile.mkdtemp(prefix="dwkit-ckpt-", dir="/tmp")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
