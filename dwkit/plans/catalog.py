@@ -674,9 +674,14 @@ def dim_3(spark, sf):
     return build(spark, sf)["dim_route"]
 
 
-@q("dim_4_region_reference", S.with_fact("SELECT state_name, region, region_code FROM regions"))
+@q("dim_4_region_reference", S.with_ctes(_KEYS, """
+SELECT state_name, region, region_code FROM regions WHERE state_name IN (SELECT code FROM airports)"""))
 def dim_4(spark, sf):
-    return FX.region_reference(spark, sf)
+    """Region reference rows for the states that occur in the operations
+    (origin or destination), a semi join against the flat table."""
+    states = SET.union_all([flat(spark, sf).select(F.col("origin_state_nm").alias("state_name")),
+                            flat(spark, sf).select(F.col("dest_state_nm").alias("state_name"))])
+    return J.semi(FX.region_reference(spark, sf), states.where(F.col("state_name").isNotNull()), "state_name")
 
 
 @q("dim_5_flights_by_reason", S.with_fact("""
@@ -1030,13 +1035,19 @@ def join_7(spark, sf):
     return J.semi(o, li, "o_orderkey").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
 
 
-@q("join_9_map_nation_region", """
-SELECT n.n_name, coalesce(r.r_name, 'Unknown') AS region
-FROM nation n LEFT JOIN region r ON r.r_regionkey = n.n_regionkey AND r.r_name <> 'MIDDLE EAST'""")
+@q("join_9_map_customer_region", """
+SELECT coalesce(r.r_name, 'Unknown') AS region, count(*) AS customers
+FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey
+LEFT JOIN region r ON r.r_regionkey = n.n_regionkey AND r.r_name <> 'MIDDLE EAST'
+GROUP BY 1""")
 def join_9(spark, sf):
-    ref = FX.region_reference(spark, sf)
-    return J.map_values(FX.table(spark, sf, "nation").select("n_name"), "n_name", ref, "state_name", "region",
-                        "region")
+    """Every customer's nation mapped to its region through the reference
+    with the hole; unmapped nations get the default 'Unknown'."""
+    nation = FX.table(spark, sf, "nation").select("n_nationkey", "n_name")
+    cust = FX.table(spark, sf, "customer").select("c_nationkey").join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"))
+    mapped = J.map_values(cust, "n_name", FX.region_reference(spark, sf), "state_name", "region", "region")
+    return mapped.groupBy("region").agg(F.count(F.lit(1)).alias("customers"))
 
 
 @q("set_3_unmapped_states", S.with_ctes(_KEYS, """
