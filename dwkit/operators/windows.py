@@ -118,12 +118,31 @@ def share(df: DataFrame, measure: str, part: Sequence[str] | None = None,
 
 
 def ranked(df: DataFrame, measure: str, part: Sequence[str] | None = None,
-           out: str = "rank", ascending: bool = False, dense: bool = False) -> DataFrame:
-    """Rank within ``part`` by ``measure`` (WIN-5); intended for aggregates."""
+           out: str = "rank", ascending: bool = False, dense: bool = False,
+           max_window_rows: int = 1_000_000) -> DataFrame:
+    """Rank within ``part`` by ``measure`` (WIN-5).
+
+    With ``part`` this is a partitioned window.  A global rank uses one
+    window task only when the frame is checked to have at most
+    ``max_window_rows`` rows (report aggregates); a bigger frame is ranked
+    distributedly: rows are numbered by a range sort (``with_surrogate``) and
+    each row's rank is the first number of its value (``dense``: the number
+    of its value among the sorted distinct values).  Nulls rank last.
+    """
     o = F.col(measure).asc_nulls_last() if ascending else F.col(measure).desc_nulls_last()
-    w = Window.partitionBy(*part).orderBy(o) if part else Window.orderBy(o)
     fn = F.dense_rank() if dense else F.rank()
-    return df.withColumn(out, fn.over(w))
+    if part:
+        return df.withColumn(out, fn.over(Window.partitionBy(*part).orderBy(o)))
+    if df.limit(max_window_rows + 1).count() <= max_window_rows:
+        return df.withColumn(out, fn.over(Window.orderBy(o)))
+    if dense:
+        values = with_surrogate(df.select(measure).distinct(), out, [o])
+    else:
+        numbered = with_surrogate(df.select(measure), "__pos", [o])
+        values = numbered.groupBy(measure).agg(F.min("__pos").alias(out))
+    v = values.withColumnRenamed(measure, "__v")
+    return (df.join(v, df[measure].eqNullSafe(v["__v"]), "left").drop("__v")
+            .withColumn(out, F.col(out).cast("int")))
 
 
 def top_k_per_group(df: DataFrame, part: Sequence[str], k: int, order: Sequence[Column],

@@ -48,3 +48,13 @@ def test_share_global_and_partitioned(spark):
     assert g == [0.125, 0.375, 0.5]
     p = sorted(r.share for r in share(df, "m", ["p"]).collect())
     assert p == [0.25, 0.75, 1.0]
+
+
+def test_global_rank_distributed_equals_window(spark):
+    from dwkit.operators.windows import ranked
+    df = spark.createDataFrame([(i, float(i % 7) if i % 11 else None) for i in range(200)], "id int, m double") \
+        .repartition(5)
+    for dense in (False, True):
+        small = {r.id: r["rank"] for r in ranked(df, "m", dense=dense).collect()}
+        big = {r.id: r["rank"] for r in ranked(df, "m", dense=dense, max_window_rows=10).collect()}
+        assert small == big
