@@ -572,6 +572,12 @@ fact_keys AS (
   JOIN ops p ON p.operation_id = f.operation_id)"""
 
 
+_DATES = """
+, dates AS (SELECT CAST(strftime(CAST(ts AS DATE), '%Y%m%d') AS INTEGER) AS date_key FROM generate_series(
+        (SELECT CAST(min(fl_date) AS TIMESTAMP) FROM flat), (SELECT CAST(max(fl_date) AS TIMESTAMP) FROM flat),
+        INTERVAL 1 DAY) t(ts))"""
+
+
 @q("norm_1_flight_operations", S.with_ctes(_KEYS, """
 SELECT operation_id, flight_id, fl_date, CAST(year(fl_date) AS SMALLINT) AS year,
        CAST(month(fl_date) AS TINYINT) AS month, CAST(day(fl_date) AS TINYINT) AS day_of_month,
@@ -947,18 +953,24 @@ def dq_4(spark, sf):
     ])
 
 
-@q("dq_6_row_counts", S.with_ctes(_KEYS, """
+@q("dq_6_row_counts", S.with_ctes(_KEYS + _DATES, """
 SELECT 'flight_operation' AS table_name, count(*) AS row_count FROM flat
 UNION ALL SELECT 'flight', count(*) FROM flights
 UNION ALL SELECT 'dim_airline', count(*) FROM carriers
 UNION ALL SELECT 'dim_airport', count(*) FROM airports
 UNION ALL SELECT 'fact', count(*) FROM fact
-UNION ALL SELECT 'fact_errors', count(*) FROM flat WHERE dest IS NULL OR origin IS NULL OR carrier_code IS NULL"""))
+UNION ALL SELECT 'fact_errors', count(*) FROM flat WHERE dest IS NULL OR origin IS NULL OR carrier_code IS NULL
+UNION ALL SELECT 'dim_date', (SELECT count(*) FROM dates)
+UNION ALL SELECT 'dim_airline_current', count(*) FROM carriers
+UNION ALL SELECT 'dim_route', count(*) FROM flights
+UNION ALL SELECT 'dim_reason', count(*) FROM (SELECT unnest(['N/A', 'A', 'B', 'C', 'D'])) r"""))
 def dq_6(spark, sf):
     w = build(spark, sf)
     return Q.row_counts({"flight_operation": w["flight_operation"], "flight": w["flight"],
                          "dim_airline": w["dim_airline"], "dim_airport": w["dim_airport"], "fact": w["fact"],
-                         "fact_errors": w["fact_errors"]})
+                         "fact_errors": w["fact_errors"], "dim_date": w["dim_date"],
+                         "dim_airline_current": SCD.current(w["dim_airline"]), "dim_route": w["dim_route"],
+                         "dim_reason": w["dim_reason"]})
 
 
 @q("dq_7_null_fk_counts", S.with_ctes(_KEYS, "SELECT " + ", ".join(
@@ -1352,3 +1364,25 @@ def pipe_1(spark, sf):
     counts = w2["fact_loaded"].groupBy("airline_key").agg(F.count(F.lit(1)).alias("flights"))
     return counts.join(w2["dim_airline"].select("airline_key", "carrier_code", "carrier_name", "is_current_record"),
                        "airline_key")
+
+
+@q("dq_12_airport_enrichment_spot_check", S.with_ctes(_KEYS, """
+SELECT k.code AS airport_code, k.code AS city_name, k.code AS state_name,
+       coalesce(r.region, 'Unknown') AS region, coalesce(r.region_code, 'XX') AS region_code
+FROM airport_keys k LEFT JOIN regions r ON r.state_name = k.code ORDER BY k.code LIMIT 10"""))
+def dq_12_airports(spark, sf):
+    """First 10 airports by code with their enrichment (spot check)."""
+    d = build(spark, sf)["dim_airport"].select("airport_code", "city_name", "state_name", "region", "region_code")
+    return SM.top_n(d, 10, [F.col("airport_code")])
+
+
+@q("dq_12_route_enrichment_spot_check", S.with_ctes(_KEYS, """
+SELECT CAST(flight_id AS INTEGER) AS flight_id, carrier_code, flight_number, origin_code, dest_code, distance,
+       CASE WHEN distance IS NULL THEN NULL WHEN distance < 500 THEN 'Short' WHEN distance <= 1500 THEN 'Medium'
+            ELSE 'Long' END AS distance_band
+FROM flights ORDER BY flight_id LIMIT 10"""))
+def dq_12_routes(spark, sf):
+    """First 10 routes by id with their distance band (spot check)."""
+    d = build(spark, sf)["dim_route"].select("flight_id", "carrier_code", "flight_number", "origin_code",
+                                            "dest_code", "distance", "distance_band")
+    return SM.top_n(d, 10, [F.col("flight_id")])
