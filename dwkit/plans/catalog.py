@@ -1386,3 +1386,27 @@ def dq_12_routes(spark, sf):
     d = build(spark, sf)["dim_route"].select("flight_id", "carrier_code", "flight_number", "origin_code",
                                             "dest_code", "distance", "distance_band")
     return SM.top_n(d, 10, [F.col("flight_id")])
+
+
+@q("agg_2_fact_status_counts", S.with_fact("""
+SELECT CAST(sum(1 - cancelled) AS BIGINT) AS operated, CAST(sum(cancelled) AS BIGINT) AS cancelled,
+       count(*) AS total FROM fact"""))
+def agg_2_fact(spark, sf):
+    return A.status_counts(build(spark, sf)["fact"])
+
+
+@q("dq_10_process_hours_recomputed", S.with_ctes(_KEYS, """
+SELECT operation_id, txn_process_time_hours AS stored_hours,
+       date_diff('minute', accm_txn_create_time, accm_txn_complete_time) / 60.0 AS recomputed,
+       abs(txn_process_time_hours - date_diff('minute', accm_txn_create_time, accm_txn_complete_time) / 60.0)
+         AS discrepancy
+FROM fact_keys WHERE accm_txn_complete_time IS NOT NULL"""))
+def dq_10(spark, sf):
+    """Stored hours next to an independent recomputation for every completed
+    row (the validation sampled ten rows; here all rows are shown)."""
+    from dwkit.functions.dates import hours_between
+    f = build(spark, sf)["fact"].where(F.col("accm_txn_complete_time").isNotNull())
+    out = Q.check_recompute(f, "txn_process_time_hours",
+                            hours_between("accm_txn_create_time", "accm_txn_complete_time"), eps=-1.0)
+    return out.select("operation_id", F.col("txn_process_time_hours").alias("stored_hours"), "recomputed",
+                      "discrepancy")
