@@ -18,18 +18,16 @@ import argparse
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
 from dwkit.operators.dims import add_missing_dates, airline_dim, airport_dim, date_dim_for, reason_dim, route_dim
 from dwkit.operators.normalise import airlines, airports, delay_records, normalise, operations, route_identities
 from dwkit.operators.scd import scd1_merge
-from dwkit.operators.windows import with_surrogate
-from dwkit.sources.reference import DELAY_PARTS
 from dwkit.operators.snapshot import apply_completions
+from dwkit.operators.windows import with_surrogate
 from dwkit.plans.fact import load_fact, prepare
 from dwkit.sources.files import is_complete
-from dwkit.sources.reference import US_FEDERAL_HOLIDAYS_2024
+from dwkit.sources.reference import DELAY_PARTS, US_FEDERAL_HOLIDAYS_2024
 
 TABLES = ["flat", "airline", "airport", "flight", "flight_operation", "delay_record", "dim_date",
           "dim_airline", "dim_airport", "dim_route", "dim_reason", "airport_errors", "prepared",
