@@ -27,16 +27,23 @@ from dwkit.operators.windows import first_per_key
 from dwkit.sources.reference import COMPLETION_SCHEMA
 
 
-def _process_batch(fact_path: str, log_path: str, errors_path: str, run_ts, key: str):
+def _process_batch(fact_path: str, log_path: str, errors_path: str, run_ts, key: str, validate_ids: bool):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         latest = latest_completion(batch, key)
+        log_dir = f"{log_path.rstrip('/')}/batch_id={batch_id}"
+        if not validate_ids:
+            # O(batch): every id goes to the log; unknown ids are reported
+            # by ``compact``, which passes over the fact anyway.
+            latest.select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id")) \
+                .write.mode("overwrite").parquet(log_dir)
+            return
         ids = spark.read.parquet(fact_path).select(key).withColumn("__hit", F.lit(True))
         flagged = latest.join(ids, key, "left").persist()
         try:
             (flagged.where(F.col("__hit").isNotNull())
              .select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}"))
+             .write.mode("overwrite").parquet(log_dir))
             ts = F.current_timestamp() if run_ts is None else ts_lit(run_ts)
             (flagged.where(F.col("__hit").isNull())
              .select(key, COMPLETE, F.lit(UNKNOWN_ID).alias("error_reason"),
@@ -50,15 +57,22 @@ def _process_batch(fact_path: str, log_path: str, errors_path: str, run_ts, key:
 def stream_completions(spark: SparkSession, source_dir: str, fact_path: str, log_path: str, errors_path: str,
                        checkpoint: str, run_ts=None, key: str = "operation_id", schema=COMPLETION_SCHEMA,
                        max_files_per_trigger: int | None = None, available_now: bool = True,
-                       timestamp_format: str = "yyyy-MM-dd HH:mm:ss"):
+                       timestamp_format: str = "yyyy-MM-dd HH:mm:ss", validate_ids: bool = True):
     """Start (and with ``available_now`` run to completion) the completion
-    stream.  Returns the ``StreamingQuery``."""
+    stream.  Returns the ``StreamingQuery``.
+
+    ``validate_ids=True`` matches each batch against the fact's id column
+    (one pruned column, but a scan that grows with the fact) and routes
+    unknown ids to ``errors_path`` at once, as the batch update does.  With
+    ``False`` a batch costs only its own size: all ids are logged and
+    ``compact`` reports the unknown ones; this suits a very large fact.
+    """
     r = (spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
          .option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     w = (r.csv(source_dir).writeStream
-         .foreachBatch(_process_batch(fact_path, log_path, errors_path, run_ts, key))
+         .foreachBatch(_process_batch(fact_path, log_path, errors_path, run_ts, key, validate_ids))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()
@@ -80,7 +94,8 @@ def completed_view(fact: DataFrame, log: DataFrame, key: str = "operation_id") -
     return compute_process_hours(j).select(*fact.columns)
 
 
-def compact(fact: DataFrame, log: DataFrame, run_ts=None, key: str = "operation_id") -> DataFrame:
-    """Fold the log into the next fact version (batch ACC-4)."""
-    new_fact, _ = apply_completions(fact, log, run_ts, key)
-    return new_fact
+def compact(fact: DataFrame, log: DataFrame, run_ts=None, key: str = "operation_id",
+            stage_path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Fold the (first-batch-wins) log into the next fact version with the
+    batch operator (ACC-4); returns ``(new_fact, unknown_id_errors)``."""
+    return apply_completions(fact, log, run_ts, key, stage_path=stage_path)

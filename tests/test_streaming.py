@@ -34,3 +34,23 @@ def test_stream_equals_batch_and_replay_is_idempotent(spark):
     batch, _ = apply_completions(stored, feed)
     b = {r.operation_id: r.accm_txn_complete_time for r in batch.collect()}
     assert b[1] == view[1]
+
+
+def test_stream_without_per_batch_validation_reports_at_compaction(spark):
+    from dwkit.streaming.completions import compact
+    base = tempfile.mkdtemp(prefix="dwkit-str2-", dir="/tmp")
+    fact = open_snapshot(spark.createDataFrame([(i, dt.date(2024, 1, 1)) for i in range(1, 4)],
+                                               "operation_id int, fl_date date"))
+    fact_path = os.path.join(base, "fact")
+    fact.write.parquet(fact_path)
+    src = os.path.join(base, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.csv"), "w") as fh:
+        fh.write("operation_id,accm_txn_complete_time\n1,2024-01-02 00:00:00\n9,2024-01-03 00:00:00\n")
+    stream_completions(spark, src, fact_path, os.path.join(base, "log"), os.path.join(base, "err"),
+                       os.path.join(base, "ck"), dt.datetime(2025, 1, 1), validate_ids=False)
+    log = completion_log(spark, os.path.join(base, "log"))
+    assert sorted(r.operation_id for r in log.collect()) == [1, 9]
+    new_fact, errors = compact(spark.read.parquet(fact_path), log, dt.datetime(2025, 1, 1))
+    assert [r.operation_id for r in errors.collect()] == [9]
+    assert {r.operation_id: r.txn_process_time_hours for r in new_fact.collect()}[1] == 24.0
