@@ -89,3 +89,38 @@ def error_summary(errors: DataFrame, key: str = "operation_id", ts: str = "captu
                       F.max(key).alias("max_id"), F.min(ts).alias("first_captured"),
                       F.max(ts).alias("last_captured"))
 
+
+
+def apply_completions_in_place(fact_path: str, feed: DataFrame, period: str, stage_dir: str, run_ts=None,
+                               key: str = "operation_id", max_periods: int = 100_000) -> DataFrame:
+    """Completion update that rewrites only the fact partitions it touches.
+
+    The fact at ``fact_path`` is partitioned by ``period``.  One left join of
+    the latest feed row per id with the fact's ``(key, period)`` columns (two
+    columns read) is staged once; it gives the matched completions, the
+    unknown ids and the list of affected periods.  Only those partitions are
+    read (semi join on the period list: partition pruning), updated
+    first-write-wins, staged, and swapped in with dynamic partition
+    overwrite, so no job reads and overwrites the same files and untouched
+    periods are never rewritten.  Returns the unknown-id error rows.
+    """
+    from dwkit.sources.files import stage
+    spark = feed.sparkSession
+    fact = spark.read.parquet(fact_path)
+    latest = latest_completion(feed, key).withColumnRenamed(COMPLETE, "__feed")
+    ids = fact.select(key, F.col(period).alias("__period"))
+    flagged = stage(latest.join(ids, key, "left"), f"{stage_dir.rstrip('/')}/matched")
+    hits = flagged.where(F.col("__period").isNotNull())
+    periods = hits.select(F.col("__period").alias(period)).distinct()
+    if periods.limit(max_periods + 1).count() > max_periods:
+        raise ValueError(f"more than {max_periods} affected periods")
+    affected = fact.join(F.broadcast(periods), period, "left_semi")
+    updated = (affected.join(hits.select(key, "__feed"), key, "left")
+               .withColumn(COMPLETE, F.coalesce(F.col(COMPLETE), F.col("__feed"))).drop("__feed"))
+    updated = compute_process_hours(updated).select(*fact.columns)
+    staged = stage(updated, f"{stage_dir.rstrip('/')}/partitions")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(period).parquet(fact_path))
+    return flagged.where(F.col("__period").isNull()).select(
+        F.col(key), F.col("__feed").alias(COMPLETE), F.lit(UNKNOWN_ID).alias("error_reason"),
+        _ts(run_ts).alias("captured_at"), F.lit(None).cast("long").alias("batch_id"))

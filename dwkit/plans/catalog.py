@@ -1410,3 +1410,29 @@ def dq_10(spark, sf):
                             hours_between("accm_txn_create_time", "accm_txn_complete_time"), eps=-1.0)
     return out.select("operation_id", F.col("txn_process_time_hours").alias("stored_hours"), "recomputed",
                       "discrepancy")
+
+
+def _in_place(spark, sf):
+    from dwkit.plans.warehouse import FACT_PARTITION
+    from dwkit.plans.pipeline import FACT_PARTITIONS
+    from dwkit.sources.files import scratch_path
+    w = build(spark, sf)
+    part = FACT_PARTITIONS[FACT_PARTITION]
+    base = scratch_path(spark, "inplace")
+    w["fact_loaded"].write.partitionBy(part).parquet(base + "/fact")
+    errors = ACC.apply_completions_in_place(base + "/fact", w["feed"], part, base + "/stage", FX.RUN_TS)
+    return spark.read.parquet(base + "/fact"), errors
+
+
+@q("acc_4_in_place_partition_update", ORACLES["acc_4_apply_completions"])
+def acc_4_in_place(spark, sf):
+    """Completion update that rewrites only the touched fact partitions;
+    must equal the full batch update."""
+    fact, _ = _in_place(spark, sf)
+    return fact.select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")
+
+
+@q("acc_4_in_place_errors", ORACLES["acc_4_completion_errors"])
+def acc_4_in_place_errors(spark, sf):
+    _, errors = _in_place(spark, sf)
+    return errors

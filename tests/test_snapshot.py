@@ -31,3 +31,25 @@ def test_hours_count_minute_boundaries(spark):
     feed = spark.createDataFrame([(1, D(2024, 1, 1, 0, 1, 1))], "operation_id int, accm_txn_complete_time timestamp_ntz")
     out, _ = apply_completions(fact, feed)
     assert out.first().txn_process_time_hours == 1 / 60
+
+
+def test_in_place_update_rewrites_only_touched_partitions(spark):
+    import os
+    import tempfile
+    from dwkit.operators.snapshot import apply_completions_in_place
+    d = tempfile.mkdtemp(prefix="dwkit-inplace-", dir="/tmp")
+    fact = open_snapshot(spark.createDataFrame(
+        [(1, dt.date(2023, 5, 1), 2023), (2, dt.date(2024, 1, 1), 2024), (3, dt.date(2024, 2, 1), 2024)],
+        "operation_id int, fl_date date, year int"))
+    path = os.path.join(d, "fact")
+    fact.write.partitionBy("year").parquet(path)
+    part_2023 = os.path.join(path, "year=2023")
+    untouched = {f: os.path.getmtime(os.path.join(part_2023, f)) for f in os.listdir(part_2023)}
+    feed = spark.createDataFrame([(2, D(2024, 1, 2)), (2, D(2024, 1, 3)), (77, D(2024, 1, 5))],
+                                 "operation_id int, accm_txn_complete_time timestamp_ntz")
+    errors = apply_completions_in_place(path, feed, "year", os.path.join(d, "stage"), D(2025, 1, 1))
+    assert [r.operation_id for r in errors.collect()] == [77]
+    after = spark.read.parquet(path)
+    got = {r.operation_id: (r.accm_txn_complete_time, r.txn_process_time_hours) for r in after.collect()}
+    assert got == {1: (None, None), 2: (D(2024, 1, 3), 48.0), 3: (None, None)}
+    assert {f: os.path.getmtime(os.path.join(part_2023, f)) for f in os.listdir(part_2023)} == untouched
