@@ -1436,3 +1436,12 @@ def acc_4_in_place(spark, sf):
 def acc_4_in_place_errors(spark, sf):
     _, errors = _in_place(spark, sf)
     return errors
+
+
+@q("olap_8_pivot_swapped_quarter_by_carrier", S.with_fact("""
+SELECT * FROM (PIVOT (SELECT quarter AS date_quarter, carrier_name FROM fact)
+               ON carrier_name USING count(*) GROUP BY date_quarter)"""))
+def olap_8_swapped(spark, sf):
+    """The pivot with axes swapped: quarters as rows, carriers as columns,
+    the carrier members discovered from the data."""
+    return cube(spark, sf).pivot(["date.quarter"], "airline.carrier_name", "flights")

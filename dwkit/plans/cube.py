@@ -259,13 +259,17 @@ class CubeModel:
         """Constrain several dimensions at once (OLAP-7)."""
         return self.query(rows, measures, {k: list(v) for k, v in members.items()})
 
-    def pivot(self, rows: Sequence[str], col: str, measure: str, values: Sequence,
+    def pivot(self, rows: Sequence[str], col: str, measure: str, values: Sequence | None = None,
               filters: Mapping[str, object] | None = None) -> DataFrame:
-        """Rows x column members of one base measure (OLAP-8).  ``values``
-        are passed so no extra job is needed to discover them."""
+        """Rows x column members of one base measure (OLAP-8); swapping
+        ``rows`` and ``col`` swaps the axes.  Pass ``values`` to skip the
+        extra job that discovers the column members (bounded by
+        ``spark.sql.pivotMaxValues``)."""
         f, names, _ = self._group_cols(self.frame([*rows, col], filters), [*rows, col])
         m = {x.name: x for x in self.measures}[measure]
-        return f.groupBy(*names[:-1]).pivot(names[-1], list(values)).agg(m.agg())
+        g = f.groupBy(*names[:-1])
+        g = g.pivot(names[-1], list(values)) if values is not None else g.pivot(names[-1])
+        return g.agg(m.agg())
 
     def summary(self, measures: Sequence[str], filters: Mapping[str, object] | None = None) -> DataFrame:
         """All headline measures in one row (OLAP-9)."""
