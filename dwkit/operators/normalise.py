@@ -89,6 +89,13 @@ def operations(flat: DataFrame, flight: DataFrame, id_col: str = "operation_id",
     return keyed.select(id_col, "flight_id", *cols)
 
 
+def keyed_operations(flat: DataFrame, flight: DataFrame) -> DataFrame:
+    """Every flat row with its ``flight_id`` (one null-safe composite join,
+    JOIN-8), all flat columns kept."""
+    ident = _present(flat, ROUTE_IDENTITY)
+    return assign_fk(flat, flight, ident, "flight_id", [ROUTE_RENAME.get(c, c) for c in ident])
+
+
 def delay_records(flat_or_ops: DataFrame, id_col: str = "operation_id",
                   parts: Sequence[str] = DELAY_PARTS, flag: str = "cancelled", start=1) -> DataFrame:
     """Delay records: operated rows with any component > 0, 1 : 0..1

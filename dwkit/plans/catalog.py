@@ -622,7 +622,11 @@ SELECT operation_id, flight_id,
             + late_aircraft_delay ELSE 0 END AS SMALLINT) AS total_delay_minutes
 FROM ops"""))
 def join_1(spark, sf):
-    p = build(spark, sf)["prepared"]
+    """JOIN-1 itself: stored operations left-joined to stored delay records
+    (the pipeline derives the same frame from one keyed pass instead)."""
+    from dwkit.plans.fact import prepare
+    w = build(spark, sf)
+    p = prepare(w["flight_operation"], w["delay_record"])
     return p.select("operation_id", "flight_id", "cancellation_code_clean", *S.PARTS, "total_delay_minutes")
 
 

@@ -1,7 +1,8 @@
 """The master load as one plain function.
 
-``run`` = normalise -> dimensions -> prepared operations -> fact load ->
-completion update.  Every table is written once (Parquet) under ``out`` and
+``run`` = entities (airlines, airports, routes; operations, delay records and
+the prepared fact input from one keyed pass over the flat rows) ->
+dimensions -> fact load -> completion update.  Every table is written once (Parquet) under ``out`` and
 read back, so each step starts from stored data (lineage cut, restartable),
 dimensions are written before the fact, and re-running with the same
 ``out`` reuses completed tables (``_SUCCESS`` present).
@@ -21,11 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwkit.operators.dims import add_missing_dates, airline_dim, airport_dim, date_dim_for, reason_dim, route_dim
-from dwkit.operators.normalise import airlines, airports, delay_records, normalise, operations, route_identities
+from dwkit.operators.normalise import (OPERATION_COLS, airlines, airports, delay_records, flights,
+                                      keyed_operations, route_identities)
 from dwkit.operators.scd import scd1_merge
 from dwkit.operators.snapshot import apply_completions
 from dwkit.operators.windows import with_surrogate
-from dwkit.plans.fact import load_fact, prepare
+from dwkit.plans.fact import load_fact, prepare_keyed
 from dwkit.sources.files import is_complete
 from dwkit.sources.reference import DELAY_PARTS, US_FEDERAL_HOLIDAYS_2024
 
@@ -83,21 +85,24 @@ def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: D
         for n in names:
             w[n] = spark.read.parquet(f"{root}/{n}")
 
-    st("flat", lambda: flat)
-    ent_names = ["airline", "airport", "flight", "flight_operation", "delay_record"]
-    if not all(is_complete(spark, f"{root}/{n}") for n in ent_names):
-        ent = normalise(w["flat"], carrier_names)
-        for k in ent_names:
-            st(k, lambda k=k: ent[k])
-    for k in ent_names:
-        st(k, lambda: None)
+    st("flat", lambda: flat if "operation_id" in flat.columns
+       else with_surrogate(flat, "operation_id", list(flat.columns)))
+    st("airline", lambda: airlines(w["flat"], carrier_names))
+    st("airport", lambda: airports(w["flat"]))
+    st("flight", lambda: flights(w["flat"]))
+    # One join keys the flat rows; operations, delay records and the
+    # prepared fact input are all projections of it (JOIN-1 without a join).
+    st("prepared", lambda: prepare_keyed(keyed_operations(w["flat"], w["flight"])))
+    op_cols = [c for c in OPERATION_COLS if c in w["prepared"].columns]
+    st("flight_operation", lambda: w["prepared"].select("operation_id", "flight_id", *op_cols))
+    parts = [p for p in DELAY_PARTS if p in w["prepared"].columns]
+    st("delay_record", lambda: delay_records(w["prepared"].select("operation_id", "cancelled", *parts), parts=parts))
     st("dim_date", lambda: date_dim_for(w["flat"], "fl_date", holidays))
     st("dim_airline", lambda: airline_dim(None, w["airline"], run_ts))
     pair(["dim_airport", "airport_errors"],
          lambda: airport_dim(None, w["airport"], regions, run_ts, unmatched=unmatched_airports))
     st("dim_route", lambda: route_dim(None, w["flight"]))
     st("dim_reason", lambda: reason_dim(spark))
-    st("prepared", lambda: prepare(w["flight_operation"], w["delay_record"]))
     pair(["fact_loaded", "fact_errors"],
          lambda: load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
                            w["dim_reason"], run_ts, partition=fact_partition,
@@ -140,9 +145,11 @@ def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFra
     w["flat"] = st("flat", flat)
     ident, keys, attrs = route_identities(w["flat"])
     w["flight"] = st("flight", scd1_merge(prev["flight"], ident, keys, attrs, "flight_id"))
-    w["flight_operation"] = st("flight_operation", operations(w["flat"], w["flight"]))
-    parts = [p for p in DELAY_PARTS if p in w["flat"].columns]
-    w["delay_record"] = st("delay_record", delay_records(w["flat"].select("operation_id", "cancelled", *parts),
+    w["prepared"] = st("prepared", prepare_keyed(keyed_operations(w["flat"], w["flight"])))
+    op_cols = [c for c in OPERATION_COLS if c in w["prepared"].columns]
+    w["flight_operation"] = st("flight_operation", w["prepared"].select("operation_id", "flight_id", *op_cols))
+    parts = [p for p in DELAY_PARTS if p in w["prepared"].columns]
+    w["delay_record"] = st("delay_record", delay_records(w["prepared"].select("operation_id", "cancelled", *parts),
                                                          parts=parts, start=_next(prev["delay_record"], "delay_id")))
     w["airline"] = st("airline", airlines(w["flat"], carrier_names))
     w["airport"] = st("airport", airports(w["flat"]))
@@ -154,7 +161,6 @@ def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFra
     w["airport_errors"] = prev["airport_errors"].unionByName(st("airport_errors_batch", airport_errors))
     w["dim_route"] = st("dim_route", route_dim(prev["dim_route"], w["flight"]))
     w["dim_reason"] = prev["dim_reason"]
-    w["prepared"] = st("prepared", prepare(w["flight_operation"], w["delay_record"]))
     fact, errors = load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
                              w["dim_reason"], run_ts, partition=fact_partition,
                              first_key=_next(prev["fact_loaded"], "operation_key"),
