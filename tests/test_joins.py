@@ -53,3 +53,18 @@ def test_lookup_flagged_one_frame(spark):
     ref = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
     got = sorted((r.id, r.v, r.matched) for r in lookup_flagged(df, ref, "k", ["v"]).collect())
     assert got == [(1, 1, True), (2, None, False), (3, None, False)]
+
+
+def test_broadcast_decision_by_bounded_count(spark):
+    from dwkit.operators.joins import broadcast_if_small, lookup
+    small = spark.range(10)
+    big = spark.range(1000)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    j1 = spark.range(5000).join(broadcast_if_small(small, max_rows=100), "id")
+    j2 = spark.range(5000).join(broadcast_if_small(big, max_rows=100), "id")
+    assert "BroadcastHashJoin" in plan(j1)
+    assert j2.count() == 1000 and broadcast_if_small(big, max_rows=100) is big
+    df = spark.createDataFrame([(1, "a")], "id int, k string")
+    ref = spark.createDataFrame([("a", 1)], "k string, v int")
+    m, _ = lookup(df, ref, "k", ["v"], max_broadcast_rows=10)
+    assert "BroadcastHashJoin" in plan(m) and m.count() == 1

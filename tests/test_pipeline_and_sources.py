@@ -143,3 +143,10 @@ def test_pipeline_rerun_reuses_complete_tables(spark):
     files_before = sorted(w1["fact_loaded"].inputFiles())
     w2 = run(spark, flat, None, us_region_reference(spark), os.path.join(d, "dw"), dt.datetime(2025, 1, 1))
     assert sorted(w2["fact_loaded"].inputFiles()) == files_before and w2["fact_loaded"].count() == 2
+
+
+def test_read_table_sql_and_view(spark):
+    from dwkit.sources import read_table
+    spark.range(3).createOrReplaceTempView("dwkit_t")
+    assert read_table(spark, "dwkit_t").count() == 3
+    assert read_table(spark, "", sql="SELECT count(*) AS n FROM dwkit_t").first().n == 3
