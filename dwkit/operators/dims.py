@@ -17,7 +17,9 @@ from dwkit.functions.expr import band
 from dwkit.operators.joins import lookup
 from dwkit.operators.quality import as_error_rows
 from dwkit.operators.scd import scd1_merge, scd2_merge, with_default_member
-from dwkit.sources.reference import REASON_COLUMNS, REASON_ROWS, UNKNOWN_REGION_CODE, seed_reasons
+from dwkit.sources.files import convert_types
+from dwkit.sources.reference import (REASON_COLUMNS, REASON_LENGTHS, REASON_ROWS, UNKNOWN_REGION_CODE,
+                                     seed_reasons)
 
 DATE_COLUMNS = ["date_key", "full_date", "year", "quarter", "quarter_name", "month", "month_name",
                 "month_year", "week_of_year", "day_of_month", "day_of_week", "day_name",
@@ -112,7 +114,8 @@ def reason_dim(spark: SparkSession, dim: DataFrame | None = None,
     if incoming is None:
         return base
     attrs = REASON_COLUMNS[2:]
-    merged = scd1_merge(base.where(F.col("cancellation_key") != 0), incoming.select("cancellation_code", *attrs),
+    incoming = convert_types(incoming.select("cancellation_code", *attrs), REASON_LENGTHS)
+    merged = scd1_merge(base.where(F.col("cancellation_key") != 0), incoming,
                         "cancellation_code", attrs, "cancellation_key")
     return with_default_member(merged.select(*REASON_COLUMNS),
                                dict(zip(REASON_COLUMNS, REASON_ROWS[0])))

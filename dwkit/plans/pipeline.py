@@ -173,8 +173,8 @@ def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFra
 
 def main(argv=None) -> None:
     from dwkit.session import local_session
-    from dwkit.sources.files import read_csv
-    from dwkit.sources.reference import COMPLETION_SCHEMA, FLAT_SCHEMA, us_region_reference
+    from dwkit.sources.files import convert_types, read_csv
+    from dwkit.sources.reference import COMPLETION_SCHEMA, FLAT_SCHEMA, REGION_LENGTHS, us_region_reference
     ap = argparse.ArgumentParser(description="Load the warehouse from a flat operations file.")
     ap.add_argument("--flat", required=True)
     ap.add_argument("--feed")
@@ -185,8 +185,8 @@ def main(argv=None) -> None:
     spark = local_session(a.master[6:-1]) if a.master else SparkSession.builder.getOrCreate()
     flat = read_csv(spark, a.flat, FLAT_SCHEMA, date_format="yyyy-MM-dd")
     feed = read_csv(spark, a.feed, COMPLETION_SCHEMA, timestamp_format="yyyy-MM-dd HH:mm:ss") if a.feed else None
-    regions = (read_csv(spark, a.regions, "state_name string, region string, region_code string")
-               if a.regions else us_region_reference(spark))
+    regions = (convert_types(read_csv(spark, a.regions, "state_name string, region string, region_code string"),
+                             REGION_LENGTHS) if a.regions else us_region_reference(spark))
     w = run(spark, flat, feed, regions, a.out)
     for k, v in w.items():
         print(k, v.count())

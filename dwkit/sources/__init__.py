@@ -7,5 +7,5 @@ from dwkit.sources.files import (  # noqa: F401
 from dwkit.sources.reference import (  # noqa: F401
     FLAT_SCHEMA, COMPLETION_SCHEMA, ERROR_SCHEMA, DELAY_PARTS, REASON_ROWS, REASON_COLUMNS,
     US_STATE_REGIONS, REGION_CODES, UNKNOWN_REGION_CODE, US_FEDERAL_HOLIDAYS_2024,
-    seed_reasons, us_region_reference,
+    seed_reasons, us_region_reference, REASON_LENGTHS, REGION_LENGTHS,
 )

@@ -97,6 +97,12 @@ US_STATE_REGIONS = {
 REGION_CODES = {"Northeast": "NE", "Midwest": "MW", "South": "SO", "West": "WE", "Territories": "TR"}
 UNKNOWN_REGION_CODE = "XX"
 
+# Declared text lengths of the reference sheets (a longer value
+# fails the load instead of being truncated).
+REASON_LENGTHS = {"cancellation_code": ("string", 3), "reason_description": ("string", 200),
+                  "responsible_party": ("string", 50), "compensation_eligibility": ("string", 200)}
+REGION_LENGTHS = {"state_name": ("string", 100), "region": ("string", 20), "region_code": ("string", 2)}
+
 # US federal holidays of 2024 (the warehouse calendar year).
 US_FEDERAL_HOLIDAYS_2024 = [
     _dt.date(2024, 1, 1), _dt.date(2024, 1, 15), _dt.date(2024, 2, 19), _dt.date(2024, 5, 27),

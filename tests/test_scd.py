@@ -68,3 +68,12 @@ def test_calendar_only_if_missing(spark):
     want = date_dim(spark, dt.date(2024, 1, 5), dt.date(2024, 1, 20))
     out = add_missing_dates(have, want)
     assert out.count() == 20 and out.select("date_key").distinct().count() == 20
+
+
+def test_reason_sheet_length_limits(spark):
+    import pytest
+    from dwkit.operators.dims import reason_dim
+    sheet = spark.createDataFrame([("ABCD", "x", "y", "z")], "cancellation_code string, reason_description string, "
+                                  "responsible_party string, compensation_eligibility string")
+    with pytest.raises(Exception):
+        reason_dim(spark, incoming=sheet).collect()
