@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwkit.operators.windows import with_surrogate
 
 
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
@@ -29,33 +28,63 @@ def random_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
 MAX_STRATA = 100_000
 
 
+def _boundary(hist: DataFrame, stratum: str, bucket: str, need: str) -> DataFrame:
+    """Per stratum, the first bucket whose running count reaches ``need`` and
+    the count of rows in earlier buckets.  ``hist`` has one row per
+    (stratum, bucket) with ``__c``; at most 65,536 buckets per stratum, so the
+    per-stratum window is bounded."""
+    w = Window.partitionBy(stratum).orderBy(bucket).rowsBetween(Window.unboundedPreceding, 0)
+    h = hist.withColumn("__cum", F.sum("__c").over(w))
+    return (h.where((F.col("__cum") >= F.col(need)) & (F.col("__cum") - F.col("__c") < F.col(need)))
+            .select(stratum, F.col(bucket).alias(f"{bucket}_cut"), (F.col("__cum") - F.col("__c")).alias(f"{bucket}_before"),
+                    need))
+
+
 def stratified_sample(df: DataFrame, stratum: str, frac: float, key: Sequence[str],
                       seed: int = 42, max_strata: int = MAX_STRATA) -> DataFrame:
     """Exact per-stratum fraction sample (SAMP-1).
 
     Stratum ``s`` with ``n_s`` rows contributes exactly
     ``bround(frac * n_s)`` rows (half-even, like the dataframe library): the
-    rows with the smallest seeded hash of ``key``.  ``sampleBy`` is only
-    approximate.  Ranks are computed without a per-stratum window (a stratum
-    can hold half the table): the frame is range-sorted by
-    (stratum, hash, key) over all tasks and numbered densely; a row's rank in
-    its stratum is its global number minus the rows of earlier strata.
-    Stratum counts are one row per stratum; their number is checked
-    (``max_strata``) before they are broadcast, so a hot stratum is never
-    shuffled into one task.
+    rows with the smallest seeded hash of ``key`` (ties by ``key``, which
+    should be unique).  ``sampleBy`` is only approximate.
+
+    No sort of the table: a histogram of the top 16 hash bits per stratum
+    locates the bucket holding each stratum's cut-off, a histogram of the
+    next 16 bits inside that bucket narrows it further, and only the rows of
+    the final sub-bucket (about n / 2^32 of a stratum) are ranked.  Every
+    step is a scan with a small partial aggregate; the per-stratum tables
+    (count checked against ``max_strata``) are broadcast.  A stratum holding
+    half the table is handled like any other.
     """
     key = list(key)
-    h = "__h"
-    numbered = with_surrogate(df.withColumn(h, seeded_hash(key, seed)), "__pos",
-                              [F.col(stratum).asc_nulls_first(), F.col(h), *[F.col(k) for k in key]])
-    counts = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.orderBy(F.col(stratum).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    strata = counts.select(
-        stratum,
-        F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__before"),
-        F.bround(F.col("__n") * F.lit(float(frac)), 0).cast("long").alias("__take"))
-    if strata.limit(max_strata + 1).count() > max_strata:
+    x = (df.withColumn("__h", seeded_hash(key, seed))
+         .withColumn("__b1", F.shiftright("__h", 48))
+         .withColumn("__b2", F.shiftright("__h", 32).bitwiseAND(F.lit(0xFFFF))))
+    take = (df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__n"))
+            .select(stratum, F.bround(F.col("__n") * F.lit(float(frac)), 0).cast("long").alias("__take"))
+            .where(F.col("__take") > 0))
+    if take.limit(max_strata + 1).count() > max_strata:
         raise ValueError(f"more than {max_strata} strata: not a stratified sample")
-    j = numbered.join(F.broadcast(strata), numbered[stratum].eqNullSafe(strata[stratum]))
-    keep = (F.col("__pos") - F.col("__before")) <= F.col("__take")
-    return j.where(keep).select(*[numbered[c] for c in df.columns])
+
+    def on(a: DataFrame, b: DataFrame) -> DataFrame:
+        bb = b.withColumnRenamed(stratum, "__s")
+        return a.join(F.broadcast(bb), a[stratum].eqNullSafe(bb["__s"])).drop("__s")
+
+    h1 = on(x.groupBy(stratum, "__b1").agg(F.count(F.lit(1)).alias("__c")), take)
+    cut1 = _boundary(h1, stratum, "__b1", "__take")
+    x1 = on(x, cut1)
+    edge = x1.where(F.col("__b1") == F.col("__b1_cut"))
+    h2 = (edge.groupBy(stratum, "__b2").agg(F.count(F.lit(1)).alias("__c"))
+          .join(F.broadcast(cut1.select(F.col(stratum).alias("__s"), (F.col("__take") - F.col("__b1_before"))
+                                        .alias("__need"))), F.col(stratum).eqNullSafe(F.col("__s"))).drop("__s"))
+    cut2 = _boundary(h2, stratum, "__b2", "__need")
+    e2 = on(edge, cut2.select(stratum, "__b2_cut", "__b2_before", "__need"))
+    last_w = Window.partitionBy(stratum).orderBy("__h", *key)
+    last = (e2.where(F.col("__b2") == F.col("__b2_cut"))
+            .withColumn("__rn", F.row_number().over(last_w))
+            .where(F.col("__rn") <= F.col("__need") - F.col("__b2_before")))
+    cols = list(df.columns)
+    return (x1.where(F.col("__b1") < F.col("__b1_cut")).select(*cols)
+            .unionByName(e2.where(F.col("__b2") < F.col("__b2_cut")).select(*cols))
+            .unionByName(last.select(*cols)))

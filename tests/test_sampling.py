@@ -37,3 +37,17 @@ def test_random_rows_brute_force(spark):
     got = [r.id for r in random_rows(df, 7, ["id"], 3).collect()]
     hashed = sorted((r.h, r.id) for r in df.select("id", seeded_hash(["id"], 3).alias("h")).collect())
     assert got == [i for _, i in hashed[:7]]
+
+
+def test_stratified_sample_edge_cases(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id") % 3).alias("s"),
+        (F.col("id") % 7).alias("dup"), F.col("id"))
+    n = {r.s: r["count"] for r in df.groupBy("s").count().collect()}
+    for frac in (0.1, 1.0, 0.0001):
+        out = stratified_sample(df, "s", frac, ["dup"], seed=5)          # 7 distinct keys: big hash ties
+        got = {r.s: r["count"] for r in out.groupBy("s").count().collect()}
+        want = {k: _half_even(v * frac) for k, v in n.items() if _half_even(v * frac) > 0}
+        assert got == want, (frac, got, want)
+    full = stratified_sample(df, "s", 1.0, ["id"])
+    assert full.count() == 3000 and full.select("id").distinct().count() == 3000
