@@ -50,7 +50,7 @@ def value_counts(df: DataFrame, col: str, digits: int = 2) -> DataFrame:
     """
     total = df.select(F.count(F.lit(1))).scalar()
     vc = df.groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("count"))
-    return vc.withColumn("pct", F.bround(F.col("count") * 100.0 / total, digits).cast("double"))
+    return vc.withColumn("pct", F.bround(F.try_divide(F.col("count") * 100.0, total), digits).cast("double"))
 
 
 def profile_values(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
@@ -64,7 +64,7 @@ def profile_values(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataF
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
         for c in cols])).alias("__kv")).select("__kv.*")
     vc = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    return vc.withColumn("pct", F.bround(F.col("count") * 100.0 / total, digits).cast("double"))
+    return vc.withColumn("pct", F.bround(F.try_divide(F.col("count") * 100.0, total), digits).cast("double"))
 
 
 def correlation(df: DataFrame, a: str, b: str, digits: int | None = 4) -> DataFrame:
@@ -99,7 +99,7 @@ def completion_status(fact: DataFrame, complete: str = "accm_txn_complete_time",
         done.alias("completed"),
         F.count_if(F.col(complete).isNull()).alias("pending"),
         F.count_if(F.col(hours).isNotNull()).alias("with_hours"),
-        (done * 100.0 / F.nullif(n, F.lit(0))).cast("decimal(5,2)").alias("pct_complete"),
+        F.try_divide(done * 100.0, n).cast("decimal(5,2)").alias("pct_complete"),
     )
 
 
