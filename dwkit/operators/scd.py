@@ -34,6 +34,11 @@ def _same(cols: Sequence[str], a: str, b: str) -> Column:
     return reduce(lambda x, y: x & y, [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in cols])
 
 
+def _key_match(keys: Sequence[str], a: str, b: str) -> Column:
+    """Null-safe equality of business keys between aliases ``a`` and ``b``."""
+    return reduce(lambda x, y: x & y, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
+
+
 def _unique_batch(incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str],
                   order: Sequence[str] | None) -> DataFrame:
     """Reduce the batch to one row per key; the smallest ``order`` wins."""
@@ -90,11 +95,12 @@ def scd2_classify(dim: DataFrame, incoming: DataFrame, key: Sequence[str] | str,
     keys = [key] if isinstance(key, str) else list(key)
     inc = _unique_batch(incoming, keys, tracked, order).alias("i")
     cur = current(dim, flag).select(*keys, *tracked).withColumn("__cur", F.lit(True)).alias("c")
-    j = inc.join(cur, keys, "left")
+    j = inc.join(cur, _key_match(keys, "i", "c"), "left")
     status = (F.when(F.col("c.__cur").isNull(), F.lit("new"))
               .when(_same(tracked, "i", "c"), F.lit("unchanged"))
               .otherwise(F.lit("changed")))
-    return j.select(*keys, *[F.col(f"i.{c}").alias(c) for c in tracked], status.alias("scd_status"))
+    return j.select(*[F.col(f"i.{k}").alias(k) for k in keys], *[F.col(f"i.{c}").alias(c) for c in tracked],
+                    status.alias("scd_status"))
 
 
 def scd2_merge(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] | str,
@@ -127,13 +133,14 @@ def scd2_merge(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
     cur = current(dim).alias("c")
     hist = dim.where(~F.col(CUR))
     i = inc.withColumn("__in", F.lit(True)).alias("i")
-    j = cur.join(i, keys, "full")
+    j = cur.join(i, _key_match(keys, "c", "i"), "full")   # null-safe business keys
     has_cur = F.col(f"c.{sk}").isNotNull()
     has_in = F.col("i.__in").isNotNull()
     same = _same(tracked, "c", "i")
     changed = has_cur & has_in & ~same
 
-    c_cols = lambda: [F.col(f"c.{sk}").alias(sk), *keys, *[F.col(f"c.{t}").alias(t) for t in tracked]]
+    c_cols = lambda: [F.col(f"c.{sk}").alias(sk), *[F.col(f"c.{k}").alias(k) for k in keys],
+                      *[F.col(f"c.{t}").alias(t) for t in tracked]]
     untouched = j.where(has_cur & ~changed).select(*c_cols(), F.col(f"c.{EFF}").alias(EFF),
                                                    F.col(f"c.{EXP}").alias(EXP), F.col(f"c.{CUR}").alias(CUR))
     expired = j.where(changed).select(*c_cols(), F.col(f"c.{EFF}").alias(EFF),
@@ -141,17 +148,17 @@ def scd2_merge(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
     # A brand-new key may still have closed history (a key that was expired
     # and not re-opened is impossible here, but guard anyway): it starts at
     # first_effective only when no version of it exists.
-    known = dim.select(*keys).distinct().withColumn("__known", F.lit(True))
-    fresh = j.where(~has_cur & has_in).select(*keys, *[F.col(f"i.{t}").alias(t) for t in tracked])
-    fresh = fresh.join(known, keys, "left").select(
-        *keys, *tracked,
-        F.when(F.col("__known").isNull(), _ts(first_effective)).otherwise(run).alias(EFF))
-    reopened = j.where(changed).select(*keys, *[F.col(f"i.{t}").alias(t) for t in tracked],
-                                       run.alias(EFF))
+    known = dim.select(*keys).distinct().withColumn("__known", F.lit(True)).alias("k")
+    i_cols = lambda: [*[F.col(f"i.{k}").alias(k) for k in keys], *[F.col(f"i.{t}").alias(t) for t in tracked]]
+    fresh = j.where(~has_cur & has_in).select(*i_cols()).alias("f")
+    fresh = fresh.join(known, _key_match(keys, "f", "k"), "left").select(
+        *[F.col(f"f.{k}").alias(k) for k in keys], *[F.col(f"f.{t}").alias(t) for t in tracked],
+        F.when(F.col("k.__known").isNull(), _ts(first_effective)).otherwise(run).alias(EFF))
+    reopened = j.where(changed).select(*i_cols(), run.alias(EFF))
     inserts = fresh.unionByName(reopened).select(*keys, *tracked, EFF,
                                                  _ts(open_end).alias(EXP), F.lit(True).alias(CUR))
     start = dim.select(F.coalesce(F.max(sk), F.lit(0)) + 1).scalar()
-    inserted = with_surrogate(inserts, sk, keys, start=start).select(*cols)
+    inserted = with_surrogate(inserts, sk, [F.col(k).asc_nulls_first() for k in keys], start=start).select(*cols)
     return (hist.select(*cols).unionByName(untouched.select(*cols))
             .unionByName(expired.select(*cols)).unionByName(inserted))
 

@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 
 from dwkit.operators.scd import OPEN_END, scd2_merge
 
-KEYS = ["AA", "B6", "NK"]
+KEYS = ["AA", "B6", "NK", None]
 batch = st.lists(st.tuples(st.sampled_from(KEYS), st.sampled_from(["x", "y", None])), min_size=1, max_size=4)
 
 
