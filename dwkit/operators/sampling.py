@@ -50,41 +50,45 @@ def stratified_sample(df: DataFrame, stratum: str, frac: float, key: Sequence[st
     should be unique).  ``sampleBy`` is only approximate.
 
     No sort of the table: a histogram of the top 16 hash bits per stratum
-    locates the bucket holding each stratum's cut-off, a histogram of the
-    next 16 bits inside that bucket narrows it further, and only the rows of
-    the final sub-bucket (about n / 2^32 of a stratum) are ranked.  Every
-    step is a scan with a small partial aggregate; the per-stratum tables
-    (count checked against ``max_strata``) are broadcast.  A stratum holding
-    half the table is handled like any other.
+    (which also gives the stratum sizes) locates the bucket holding each
+    stratum's cut-off, a histogram of the next 16 bits inside that bucket
+    narrows it further, and only the rows of the final sub-bucket (about
+    n / 2^32 of a stratum) are ranked.  The per-stratum cut tables are tiny
+    (one row per stratum, count checked against ``max_strata``), are
+    checkpointed so later steps do not recompute the histograms, and are
+    broadcast.  Four column-pruned scans in all; a stratum holding half the
+    table is handled like any other.
     """
+    from dwkit.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     key = list(key)
     x = (df.withColumn("__h", seeded_hash(key, seed))
          .withColumn("__b1", F.shiftright("__h", 48))
          .withColumn("__b2", F.shiftright("__h", 32).bitwiseAND(F.lit(0xFFFF))))
-    take = (df.groupBy(stratum).agg(F.count(F.lit(1)).alias("__n"))
-            .select(stratum, F.bround(F.col("__n") * F.lit(float(frac)), 0).cast("long").alias("__take"))
-            .where(F.col("__take") > 0))
-    if take.limit(max_strata + 1).count() > max_strata:
-        raise ValueError(f"more than {max_strata} strata: not a stratified sample")
 
     def on(a: DataFrame, b: DataFrame) -> DataFrame:
         bb = b.withColumnRenamed(stratum, "__s")
         return a.join(F.broadcast(bb), a[stratum].eqNullSafe(bb["__s"])).drop("__s")
 
-    h1 = on(x.groupBy(stratum, "__b1").agg(F.count(F.lit(1)).alias("__c")), take)
-    cut1 = _boundary(h1, stratum, "__b1", "__take")
-    x1 = on(x, cut1)
-    edge = x1.where(F.col("__b1") == F.col("__b1_cut"))
-    h2 = (edge.groupBy(stratum, "__b2").agg(F.count(F.lit(1)).alias("__c"))
-          .join(F.broadcast(cut1.select(F.col(stratum).alias("__s"), (F.col("__take") - F.col("__b1_before"))
-                                        .alias("__need"))), F.col(stratum).eqNullSafe(F.col("__s"))).drop("__s"))
-    cut2 = _boundary(h2, stratum, "__b2", "__need")
-    e2 = on(edge, cut2.select(stratum, "__b2_cut", "__b2_before", "__need"))
+    # scan 1; at most 65,536 rows per stratum, kept so it is not recomputed
+    h1 = x.groupBy(stratum, "__b1").agg(F.count(F.lit(1)).alias("__c")).checkpoint(eager=True)
+    take = (h1.groupBy(stratum).agg(F.sum("__c").alias("__n"))
+            .select(stratum, F.bround(F.col("__n") * F.lit(float(frac)), 0).cast("long").alias("__take"))
+            .where(F.col("__take") > 0))
+    if take.limit(max_strata + 1).count() > max_strata:
+        raise ValueError(f"more than {max_strata} strata: not a stratified sample")
+    cut1 = _boundary(on(h1, take), stratum, "__b1", "__take").checkpoint(eager=True)
+    edge = on(x, cut1).where(F.col("__b1") == F.col("__b1_cut"))
+    h2 = edge.groupBy(stratum, "__b2").agg(F.count(F.lit(1)).alias("__c"))               # scan 2
+    need = cut1.select(stratum, (F.col("__take") - F.col("__b1_before")).alias("__need"))
+    cut2 = _boundary(on(h2, need), stratum, "__b2", "__need")
+    cuts = on(cut1.select(stratum, "__b1_cut"), cut2).checkpoint(eager=True)
+    xc = on(x, cuts)
+    inside = xc.where((F.col("__b1") < F.col("__b1_cut"))                                 # scan 3
+                      | ((F.col("__b1") == F.col("__b1_cut")) & (F.col("__b2") < F.col("__b2_cut"))))
     last_w = Window.partitionBy(stratum).orderBy("__h", *key)
-    last = (e2.where(F.col("__b2") == F.col("__b2_cut"))
+    last = (xc.where((F.col("__b1") == F.col("__b1_cut")) & (F.col("__b2") == F.col("__b2_cut")))  # scan 4
             .withColumn("__rn", F.row_number().over(last_w))
             .where(F.col("__rn") <= F.col("__need") - F.col("__b2_before")))
     cols = list(df.columns)
-    return (x1.where(F.col("__b1") < F.col("__b1_cut")).select(*cols)
-            .unionByName(e2.where(F.col("__b2") < F.col("__b2_cut")).select(*cols))
-            .unionByName(last.select(*cols)))
+    return inside.select(*cols).unionByName(last.select(*cols))
