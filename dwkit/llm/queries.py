@@ -4,18 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwkit.llm import simhash
+from dwkit.llm import decontam, embed_dedup, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The labelled categories of ``labels``, in the chain's order.
+CATEGORIES = {"low_quality": "1 - quality", "toxic": "toxic"}
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), CATEGORIES, reject="toxic")
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, bound=3)
 
 
 QUERIES = {
+    "op2_sharding": op2_sharding,
+    "op4_warc": op4_warc,
+    "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
