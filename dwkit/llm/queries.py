@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwkit.llm import decontam, embed_dedup, sharding, simhash, toxicity, warc
+from dwkit.llm import decontam, embed_dedup, packing, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,6 +35,15 @@ def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embed_dedup.link(table(spark, sf_dir, "embeddings"), threshold=0.93)
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, bound=3)
 
@@ -45,6 +54,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
+    "op8_packing": op8_packing,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 

@@ -1,14 +1,15 @@
 """Toxicity by a classifier chain.
 
 One logistic model per category, in the chain's order.  Each model sees the words
-of a text, a few numbers about its letters, and the probabilities of the
+of a text and their beginnings, a few numbers about its letters, and the probabilities of the
 categories before it.  For training, those probabilities are out-of-fold: every
 row's value comes from models that never saw the row, so a later model learns how
 far it can trust an earlier one; the final models of all rows score the corpus.
+Unless a threshold is given, the one with the best out-of-fold F1 is taken.
 
 The models are fitted in numpy on at most ``SAMPLE`` labelled documents (those with
 the smallest hash of their id); scoring runs over all documents in parallel with
-the small model (at most ``FEATURES`` words a category) in each task.
+the small model (at most ``FEATURES`` words and word beginnings a category) in each task.
 
 Edge cases: null and empty texts are scored by the intercepts and the letter
 numbers at zero; labels that are null are left out of that category; several
@@ -31,9 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE = 20_000    # labelled documents the models are fitted on
+SAMPLE = 10_000    # labelled documents the models are fitted on
 FEATURES = 4_000   # words of a model
 FOLDS = 3
+CACHE = 300_000    # words whose features a task remembers
 _WORD = re.compile(r"\w+")
 _LETTER_NUMBERS = 3
 
@@ -57,9 +59,14 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def features(word: str) -> list[str]:
+    """A word and its beginnings of four and five characters."""
+    return [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)]
+
+
 @dataclass
 class Linear:
-    """Logistic model over words and standardised dense columns."""
+    """Logistic model over text features and standardised dense columns."""
     words: dict[str, int] = field(default_factory=dict)
     w: np.ndarray = field(default_factory=lambda: np.zeros(0))
     mean: np.ndarray | None = None
@@ -67,58 +74,72 @@ class Linear:
     dense_w: np.ndarray | None = None
     bias: float = -np.inf
 
-    def prob(self, words: set[str], dense: Sequence[float]) -> float:
+    def prob(self, found: np.ndarray, dense: Sequence[float]) -> float:
+        """Probability for the features found (numbers of this model) and the dense columns."""
         if self.dense_w is None:
             return float(sigmoid(np.array(self.bias))) if np.isfinite(self.bias) else 0.0
-        z = self.bias + sum(self.w[self.words[x]] for x in words if x in self.words)
-        return float(sigmoid(z + ((np.asarray(dense) - self.mean) / self.scale) @ self.dense_w))
-
-
-def choose_words(sets: Sequence[set[str]], y: np.ndarray, most: int = FEATURES, least_df: int = 3,
-                 least_chi2: float = 12.0) -> dict[str, int]:
-    """Words whose presence differs most between the classes (chi-squared)."""
-    n, pos = len(y), int(y.sum())
-    in_pos: Counter = Counter()
-    df: Counter = Counter()
-    for s, one in zip(sets, y.tolist(), strict=True):
-        df.update(s)
-        if one:
-            in_pos.update(s)
-    kept = [x for x, c in df.items() if c >= least_df]
-    c = np.array([df[x] for x in kept], dtype=float)
-    a = np.array([in_pos[x] for x in kept], dtype=float)
+        z = self.bias + self.w[found].sum() + ((np.asarray(dense) - self.mean) / self.scale) @ self.dense_w
+        return float(sigmoid(z))
+
+
+class Matrix:
+    """Which of the sample's common features each row has."""
+
+    def __init__(self, texts: Sequence[str | None], least_df: int = 3) -> None:
+        sets = [{f for w in set(tokens(t)) for f in features(w)} for t in texts]
+        df: Counter = Counter()
+        for s in sets:
+            df.update(s)
+        self.names = sorted(f for f, n in df.items() if n >= least_df)
+        at = {f: i for i, f in enumerate(self.names)}
+        rows = [np.array([at[f] for f in s if f in at], dtype=np.int64) for s in sets]
+        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+        self.col = np.concatenate([*rows, np.zeros(0, dtype=np.int64)])
+
+
+def choose(m: Matrix, rows: np.ndarray, y: np.ndarray, most: int = FEATURES, least_chi2: float = 12.0) -> np.ndarray:
+    """Features whose presence differs most between the classes (chi-squared).
+
+    ``rows`` marks the rows that count; ``y`` has a class for every row of ``m``.
+    """
+    n, pos, k = int(rows.sum()), int(y[rows].sum()), len(m.names)
+    here = rows[m.row]
+    c = np.bincount(m.col[here], minlength=k).astype(float)
+    a = np.bincount(m.col[here], weights=y[m.row[here]], minlength=k)
     with np.errstate(divide="ignore", invalid="ignore"):
-        chi2 = n * (a * (n - pos) - (c - a) * pos) ** 2 / (pos * (n - pos) * c * (n - c))
-    chi2 = np.nan_to_num(chi2)
-    order = sorted((i for i in np.flatnonzero(chi2 >= least_chi2)), key=lambda i: (-chi2[i], kept[i]))[:most]
-    return {kept[i]: at for at, i in enumerate(order)}
+        chi2 = np.nan_to_num(n * (a * (n - pos) - (c - a) * pos) ** 2 / (pos * (n - pos) * c * (n - c)))
+    some = np.flatnonzero(chi2 >= least_chi2)
+    return some[np.argsort(-chi2[some], kind="stable")][:most]
 
 
-def fit_linear(sets: Sequence[set[str]], dense: np.ndarray, y: np.ndarray, words: dict[str, int],
-               rounds: int = 300, rate: float = 0.1, l2: float = 2e-4) -> Linear:
-    """Full-batch Adam on the mean log loss."""
-    pos = int(y.sum())
-    if not len(y):
+def fit_linear(m: Matrix, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.2,
+               l2: float = 1e-5) -> Linear:
+    """Full-batch Adam on the mean log loss of the marked rows."""
+    n, pos = int(rows.sum()), int(np.nansum(y[rows]))
+    if not n:
         return Linear()
-    if pos in (0, len(y)):
-        return Linear(bias=float(np.log((pos + 0.5) / (len(y) - pos + 0.5))))
-    cols = [[words[x] for x in s if x in words] for s in sets]
-    row = np.repeat(np.arange(len(y)), [len(c) for c in cols])
-    col = np.array([i for c in cols for i in sorted(c)], dtype=np.int64)
-    mean, scale = dense.mean(axis=0), dense.std(axis=0) + 1e-9
-    x = (dense - mean) / scale
-    k, d = len(words), dense.shape[1]
+    if pos in (0, n):
+        return Linear(bias=float(np.log((pos + 0.5) / (n - pos + 0.5))))
+    some = choose(m, rows, y)
+    number = np.full(len(m.names), -1)
+    number[some] = np.arange(len(some))
+    use = rows[m.row] & (number[m.col] >= 0)
+    row, col = (np.cumsum(rows) - 1)[m.row[use]], number[m.col[use]]
+    y, x = y[rows], dense[rows]
+    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    x = (x - mean) / scale
+    k, d = len(some), dense.shape[1]
     theta = np.zeros(k + d + 1)
-    theta[-1] = np.log(pos / (len(y) - pos))
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
+    theta[-1] = np.log(pos / (n - pos))
+    up, var = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
-        z = np.bincount(row, weights=theta[col], minlength=len(y)) + x @ theta[k:k + d] + theta[-1]
-        g = (sigmoid(z) - y) / len(y)
+        z = np.bincount(row, weights=theta[col], minlength=n) + x @ theta[k:k + d] + theta[-1]
+        g = (sigmoid(z) - y) / n
         grad = np.concatenate((np.bincount(col, weights=g[row], minlength=k), x.T @ g, [g.sum()]))
         grad[:-1] += l2 * theta[:-1]
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
-        theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
-    return Linear(words, theta[:k], mean, scale, theta[k:k + d], float(theta[-1]))
+        up, var = 0.9 * up + 0.1 * grad, 0.999 * var + 0.001 * grad * grad
+        theta -= rate * (up / (1 - 0.9 ** t)) / (np.sqrt(var / (1 - 0.999 ** t)) + 1e-8)
+    return Linear({m.names[i]: at for at, i in enumerate(some)}, theta[:k], mean, scale, theta[k:k + d], float(theta[-1]))
 
 
 @dataclass
@@ -126,40 +147,66 @@ class Chain:
     """Fitted models in the chain's order."""
     names: list[str]
     models: list[Linear]
+    cuts: list[float]
+
+    def __post_init__(self) -> None:
+        self.cache: dict[str, list[list[int]]] = {}
+
+    def _found(self, word: str) -> list[list[int]]:
+        """Numbers of a word's features in each model; kept for the next time the word occurs."""
+        got = [[m.words[f] for f in features(word) if f in m.words] for m in self.models]
+        got = got if any(got) else []
+        if len(self.cache) >= CACHE:
+            self.cache.clear()
+        self.cache[word] = got
+        return got
 
     def score(self, text: str | None) -> list[float]:
-        ws = tokens(text)
+        """Probability of every category."""
+        known, words = self.cache, set(tokens(text))
+        got = [x for w in words if (x := known[w] if w in known else self._found(w))]
         dense, probs = letter_numbers(text), []
-        for m in self.models:
-            probs.append(m.prob(set(m.words).intersection(ws), dense + probs))
+        for i, m in enumerate(self.models):
+            found = np.array(sorted({f for x in got for f in x[i]}), dtype=np.int64)
+            probs.append(m.prob(found, dense + probs))
         return probs
 
 
 def fit_chain(texts: Sequence[str | None], folds: np.ndarray, labels: dict[str, np.ndarray], n_folds: int = FOLDS) -> Chain:
     """Fit a chain; ``labels`` holds 0/1 or NaN per row and category, in the chain's order."""
-    sets = [set(tokens(t)) for t in texts]
-    dense = np.array([letter_numbers(t) for t in texts]).reshape(len(sets), -1)
-    if not len(sets):
-        dense = np.zeros((0, _LETTER_NUMBERS))
-    names, models = [], []
-    for name, raw in labels.items():
-        known = ~np.isnan(raw)
-
-        def fit(rows: np.ndarray, raw: np.ndarray = raw, dense: np.ndarray = dense) -> Linear:
-            some = [sets[i] for i in rows]
-            y = raw[rows]
-            words = choose_words(some, y) if 0 < y.sum() < len(y) else {}
-            return fit_linear(some, dense[rows], y, words)
-        final = fit(np.flatnonzero(known))
-        held_out = np.zeros(len(sets))
+    m = Matrix(texts)
+    dense = np.array([letter_numbers(t) for t in texts]).reshape(len(texts), _LETTER_NUMBERS)
+    starts = np.searchsorted(m.row, np.arange(len(texts) + 1))
+    names, models, cuts = [], [], []
+    for name, y in labels.items():
+        known = ~np.isnan(y)
+        held_out = np.zeros(len(texts))
         for f in range(n_folds):
-            m = fit(np.flatnonzero(known & (folds != f)))
+            part = fit_linear(m, known & (folds != f), dense, y)
+            number = np.array([part.words.get(x, -1) for x in m.names] + [-1], dtype=np.int64)
             for i in np.flatnonzero(folds == f):
-                held_out[i] = m.prob(set(m.words).intersection(sets[i]), dense[i])
+                found = number[m.col[starts[i]:starts[i + 1]]]
+                held_out[i] = part.prob(found[found >= 0], dense[i])
         names.append(name)
-        models.append(final)
+        models.append(fit_linear(m, known, dense, y))
+        cuts.append(best_cut(held_out[known], y[known]))
         dense = np.column_stack((dense, held_out))
-    return Chain(names, models)
+    return Chain(names, models, cuts)
+
+
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The threshold with the best F1 on out-of-fold probabilities, half way (in
+    log odds) to the next lower one; 0.5 without rows of both classes."""
+    if not 0 < y.sum() < len(y):
+        return 0.5
+    order = np.argsort(-p, kind="stable")
+    p, hits = p[order], np.cumsum(y[order])
+    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    f1[:-1][p[:-1] == p[1:]] = 0          # rows of equal probability stand together
+    at = int(np.argmax(f1))
+    low = p[at + 1] if at + 1 < len(p) else 0.0
+    odds = [np.log(x / (1 - x)) for x in np.clip([p[at], low], 1e-6, 1 - 1e-6)]
+    return float(np.clip(sigmoid(np.array(sum(odds) / 2)), 0.05, 0.5))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col: str = "doc_id", text_col: str = "text",
@@ -189,17 +236,19 @@ def probabilities(chain: Chain, text):
     return score(text)
 
 
-def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float = 0.5,
+def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None,
              id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """``(id, <category> ..., rejected)`` for every row of ``docs``."""
     chain = train(docs, labels, categories, id_col, text_col, sample)
+    threshold = chain.cuts[chain.names.index(reject)] if threshold is None else threshold
     scored = docs.select(F.col(id_col), probabilities(chain, F.col(text_col)).alias("p"))
     return scored.select(id_col, *[F.col(f"p.{c}").alias(f"p_{c}") for c in chain.names],
                          (F.col(f"p.{reject}") >= threshold).alias("rejected"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float = 0.5,
+def keep_clean(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None,
                id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE) -> DataFrame:
     """The rows of ``docs`` whose probability of ``reject`` is below the threshold."""
     chain = train(docs, labels, categories, id_col, text_col, sample)
+    threshold = chain.cuts[chain.names.index(reject)] if threshold is None else threshold
     return docs.where(probabilities(chain, F.col(text_col))[reject] < threshold)
