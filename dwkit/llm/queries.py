@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwkit.llm import decontam, embed_dedup, packing, sharding, simhash, toxicity, warc
+from dwkit.llm import decontam, embed_dedup, line_dedup, packing, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,11 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup(docs, counts=True)
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
@@ -50,6 +55,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_sharding": op2_sharding,
+    "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
@@ -58,4 +64,31 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_line_dedup": r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line
+  FROM documents),
+norm AS (
+  SELECT doc_id, pos, line, list_filter(regexp_split_to_array(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM lines),
+keyed AS (SELECT doc_id, pos, line, array_to_string(w, ' ') AS k, w, len(w) AS n FROM norm),
+firsts AS (
+  SELECT k, any_value(w) AS w, any_value(n) AS n, min({'d': doc_id, 'p': pos}) AS f FROM keyed WHERE n > 0 GROUP BY k),
+variants AS (
+  SELECT k, f, gap, array_to_string(list_concat(w[:gap - 1], w[gap + 1:]), ' ') AS v
+  FROM (SELECT k, f, w, unnest(range(1, n + 1)) AS gap FROM firsts WHERE n >= 10)),
+best AS (SELECT v, gap, min(f) AS f FROM variants GROUP BY v, gap),
+any_gap AS (SELECT v, min(f) AS f FROM best GROUP BY v),
+near AS (
+  SELECT a.k FROM variants a JOIN best b ON a.v = b.v AND a.gap = b.gap WHERE b.f < a.f
+  UNION SELECT a.k FROM variants a JOIN firsts b ON a.v = b.k WHERE b.n >= 10 AND b.f < a.f
+  UNION SELECT b.k FROM firsts b JOIN any_gap a ON a.v = b.k WHERE b.n >= 10 AND a.f < b.f),
+judged AS (
+  SELECT y.doc_id, y.pos, y.line, y.n > 0 AND (r.k IS NOT NULL OR f.f <> {'d': y.doc_id, 'p': y.pos}) AS gone
+  FROM keyed y LEFT JOIN firsts f ON y.k = f.k LEFT JOIN near r ON y.k = r.k)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(j.line, chr(10) ORDER BY j.pos) FILTER (WHERE NOT coalesce(j.gone, false)), '') END AS text,
+  CAST(count(j.pos) AS INTEGER) AS n_lines, CAST(count(j.pos) FILTER (WHERE j.gone) AS INTEGER) AS n_dropped
+FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.text
+""",
+}
