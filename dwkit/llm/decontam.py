@@ -12,8 +12,9 @@ counts).  ``RADIUS`` lies 4.7 standard deviations above the distance expected at
 a similarity of 0.8.
 
 A window with similarity ``t`` shares at least ``t / (1 + t)`` of both sides'
-shingles with the item.  Windows that hold fewer positions whose shingle occurs in
-any item are skipped unhashed: that drops no match and spares nearly all windows.
+shingles with the item.  Windows that hold fewer places whose shingle occurs in an
+item of their size are skipped unhashed: that drops no match and spares nearly all
+windows.
 
 The items of one pass are shipped to every task; a pass takes items of
 ``PASS_WORDS`` words in all at most (or one item, if that alone is longer), a
@@ -91,19 +92,20 @@ class Index:
             for w in ws:
                 self.vocab.setdefault(w, len(self.vocab))
         self.k = [min(k, len(ws)) for ws in self.words]
-        self.sizes: dict[int, set[int]] = defaultdict(set)
-        keys: dict[int, set[int]] = defaultdict(set)
+        sizes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         self.counts, fps = [], []
         for ws, kk in zip(self.words, self.k, strict=True):
-            self.sizes[kk].add(len(ws))
             sh = shingles(list(ws), kk)
             self.counts.append(Counter(sh))
             fps.append(_simhash(np.array([_hash(s) for s in sh], dtype=np.uint64)))
             ids = np.array([self.vocab[w] for w in ws], dtype=np.uint64)
-            keys[kk].update(self._keys(ids, kk).tolist())
+            for key in self._keys(ids, np.arange(len(sh)), kk).tolist():
+                sizes[kk][key].add(len(ws))
         self.fps = np.array(fps, dtype=np.uint64)
         self.lens = np.array([len(ws) for ws in self.words], dtype=np.int64)
-        self.keys = {kk: np.array(sorted(v), dtype=np.uint64) for kk, v in keys.items()}
+        # Known shingles by length, and the sizes of the items that hold each.
+        self.keys = {kk: np.array(sorted(v), dtype=np.uint64) for kk, v in sizes.items()}
+        self.sizes = {kk: [v[key] for key in sorted(v)] for kk, v in sizes.items()}
         # Hamming tables: block values within radius // blocks bits.
         flips, reach = [0], radius // blocks
         for _ in range(reach):
@@ -117,11 +119,11 @@ class Index:
         self.tables = [{v: np.array(x) for v, x in t.items()} for t in self.tables]
 
     @staticmethod
-    def _keys(ids: np.ndarray, k: int) -> np.ndarray:
-        """A number for every run of k word ids."""
-        out = np.zeros(len(ids) - k + 1, dtype=np.uint64)
+    def _keys(ids: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+        """A number for the run of k word ids at each of the places."""
+        out = np.zeros(len(at), dtype=np.uint64)
         for j in range(k):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[j:len(ids) - k + 1 + j] + np.uint64(1)
+            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[at + j].astype(np.uint64) + np.uint64(1)
         return out
 
     def near(self, fp: np.uint64) -> np.ndarray:
@@ -147,19 +149,22 @@ class Index:
             at = np.flatnonzero(known[k:] - known[:-k] == k)
             if not len(at):
                 continue
-            own = self._keys_at(ids, at, k)
+            own = self._keys(ids, at, k)
             pos = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            at = at[keys[pos] == own]
-            if not len(at):
-                continue
-            hit = np.zeros(len(ws) - k + 2, dtype=np.int64)
-            hit[at + 1] = 1
-            hit = np.cumsum(hit)
+            hits: dict[int, list[int]] = defaultdict(list)
+            for p, key in zip(at[keys[pos] == own].tolist(), pos[keys[pos] == own].tolist(), strict=True):
+                for n in self.sizes[k][key]:
+                    hits[n].append(p)
             hashes: dict[int, int] = {}
-            for n in self.sizes[k]:
+            for n, places in hits.items():
                 own_n = min(n, len(ws)) - k + 1
-                need = math.ceil(self.threshold / (1 + self.threshold) * (own_n + n - k + 1) - 1e-9)
-                for s in np.flatnonzero(hit[own_n:] - hit[:len(hit) - own_n] >= max(1, need)).tolist():
+                need = max(1, math.ceil(self.threshold / (1 + self.threshold) * (own_n + n - k + 1) - 1e-9))
+                if len(places) < need:
+                    continue
+                hit = np.zeros(len(ws) - k + 2, dtype=np.int64)
+                hit[np.array(places) + 1] = 1
+                hit = np.cumsum(hit)
+                for s in np.flatnonzero(hit[own_n:] - hit[:len(hit) - own_n] >= need).tolist():
                     for p in range(s, s + own_n):
                         if p not in hashes:
                             hashes[p] = _hash(" ".join(ws[p:p + k]))
@@ -175,12 +180,6 @@ class Index:
                             best[c] = (sim, -s)
         return [(i, -s, sim) for c, (sim, s) in best.items() for i in self.ids[c]]
 
-    def _keys_at(self, ids: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
-        out = np.zeros(len(at), dtype=np.uint64)
-        for j in range(k):
-            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[at + j].astype(np.uint64) + np.uint64(1)
-        return out
-
 
 def passes(items: DataFrame, id_col: str, text_col: str, pass_words: int) -> list[list[tuple]]:
     """The items in lists of bounded size; the driver holds one benchmark, not documents."""
