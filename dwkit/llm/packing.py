@@ -12,8 +12,7 @@ sentence).  ``best(i) + place(i)`` is kept in a monotone queue, so the whole blo
 is solved in time linear in its cut places.  The rest at a block's end is cut into
 powers of two, which need no padding.
 
-Tokens come word by word from a table of the words met before (the tokenizer
-drops white space and never joins across it), so each task encodes each word once.
+Tokens come word by word from a table of the words met before (``subwords``).
 
 A task holds one block (``BLOCK`` tokens, or one document if that is longer).
 Window numbers are ``partition * 2**32 + n``: unique and the same when a task runs
@@ -26,8 +25,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import os
-import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -39,78 +36,29 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.llm.subwords import WordTable, table, tokenizer_words
+
 LENGTH = 2048
 END = 1
 SENTENCE, INSIDE = 4, 16       # penalties of a cut, in padding tokens
 GRID = 32
 BLOCK = 2_000_000
-TABLE = 400_000                # words a task remembers
 _SLICE = 1_000_000             # characters tokenised at once
-_NO_SPACE = re.compile("[\x1c-\x1f]")  # white space for Python, not for the tokenizer
-_STOPS = (".", "!", "?", "…")
-
-
-def split_words(text: str) -> list[str]:
-    return re.split(r"[ \t\n\r]+", text.strip(" \t\n\r")) if _NO_SPACE.search(text) else text.split()
-
-
-class WordTable:
-    """Token ids of words, each encoded when first met."""
-
-    def __init__(self, path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.used = 0
-        self.flat = np.zeros(1 << 18, dtype="<u4")
-        self.starts, self.lens = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
-        self.stop = np.zeros(1 << 16, dtype=bool)
-
-    @staticmethod
-    def _room(a: np.ndarray, n: int) -> np.ndarray:
-        return a if n <= len(a) else np.concatenate((a, np.zeros(max(len(a), n - len(a)), dtype=a.dtype)))
-
-    def _add(self, new: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        lens = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        lo, hi, total = len(self.at), len(self.at) + len(new), int(lens.sum())
-        self.flat = self._room(self.flat, self.used + total)
-        self.starts, self.lens, self.stop = (self._room(a, hi) for a in (self.starts, self.lens, self.stop))
-        self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(ids), dtype="<u4", count=total)
-        self.starts[lo:hi] = self.used + np.cumsum(lens) - lens
-        self.lens[lo:hi] = lens
-        self.stop[lo:hi] = [w.endswith(_STOPS) for w in new]
-        self.at.update(zip(new, range(lo, hi), strict=True))
-        self.used += total
-
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of the words, each word's number of ids, and whether it ends a sentence."""
-        if len(self.at) > TABLE:
-            self.clear()
-        new = [w for w in set(words) if w not in self.at]
-        if new:
-            self._add(new)
-        own = np.fromiter(map(self.at.__getitem__, words), dtype=np.int64, count=len(words))
-        lens = self.lens[own]
-        total = int(lens.sum())
-        ids = self.flat[np.repeat(self.starts[own] - (np.cumsum(lens) - lens), lens) + np.arange(total)]
-        return ids, lens, self.stop[own]
-
-
-def tokenise(table: WordTable, texts: list[str | None], end: int = END) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+
+
+def tokenise(words: WordTable, texts: list[str | None], end: int = END) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per text its ids with the end id, and the places after its sentences."""
     at = 0
     while at < len(texts):
         size, lists = 0, []
+        words.trim()
         while at < len(texts) and (not lists or size + len(texts[at] or "") <= _SLICE):
-            lists.append(split_words(texts[at] or ""))
+            lists.append(tokenizer_words(texts[at]))
             size += len(texts[at] or "")
             at += 1
-        ids, lens, stop = table.encode(list(chain.from_iterable(lists)))
+        own = words.numbers(list(chain.from_iterable(lists)))
+        ids, lens = words.ids(own)
+        stop = words.stop[own]
         ends = np.cumsum(lens)
         word = 0
         for ws in lists:
@@ -192,7 +140,7 @@ def pack_block(sizes: list[int], stops: list[np.ndarray], length: int = LENGTH)
 
 
 def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    table, first = WordTable(path), TaskContext.get().partitionId() << 32
+    words, first = table(path), TaskContext.get().partitionId() << 32
     names, tokens, stops, held, ids_type = [], [], [], 0, None
 
     def flush() -> pa.RecordBatch:
@@ -213,7 +161,7 @@ def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with
 
     for batch in it:
         ids_type = batch.column("id").type
-        for name, (ids, ends) in zip(batch.column("id").to_pylist(), tokenise(table, batch.column("text").to_pylist()), strict=True):
+        for name, (ids, ends) in zip(batch.column("id").to_pylist(), tokenise(words, batch.column("text").to_pylist()), strict=True):
             names.append(name)
             tokens.append(ids)
             stops.append(ends)
