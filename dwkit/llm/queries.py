@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dwkit.llm import decontam, embed_dedup, line_dedup, packing, sharding, simhash, toxicity, warc
+from dwkit.llm import decontam, embed_dedup, line_dedup, lm, packing, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +49,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, lm.train(docs, tokenizer()), tokenizer())
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, bound=3)
 
@@ -61,6 +66,7 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_packing": op8_packing,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
