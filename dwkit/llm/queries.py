@@ -3,14 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dwkit.llm import decontam, embed_dedup, line_dedup, lm, packing, sharding, simhash, toxicity, warc
+from dwkit.llm import decontam, embed_dedup, langid, line_dedup, lm, packing, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, with all their evidence, and all documents, with text and source."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    languages = langid.train(docs)
+    of_docs = langid.identify(langid.text_rows(docs, languages), languages)
+    of_pages = langid.identify(langid.page_rows(pages, languages), languages)
+    none = F.lit(None).cast("long")
+    return (of_docs.withColumnRenamed("id", "doc_id").withColumn("page_id", none)
+            .unionByName(of_pages.withColumnRenamed("id", "page_id").withColumn("doc_id", none))
+            .select("doc_id", "page_id", "lang", "confidence", "text_lang", "declared"))
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"), shards=8)
 
@@ -59,6 +72,7 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_sharding": op2_sharding,
     "op3_line_dedup": op3_line_dedup,
     "op4_warc": op4_warc,
