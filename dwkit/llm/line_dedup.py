@@ -3,7 +3,7 @@
 A line is dropped if an earlier line is equal to it, or lies within one word
 edit (a word replaced, put in or left out) and both have at least ``min_words``
 words.  Earlier means a smaller (document id, line number); lines compare by
-their words, A-Z lower-cased, so layout does not matter.  Blank lines stay.
+their words in lower case, so layout does not matter.  Blank lines stay.
 
 Near lines meet through their deletion neighbourhoods: every line enters itself
 and all lines that arise by leaving out one word, as 64-bit keys.  The key of a line
@@ -14,8 +14,9 @@ decide as much as all pairs would), and the edit distance is verified on the wor
 
 Lines without any neighbour need no variants: two lines within one edit have the
 same first or the same last half, so only lines sharing a half with another line
-go into the join.  Their words are fetched in a second scan, behind a bitmap of
-``SLOTS`` 64-bit words (a fixed size, whatever the input), and then exactly by key.
+go into the join.  Their words are fetched in a second scan.  Where few rows of a large table are
+needed, a bitmap of ``SLOTS`` 64-bit words (a fixed size, whatever the input) lets
+them through before the exact join by key.
 
 Only DataFrame functions are used.  Equal lines are grouped by two 64-bit hashes.
 
@@ -30,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import staged, words
+from dwkit.llm.common import SPACE, staged
 
 MIN_WORDS = 10
 SLOTS = 1 << 17
@@ -41,69 +42,107 @@ def _doc_key(text_col: str) -> Column:
     return F.xxhash64(F.col(text_col))
 
 
+def normal(line: Column) -> Column:
+    """A line's words in lower case with one blank between them."""
+    odd = F.contains(line, F.lit("  "))
+    for blank in "\t\r\v\f":
+        odd = odd | F.contains(line, F.lit(blank))
+    return F.lower(F.trim(F.when(odd, F.regexp_replace(line, SPACE, " ")).otherwise(line)))
+
+
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row per non-blank line with its place, words and two hashes."""
+    """One row per non-blank line with its place, normal form and two hashes."""
     place = (F.coalesce(F.col("id").cast("decimal(20,0)"), F.lit(_LAST).cast("decimal(20,0)"))
              * F.lit("10000000000").cast("decimal(11,0)") + F.col("pos"))
     return (docs.select(F.col(id_col).alias("id"), _doc_key(text_col).alias("doc"),
                         F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
-            .withColumn("w", words(F.col("line"))).where(F.size("w") > 0)
-            .withColumn("norm", F.array_join("w", " "))
-            .select("id", "doc", "pos", place.alias("place"), "w", F.size("w").alias("n"),
+            .withColumn("norm", normal(F.col("line"))).where("norm != ''")
+            .select("id", "doc", "pos", place.alias("place"), "norm",
                     F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("2"), F.col("norm")).alias("h2")))
 
 
-def _halves() -> Column:
-    """Hashes of the first and last halves a line shares with any line one edit away."""
-    def ends(size: Column, name: str) -> list[Column]:
-        first = F.xxhash64(F.lit(f"{name}first"), size, F.array_join(F.slice("w", F.lit(1), size), " "))
-        last = F.xxhash64(F.lit(f"{name}last"), size, F.array_join(F.slice("w", F.col("n") - size + 1, size), " "))
-        return [first, last]
+def _halves(min_words: int) -> list[Column]:
+    """Number of words, and hashes of the first and last halves that a line shares
+    with any line one edit away; a line of an even number of words has two sizes of half."""
+    n = F.octet_length("norm") - F.octet_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1
     half = F.floor(F.col("n") / 2).cast("int")
-    even = F.array(*ends(half, ""), *ends(half - 1, ""))
-    return F.when(F.col("n") % 2 == 0, even).otherwise(F.array(*ends(half, "")))
+    enough, even = F.col("n") >= min_words, F.col("n") % 2 == 0
+
+    def end(size: Column, last: bool) -> Column:
+        return F.xxhash64(F.lit(last), size, F.call_function(
+            "substring_index", F.col("norm"), F.lit(" "), -size if last else size))
+    return [n, F.when(enough, end(half, False)), F.when(enough, end(half, True)),
+            F.when(enough & even, end(half - 1, False)), F.when(enough & even, end(half - 1, True))]
+
+
+_HALVES = ["first1", "last1", "first2", "last2"]
+
+
+class _Bitmap:
+    """Filter for 64-bit hashes that some set may hold: ``SLOTS`` 64-bit words, whatever
+    the set's size, so it may be broadcast.  Passes all of the set and few others."""
+
+    def __init__(self, values: DataFrame, col: str) -> None:
+        self.bits = values.groupBy(self._slot(col).alias("__slot")).agg(F.bit_or(self._bit(col)).alias("__bits"))
+
+    @staticmethod
+    def _slot(col: str) -> Column:
+        return F.col(col).bitwiseAND(F.lit(SLOTS - 1))
+
+    @staticmethod
+    def _bit(col: str) -> Column:
+        return F.expr(f"shiftleft(1L, cast(shiftrightunsigned({col}, 32) & 63 as int))")
+
+    def keep(self, rows: DataFrame, col: str) -> DataFrame:
+        return (rows.withColumn("__slot", self._slot(col)).join(F.broadcast(self.bits), "__slot")
+                .where(F.col("__bits").bitwiseAND(self._bit(col)) != 0).drop("__slot", "__bits"))
+
+
+def _repeated(rows: DataFrame, col: str) -> DataFrame:
+    """Rows whose ``col`` occurs more than once."""
+    many = staged(rows.groupBy(col).agg(F.count(F.lit(1)).alias("k")).where("k > 1").select(col), "repeated")
+    return _Bitmap(many, col).keep(rows, col).join(many, col, "left_semi")
 
 
 def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """Keys ``(h1, h2)`` of the distinct lines with an earlier one within one word edit."""
     key = ["h1", "h2"]
-    halves = firsts.where(F.col("halves").isNotNull()).select(*key, F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("half")
-    some = staged(halves.join(shared, "half", "left_semi").select(*key).distinct()
-                  .join(firsts.select(*key, "first"), key), "near")
-    slot = F.col("h1").bitwiseAND(F.lit(SLOTS - 1))
-    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(h1, 32) & 63 as int))")
-    bitmap = some.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits"))       # SLOTS rows at most
-    found = (lines.withColumn("slot", slot).join(F.broadcast(bitmap), "slot")
-             .where(F.col("bits").bitwiseAND(bit) != 0).select(*key, "place", "n", "w")
-             .join(some, key).where("place = first").select(*key, "place", "n", "w").dropDuplicates(key))
+    halves = firsts.where("first1 IS NOT NULL").select(*key, "first", F.explode(F.array(*[
+        F.struct(F.col(c).alias("half"), F.lit(c.startswith("last")).alias("last")) for c in _HALVES])).alias("x"))
+    halves = halves.select(*key, "first", "x.half", "x.last").where("half IS NOT NULL")
+    some = staged(_repeated(halves, "half").groupBy(*key, "first").agg(
+        F.bool_or(~F.col("last")).alias("by_first"), F.bool_or("last").alias("by_last")), "near")
+    found = (_Bitmap(some, "h1").keep(lines.select(*key, "place", "norm"), "h1").join(some, key).where("place = first")
+             .select(*key, "place", "by_first", "by_last", F.split("norm", " ").alias("w")).dropDuplicates(key))
     texts = staged(found, "near")
 
-    each = (texts.select(*key, "place", "n", F.posexplode("w").alias("i", "word"))
-            .withColumns({"here": F.xxhash64("word", "i"), "moved": F.xxhash64("word", F.col("i") - 1)}))
+    # A shared first half leaves the edit to the rest, a shared last half to what is before.
+    each = (texts.repartition(*key).select(*key, "place", "by_first", "by_last", F.size("w").alias("n"), F.posexplode("w").alias("gap", "word"))
+            .withColumns({"here": F.xxhash64("word", "gap"), "moved": F.xxhash64("word", F.col("gap") - 1)}))
     line = Window.partitionBy(*key)
-    run = line.orderBy("i")
+    run = line.orderBy("gap")
     before = F.coalesce(F.bit_xor("here").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     after = F.bit_xor("moved").over(line).bitwiseXOR(
         F.bit_xor("moved").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    left_out = each.select(*key, "place", (F.col("n") - 1).alias("m"), F.col("i").alias("gap"),
-                           before.bitwiseXOR(after).alias("key"))
-    whole = each.groupBy(*key, "place", F.col("n").alias("m")).agg(F.bit_xor("here").alias("key")).select(
-        *key, "place", "m", F.lit(-1).alias("gap"), "key")
+    half = F.floor(F.col("n") / 2)
+    fits = (F.col("by_first") & (F.col("gap") >= half - 1)) | (F.col("by_last") & (F.col("gap") <= F.col("n") - half))
+    left_out = (each.withColumn("v", before.bitwiseXOR(after)).where(fits)
+                .select("place", "gap", F.col("v").bitwiseXOR(F.xxhash64(F.col("n") - 1)).alias("key")))
+    whole = each.groupBy(*key, "place", "n").agg(F.bit_xor("here").alias("v")).select(
+        "place", F.lit(-1).alias("gap"), F.col("v").bitwiseXOR(F.xxhash64("n")).alias("key"))
     variants = staged(left_out.unionByName(whole), "variants")
 
     # The earliest line of every group of equal variants with the same gap, or with
     # a gap for the line itself and the other way round.
-    by_gap = variants.groupBy("key", "m", "gap").agg(F.min("place").alias("place"), F.count(F.lit(1)).alias("k"))
-    best = staged(by_gap, "variants")
-    same = best.where("gap >= 0 AND k > 1").select("key", "m", "gap", F.col("place").alias("other"))
-    base = best.where("gap = -1").select("key", "m", F.col("place").alias("other"))
-    gaps = best.where("gap >= 0").groupBy("key", "m").agg(F.min("place").alias("other"))
-    gapped, plain = variants.where("gap >= 0"), variants.where("gap = -1")
-    pairs = (gapped.join(same, ["key", "m", "gap"]).select(*key, "place", "other", "gap")
-             .unionByName(gapped.join(base, ["key", "m"]).select(*key, "place", "other", "gap"))
-             .unionByName(plain.join(gaps, ["key", "m"]).select(*key, "place", "other", "gap"))
-             .where("other < place").select("place", "other").distinct())
+    live = staged(_repeated(variants, "key"), "variants")
+    best = staged(live.groupBy("key", "gap").agg(F.min("place").alias("other")), "variants")
+    base = best.where("gap = -1").select("key", "other")
+    gaps = best.where("gap >= 0").groupBy("key").agg(F.min("other").alias("other"))
+    gapped, plain = live.where("gap >= 0"), live.where("gap = -1")
+    pairs = (gapped.join(best, ["key", "gap"]).select("place", "other")
+             .unionByName(gapped.join(base, "key").select("place", "other"))
+             .unionByName(plain.join(gaps, "key").select("place", "other"))
+             .where("other < place").distinct())
 
     mine = texts.select(*key, "place", F.col("w").alias("a"))
     theirs = texts.select(F.col("place").alias("other"), F.col("w").alias("b"))
@@ -126,11 +165,12 @@ def _one_edit(a: Column, b: Column) -> Column:
 def drops(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``(id, doc, gone)``: per document (by id and text hash) the numbers of its dropped lines."""
     lines = _lines(docs, id_col, text_col)
-    narrow = staged(lines.select("id", "doc", "pos", "place", "h1", "h2",
-                                 F.when(F.col("n") >= min_words, _halves()).alias("halves")), "lines")
+    n, *halves = _halves(min_words)
+    narrow = staged(lines.withColumn("n", n).select("id", "doc", "pos", "place", "h1", "h2", *[
+        h.alias(c) for h, c in zip(halves, _HALVES, strict=True)]), "lines")
     key = ["h1", "h2"]
     firsts = staged(narrow.groupBy(*key).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("k"),
-                                             F.first("halves").alias("halves")), "firsts")
+                                             *[F.min(c).alias(c) for c in _HALVES]), "firsts")
     near = _near(lines, firsts).withColumn("near", F.lit(True))
     doubtful = staged(firsts.join(near, key, "left").where("k > 1 OR near")
                       .select(*key, "first", F.coalesce("near", F.lit(False)).alias("near")), "firsts")

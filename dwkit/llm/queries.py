@@ -91,7 +91,7 @@ WITH lines AS (
   FROM documents),
 norm AS (
   SELECT doc_id, pos, line, list_filter(regexp_split_to_array(
-    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \t-\r]+'), lambda x: x <> '') AS w FROM lines),
+    lower(line), '[ \t-\r]+'), lambda x: x <> '') AS w FROM lines),
 keyed AS (SELECT doc_id, pos, line, array_to_string(w, ' ') AS k, w, len(w) AS n FROM norm),
 firsts AS (
   SELECT k, any_value(w) AS w, any_value(n) AS n, min({'d': doc_id, 'p': pos}) AS f FROM keyed WHERE n > 0 GROUP BY k),
