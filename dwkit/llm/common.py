@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,16 +20,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return stage(df, scratch_path(df.sparkSession, name))
 
 
-def ascii_lower(c: Column) -> Column:
-    """Lower-case A-Z only (the same in every engine and locale)."""
-    return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def hash_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
+    """The ``n`` rows with the smallest hashes of ``key`` (all rows if there are no more).
+
+    Only hashes below a cut that leaves about twice as many rows are sorted, so what
+    the tasks send for the final choice does not grow with their number."""
+    total = df.count()
+    if total <= n:
+        return df
+    h, cut = F.xxhash64(*key), int((2 * n / total) * 2**64) - 2**63
+    return (df.where(h < F.lit(cut)) if cut < 2**63 else df).orderBy(h, *key).limit(n)
+
 
+def per_text(of: Callable[[str | None], Any], kind: str, text: Column) -> Column:
+    """``of`` applied to every text; only a few texts of a batch are Python objects at a time."""
+    result = {"long": pa.int64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}[kind]
 
-def words(c: Column) -> Column:
-    """Array of the words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z lower-cased;
-    empty for null and blank texts."""
-    parts = F.split(ascii_lower(F.coalesce(c, F.lit(""))), SPACE)
-    return F.filter(parts, lambda w: w != "")
+    @F.arrow_udf(kind)
+    def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in it:
+            parts = [batch.slice(at, 256) for at in range(0, len(batch), 256)]
+            yield pa.array([of(x) for part in parts for x in part.to_pylist()], result)
+    return run(text)
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

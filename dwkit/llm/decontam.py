@@ -37,11 +37,11 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.llm.common import per_text
 from dwkit.llm.simhash import _counts
 
 SHINGLE = 5
@@ -207,8 +207,8 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
         def search(it: Iterator[pa.RecordBatch], index: Index = index) -> Iterator[pa.RecordBatch]:
             for batch in it:
                 at, got = [], []
-                for i, text in enumerate(batch.column("text").to_pylist()):
-                    found = index.find(text)
+                for i, text in enumerate(batch.column("text")):
+                    found = index.find(text.as_py())
                     at += [i] * len(found)
                     got += found
                 yield pa.RecordBatch.from_arrays(
@@ -224,13 +224,6 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
           item_text_col: str = "text", pass_words: int = PASS_WORDS, **how) -> DataFrame:
     """The rows of ``docs`` in which no item is found."""
     for some in passes(items, item_col, item_text_col, pass_words):
-        docs = docs.where(~_found(Index(some, **how))(F.col(text_col)))
+        index = Index(some, **how)
+        docs = docs.where(~per_text(lambda x, index=index: bool(index.find(x)), "boolean", F.col(text_col)))
     return docs
-
-
-def _found(index: Index):
-    @F.pandas_udf("boolean")
-    def found(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in it:
-            yield pd.Series([bool(index.find(x)) for x in s], dtype="bool")
-    return found

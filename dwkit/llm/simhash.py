@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import components, staged
+from dwkit.llm.common import components, per_text, staged
 
 BITS = 64
 LIMIT = 200_000          # fingerprints of one subtree in one task
@@ -69,10 +69,7 @@ def simhash(text: str | None, k: int = 3) -> int:
 
 def fingerprint(text: Column, k: int = 3) -> Column:
     """SimHash of a text column over ``k``-word shingles (long)."""
-    def of(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in it:
-            yield pd.Series([simhash(x, k) for x in s], dtype="int64")
-    return F.pandas_udf(of, "long")(text)
+    return per_text(lambda x: simhash(x, k), "long", text)
 
 
 def _rotl(c: np.ndarray, n: int) -> np.ndarray:

@@ -22,22 +22,23 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from dwkit.llm.common import hash_sample, per_text
 
 SAMPLE = 10_000    # labelled documents the models are fitted on
+SLOTS = 1 << 22    # hashed features
 FEATURES = 4_000   # words of a model
 FOLDS = 3
-CACHE = 300_000    # words whose features a task remembers
+CACHE = 100_000    # words whose features a task remembers
 _WORD = re.compile(r"\w+")
 _LETTER_NUMBERS = 3
+_NONE: tuple = ()
 
 
 def tokens(text: str | None) -> list[str]:
@@ -59,15 +60,16 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def features(word: str) -> list[str]:
-    """A word and its beginnings of four and five characters."""
-    return [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)]
+def features(word: str) -> list[int]:
+    """Hashed features of a word: itself and its beginnings of four and five characters."""
+    some = [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)]
+    return [zlib.crc32(f.encode("utf-8", "surrogatepass")) & (SLOTS - 1) for f in some]
 
 
 @dataclass
 class Linear:
     """Logistic model over text features and standardised dense columns."""
-    words: dict[str, int] = field(default_factory=dict)
+    numbers: dict[int, int] = field(default_factory=dict)
     w: np.ndarray = field(default_factory=lambda: np.zeros(0))
     mean: np.ndarray | None = None
     scale: np.ndarray | None = None
@@ -86,15 +88,14 @@ class Matrix:
     """Which of the sample's common features each row has."""
 
     def __init__(self, texts: Sequence[str | None], least_df: int = 3) -> None:
-        sets = [{f for w in set(tokens(t)) for f in features(w)} for t in texts]
-        df: Counter = Counter()
-        for s in sets:
-            df.update(s)
-        self.names = sorted(f for f, n in df.items() if n >= least_df)
-        at = {f: i for i, f in enumerate(self.names)}
-        rows = [np.array([at[f] for f in s if f in at], dtype=np.int64) for s in sets]
-        self.row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        self.col = np.concatenate([*rows, np.zeros(0, dtype=np.int64)])
+        rows = [np.unique(np.array([f for w in set(tokens(t)) for f in features(w)], dtype=np.int32)) for t in texts]
+        df = np.zeros(SLOTS, dtype=np.int64)
+        for r in rows:
+            df[r] += 1
+        self.slots = np.flatnonzero(df >= least_df)
+        rows = [r[df[r] >= least_df] for r in rows]
+        self.row = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+        self.col = np.searchsorted(self.slots, np.concatenate([*rows, np.zeros(0, dtype=np.int32)])).astype(np.int32)
 
 
 def choose(m: Matrix, rows: np.ndarray, y: np.ndarray, most: int = FEATURES, least_chi2: float = 12.0) -> np.ndarray:
@@ -102,7 +103,7 @@ def choose(m: Matrix, rows: np.ndarray, y: np.ndarray, most: int = FEATURES, lea
 
     ``rows`` marks the rows that count; ``y`` has a class for every row of ``m``.
     """
-    n, pos, k = int(rows.sum()), int(y[rows].sum()), len(m.names)
+    n, pos, k = int(rows.sum()), int(y[rows].sum()), len(m.slots)
     here = rows[m.row]
     c = np.bincount(m.col[here], minlength=k).astype(float)
     a = np.bincount(m.col[here], weights=y[m.row[here]], minlength=k)
@@ -121,7 +122,7 @@ def fit_linear(m: Matrix, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, ro
     if pos in (0, n):
         return Linear(bias=float(np.log((pos + 0.5) / (n - pos + 0.5))))
     some = choose(m, rows, y)
-    number = np.full(len(m.names), -1)
+    number = np.full(len(m.slots), -1)
     number[some] = np.arange(len(some))
     use = rows[m.row] & (number[m.col] >= 0)
     row, col = (np.cumsum(rows) - 1)[m.row[use]], number[m.col[use]]
@@ -139,7 +140,7 @@ def fit_linear(m: Matrix, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, ro
         grad[:-1] += l2 * theta[:-1]
         up, var = 0.9 * up + 0.1 * grad, 0.999 * var + 0.001 * grad * grad
         theta -= rate * (up / (1 - 0.9 ** t)) / (np.sqrt(var / (1 - 0.999 ** t)) + 1e-8)
-    return Linear({m.names[i]: at for at, i in enumerate(some)}, theta[:k], mean, scale, theta[k:k + d], float(theta[-1]))
+    return Linear({int(m.slots[i]): at for at, i in enumerate(some)}, theta[:k], mean, scale, theta[k:k + d], float(theta[-1]))
 
 
 @dataclass
@@ -150,12 +151,13 @@ class Chain:
     cuts: list[float]
 
     def __post_init__(self) -> None:
-        self.cache: dict[str, list[list[int]]] = {}
+        self.cache: dict[str, Sequence[list[int]]] = {}
 
-    def _found(self, word: str) -> list[list[int]]:
+    def _found(self, word: str) -> Sequence[list[int]]:
         """Numbers of a word's features in each model; kept for the next time the word occurs."""
-        got = [[m.words[f] for f in features(word) if f in m.words] for m in self.models]
-        got = got if any(got) else []
+        own = features(word)
+        got = [[m.numbers[f] for f in own if f in m.numbers] for m in self.models]
+        got = got if any(got) else _NONE
         if len(self.cache) >= CACHE:
             self.cache.clear()
         self.cache[word] = got
@@ -183,7 +185,7 @@ def fit_chain(texts: Sequence[str | None], folds: np.ndarray, labels: dict[str,
         held_out = np.zeros(len(texts))
         for f in range(n_folds):
             part = fit_linear(m, known & (folds != f), dense, y)
-            number = np.array([part.words.get(x, -1) for x in m.names] + [-1], dtype=np.int64)
+            number = np.array([part.numbers.get(x, -1) for x in m.slots.tolist()], dtype=np.int64)
             for i in np.flatnonzero(folds == f):
                 found = number[m.col[starts[i]:starts[i + 1]]]
                 held_out[i] = part.prob(found[found >= 0], dense[i])
@@ -215,9 +217,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
 
     ``categories`` maps each category to an SQL expression (0/1) over ``labels``.
     """
-    some = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
-            .agg(*[F.max(F.expr(e).cast("double")).alias(c) for c, e in categories.items()])
-            .orderBy(F.xxhash64("label_id")).limit(sample))          # at most ``sample`` rows, so it may be broadcast
+    known = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
+             .agg(*[F.max(F.expr(e).cast("double")).alias(c) for c, e in categories.items()]))
+    some = hash_sample(known, sample, "label_id").limit(sample)          # ``sample`` rows at most, so it may be broadcast
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(some), F.col("id") == F.col("label_id")).drop("label_id")
             .orderBy(F.xxhash64("id", "text")).limit(sample).toPandas())
@@ -225,15 +227,9 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     return fit_chain(rows["text"].tolist(), fold, {c: rows[c].to_numpy(dtype=float) for c in categories}, folds)
 
 
-def probabilities(chain: Chain, text):
-    """Struct column with the probability of every category."""
-    kind = T.StructType([T.StructField(c, T.DoubleType()) for c in chain.names])
-
-    @F.pandas_udf(kind)
-    def score(it: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for s in it:
-            yield pd.DataFrame([chain.score(x) for x in s], columns=chain.names, dtype="float64")
-    return score(text)
+def probabilities(chain: Chain, text: Column) -> Column:
+    """Array column with the probability of every category, in the chain's order."""
+    return per_text(chain.score, "array<double>", text)
 
 
 def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None,
@@ -242,8 +238,8 @@ def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str], rej
     chain = train(docs, labels, categories, id_col, text_col, sample)
     threshold = chain.cuts[chain.names.index(reject)] if threshold is None else threshold
     scored = docs.select(F.col(id_col), probabilities(chain, F.col(text_col)).alias("p"))
-    return scored.select(id_col, *[F.col(f"p.{c}").alias(f"p_{c}") for c in chain.names],
-                         (F.col(f"p.{reject}") >= threshold).alias("rejected"))
+    return scored.select(id_col, *[F.get("p", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(chain.names)],
+                         (F.get("p", F.lit(chain.names.index(reject))) >= threshold).alias("rejected"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame, categories: dict[str, str], reject: str, threshold: float | None = None,
@@ -251,4 +247,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, categories: dict[str, str], r
     """The rows of ``docs`` whose probability of ``reject`` is below the threshold."""
     chain = train(docs, labels, categories, id_col, text_col, sample)
     threshold = chain.cuts[chain.names.index(reject)] if threshold is None else threshold
-    return docs.where(probabilities(chain, F.col(text_col))[reject] < threshold)
+    return docs.where(F.get(probabilities(chain, F.col(text_col)), F.lit(chain.names.index(reject))) < threshold)
