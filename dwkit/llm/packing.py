@@ -43,6 +43,7 @@ END = 1
 SENTENCE, INSIDE = 4, 16       # penalties of a cut, in padding tokens
 GRID = 32
 BLOCK = 2_000_000
+TABLE = 1_500_000              # words a process remembers, about 300 MB
 _SLICE = 1_000_000             # characters tokenised at once
 
 
@@ -51,7 +52,7 @@ def tokenise(words: WordTable, texts: list[str | None], end: int = END) -> Itera
     at = 0
     while at < len(texts):
         size, lists = 0, []
-        words.trim()
+        words.trim(TABLE)
         while at < len(texts) and (not lists or size + len(texts[at] or "") <= _SLICE):
             lists.append(tokenizer_words(texts[at]))
             size += len(texts[at] or "")

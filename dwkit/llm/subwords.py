@@ -61,9 +61,9 @@ class WordTable:
         self.starts, self.lens = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64)
         self.stop = np.zeros(1 << 16, dtype=bool)
 
-    def trim(self) -> None:
+    def trim(self, most: int = TABLE) -> None:
         """Forget all words once there are too many; numbers given before are void then."""
-        if len(self.at) > TABLE:
+        if len(self.at) > most:
             self.clear()
 
     @staticmethod
