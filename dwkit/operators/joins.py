@@ -1,10 +1,8 @@
 """Joins (JOIN-1..JOIN-13).
 
 Broadcast policy: a side is hinted for broadcast only when its size is
-proven bounded, either by construction (seed rows, a calendar of a bounded
-date range) or by a bounded count (``broadcast_if_small(max_rows=...)``,
-which reads at most ``max_rows + 1`` rows).  Everything else is a plain equi
-join: the planner broadcasts only under ``autoBroadcastJoinThreshold`` (from
+proven bounded by construction (seed rows, a calendar of a bounded date
+range).  Everything else is a plain equi join: the planner broadcasts only under ``autoBroadcastJoinThreshold`` (from
 table statistics), AQE re-checks real sizes at run time, and AQE splits
 skewed partitions of a hot key in sort-merge joins.
 """
@@ -26,23 +24,18 @@ def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int | None = None,
-                       decision: bool | None = None) -> DataFrame:
-    """Broadcast behind a size check.
+def broadcast_if_small(df: DataFrame, decision: bool | None = None) -> DataFrame:
+    """Broadcast only a side of a proven bound.
 
     * ``decision=True``: the side is bounded by construction (seed rows, a
       calendar of a bounded range): hint a broadcast.
     * ``decision=False``: never broadcast.
-    * ``max_rows``: count at most ``max_rows + 1`` rows (one small job) and
-      hint only if the side fits.
     * otherwise no hint: the planner broadcasts only when the estimated
       size (file statistics of a stored table) is under
       ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the real
       size at run time (``spark.sql.adaptive.autoBroadcastJoinThreshold``);
       beyond either bound the join stays a shuffle join.
     """
-    if decision is None and max_rows is not None:
-        decision = df.limit(max_rows + 1).count() <= max_rows
     if decision is None:
         return df
     return F.broadcast(df) if decision else df
@@ -76,8 +69,7 @@ def reduce_reference(ref: DataFrame, on, take: Sequence[str],
 
 def lookup_flagged(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
                    order: Sequence[str] | None = None, ref_on=None,
-                   broadcast: bool | None = None, max_broadcast_rows: int | None = None,
-                   flag: str = "matched") -> DataFrame:
+                   broadcast: bool | None = None, flag: str = "matched") -> DataFrame:
     """Lookup as one frame with a boolean ``flag`` column (FLT-6): written
     once with ``sources.write_routed``, both branches come from one pass."""
     keys = _keys(on)
@@ -85,15 +77,14 @@ def lookup_flagged(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
     r = ref.select(*[F.col(a).alias(b) for a, b in zip(rkeys, keys)],
                    *[c for c in list(dict.fromkeys([*(order or []), *take])) if c not in rkeys])
     r = reduce_reference(r, keys, take, order).withColumn(MATCH_FLAG, F.lit(True))
-    r = broadcast_if_small(r, max_broadcast_rows, broadcast)
+    r = broadcast_if_small(r, broadcast)
     flagged = df.drop(*[c for c in take if c in df.columns]).join(r, keys, "left")
     return flagged.withColumn(flag, F.col(MATCH_FLAG).isNotNull()).drop(MATCH_FLAG)
 
 
 def lookup(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
            order: Sequence[str] | None = None, ref_on=None,
-           broadcast: bool | None = None,
-           max_broadcast_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+           broadcast: bool | None = None) -> tuple[DataFrame, DataFrame]:
     """Lookup with match / no-match outputs (JOIN-2).
 
     ``on`` names the key columns of ``df``; ``ref_on`` those of ``ref`` when
@@ -102,7 +93,7 @@ def lookup(df: DataFrame, ref: DataFrame, on, take: Sequence[str],
     Returns ``(matched, unmatched)``: matched rows carry the ``take``
     columns, unmatched rows keep only the input columns.
     """
-    flagged = lookup_flagged(df, ref, on, take, order, ref_on, broadcast, max_broadcast_rows, MATCH_FLAG)
+    flagged = lookup_flagged(df, ref, on, take, order, ref_on, broadcast, MATCH_FLAG)
     matched = flagged.where(F.col(MATCH_FLAG)).drop(MATCH_FLAG)
     unmatched = flagged.where(~F.col(MATCH_FLAG)).select(*df.columns)
     return matched, unmatched
@@ -176,12 +167,6 @@ def map_values(df: DataFrame, col: str, ref: DataFrame, ref_key: str, ref_value:
     return j.withColumn(out, val).drop("__mk", "__mv")
 
 
-def unmapped_values(df: DataFrame, col: str, ref: DataFrame, ref_key: str) -> DataFrame:
-    """Distinct non-null values of ``col`` with no entry in ``ref`` (SET-3, JOIN-9)."""
-    vals = df.select(col).where(F.col(col).isNotNull()).distinct()
-    return vals.join(ref.select(F.col(ref_key).alias(col)), col, "left_anti")
-
-
 def orphans(child: DataFrame, key: str, parent: DataFrame, pkey: str | None = None) -> DataFrame:
     """Child rows whose non-null key has no parent (JOIN-6)."""
     p = parent.select(F.col(pkey or key).alias("__pk")).distinct()
@@ -190,8 +175,9 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, pkey: str | None = No
 
 
 def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
-    """Rows whose key is in ``other`` (JOIN-7)."""
-    return df.join(other.select(*_keys(on)), _keys(on), "left_semi")
+    """Rows whose key is in ``other`` (JOIN-7).  The keys of ``other`` are made
+    distinct first, map-side: a hot key is one row per task, not all its rows."""
+    return df.join(other.select(*_keys(on)).distinct(), _keys(on), "left_semi")
 
 
 def bring(df: DataFrame, parent: DataFrame, key: str, measures: Sequence[str]) -> DataFrame:

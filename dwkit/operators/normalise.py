@@ -47,7 +47,7 @@ def airlines(flat: DataFrame, names: DataFrame | None = None, code: str = "op_un
     if names is None:
         return codes.withColumn("carrier_name", F.lit(default))
     n = first_per_key(names.select("carrier_code", "carrier_name"), "carrier_code", "carrier_name")
-    return (codes.join(F.broadcast(n), "carrier_code", "left")
+    return (codes.join(n, "carrier_code", "left")
             .withColumn("carrier_name", F.coalesce("carrier_name", F.lit(default))))
 
 

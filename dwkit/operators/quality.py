@@ -11,14 +11,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwkit.functions.dates import ts_lit
 from dwkit.functions.expr import pearson
 from dwkit.operators.aggregates import duplicate_keys
 
-SAMPLE_BUCKETS = 5
+SAMPLES = 5
 
 
 def _orderable(dtype: str) -> bool:
@@ -38,12 +38,12 @@ def profile(df: DataFrame, exact: bool = True, samples: bool = True, digits: int
     * with ``exact``, the columns are unpivoted to narrow
       (column, value-as-text) pairs and grouped by both, so duplicates are
       removed map-side before the shuffle; a second group by column counts
-      distinct values and picks the samples.  (``count(DISTINCT)`` over many
+      distinct values, and a row number of at most five picks the samples.  (``count(DISTINCT)`` over many
       columns would instead replicate every wide row once per column.)
       ``exact=False`` uses HyperLogLog inside the first aggregate.
 
-    Samples are bounded: the smallest value text in each of five hash
-    buckets of the column (distinct by construction, never a collected set).
+    Samples are the five smallest distinct values as text (fewer only where
+    there are fewer).
     """
     dtypes = dict(df.dtypes)
     cols = list(df.columns)
@@ -74,13 +74,16 @@ def profile(df: DataFrame, exact: bool = True, samples: bool = True, digits: int
             F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols]))
             .alias("__kv")).select("__kv.*").where(F.col("value").isNotNull())
         distinct = pairs.distinct()
-        b = F.pmod(F.xxhash64("value"), F.lit(SAMPLE_BUCKETS))
-        per_col = distinct.groupBy("column").agg(
-            F.count(F.lit(1)).alias("__distinct"),
-            *[F.min(F.when(b == k, F.col("value"))).alias(f"__s{k}") for k in range(SAMPLE_BUCKETS)])
-        smp = F.array_sort(F.array_compact(F.array(*[F.col(f"__s{k}") for k in range(SAMPLE_BUCKETS)])))
-        per_col = per_col.select("column", "__distinct",
-                                 F.concat(F.lit("["), F.array_join(smp, ", "), F.lit("]")).alias("__smp"))
+        per_col = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("__distinct"))
+        if samples:
+            # Row number at most 5 is cut down inside each task before the shuffle.
+            first = Window.partitionBy("column").orderBy("value")
+            few = (distinct.withColumn("__rn", F.row_number().over(first)).where(F.col("__rn") <= SAMPLES)
+                   .groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("__few")))
+            per_col = per_col.join(few, "column", "left")
+        else:
+            per_col = per_col.withColumn("__few", F.array().cast("array<string>"))
+        per_col = per_col.select("column", "__distinct", F.concat(F.lit("["), F.array_join("__few", ", "), F.lit("]")).alias("__smp"))
         # both sides have one row per column: a small join
         out = out.join(per_col, "column", "left")
         if exact:

@@ -16,7 +16,9 @@ def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
 
 
 def seeded_hash(cols: Sequence[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    """MD5 of the seed and the key's values as text, so any engine can repeat it
+    (null as an empty text)."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]).cast("binary"))
 
 
 def random_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> DataFrame:
@@ -25,9 +27,6 @@ def random_rows(df: DataFrame, n: int, key: Sequence[str], seed: int = 42) -> Da
     return df.orderBy(seeded_hash(key, seed), *[F.col(k) for k in key]).limit(n)
 
 
-MAX_STRATA = 100_000
-
-
 def _boundary(hist: DataFrame, stratum: str, bucket: str, need: str) -> DataFrame:
     """Per stratum, the first bucket whose running count reaches ``need`` and
     the count of rows in earlier buckets.  ``hist`` has one row per
@@ -41,7 +40,7 @@ def _boundary(hist: DataFrame, stratum: str, bucket: str, need: str) -> DataFram
 
 
 def stratified_sample(df: DataFrame, stratum: str, frac: float, key: Sequence[str],
-                      seed: int = 42, max_strata: int = MAX_STRATA) -> DataFrame:
+                      seed: int = 42) -> DataFrame:
     """Exact per-stratum fraction sample (SAMP-1).
 
     Stratum ``s`` with ``n_s`` rows contributes exactly
@@ -53,30 +52,27 @@ def stratified_sample(df: DataFrame, stratum: str, frac: float, key: Sequence[st
     (which also gives the stratum sizes) locates the bucket holding each
     stratum's cut-off, a histogram of the next 16 bits inside that bucket
     narrows it further, and only the rows of the final sub-bucket (about
-    n / 2^32 of a stratum) are ranked.  The per-stratum cut tables are tiny
-    (one row per stratum, count checked against ``max_strata``), are
-    checkpointed so later steps do not recompute the histograms, and are
-    broadcast.  Four column-pruned scans in all; a stratum holding half the
+    n / 2^32 of a stratum) are ranked.  The per-stratum cut tables (one row per
+    stratum) are checkpointed so later steps do not recompute the histograms;
+    they are joined without a hint, so any number of strata is fine.  Four column-pruned scans in all; a stratum holding half the
     table is handled like any other.
     """
     from dwkit.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(df.sparkSession)
     key = list(key)
     x = (df.withColumn("__h", seeded_hash(key, seed))
-         .withColumn("__b1", F.shiftright("__h", 48))
-         .withColumn("__b2", F.shiftright("__h", 32).bitwiseAND(F.lit(0xFFFF))))
+         .withColumn("__b1", F.substring("__h", 1, 4))
+         .withColumn("__b2", F.substring("__h", 5, 4)))
 
     def on(a: DataFrame, b: DataFrame) -> DataFrame:
         bb = b.withColumnRenamed(stratum, "__s")
-        return a.join(F.broadcast(bb), a[stratum].eqNullSafe(bb["__s"])).drop("__s")
+        return a.join(bb, a[stratum].eqNullSafe(bb["__s"])).drop("__s")
 
     # scan 1; at most 65,536 rows per stratum, kept so it is not recomputed
     h1 = x.groupBy(stratum, "__b1").agg(F.count(F.lit(1)).alias("__c")).checkpoint(eager=True)
     take = (h1.groupBy(stratum).agg(F.sum("__c").alias("__n"))
             .select(stratum, F.bround(F.col("__n") * F.lit(float(frac)), 0).cast("long").alias("__take"))
             .where(F.col("__take") > 0))
-    if take.limit(max_strata + 1).count() > max_strata:
-        raise ValueError(f"more than {max_strata} strata: not a stratified sample")
     cut1 = _boundary(on(h1, take), stratum, "__b1", "__take").checkpoint(eager=True)
     edge = on(x, cut1).where(F.col("__b1") == F.col("__b1_cut"))
     h2 = edge.groupBy(stratum, "__b2").agg(F.count(F.lit(1)).alias("__c"))               # scan 2

@@ -92,7 +92,7 @@ def error_summary(errors: DataFrame, key: str = "operation_id", ts: str = "captu
 
 
 def apply_completions_in_place(fact_path: str, feed: DataFrame, period: str, stage_dir: str, run_ts=None,
-                               key: str = "operation_id", max_periods: int = 100_000) -> DataFrame:
+                               key: str = "operation_id") -> DataFrame:
     """Completion update that rewrites only the fact partitions it touches.
 
     The fact at ``fact_path`` is partitioned by ``period``.  One left join of
@@ -112,9 +112,7 @@ def apply_completions_in_place(fact_path: str, feed: DataFrame, period: str, sta
     flagged = stage(latest.join(ids, key, "left"), f"{stage_dir.rstrip('/')}/matched")
     hits = flagged.where(F.col("__period").isNotNull())
     periods = hits.select(F.col("__period").alias(period)).distinct()
-    if periods.limit(max_periods + 1).count() > max_periods:
-        raise ValueError(f"more than {max_periods} affected periods")
-    affected = fact.join(F.broadcast(periods), period, "left_semi")
+    affected = fact.join(periods, period, "left_semi")
     updated = (affected.join(hits.select(key, "__feed"), key, "left")
                .withColumn(COMPLETE, F.coalesce(F.col(COMPLETE), F.col("__feed"))).drop("__feed"))
     updated = compute_process_hours(updated).select(*fact.columns)

@@ -84,7 +84,7 @@ def with_surrogate(df: DataFrame, name: str, order: Sequence[str | Column],
     st = start if isinstance(start, Column) else F.lit(start)
     pos = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     out = (tagged.join(F.broadcast(offsets), "__pid")
-           .withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + pos + st).cast("int")))
+           .withColumn(name, (F.coalesce(F.col("__off"), F.lit(0)) + pos + st).cast("long")))
     return out.select(name, *df.columns)
 
 
@@ -118,31 +118,38 @@ def share(df: DataFrame, measure: str, part: Sequence[str] | None = None,
 
 
 def ranked(df: DataFrame, measure: str, part: Sequence[str] | None = None,
-           out: str = "rank", ascending: bool = False, dense: bool = False,
-           max_window_rows: int = 1_000_000) -> DataFrame:
+           out: str = "rank", ascending: bool = False, dense: bool = False) -> DataFrame:
     """Rank within ``part`` by ``measure`` (WIN-5).
 
-    With ``part`` this is a partitioned window.  A global rank uses one
-    window task only when the frame is checked to have at most
-    ``max_window_rows`` rows (report aggregates); a bigger frame is ranked
-    distributedly: rows are numbered by a range sort (``with_surrogate``) and
-    each row's rank is the first number of its value (``dense``: the number
-    of its value among the sorted distinct values).  Nulls rank last.
+    With ``part`` this is a partitioned window.  A global rank counts the rows
+    of each distinct value (a value of any number of rows is one row per
+    task), range-sorts the distinct values over all tasks, and joins each
+    value's rank back: one plus the rows (``dense``: the values) before it.
+    Nulls rank last.
     """
     o = F.col(measure).asc_nulls_last() if ascending else F.col(measure).desc_nulls_last()
-    fn = F.dense_rank() if dense else F.rank()
     if part:
+        fn = F.dense_rank() if dense else F.rank()
         return df.withColumn(out, fn.over(Window.partitionBy(*part).orderBy(o)))
-    if df.limit(max_window_rows + 1).count() <= max_window_rows:
-        return df.withColumn(out, fn.over(Window.orderBy(o)))
-    if dense:
-        values = with_surrogate(df.select(measure).distinct(), out, [o])
-    else:
-        numbered = with_surrogate(df.select(measure), "__pos", [o])
-        values = numbered.groupBy(measure).agg(F.min("__pos").alias(out))
-    v = values.withColumnRenamed(measure, "__v")
-    return (df.join(v, df[measure].eqNullSafe(v["__v"]), "left").drop("__v")
-            .withColumn(out, F.col(out).cast("int")))
+    values = df.groupBy(measure).agg((F.lit(1) if dense else F.count(F.lit(1))).cast("long").alias("__w"))
+    v = running_before(values, "__w", out, o).select(F.col(measure).alias("__v"), (F.col(out) + 1).alias(out))
+    return df.join(v, df[measure].eqNullSafe(v["__v"]), "left").drop("__v")
+
+
+def running_before(df: DataFrame, weight: str, out: str, order: Column) -> DataFrame:
+    """Sum of ``weight`` over all rows before each one by ``order`` (unique), without
+    a window over the whole frame: rows are range-sorted and checkpointed, each
+    partition's total gives the next one's start (one row per partition), and a
+    window inside the partition does the rest."""
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.orderBy(order).withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = rows.groupBy("__pid").agg(F.sum(weight).alias("__s")).select(
+        "__pid", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__start"))
+    inside = Window.partitionBy("__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.withColumn("__run", F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+            .join(F.broadcast(starts), "__pid")
+            .withColumn(out, F.col("__start") + F.col("__run")).drop("__pid", "__run", "__start"))
 
 
 def top_k_per_group(df: DataFrame, part: Sequence[str], k: int, order: Sequence[Column],

@@ -19,16 +19,16 @@ fl AS (
   WHERE rn = 1),
 la AS (
   SELECT l_orderkey, min(l_shipdate) AS min_ship, max(l_shipdate) AS max_ship,
-    CAST(coalesce(sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END), 0) AS SMALLINT) AS carrier_delay,
-    CAST(coalesce(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END), 0) AS SMALLINT) AS weather_delay,
-    CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END), 0) AS SMALLINT) AS nas_delay,
-    CAST(coalesce(sum(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 0) AS SMALLINT) AS security_delay,
-    CAST(coalesce(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity END), 0) AS SMALLINT) AS late_aircraft_delay
+    CAST(coalesce(sum(CASE WHEN l_returnflag = 'A' THEN l_quantity END), 0) AS BIGINT) AS carrier_delay,
+    CAST(coalesce(sum(CASE WHEN l_returnflag = 'N' THEN l_quantity END), 0) AS BIGINT) AS weather_delay,
+    CAST(coalesce(sum(CASE WHEN l_returnflag = 'R' THEN l_quantity END), 0) AS BIGINT) AS nas_delay,
+    CAST(coalesce(sum(CASE WHEN l_linestatus = 'O' THEN l_quantity END), 0) AS BIGINT) AS security_delay,
+    CAST(coalesce(sum(CASE WHEN l_linestatus = 'F' THEN l_quantity END), 0) AS BIGINT) AS late_aircraft_delay
   FROM lineitem GROUP BY l_orderkey),
 flat AS (
   SELECT o.o_orderkey AS operation_id, CAST(o.o_orderdate AS DATE) AS fl_date,
     c.c_mktsegment AS carrier_code, 'Carrier ' || c.c_mktsegment AS carrier_name,
-    CAST(fl.first_partkey AS INTEGER) AS flight_number,
+    CAST(fl.first_partkey AS BIGINT) AS flight_number,
     cn.n_name AS origin, sn.n_name AS dest,
     CAST(p.p_size * 100 AS DOUBLE) AS distance,
     CASE WHEN o.o_orderstatus = 'P' THEN 1 ELSE 0 END AS cancelled,
@@ -41,7 +41,7 @@ flat AS (
     coalesce(la.carrier_delay, 0) AS carrier_delay, coalesce(la.weather_delay, 0) AS weather_delay,
     coalesce(la.nas_delay, 0) AS nas_delay, coalesce(la.security_delay, 0) AS security_delay,
     coalesce(la.late_aircraft_delay, 0) AS late_aircraft_delay,
-    la.max_ship AS last_ship
+    la.max_ship AS last_ship, CAST(fl.first_ship AS TIMESTAMP) AS first_ship
   FROM orders o
   LEFT JOIN la ON la.l_orderkey = o.o_orderkey
   LEFT JOIN fl ON fl.l_orderkey = o.o_orderkey

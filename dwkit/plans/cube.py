@@ -212,8 +212,14 @@ class CubeModel:
         if totals is None:
             out = f.groupBy(*names).agg(*aggs)
         else:
-            g = f.rollup(*names) if totals == "rollup" else f.cube(*names)
-            out = g.agg(*aggs, F.grouping_id().alias("grouping_id"))
+            # Base measures are additive: group the fact to the finest members
+            # once, then expand that small result, not the fact's rows.
+            kinds = {m.name: m.kind for m in self.measures}
+            cells = f.groupBy(*names).agg(*aggs)
+            base = [c for c in cells.columns if c not in names]
+            merge = [{"min": F.min, "max": F.max}.get(kinds[c], F.sum)(c).alias(c) for c in base]
+            g = cells.rollup(*names) if totals == "rollup" else cells.cube(*names)
+            out = g.agg(*merge, F.grouping_id().alias("grouping_id"))
         out = self._with_display(out, rows)
         for n, e in post:
             out = out.withColumn(n, e)
@@ -262,14 +268,15 @@ class CubeModel:
     def pivot(self, rows: Sequence[str], col: str, measure: str, values: Sequence | None = None,
               filters: Mapping[str, object] | None = None) -> DataFrame:
         """Rows x column members of one base measure (OLAP-8); swapping
-        ``rows`` and ``col`` swaps the axes.  Pass ``values`` to skip the
-        extra job that discovers the column members (bounded by
-        ``spark.sql.pivotMaxValues``)."""
+        ``rows`` and ``col`` swaps the axes.  Without ``values`` the column
+        members are those of the dimension (the fact is not scanned for them);
+        an axis too long for columns is what ``query`` in long form is for."""
         f, names, _ = self._group_cols(self.frame([*rows, col], filters), [*rows, col])
         m = {x.name: x for x in self.measures}[measure]
         g = f.groupBy(*names[:-1])
-        g = g.pivot(names[-1], list(values)) if values is not None else g.pivot(names[-1])
-        return g.agg(m.agg())
+        if values is None:
+            values = [r[0] for r in self.members(col).orderBy(self.col_name(col)).collect()]
+        return g.pivot(names[-1], list(values)).agg(m.agg())
 
     def summary(self, measures: Sequence[str], filters: Mapping[str, object] | None = None) -> DataFrame:
         """All headline measures in one row (OLAP-9)."""

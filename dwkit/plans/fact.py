@@ -40,7 +40,7 @@ def prepare(ops: DataFrame, delays: DataFrame, missing_code: str = "A") -> DataF
     p = prepare_operations(ops, delays.drop("delay_id"), "operation_id", parts)
     return p.withColumns({
         "cancellation_code_clean": clean_code("cancelled", "cancellation_code", missing=missing_code),
-        "total_delay_minutes": total_of(*parts).cast("short"),
+        "total_delay_minutes": total_of(*parts).cast("long"),
     })
 
 
@@ -60,7 +60,7 @@ def prepare_keyed(keyed: DataFrame, missing_code: str = "A") -> DataFrame:
                          for p in parts])
     return out.withColumns({
         "cancellation_code_clean": clean_code("cancelled", "cancellation_code", missing=missing_code),
-        "total_delay_minutes": total_of(*parts).cast("short"),
+        "total_delay_minutes": total_of(*parts).cast("long"),
     })
 
 

@@ -48,7 +48,7 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
     """Per order: first line (all its columns), earliest ship date and the
     five delay parts, from one grouped aggregate."""
     q = F.col("l_quantity")
-    part = lambda cond: F.coalesce(F.sum(F.when(cond, q)), F.lit(0.0)).cast("short")
+    part = lambda cond: F.coalesce(F.sum(F.when(cond, q)), F.lit(0.0)).cast("long")
     return lineitem.groupBy("l_orderkey").agg(
         F.min(F.struct(*LINE_ORDER)).alias("first"),
         F.min("l_shipdate").alias("min_ship"),
@@ -92,7 +92,7 @@ def flat_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
         d.alias("fl_date"),
         F.col("c_mktsegment").alias("op_unique_carrier"),
         F.concat(F.lit("Carrier "), F.col("c_mktsegment")).alias("carrier_name"),
-        F.col("first_partkey").cast("int").alias("op_carrier_fl_num"),
+        F.col("first_partkey").alias("op_carrier_fl_num"),
         F.col("origin"), F.col("origin").alias("origin_city_name"), F.col("origin").alias("origin_state_nm"),
         F.col("dest"), F.col("dest").alias("dest_city_name"), F.col("dest").alias("dest_state_nm"),
         delay("min_ship").alias("dep_delay"),
@@ -100,7 +100,7 @@ def flat_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
         cancelled.cast("byte").alias("cancelled"),
         F.when(cancelled, code).alias("cancellation_code"),
         (F.col("p_size") * 100).cast("double").alias("distance"),
-        *[F.coalesce(F.col(c), F.lit(0).cast("short")).alias(c) for c in
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in
           ("carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay")],
         F.col("first_ship").cast("timestamp_ntz").alias("first_ship"),
     )

@@ -2,21 +2,27 @@
 
 ``run`` = entities (airlines, airports, routes; operations, delay records and
 the prepared fact input from one keyed pass over the flat rows) ->
-dimensions -> fact load -> completion update.  Every table is written once (Parquet) under ``out`` and
-read back, so each step starts from stored data (lineage cut, restartable),
-dimensions are written before the fact, and re-running with the same
-``out`` reuses completed tables (``_SUCCESS`` present).
+dimensions -> fact load -> completion update.  Every table is written once
+(Parquet) and read back, so each step starts from stored data (lineage cut,
+restartable), and dimensions are written before the fact.
+
+A load is a folder of its own under ``out``; the manifest ``out/_manifest``
+names the newest one and what it was loaded from (rows and content hashes of
+all inputs, and the arguments).  A re-run with the same inputs resumes at the
+first table that is not complete; with any other input it loads anew.
 
 Command line (flat source CSV in the 35-column layout)::
 
     python -m dwkit.plans.pipeline --flat ops.csv --feed completions.csv \\
-        --regions regions.csv --out /shared/warehouse
+        --regions regions.csv --carriers carriers.csv --out /shared/warehouse
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,52 +47,93 @@ TABLES = ["flat", "airline", "airport", "flight", "flight_operation", "delay_rec
 FACT_PARTITIONS = {"month": "month_key", "year": "year"}
 
 
-def _store(spark: SparkSession, root: str, name: str, df: DataFrame,
-           partition_by: str | None = None, spread_by: str | None = None) -> DataFrame:
-    """Write once, read back.  A partitioned table is first range-partitioned
+def _store(df: DataFrame, path: str, partition_by: str | None = None, spread_by: str | None = None) -> None:
+    """Write a table.  A partitioned table is first range-partitioned
     on (partition column, ``spread_by``): each task writes a contiguous slice,
     so files stay few, and a month holding a third of the rows is still
     split over many tasks (equal partition values are not kept together)."""
-    path = f"{root.rstrip('/')}/{name}"
-    if not is_complete(spark, path):
-        w = df
-        if partition_by:
-            w = w.repartitionByRange(partition_by, *([spread_by] if spread_by else []))
-        w = w.write.mode("overwrite")
-        if partition_by:
-            w = w.partitionBy(partition_by)
-        w.parquet(path)
-    return spark.read.parquet(path)
+    if partition_by:
+        df = df.repartitionByRange(partition_by, *([spread_by] if spread_by else []))
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
 
 
-def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: DataFrame, out: str,
-        run_ts=None, carrier_names: DataFrame | None = None, unmatched_airports: str = "quarantine",
-        holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month") -> dict[str, DataFrame]:
-    """First load.  Each step is computed only if its table is not complete
-    yet, so a restart after a failure resumes at the first missing table."""
-    run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
-    root = out.rstrip("/")
-    part = FACT_PARTITIONS[fact_partition] if fact_partition else None
-    w: dict[str, DataFrame] = {}
-
-    def st(name, make, partition_by=None, spread_by=None):
-        path = f"{root}/{name}"
-        if not is_complete(spark, path):
-            _store(spark, root, name, make(), partition_by, spread_by)
-        w[name] = spark.read.parquet(path)
-        return w[name]
-
-    def pair(names, make, partition_by=None):
+def _content(df: DataFrame | None) -> str:
+    """Columns, rows and an order-free content hash of an input, from one aggregate."""
+    if df is None:
+        return "none"
+    h = F.xxhash64(*[F.col(c) for c in df.columns])
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(h).alias("x"), F.sum(h.cast("decimal(20,0)")).alias("s")).first()
+    return f"{df.dtypes}|{r.n}|{r.x}|{r.s}"
+
+
+def _signature(inputs: dict[str, DataFrame | None], **args) -> str:
+    text = repr(sorted((k, _content(v)) for k, v in inputs.items())) + repr(sorted((k, str(v)) for k, v in args.items()))
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+class _Load:
+    """Tables of one load, each made only if it is not complete yet."""
+
+    def __init__(self, spark: SparkSession, out: str, partition: str | None) -> None:
+        self.spark, self.out, self.part = spark, out.rstrip("/"), FACT_PARTITIONS[partition] if partition else None
+        self.tables: dict[str, DataFrame] = {}
+
+    def open(self, inputs: dict[str, DataFrame | None], flat: str, **args) -> None:
+        """Resume the load in the manifest if it was made from these inputs, else
+        begin a new one.  ``flat`` is the table that stores the input of that
+        name: a new load hashes the stored copy instead of computing it twice."""
+        manifest = f"{self.out}/_manifest"
+        if is_complete(self.spark, manifest):
+            old = self.spark.read.parquet(manifest).first()
+            if old is not None and old.signature == _signature(inputs, **args):
+                self.root = f"{self.out}/{old.load}"
+                self.table(flat, lambda: inputs["flat"])
+                return
+        load = f"load-{uuid.uuid4().hex[:12]}"
+        self.root = f"{self.out}/{load}"
+        stored = self.table(flat, lambda: inputs["flat"])
+        sig = _signature(inputs | {"flat": stored.select(*inputs["flat"].columns)}, **args)
+        one = self.spark.range(1).select(F.lit(load).alias("load"), F.lit(sig).alias("signature"))
+        one.coalesce(1).write.mode("overwrite").parquet(manifest)
+
+    def table(self, name: str, make, partitioned: bool = False) -> DataFrame:
+        path = f"{self.root}/{name}"
+        if not is_complete(self.spark, path):
+            _store(make(), path, *((self.part, "operation_id") if partitioned and self.part else ()))
+        self.tables[name] = self.spark.read.parquet(path)
+        return self.tables[name]
+
+    def pair(self, names, make, partitioned: bool = False) -> None:
         """Two tables from one computation (e.g. loaded rows and rejects)."""
-        if not all(is_complete(spark, f"{root}/{n}") for n in names):
+        if not all(is_complete(self.spark, f"{self.root}/{n}") for n in names):
             a, b = make()
-            _store(spark, root, names[0], a, partition_by, "operation_id" if partition_by else None)
-            _store(spark, root, names[1], b)
+            _store(a, f"{self.root}/{names[0]}", *((self.part, "operation_id") if partitioned and self.part else ()))
+            _store(b, f"{self.root}/{names[1]}")
         for n in names:
-            w[n] = spark.read.parquet(f"{root}/{n}")
+            self.tables[n] = self.spark.read.parquet(f"{self.root}/{n}")
 
-    st("flat", lambda: flat if "operation_id" in flat.columns
-       else with_surrogate(flat, "operation_id", list(flat.columns)))
+
+def current_load(spark: SparkSession, out: str) -> str | None:
+    """Folder of the load that the manifest under ``out`` names."""
+    manifest = f"{out.rstrip('/')}/_manifest"
+    row = spark.read.parquet(manifest).first() if is_complete(spark, manifest) else None
+    return f"{out.rstrip('/')}/{row.load}" if row is not None else None
+
+
+def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: DataFrame, out: str,
+        run_ts=None, carrier_names: DataFrame | None = None, unmatched_airports: str = "quarantine",
+        holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month") -> dict[str, DataFrame]:
+    """First load.  Restarted with the same inputs it resumes at the first
+    missing table; other inputs begin a new load."""
+    args = {"run_ts": run_ts, "unmatched": unmatched_airports, "holidays": sorted(holidays), "partition": fact_partition}
+    run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
+    load = _Load(spark, out, fact_partition)
+    w, st = load.tables, load.table
+    load.open({"flat": flat, "feed": feed, "regions": regions, "names": carrier_names}, "source", **args)
+    # A flat input without ids gets them in a narrower step: the stored source is numbered as it is.
+    st("flat", lambda: w["source"] if "operation_id" in flat.columns
+       else with_surrogate(w["source"], "operation_id", list(flat.columns)))
     st("airline", lambda: airlines(w["flat"], carrier_names))
     st("airport", lambda: airports(w["flat"]))
     st("flight", lambda: flights(w["flat"]))
@@ -99,19 +146,19 @@ def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: D
     st("delay_record", lambda: delay_records(w["prepared"].select("operation_id", "cancelled", *parts), parts=parts))
     st("dim_date", lambda: date_dim_for(w["flat"], "fl_date", holidays))
     st("dim_airline", lambda: airline_dim(None, w["airline"], run_ts))
-    pair(["dim_airport", "airport_errors"],
-         lambda: airport_dim(None, w["airport"], regions, run_ts, unmatched=unmatched_airports))
+    load.pair(["dim_airport", "airport_errors"],
+              lambda: airport_dim(None, w["airport"], regions, run_ts, unmatched=unmatched_airports))
     st("dim_route", lambda: route_dim(None, w["flight"]))
     st("dim_reason", lambda: reason_dim(spark))
-    pair(["fact_loaded", "fact_errors"],
-         lambda: load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
-                           w["dim_reason"], run_ts, partition=fact_partition,
-                           stage_path=f"{root}/_stage_fact_lookups"), part)
+    load.pair(["fact_loaded", "fact_errors"],
+              lambda: load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
+                                w["dim_reason"], run_ts, partition=fact_partition,
+                                stage_path=f"{load.root}/_stage_fact_lookups"), True)
     if feed is not None:
         st("feed", lambda: feed)
-        pair(["fact", "accum_errors"],
-             lambda: apply_completions(w["fact_loaded"], w["feed"], run_ts,
-                                       stage_path=f"{root}/_stage_completions"), part)
+        load.pair(["fact", "accum_errors"],
+                  lambda: apply_completions(w["fact_loaded"], w["feed"], run_ts,
+                                            stage_path=f"{load.root}/_stage_completions"), True)
     return w
 
 
@@ -122,52 +169,75 @@ def _next(df: DataFrame, col: str):
 
 def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFrame, regions: DataFrame, out: str,
                   run_ts=None, carrier_names: DataFrame | None = None, unmatched_airports: str = "quarantine",
-                  holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month") -> dict[str, DataFrame]:
+                  holidays=US_FEDERAL_HOLIDAYS_2024, fact_partition: str | None = "month",
+                  feed: DataFrame | None = None) -> dict[str, DataFrame]:
     """Load a further flat batch into a warehouse built by ``run``.
 
     Dimensions are merged into new versions written under ``out``: airlines
     by SCD2 (renames expire the current row), airports and routes by SCD1,
     the calendar gains only missing days; route identities already known keep
     their ``flight_id`` (null-safe match), new ones and all new operations,
-    delay records and fact rows get ids after the previous maxima.  The fact
-    is append-only: the batch's rows are stored as a new segment under
-    ``out`` and the returned ``fact_loaded`` is the union of the segments, so
-    earlier fact files are never rewritten.  Completions are applied with
-    ``apply_completions``/the stream afterwards, as for the first load.
+    delay records and fact rows get ids after the previous maxima.
+
+    What is returned is the whole warehouse after the batch: ``flat``,
+    ``prepared``, ``flight_operation``, ``delay_record``, the entities, the
+    fact and the error tables are the earlier ones with the batch's (stored
+    as ``*_batch`` and ``fact_segment``).  The fact is append-only and keeps
+    earlier completions: ``fact`` is the previous completed fact and the new
+    open rows; with a ``feed`` it is that with the feed applied.
+    Resumes and begins anew like ``run``.
     """
+    args = {"run_ts": run_ts, "unmatched": unmatched_airports, "holidays": sorted(holidays), "partition": fact_partition,
+            "after": prev["fact_loaded"].agg(F.max("operation_key")).first()[0]}
     run_ts = run_ts or _dt.datetime.now().replace(microsecond=0)
-    st = lambda name, df: _store(spark, out, name, df)
-    part = FACT_PARTITIONS[fact_partition] if fact_partition else None
-    w: dict[str, DataFrame] = {}
-    if "operation_id" not in flat.columns:
-        flat = with_surrogate(flat, "operation_id", list(flat.columns), start=_next(prev["flight_operation"],
-                                                                                    "operation_id"))
-    w["flat"] = st("flat", flat)
-    ident, keys, attrs = route_identities(w["flat"])
-    w["flight"] = st("flight", scd1_merge(prev["flight"], ident, keys, attrs, "flight_id"))
-    w["prepared"] = st("prepared", prepare_keyed(keyed_operations(w["flat"], w["flight"])))
-    op_cols = [c for c in OPERATION_COLS if c in w["prepared"].columns]
-    w["flight_operation"] = st("flight_operation", w["prepared"].select("operation_id", "flight_id", *op_cols))
-    parts = [p for p in DELAY_PARTS if p in w["prepared"].columns]
-    w["delay_record"] = st("delay_record", delay_records(w["prepared"].select("operation_id", "cancelled", *parts),
-                                                         parts=parts, start=_next(prev["delay_record"], "delay_id")))
-    w["airline"] = st("airline", airlines(w["flat"], carrier_names))
-    w["airport"] = st("airport", airports(w["flat"]))
-    w["dim_date"] = st("dim_date", add_missing_dates(prev["dim_date"], date_dim_for(w["flat"], "fl_date", holidays)))
-    w["dim_airline"] = st("dim_airline", airline_dim(prev["dim_airline"], w["airline"], run_ts))
-    dim_airport, airport_errors = airport_dim(prev["dim_airport"], w["airport"], regions, run_ts,
-                                              unmatched=unmatched_airports)
-    w["dim_airport"] = st("dim_airport", dim_airport)
-    w["airport_errors"] = prev["airport_errors"].unionByName(st("airport_errors_batch", airport_errors))
-    w["dim_route"] = st("dim_route", route_dim(prev["dim_route"], w["flight"]))
+    load = _Load(spark, out, fact_partition)
+    w, st = load.tables, load.table
+    load.open({"flat": flat, "feed": feed, "regions": regions, "names": carrier_names}, "source_batch", **args)
+
+    def grown(name: str) -> None:
+        """The previous table and the batch's."""
+        w[name] = prev[name].unionByName(w[f"{name}_batch"]) if name in prev else w[f"{name}_batch"]
+
+    st("flat_batch", lambda: w["source_batch"] if "operation_id" in flat.columns else with_surrogate(
+        w["source_batch"], "operation_id", list(flat.columns), start=_next(prev["flight_operation"], "operation_id")))
+    st("flight", lambda: scd1_merge(prev["flight"], *route_identities(w["flat_batch"]), "flight_id"))
+    st("prepared_batch", lambda: prepare_keyed(keyed_operations(w["flat_batch"], w["flight"])))
+    op_cols = [c for c in OPERATION_COLS if c in w["prepared_batch"].columns]
+    st("flight_operation_batch", lambda: w["prepared_batch"].select("operation_id", "flight_id", *op_cols))
+    parts = [p for p in DELAY_PARTS if p in w["prepared_batch"].columns]
+    st("delay_record_batch", lambda: delay_records(w["prepared_batch"].select("operation_id", "cancelled", *parts),
+                                                   parts=parts, start=_next(prev["delay_record"], "delay_id")))
+    st("airline_batch", lambda: airlines(w["flat_batch"], carrier_names))
+    st("airport_batch", lambda: airports(w["flat_batch"]))
+    for name in ("flat", "prepared", "flight_operation", "delay_record"):
+        grown(name)
+    for name, key in (("airline", "carrier_code"), ("airport", "airport_code")):
+        batch = w[f"{name}_batch"]
+        w[name] = batch.unionByName(prev[name].join(batch.select(key), key, "left_anti"))
+    st("dim_date", lambda: add_missing_dates(prev["dim_date"], date_dim_for(w["flat_batch"], "fl_date", holidays)))
+    st("dim_airline", lambda: airline_dim(prev["dim_airline"], w["airline_batch"], run_ts))
+    load.pair(["dim_airport", "airport_errors_batch"],
+              lambda: airport_dim(prev["dim_airport"], w["airport_batch"], regions, run_ts, unmatched=unmatched_airports))
+    st("dim_route", lambda: route_dim(prev["dim_route"], w["flight"]))
     w["dim_reason"] = prev["dim_reason"]
-    fact, errors = load_fact(w["prepared"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
-                             w["dim_reason"], run_ts, partition=fact_partition,
-                             first_key=_next(prev["fact_loaded"], "operation_key"),
-                             stage_path=f"{out.rstrip('/')}/_stage_fact_lookups")
-    segment = _store(spark, out, "fact_segment", fact, part, "operation_id")
-    w["fact_loaded"] = prev["fact_loaded"].unionByName(segment)
-    w["fact_errors"] = prev["fact_errors"].unionByName(st("fact_errors_batch", errors))
+    load.pair(["fact_segment", "fact_errors_batch"],
+              lambda: load_fact(w["prepared_batch"], w["dim_date"], w["dim_airline"], w["dim_airport"], w["dim_route"],
+                                w["dim_reason"], run_ts, partition=fact_partition,
+                                first_key=_next(prev["fact_loaded"], "operation_key"),
+                                stage_path=f"{load.root}/_stage_fact_lookups"), True)
+    grown("airport_errors")
+    grown("fact_errors")
+    w["fact_loaded"] = prev["fact_loaded"].unionByName(w["fact_segment"])
+    fact = prev.get("fact", prev["fact_loaded"]).unionByName(w["fact_segment"])
+    if feed is None:
+        w["fact"] = fact
+        w.update({k: prev[k] for k in ("feed", "accum_errors") if k in prev})
+    else:
+        st("feed_batch", lambda: feed)
+        load.pair(["fact", "accum_errors_batch"],
+                  lambda: apply_completions(fact, w["feed_batch"], run_ts, stage_path=f"{load.root}/_stage_completions"), True)
+        grown("feed")
+        grown("accum_errors")
     return w
 
 
@@ -179,6 +249,7 @@ def main(argv=None) -> None:
     ap.add_argument("--flat", required=True)
     ap.add_argument("--feed")
     ap.add_argument("--regions", help="CSV state_name,region,region_code (default: built-in US states)")
+    ap.add_argument("--carriers", help="CSV carrier_code,carrier_name")
     ap.add_argument("--out", required=True)
     ap.add_argument("--master", default=None, help="local[N] for a local run; omit under spark-submit")
     a = ap.parse_args(argv)
@@ -187,9 +258,13 @@ def main(argv=None) -> None:
     feed = read_csv(spark, a.feed, COMPLETION_SCHEMA, timestamp_format="yyyy-MM-dd HH:mm:ss") if a.feed else None
     regions = (convert_types(read_csv(spark, a.regions, "state_name string, region string, region_code string"),
                              REGION_LENGTHS) if a.regions else us_region_reference(spark))
-    w = run(spark, flat, feed, regions, a.out)
+    names = read_csv(spark, a.carriers, "carrier_code string, carrier_name string") if a.carriers else None
+    w = run(spark, flat, feed, regions, a.out, carrier_names=names)
     for k, v in w.items():
         print(k, v.count())
+    unnamed = w["airline"].where("carrier_name = 'Unknown'").select("carrier_code").orderBy("carrier_code")
+    if n := unnamed.count():
+        print(f"{n} carrier codes without a name, the first:", *[r.carrier_code for r in unnamed.limit(20).collect()])
 
 
 if __name__ == "__main__":

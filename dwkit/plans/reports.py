@@ -76,35 +76,23 @@ def headline(by: Sequence[str | Column] = (), null_is_on_time: bool = True) -> l
 
 # -- report queries ---------------------------------------------------------------
 
-def rates_by(df: DataFrame, keys: Sequence[str], null_is_on_time: bool = True) -> DataFrame:
-    """Headline counts and rates per group."""
-    return df.groupBy(*keys).agg(*headline(null_is_on_time=null_is_on_time))
-
-
 def otp_matrix(df: DataFrame, rows: Sequence[str], col: str, bands=(60.0, 80.0),
                band_labels=("red", "amber", "green")) -> DataFrame:
     """Matrix with row and column subtotals (RPT-1).
 
-    ``GROUP BY CUBE`` of the additive counts first; the on-time rate is
-    divided afterwards, so every subtotal cell is a true ratio of its own
+    The additive counts are grouped to the finest cells first and ``GROUP BY
+    CUBE`` runs over those few; the on-time rate is divided afterwards, so every subtotal cell is a true ratio of its own
     counts.  ``grouping_id`` tells subtotal cells from null members;
     ``colour`` is the conditional-format band of the rate.
     """
     keys = [*rows, col]
-    agg = df.cube(*keys).agg(n_operated().alias("operated"), n_on_time().alias("on_time"),
-                             F.grouping_id(*keys).alias("grouping_id"))
+    cells = df.groupBy(*keys).agg(n_operated().alias("operated"), n_on_time().alias("on_time"))
+    agg = cells.cube(*keys).agg(F.sum("operated").alias("operated"), F.sum("on_time").alias("on_time"),
+                                F.grouping_id(*keys).alias("grouping_id"))
     agg = agg.withColumn("on_time_rate", F.round(safe_divide(F.col("on_time") * 100.0, "operated", 0.0), 4))
     return agg.withColumn("colour", band("on_time_rate", bands, band_labels))
 
 
-def members(dim: DataFrame, attr: str, filters: dict | None = None) -> DataFrame:
-    """Values of ``attr`` available under the other filters (RPT-2, OLAP-13)."""
-    d = dim
-    for k, v in (filters or {}).items():
-        d = d.where(F.col(k).isin(*v) if isinstance(v, (list, tuple, set)) else F.col(k) == v)
-    return d.select(attr).where(F.col(attr).isNotNull()).distinct()
-
-
 def cause_breakdown(df: DataFrame, by: Sequence[str] = (), parts: Sequence[str] = DELAY_PARTS) -> DataFrame:
     """Delay minutes per cause and share of all cause minutes (RPT-3 donut,
     WIN-4): one aggregate, unpivot, share within the group."""
@@ -185,13 +173,12 @@ def carrier_detail(cube, carrier: str, target: float = 85.0, k: int = 10) -> dic
     }
 
 
-def riskiest(df: DataFrame, keys: Sequence[str], k: int = 10, min_flights: int = 1,
+def riskiest(df: DataFrame, keys: Sequence[str], k: int = 10,
              measure: str = "cancellation_rate") -> DataFrame:
     """The ``k`` groups with the highest rate (RPT-11), ties broken by the
-    keys; groups with fewer than ``min_flights`` rows are left out."""
+    keys; the groups' ``flights`` stand beside the rate."""
     from dwkit.operators.sampling import top_n
     agg = df.groupBy(*keys).agg(*headline())
-    agg = agg.where(F.col("flights") >= min_flights)
     return top_n(agg, k, [F.col(measure).desc_nulls_last(), *[F.col(c).asc_nulls_first() for c in keys]])
 
 

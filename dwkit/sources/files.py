@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,8 +88,10 @@ def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.format("text").load(path)
         return True
-    except Exception:  # noqa: BLE001 - path not found (AnalysisException)
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise            # no permission, no network: not the same as not there
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:

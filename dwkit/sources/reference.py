@@ -39,7 +39,7 @@ FLAT_SCHEMA = T.StructType([
 ])
 
 COMPLETION_SCHEMA = T.StructType([
-    T.StructField("operation_id", T.IntegerType()),
+    T.StructField("operation_id", T.LongType()),
     T.StructField("accm_txn_complete_time", T.TimestampNTZType()),
 ])
 

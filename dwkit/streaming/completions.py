@@ -1,10 +1,8 @@
 """Incremental completion feed (STR-1).
 
 New completion files arrive in a folder; each micro-batch is reduced to the
-latest row per id (ACC-3), matched to the fact ids, and written as
-
-* matched rows -> ``log/batch_id=<n>`` (the completion log), and
-* unknown ids  -> ``errors/batch_id=<n>`` (quarantine with reason).
+latest row per id (ACC-3) and written to ``log/batch_id=<n>`` (the completion
+log).  Ids are compared with the fact when the log is read or compacted.
 
 Each batch overwrites only its own ``batch_id`` folder, so a replay after a
 failure (``foreachBatch`` is at-least-once) rewrites the same rows: the
@@ -20,59 +18,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwkit.functions.dates import ts_lit
-from dwkit.operators.snapshot import (COMPLETE, UNKNOWN_ID, apply_completions, compute_process_hours,
-                                      latest_completion)
+from dwkit.operators.snapshot import COMPLETE, apply_completions, compute_process_hours, latest_completion
 from dwkit.operators.windows import first_per_key
 from dwkit.sources.reference import COMPLETION_SCHEMA
 
 
-def _process_batch(fact_path: str, log_path: str, errors_path: str, run_ts, key: str, validate_ids: bool):
+def _process_batch(log_path: str, key: str):
+    """Log the batch's latest completion per id: work and writes grow with the
+    batch, never with the fact.  A replayed batch overwrites its own folder."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        latest = latest_completion(batch, key)
-        log_dir = f"{log_path.rstrip('/')}/batch_id={batch_id}"
-        if not validate_ids:
-            # O(batch): every id goes to the log; unknown ids are reported
-            # by ``compact``, which passes over the fact anyway.
-            latest.select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id")) \
-                .write.mode("overwrite").parquet(log_dir)
-            return
-        ids = spark.read.parquet(fact_path).select(key).withColumn("__hit", F.lit(True))
-        flagged = latest.join(ids, key, "left").persist()
-        try:
-            (flagged.where(F.col("__hit").isNotNull())
-             .select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id"))
-             .write.mode("overwrite").parquet(log_dir))
-            ts = F.current_timestamp() if run_ts is None else ts_lit(run_ts)
-            (flagged.where(F.col("__hit").isNull())
-             .select(key, COMPLETE, F.lit(UNKNOWN_ID).alias("error_reason"),
-                     ts.cast("timestamp_ntz").alias("captured_at"))
-             .write.mode("overwrite").parquet(f"{errors_path.rstrip('/')}/batch_id={batch_id}"))
-        finally:
-            flagged.unpersist()
+        (latest_completion(batch, key).select(key, COMPLETE, F.lit(batch_id).cast("long").alias("batch_id"))
+         .write.mode("overwrite").parquet(f"{log_path.rstrip('/')}/batch_id={batch_id}"))
     return fn
 
 
-def stream_completions(spark: SparkSession, source_dir: str, fact_path: str, log_path: str, errors_path: str,
-                       checkpoint: str, run_ts=None, key: str = "operation_id", schema=COMPLETION_SCHEMA,
+def stream_completions(spark: SparkSession, source_dir: str, log_path: str, checkpoint: str,
+                       key: str = "operation_id", schema=COMPLETION_SCHEMA,
                        max_files_per_trigger: int | None = None, available_now: bool = True,
-                       timestamp_format: str = "yyyy-MM-dd HH:mm:ss", validate_ids: bool = True):
+                       timestamp_format: str = "yyyy-MM-dd HH:mm:ss"):
     """Start (and with ``available_now`` run to completion) the completion
     stream.  Returns the ``StreamingQuery``.
 
-    ``validate_ids=True`` matches each batch against the fact's id column
-    (one pruned column, but a scan that grows with the fact) and routes
-    unknown ids to ``errors_path`` at once, as the batch update does.  With
-    ``False`` a batch costs only its own size: all ids are logged and
-    ``compact`` reports the unknown ones; this suits a very large fact.
+    Every id goes to the log; ids that are not in the fact never show in
+    ``completed_view``, and ``compact``, which passes over the fact anyway,
+    returns them as error rows.
     """
     r = (spark.readStream.schema(schema).option("header", True).option("mode", "FAILFAST")
          .option("timestampNTZFormat", timestamp_format).option("timestampFormat", timestamp_format))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     w = (r.csv(source_dir).writeStream
-         .foreachBatch(_process_batch(fact_path, log_path, errors_path, run_ts, key, validate_ids))
+         .foreachBatch(_process_batch(log_path, key))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()

@@ -1,3 +1,4 @@
+from pyspark.sql import functions as F
 import datetime as dt
 
 from dwkit.operators.joins import assign_fk, lookup, lookup_as_of, map_values, orphans
@@ -55,16 +56,11 @@ def test_lookup_flagged_one_frame(spark):
     assert got == [(1, 1, True), (2, None, False), (3, None, False)]
 
 
-def test_broadcast_decision_by_bounded_count(spark):
-    from dwkit.operators.joins import broadcast_if_small, lookup
+def test_broadcast_only_of_a_bounded_side(spark):
+    from dwkit.operators.joins import broadcast_if_small, semi
     small = spark.range(10)
-    big = spark.range(1000)
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
-    j1 = spark.range(5000).join(broadcast_if_small(small, max_rows=100), "id")
-    j2 = spark.range(5000).join(broadcast_if_small(big, max_rows=100), "id")
-    assert "BroadcastHashJoin" in plan(j1)
-    assert j2.count() == 1000 and broadcast_if_small(big, max_rows=100) is big
-    df = spark.createDataFrame([(1, "a")], "id int, k string")
-    ref = spark.createDataFrame([("a", 1)], "k string, v int")
-    m, _ = lookup(df, ref, "k", ["v"], max_broadcast_rows=10)
-    assert "BroadcastHashJoin" in plan(m) and m.count() == 1
+    assert "BroadcastHashJoin" in plan(spark.range(5000).join(broadcast_if_small(small, True), "id"))
+    assert broadcast_if_small(small) is small and broadcast_if_small(small, False) is small
+    hot = spark.range(1000).select((F.col("id") % 2).alias("k"))
+    assert "HashAggregate" in plan(semi(spark.range(5).withColumnRenamed("id", "k"), hot, "k"))

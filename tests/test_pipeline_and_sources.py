@@ -145,6 +145,62 @@ def test_pipeline_rerun_reuses_complete_tables(spark):
     assert sorted(w2["fact_loaded"].inputFiles()) == files_before and w2["fact_loaded"].count() == 2
 
 
+def test_other_input_loads_anew_and_increments_keep_completions(spark):
+    from dwkit.operators.quality import reconcile
+    from dwkit.plans.pipeline import run_increment
+    d = tempfile.mkdtemp(prefix="dwkit-again-", dir="/tmp")
+
+    def load(rows, name):
+        with open(os.path.join(d, name), "w") as fh:
+            fh.write(",".join(HEADER) + "\n" + "\n".join(rows) + "\n")
+        return read_csv(spark, os.path.join(d, name), FLAT_SCHEMA, date_format="yyyy-MM-dd")
+
+    regions, ts = us_region_reference(spark), dt.datetime(2025, 1, 1)
+    one = load([_row(), _row(op_unique_carrier="B6")], "one.csv")
+    two = load([_row(op_carrier_fl_num=n) for n in range(300, 305)], "two.csv")
+    assert run(spark, one, None, regions, os.path.join(d, "dw"), ts)["fact_loaded"].count() == 2
+    assert run(spark, two, None, regions, os.path.join(d, "dw"), ts)["fact_loaded"].count() == 5
+    feed = spark.createDataFrame([(1, dt.datetime(2024, 1, 3)), (2, dt.datetime(2024, 1, 4))],
+                                 "operation_id long, accm_txn_complete_time timestamp_ntz")
+    w1 = run(spark, one, feed, regions, os.path.join(d, "dw2"), ts)
+    w2 = run_increment(spark, w1, two, regions, os.path.join(d, "dw3"), ts)
+    done = {r.operation_id for r in w2["fact"].where("accm_txn_complete_time IS NOT NULL").collect()}
+    assert done == {1, 2} and w2["fact"].count() == 7
+    r = reconcile(w2["flat"], w2["fact_loaded"], w2["fact_errors"]).first()
+    assert r.source_rows == 7 and r.balanced
+    again = run_increment(spark, w1, two, regions, os.path.join(d, "dw3"), ts)
+    assert sorted(again["fact_segment"].inputFiles()) == sorted(w2["fact_segment"].inputFiles())
+
+
+def test_cli_takes_carrier_names(spark, capsys):
+    from dwkit.plans.pipeline import main
+    d = tempfile.mkdtemp(prefix="dwkit-names-", dir="/tmp")
+    with open(os.path.join(d, "flat.csv"), "w") as fh:
+        fh.write(",".join(HEADER) + "\n" + "\n".join([_row(), _row(op_unique_carrier="B6")]) + "\n")
+    with open(os.path.join(d, "names.csv"), "w") as fh:
+        fh.write("carrier_code,carrier_name\nAA,American Airlines\n")
+    main(["--flat", os.path.join(d, "flat.csv"), "--carriers", os.path.join(d, "names.csv"), "--out", os.path.join(d, "dw")])
+    assert "1 carrier codes without a name, the first: B6" in capsys.readouterr().out
+    from dwkit.plans.pipeline import current_load
+    got = {tuple(r) for r in spark.read.parquet(current_load(spark, os.path.join(d, "dw")) + "/airline").collect()}
+    assert got == {("AA", "American Airlines"), ("B6", "Unknown")}
+
+
+def test_a_failing_listing_is_not_an_absent_table(spark):
+    from dwkit.sources.files import exists
+    assert not exists(spark, "/tmp/surely/not/there")
+    with pytest.raises(Exception):
+        exists(spark, "nosuchscheme://host/table")
+
+
+def test_an_order_of_2000_lines(spark):
+    from dwkit.plans.fixtures import order_lines
+    line = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").limit(1)
+    many = line.crossJoin(spark.range(2000)).drop("id").withColumn("l_quantity", F.lit(40.0))
+    r = order_lines(many).first()
+    assert max(r.carrier_delay, r.weather_delay, r.nas_delay) == 80_000
+
+
 def test_read_table_sql_and_view(spark):
     from dwkit.sources import read_table
     spark.range(3).createOrReplaceTempView("dwkit_t")

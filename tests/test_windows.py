@@ -50,11 +50,19 @@ def test_share_global_and_partitioned(spark):
     assert p == [0.25, 0.75, 1.0]
 
 
-def test_global_rank_distributed_equals_window(spark):
+def test_global_rank_equals_window(spark):
+    from pyspark.sql import Window
     from dwkit.operators.windows import ranked
     df = spark.createDataFrame([(i, float(i % 7) if i % 11 else None) for i in range(200)], "id int, m double") \
         .repartition(5)
-    for dense in (False, True):
-        small = {r.id: r["rank"] for r in ranked(df, "m", dense=dense).collect()}
-        big = {r.id: r["rank"] for r in ranked(df, "m", dense=dense, max_window_rows=10).collect()}
-        assert small == big
+    for ascending in (False, True):
+        o = F.col("m").asc_nulls_last() if ascending else F.col("m").desc_nulls_last()
+        for dense in (False, True):
+            fn = F.dense_rank() if dense else F.rank()
+            want = {r.id: r.w for r in df.withColumn("w", fn.over(Window.orderBy(o))).collect()}
+            assert {r.id: r["rank"] for r in ranked(df, "m", dense=dense, ascending=ascending).collect()} == want
+
+
+def test_surrogates_pass_the_32_bit_range(spark):
+    out = with_surrogate(spark.range(4), "sk", ["id"], start=2 ** 31 - 2).collect()
+    assert sorted(r.sk for r in out) == [2 ** 31 - 2 + i for i in range(4)]
