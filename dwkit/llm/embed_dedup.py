@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import components, staged
+from dwkit.llm.common import components, hash_sample, staged
 
 SAMPLE = 5_000   # vectors the rotation is fitted on
 BITS = 64
@@ -68,7 +68,7 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
                           F.col(vec_col).cast("array<double>").alias("vec"))
     ready = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
-    seen = (ready.where("ok").select("vec").orderBy(F.xxhash64("vec")).limit(sample)).toPandas()["vec"]
+    seen = hash_sample(ready.where("ok").select("vec"), sample, "vec").toPandas()["vec"]
     if len(seen) == 0:
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
