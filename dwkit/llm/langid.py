@@ -27,14 +27,13 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import staged
+from dwkit.llm.common import hash_sample, per_text, staged
 
 SAMPLE = 4_000
 SLOTS = 1 << 16          # hashed byte trigrams
@@ -77,17 +76,14 @@ class Languages:
 def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
           sample: int = SAMPLE) -> Languages:
     """Fit the trigram table on the ``sample`` labelled texts with the smallest hashes."""
-    some = (docs.where(F.col(lang_col).isNotNull()).select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-            .orderBy(F.xxhash64(id_col, text_col)).limit(sample).toPandas())
+    rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+                                                          F.col(lang_col).alias("lang"))
+    some = hash_sample(rows, sample, "id").toPandas()
     return Languages(some["text"].tolist(), some["lang"].tolist())
 
 
 def likelihoods(languages: Languages, text: Column, markup: bool) -> Column:
-    @F.pandas_udf("array<double>")
-    def of(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in it:
-            yield pd.Series([languages.likelihood(visible(x) if markup else x) for x in s], dtype=object)
-    return of(text)
+    return per_text(lambda x: languages.likelihood(visible(x) if markup else x), "array<double>", text)
 
 
 def declared_language(page: Column) -> Column:
