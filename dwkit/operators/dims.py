@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from dwkit.functions.dates import date_key, date_names, date_parts
 from dwkit.functions.expr import band
-from dwkit.operators.joins import lookup
+from dwkit.operators.joins import lookup_flagged
 from dwkit.operators.quality import as_error_rows
 from dwkit.operators.scd import scd1_merge, scd2_merge, with_default_member
-from dwkit.sources.files import convert_types
+from dwkit.sources.files import convert_types, scratch_path, stage
 from dwkit.sources.reference import (REASON_COLUMNS, REASON_LENGTHS, REASON_ROWS, UNKNOWN_REGION_CODE,
                                      seed_reasons)
 
@@ -80,7 +80,9 @@ def airport_dim(dim: DataFrame | None, airports: DataFrame, regions: DataFrame,
     also loaded with ``default_region`` / ``default_code`` (the mapping
     default of the source preparation).  The dimension is type-1 merged.
     """
-    matched, missed = lookup(airports, regions, "state_name", ["region", "region_code"])
+    flagged = lookup_flagged(airports, regions, "state_name", ["region", "region_code"])
+    flagged = stage(flagged, scratch_path(airports.sparkSession, "airports"))     # read by three outputs
+    matched, missed = flagged.where("matched"), flagged.where("NOT matched")
     attrs = ["city_name", "state_name", "region", "region_code"]
     load = matched.select("airport_code", *attrs)
     if unmatched == "default":

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from dwkit.functions.dates import ts_lit
 from dwkit.functions.expr import pearson
 from dwkit.operators.aggregates import duplicate_keys
+from dwkit.sources.reference import CHECK_NAMES
 
 SAMPLES = 5
 
@@ -113,20 +114,20 @@ class Rule:
 
 def count_rule(name: str, cond: Column, bad: str = "HIGH", good: str = "OK") -> Rule:
     """Rows where ``cond`` holds; ``bad`` when any, else ``good``."""
-    return Rule(name, F.count_if(cond).cast("double"),
+    return Rule(name, F.count_if(cond),
                 lambda v: F.when(v > 0, F.lit(bad)).otherwise(F.lit(good)))
 
 
 def run_checks(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Evaluate all rules in one aggregate; one row per rule (DQ-2):
-    ``check``, ``value`` (double), ``severity``."""
-    one = df.agg(*[r.value.cast("double").alias(f"__v{i}") for i, r in enumerate(rules)])
+    ``check``, ``value`` (as text, as in the report), ``severity``."""
+    one = df.agg(*[r.value.alias(f"__v{i}") for i, r in enumerate(rules)])
     rows = []
     for i, r in enumerate(rules):
         v = F.col(f"__v{i}")
         sev = r.severity(v) if callable(r.severity) else F.lit(r.severity)
         rows.append(F.struct(F.lit(i).alias("check_no"), F.lit(r.name).alias("check"),
-                             v.alias("value"), sev.cast("string").alias("severity")))
+                             v.cast("string").alias("value"), sev.cast("string").alias("severity")))
     return one.select(F.explode(F.array(*rows)).alias("__r")).select("__r.*")
 
 
@@ -140,23 +141,18 @@ def flight_rules(cancelled: str = "cancelled", dep_time: str = "dep_time",
     corr = F.round(pearson(a, b), 4)
     any_part = reduce(lambda x, y: x + y, [F.coalesce(F.col(p), F.lit(0)) for p in parts]) > 0 \
         if parts else F.lit(False)
+    names = CHECK_NAMES
+    day = F.col(date).cast("timestamp_ntz")
     rules = [
-        count_rule("Cancelled flights with non-null dep_time", c1 & F.col(dep_time).isNotNull()),
-        count_rule("Operated flights missing dep_time", c0 & F.col(dep_time).isNull(), bad="MEDIUM"),
-        Rule("Cancelled flights with non-zero delay components",
-             F.count_if(c1 & any_part).cast("double"), "LOW"),
-        Rule(f"{a} / {b} Pearson correlation", corr,
-             lambda v: F.when(v > threshold, F.lit("OK")).otherwise(F.lit("REVIEW"))),
+        count_rule(names[0], c1 & F.col(dep_time).isNotNull()),
+        count_rule(names[1], c0 & F.col(dep_time).isNull(), bad="MEDIUM"),
+        Rule(names[2], F.count_if(c1 & any_part), "LOW"),
+        Rule(names[3], corr, lambda v: F.when(v > threshold, F.lit("OK")).otherwise(F.lit("REVIEW"))),
     ]
     if elapsed:
-        rules.append(count_rule("Cancelled flights with actual_elapsed_time",
-                                c1 & F.col(elapsed).isNotNull()))
-    rules += [
-        Rule("Earliest date as yyyyMMdd", F.min(F.date_format(date, "yyyyMMdd").cast("double")), "INFO"),
-        Rule("Latest date as yyyyMMdd", F.max(F.date_format(date, "yyyyMMdd").cast("double")), "INFO"),
-        Rule("Months covered", F.count_distinct(month).cast("double"), "INFO"),
-    ]
-    return rules
+        rules.append(count_rule(names[4], c1 & F.col(elapsed).isNotNull()))
+    return [*rules, Rule(names[5], F.min(day), "INFO"), Rule(names[6], F.max(day), "INFO"),
+            Rule(names[7], F.count_distinct(month), "INFO")]
 
 
 def check_references(relations: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:

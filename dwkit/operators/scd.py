@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dwkit.functions.dates import ts_lit
 from dwkit.operators.windows import first_per_key, with_surrogate
+from dwkit.sources.files import scratch_path, stage
 
 # Fixed values of the warehouse's SCD2 tracking columns.
 OPEN_END = _dt.datetime(9999, 12, 31)
@@ -48,6 +49,18 @@ def _unique_batch(incoming: DataFrame, keys: Sequence[str], attrs: Sequence[str]
     return first_per_key(incoming.select(*cols), keys, list(attrs))
 
 
+def _staged_join(dim: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full outer join of a dimension (columns ``d_*``) with a batch (``i_*`` and
+    the marker ``i___in``), written once: each output of a merge reads it, none
+    joins again."""
+    spark = dim.sparkSession
+    d = dim.select(*[F.col(c).alias(f"d_{c}") for c in dim.columns])
+    i = incoming.withColumn("__in", F.lit(True))
+    i = i.select(*[F.col(c).alias(f"i_{c}") for c in i.columns])
+    match = reduce(lambda x, y: x & y, [F.col(f"d_{k}").eqNullSafe(F.col(f"i_{k}")) for k in keys])
+    return stage(d.join(i, match, "full"), scratch_path(spark, "merge"))
+
+
 def current(dim: DataFrame, flag: str = CUR) -> DataFrame:
     """Current versions only (SCD-6)."""
     return dim.where(F.col(flag))
@@ -73,17 +86,12 @@ def scd1_merge(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
     # the composite-key lookup (JOIN-8).  The incoming side carries a marker
     # so a null attribute in the batch still overwrites (type 1 takes the
     # batch row as it is).
-    d = dim.alias("d")
-    i = inc.withColumn("__in", F.lit(True)).alias("i")
-    cond = reduce(lambda a, b: a & b, [F.col(f"d.{k}").eqNullSafe(F.col(f"i.{k}")) for k in keys])
-    j = d.join(i, cond, "full")
-    key_cols = [F.when(F.col(f"d.{sk}").isNotNull(), F.col(f"d.{k}")).otherwise(F.col(f"i.{k}")).alias(k)
-                for k in keys]
-    kept = j.where(F.col(f"d.{sk}").isNotNull()).select(
-        F.col(f"d.{sk}").alias(sk), *key_cols,
-        *[F.when(F.col("i.__in"), F.col(f"i.{c}")).otherwise(F.col(f"d.{c}")).alias(c) for c in attrs])
-    new = j.where(F.col(f"d.{sk}").isNull()).select(*[F.col(f"i.{k}").alias(k) for k in keys],
-                                                    *[F.col(f"i.{c}").alias(c) for c in attrs])
+    j = _staged_join(dim.select(sk, *keys, *attrs), inc, keys)
+    has = F.col(f"d_{sk}").isNotNull()
+    kept = j.where(has).select(
+        F.col(f"d_{sk}").alias(sk), *[F.col(f"d_{k}").alias(k) for k in keys],
+        *[F.when(F.col("i___in"), F.col(f"i_{c}")).otherwise(F.col(f"d_{c}")).alias(c) for c in attrs])
+    new = j.where(~has).select(*[F.col(f"i_{c}").alias(c) for c in [*keys, *attrs]])
     start = dim.select(F.coalesce(F.max(sk), F.lit(0)) + 1).scalar()
     inserted = with_surrogate(new, sk, [F.col(k).asc_nulls_first() for k in keys], start=start)
     return kept.unionByName(inserted.select(sk, *keys, *attrs))
@@ -130,31 +138,26 @@ def scd2_merge(dim: DataFrame | None, incoming: DataFrame, key: Sequence[str] |
                            _ts(open_end).alias(EXP), F.lit(True).alias(CUR))
         return with_surrogate(first, sk, keys, start=1).select(*cols)
 
-    cur = current(dim).alias("c")
     hist = dim.where(~F.col(CUR))
-    i = inc.withColumn("__in", F.lit(True)).alias("i")
-    j = cur.join(i, _key_match(keys, "c", "i"), "full")   # null-safe business keys
-    has_cur = F.col(f"c.{sk}").isNotNull()
-    has_in = F.col("i.__in").isNotNull()
-    same = _same(tracked, "c", "i")
+    j = _staged_join(current(dim).select(*cols), inc.select(*keys, *tracked), keys)   # null-safe business keys
+    has_cur = F.col(f"d_{sk}").isNotNull()
+    has_in = F.col("i___in").isNotNull()
+    same = reduce(lambda x, y: x & y, [F.col(f"d_{t}").eqNullSafe(F.col(f"i_{t}")) for t in tracked], F.lit(True))
     changed = has_cur & has_in & ~same
 
-    c_cols = lambda: [F.col(f"c.{sk}").alias(sk), *[F.col(f"c.{k}").alias(k) for k in keys],
-                      *[F.col(f"c.{t}").alias(t) for t in tracked]]
-    untouched = j.where(has_cur & ~changed).select(*c_cols(), F.col(f"c.{EFF}").alias(EFF),
-                                                   F.col(f"c.{EXP}").alias(EXP), F.col(f"c.{CUR}").alias(CUR))
-    expired = j.where(changed).select(*c_cols(), F.col(f"c.{EFF}").alias(EFF),
-                                      run.alias(EXP), F.lit(False).alias(CUR))
+    c_cols = [F.col(f"d_{c}").alias(c) for c in [sk, *keys, *tracked, EFF]]
+    untouched = j.where(has_cur & ~changed).select(*c_cols, F.col(f"d_{EXP}").alias(EXP), F.col(f"d_{CUR}").alias(CUR))
+    expired = j.where(changed).select(*c_cols, run.alias(EXP), F.lit(False).alias(CUR))
     # A brand-new key may still have closed history (a key that was expired
     # and not re-opened is impossible here, but guard anyway): it starts at
     # first_effective only when no version of it exists.
     known = dim.select(*keys).distinct().withColumn("__known", F.lit(True)).alias("k")
-    i_cols = lambda: [*[F.col(f"i.{k}").alias(k) for k in keys], *[F.col(f"i.{t}").alias(t) for t in tracked]]
-    fresh = j.where(~has_cur & has_in).select(*i_cols()).alias("f")
+    i_cols = [F.col(f"i_{c}").alias(c) for c in [*keys, *tracked]]
+    fresh = j.where(~has_cur & has_in).select(*i_cols).alias("f")
     fresh = fresh.join(known, _key_match(keys, "f", "k"), "left").select(
         *[F.col(f"f.{k}").alias(k) for k in keys], *[F.col(f"f.{t}").alias(t) for t in tracked],
         F.when(F.col("k.__known").isNull(), _ts(first_effective)).otherwise(run).alias(EFF))
-    reopened = j.where(changed).select(*i_cols(), run.alias(EFF))
+    reopened = j.where(changed).select(*i_cols, run.alias(EFF))
     inserts = fresh.unionByName(reopened).select(*keys, *tracked, EFF,
                                                  _ts(open_end).alias(EXP), F.lit(True).alias(CUR))
     start = dim.select(F.coalesce(F.max(sk), F.lit(0)) + 1).scalar()

@@ -32,6 +32,12 @@ def _pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], take
     fields = [*order, *rest]
     if not fields:
         return df.select(*keys).distinct()
+    if len(fields) == 1:
+        # One value: a plain hash aggregate.  Nulls sort lowest, so they are the
+        # smallest value where there are any and the largest only where all are.
+        c = F.col(fields[0])
+        least = F.when(F.count(c) == F.count(F.lit(1)), F.min(c))
+        return df.groupBy(*keys).agg((F.max(c) if take_max else least).alias(fields[0])).select(*df.columns)
     s = F.struct(*[F.col(c) for c in fields])
     agg = F.max(s) if take_max else F.min(s)
     out = df.groupBy(*keys).agg(agg.alias(_R))

@@ -565,7 +565,8 @@ fact_keys AS (
     p.flight_id AS route_key,
     CASE f.cancellation_code_clean WHEN 'N/A' THEN 0 WHEN 'A' THEN 1 WHEN 'B' THEN 2 WHEN 'C' THEN 3
          WHEN 'D' THEN 4 END AS cancellation_key,
-    f.operation_id, f.dep_delay, f.arr_delay, p.route_distance AS distance,
+    f.operation_id, f.dep_delay, f.arr_delay, f.taxi_out, f.taxi_in, f.actual_elapsed_time, f.air_time,
+    CAST(f.diverted AS SMALLINT) AS diverted, p.route_distance AS distance,
     CAST(f.carrier_delay AS BIGINT) AS carrier_delay, CAST(f.weather_delay AS BIGINT) AS weather_delay,
     CAST(f.nas_delay AS BIGINT) AS nas_delay, CAST(f.security_delay AS BIGINT) AS security_delay,
     CAST(f.late_aircraft_delay AS BIGINT) AS late_aircraft_delay,
@@ -589,7 +590,8 @@ _DATES = """
 @q("norm_1_flight_operations", S.with_ctes(_KEYS, """
 SELECT operation_id, flight_id, fl_date, CAST(year(fl_date) AS SMALLINT) AS year,
        CAST(month(fl_date) AS TINYINT) AS month, CAST(day(fl_date) AS TINYINT) AS day_of_month,
-       CAST(dayofweek(fl_date) + 1 AS TINYINT) AS day_of_week, dep_delay, arr_delay,
+       CAST(dayofweek(fl_date) + 1 AS TINYINT) AS day_of_week, dep_delay, arr_delay, taxi_out, taxi_in,
+       actual_elapsed_time, air_time, CAST(diverted AS TINYINT) AS diverted,
        CAST(cancelled AS TINYINT) AS cancelled, cancellation_code
 FROM ops"""))
 def norm_1_ops(spark, sf):
@@ -779,13 +781,13 @@ FROM fact f JOIN airline_scd s ON s.carrier_code = f.carrier_code
  AND s.scd_effective_date <= CAST(f.fl_date AS TIMESTAMP) AND CAST(f.fl_date AS TIMESTAMP) < s.scd_expiry_date
 GROUP BY 1"""))
 def join_12(spark, sf):
-    w = build(spark, sf)
+    # Facts are counted by carrier and day first; those counts meet the versions.
     dim = _airline_two_loads(spark, sf)[1]
-    f = cube(spark, sf).frame(["airline.carrier", "date.day"]).select(
-        F.col("airline_carrier_code").alias("carrier_code"), F.col("date_full_date").alias("fl_date"))
-    del w
+    f = cube(spark, sf).frame(["airline.carrier", "date.day"]).groupBy(
+        F.col("airline_carrier_code").alias("carrier_code"), F.col("date_full_date").alias("fl_date")) \
+        .agg(F.count(F.lit(1)).alias("n"))
     return J.lookup_as_of(f, dim, "carrier_code", "fl_date", ["carrier_name"], how="inner") \
-        .groupBy("carrier_name").agg(F.count(F.lit(1)).alias("flights"))
+        .groupBy("carrier_name").agg(F.sum("n").alias("flights"))
 
 
 @q("scd_1_scd1_two_loads", S.with_ctes(_KEYS + """
@@ -883,6 +885,9 @@ _PROFILE_COLS = [("operation_id", "operation_id", "bigint"), ("year", "CAST(year
                  ("origin_city_name", "origin", "string"), ("origin_state_nm", "origin", "string"),
                  ("dest", "dest", "string"), ("dest_city_name", "dest", "string"), ("dest_state_nm", "dest", "string"),
                  ("dep_delay", "dep_delay", "double"), ("arr_delay", "arr_delay", "double"),
+                 ("taxi_out", "taxi_out", "double"), ("taxi_in", "taxi_in", "double"),
+                 ("actual_elapsed_time", "actual_elapsed_time", "double"), ("air_time", "air_time", "double"),
+                 ("diverted", "CAST(diverted AS TINYINT)", "tinyint"),
                  ("cancelled", "CAST(cancelled AS TINYINT)", "tinyint"),
                  ("cancellation_code", "cancellation_code", "string"), ("distance", "distance", "double"),
                  *[(p, p, "bigint") for p in S.PARTS], ("first_ship", "first_ship", "timestamp_ntz")]
@@ -914,26 +919,29 @@ def dq_1_samples(spark, sf):
 
 
 def _rules():
-    return Q.flight_rules(dep_time="dep_delay", parts=S.PARTS, elapsed=None)
+    return Q.flight_rules(dep_time="dep_delay", parts=S.PARTS)
 
 
 _CHECKS = """
 SELECT 0 AS check_no, 'Cancelled flights with non-null dep_time' AS "check",
-       CAST(count(*) FILTER (WHERE cancelled = 1 AND dep_delay IS NOT NULL) AS DOUBLE) AS value,
+       CAST(count(*) FILTER (WHERE cancelled = 1 AND dep_delay IS NOT NULL) AS VARCHAR) AS value,
        CASE WHEN count(*) FILTER (WHERE cancelled = 1 AND dep_delay IS NOT NULL) > 0 THEN 'HIGH' ELSE 'OK' END
          AS severity FROM flat
 UNION ALL SELECT 1, 'Operated flights missing dep_time',
-       CAST(count(*) FILTER (WHERE cancelled = 0 AND dep_delay IS NULL) AS DOUBLE),
+       CAST(count(*) FILTER (WHERE cancelled = 0 AND dep_delay IS NULL) AS VARCHAR),
        CASE WHEN count(*) FILTER (WHERE cancelled = 0 AND dep_delay IS NULL) > 0 THEN 'MEDIUM' ELSE 'OK' END FROM flat
 UNION ALL SELECT 2, 'Cancelled flights with non-zero delay components',
        CAST(count(*) FILTER (WHERE cancelled = 1 AND carrier_delay + weather_delay + nas_delay + security_delay
-            + late_aircraft_delay > 0) AS DOUBLE), 'LOW' FROM flat
-UNION ALL SELECT 3, 'dep_delay / arr_delay Pearson correlation',
-       round(corr(dep_delay, arr_delay), 4),
+            + late_aircraft_delay > 0) AS VARCHAR), 'LOW' FROM flat
+UNION ALL SELECT 3, 'dep_delay ↔ arr_delay Pearson correlation',
+       CAST(round(corr(dep_delay, arr_delay), 4) AS VARCHAR),
        CASE WHEN round(corr(dep_delay, arr_delay), 4) > 0.8 THEN 'OK' ELSE 'REVIEW' END FROM flat
-UNION ALL SELECT 4, 'Earliest date as yyyyMMdd', CAST(strftime(min(fl_date), '%Y%m%d') AS DOUBLE), 'INFO' FROM flat
-UNION ALL SELECT 5, 'Latest date as yyyyMMdd', CAST(strftime(max(fl_date), '%Y%m%d') AS DOUBLE), 'INFO' FROM flat
-UNION ALL SELECT 6, 'Months covered', CAST(count(DISTINCT month(fl_date)) AS DOUBLE), 'INFO' FROM flat"""
+UNION ALL SELECT 4, 'Cancelled flights with actual_elapsed_time',
+       CAST(count(*) FILTER (WHERE cancelled = 1 AND actual_elapsed_time IS NOT NULL) AS VARCHAR),
+       CASE WHEN count(*) FILTER (WHERE cancelled = 1 AND actual_elapsed_time IS NOT NULL) > 0 THEN 'HIGH' ELSE 'OK' END FROM flat
+UNION ALL SELECT 5, 'Earliest fl_date', CAST(CAST(min(fl_date) AS TIMESTAMP) AS VARCHAR), 'INFO' FROM flat
+UNION ALL SELECT 6, 'Latest fl_date', CAST(CAST(max(fl_date) AS TIMESTAMP) AS VARCHAR), 'INFO' FROM flat
+UNION ALL SELECT 7, 'Months covered', CAST(count(DISTINCT month(fl_date)) AS VARCHAR), 'INFO' FROM flat"""
 
 
 @q("dq_2_run_checks", S.with_fact(_CHECKS))
@@ -1360,13 +1368,11 @@ UNION ALL SELECT 'route_key' AS fk, count(*) FILTER (WHERE route_key IS NULL) AS
        (SELECT count(*) FROM (SELECT flight_id FROM flights GROUP BY 1 HAVING count(*) > 1) d) AS duplicate_keys
 FROM fact_keys"""))
 def olap_11(spark, sf):
-    from dwkit.plans.cube import check_dimension
+    from dwkit.plans.cube import check_dimensions
     w = build(spark, sf)
-    f = w["fact"]
-    parts = [check_dimension(f, fk, dim, key).select(F.lit(fk).alias("fk"), "*") for fk, dim, key in [
+    return check_dimensions(w["fact"], [
         ("date_key", w["dim_date"], "date_key"), ("airline_key", w["dim_airline"], "airline_key"),
-        ("origin_airport_key", w["dim_airport"], "airport_key"), ("route_key", w["dim_route"], "route_key")]]
-    return SET.union_all(parts)
+        ("origin_airport_key", w["dim_airport"], "airport_key"), ("route_key", w["dim_route"], "route_key")])
 
 
 # ---------------------------------------------------------------------------
@@ -1548,3 +1554,176 @@ def olap_8_swapped(spark, sf):
     """The pivot with axes swapped: quarters as rows, carriers as columns,
     the carrier members discovered from the data."""
     return cube(spark, sf).pivot(["date.quarter"], "airline.carrier_name", "flights")
+
+
+# ---------------------------------------------------------------------------
+# Geography and calendar hierarchies, questions by route and airport, slicers
+# ---------------------------------------------------------------------------
+
+_FIVE = ["taxi_out", "taxi_in", "actual_elapsed_time", "air_time", "diverted"]
+
+
+@q("olap_1_sums_of_operation_measures", S.with_fact("SELECT " + ", ".join(
+    f"CAST(sum({c}) AS {'BIGINT' if c == 'diverted' else 'DOUBLE'}) AS {c}" for c in _FIVE) + " FROM fact"))
+def olap_1_sums(spark, sf):
+    return cube(spark, sf).summary(_FIVE)
+
+
+def _geography(role: str, region: str, state: str) -> str:
+    return f"""
+SELECT {region} AS {role}_region, {state} AS {role}_state, {state} AS {role}_city, {state} AS {role}_airport,
+       count(*) AS flights, {S.rate(S.ON_TIME, S.OPERATED)} AS on_time_rate,
+       CAST({S.ON_TIME} AS BIGINT) AS on_time, CAST({S.OPERATED} AS BIGINT) AS operated"""
+
+
+@q("olap_4_geography_to_airport_origin", S.with_fact(_geography("origin", "origin_region", "origin") + " FROM fact GROUP BY 1, 2"))
+def olap_4_origin(spark, sf):
+    return cube(spark, sf).roll_up("origin", "Geography", "airport", ["flights", "on_time_rate"])
+
+
+@q("olap_5_geography_drill_dest", S.with_fact(_geography("dest", "dest_region", "dest")
+                                              + " FROM fact WHERE dest_region = 'EUROPE' GROUP BY 1, 2"))
+def olap_5_dest(spark, sf):
+    """From city to airport within one region, in the destination role."""
+    return cube(spark, sf).drill_down("dest", "Geography", "city", ["flights", "on_time_rate"], {"dest.region": "EUROPE"})
+
+
+@q("rpt_4_drill_to_day_with_totals", S.with_fact(f"""
+SELECT year AS date_year, quarter AS date_quarter,
+       CASE WHEN GROUPING(quarter) = 1 THEN NULL ELSE max({_QN}) END AS date_quarter_name, month AS date_month,
+       CASE WHEN GROUPING(month) = 1 THEN NULL ELSE max(monthname(fl_date)) END AS date_month_name, fl_date AS date_day,
+       count(*) AS flights, CAST(GROUPING(year, quarter, month, fl_date) AS BIGINT) AS grouping_id
+FROM fact WHERE carrier_code = 'FURNITURE' GROUP BY ROLLUP (year, quarter, month, fl_date)"""))
+def rpt_4_day(spark, sf):
+    out = R.drill_table(cube(spark, sf), "date", "Calendar", "day", ["flights"], {"airline.carrier": "FURNITURE"})
+    return out.withColumn("grouping_id", F.col("grouping_id").cast("long"))
+
+
+@q("rpt_11_dominant_cause_by_route_quarter", S.with_fact(f"""
+SELECT origin, dest, quarter, {_PICK} AS dominant_cause, {_DOM} AS minutes FROM (
+  SELECT origin, dest, CAST(quarter AS INTEGER) AS quarter, {", ".join(f"CAST(sum({p}) AS BIGINT) AS s_{p}" for p in S.PARTS)}
+  FROM fact GROUP BY 1, 2, 3) t"""))
+def rpt_11_route_cause(spark, sf):
+    f = cube(spark, sf).frame(["origin.airport", "dest.airport", "date.quarter"])
+    f = f.withColumns({"origin": F.col("origin_airport_code"), "dest": F.col("dest_airport_code"),
+                       "quarter": F.col("date_quarter").cast("int")})
+    return R.dominant_cause(f, ["origin", "dest", "quarter"])
+
+
+@q("rpt_11_riskiest_origin_airports", S.with_fact(f"""
+SELECT origin, {S.headline_sql()} FROM fact GROUP BY 1 ORDER BY cancellation_rate DESC NULLS LAST, origin LIMIT 10"""))
+def rpt_11_airports(spark, sf):
+    f = cube(spark, sf).frame(["origin.airport"]).withColumnRenamed("origin_airport_code", "origin")
+    return R.riskiest(f, ["origin"], 10)
+
+
+@q("olap_13_members_under_filters_of_other_dimensions", S.with_fact("""
+SELECT DISTINCT origin AS origin_state FROM fact WHERE carrier_code = 'BUILDING' AND year = 1997 AND origin_region = 'EUROPE'"""))
+def olap_13_across(spark, sf):
+    return cube(spark, sf).members("origin.state", {"airline.carrier": "BUILDING", "date.year": 1997, "origin.region": "EUROPE"})
+
+
+# ---------------------------------------------------------------------------
+# Sources and sinks on the given tables (SRC-3, SRC-4, SRC-6 to SRC-9), second loads (SCD-2, SCD-3)
+# ---------------------------------------------------------------------------
+
+@q("src_3_typed_completion_feed", "SELECT l_orderkey AS operation_id, CAST(l_shipdate AS TIMESTAMP) AS accm_txn_complete_time FROM lineitem")
+def src_3(spark, sf):
+    """The feed written as CSV text and read with the declared schema."""
+    from dwkit.sources.files import read_csv, scratch_path
+    from dwkit.sources.reference import COMPLETION_SCHEMA
+    path = scratch_path(spark, "src3")
+    (FX.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("operation_id"),
+                                            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("accm_txn_complete_time"))
+     .write.option("header", True).csv(path))
+    return read_csv(spark, path, COMPLETION_SCHEMA, timestamp_format="yyyy-MM-dd HH:mm:ss")
+
+
+@q("src_4_newest_version_and_command", """
+SELECT o_orderstatus, count(*) AS orders FROM orders WHERE o_orderkey % 2 = 0 GROUP BY 1""")
+def src_4(spark, sf):
+    """A table in two versions read back as the newest, then through a SQL command."""
+    from dwkit.sources.files import read_table, scratch_path, write_version
+    path, orders = scratch_path(spark, "src4"), FX.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    write_version(orders, path)
+    write_version(orders.where("o_orderkey % 2 = 0"), path)
+    read_table(spark, path).createOrReplaceTempView("src_4_orders")
+    return read_table(spark, "", sql="SELECT o_orderstatus, count(*) AS orders FROM src_4_orders GROUP BY 1")
+
+
+@q("src_6_length_limits", """
+SELECT p_partkey, p_brand, p_type FROM part""")
+def src_6(spark, sf):
+    """Conversion with limits that all parts keep; a longer text would fail the job."""
+    from dwkit.sources.files import convert_types
+    return convert_types(FX.table(spark, sf, "part").select("p_partkey", "p_brand", "p_type"),
+                         {"p_brand": ("string", 20), "p_type": ("string", 60)})
+
+
+@q("src_7_refresh_and_append", """
+SELECT o_orderstatus, count(*) AS orders FROM (
+  SELECT o_orderstatus FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderstatus FROM orders WHERE o_orderstatus = 'P') x
+GROUP BY 1""")
+def src_7(spark, sf):
+    """Staged rows are replaced by a refresh (SRC-7), then added to (SRC-8)."""
+    from dwkit.sources.files import append, refresh, scratch_path
+    path, orders = scratch_path(spark, "src7"), FX.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    refresh(orders, path)
+    refresh(orders.where("o_orderstatus <> 'P'"), path)
+    append(orders.where("o_orderstatus = 'P'"), path)
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+
+
+@q("src_9_quarantined_orders", """
+SELECT 'orders' AS source_table, CAST(9 AS INTEGER) AS error_code, 'no line' AS error_description, CAST(o_orderkey AS VARCHAR) AS raw_row,
+       TIMESTAMP '2025-01-01 00:00:00' AS captured_at
+FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+def src_9(spark, sf):
+    """Orders without lines appended to an error table with code and reason."""
+    from dwkit.sources.files import quarantine, scratch_path
+    path = scratch_path(spark, "src9")
+    bad = J.orphans(FX.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", FX.table(spark, sf, "lineitem"), "l_orderkey")
+    quarantine(Q.as_error_rows(bad, "orders", 9, "no line", ["o_orderkey"], FX.RUN_TS), path)
+    return spark.read.parquet(path)
+
+
+@q("scd_2_second_load_of_routes", S.with_ctes(_KEYS, """
+SELECT CAST(flight_id AS BIGINT) AS route_key, CAST(flight_id AS BIGINT) AS flight_id, carrier_code, flight_number, origin_code, dest_code,
+       distance + CASE WHEN flight_id % 3 = 0 THEN 1000 ELSE 0 END AS distance,
+       CASE WHEN distance IS NULL THEN NULL
+            WHEN distance + CASE WHEN flight_id % 3 = 0 THEN 1000 ELSE 0 END < 500 THEN 'Short'
+            WHEN distance + CASE WHEN flight_id % 3 = 0 THEN 1000 ELSE 0 END <= 1500 THEN 'Medium' ELSE 'Long' END AS distance_band
+FROM flights"""))
+def scd_2(spark, sf):
+    """Routes merged a second time: every third flight is 1,000 longer, and the
+    batch brings only those; the rest stay as they are."""
+    w = build(spark, sf)
+    longer = w["flight"].where("flight_id % 3 = 0").withColumn("distance", F.col("distance") + 1000)
+    return D.route_dim(w["dim_route"], longer)
+
+
+@q("scd_3_second_load_of_reasons", """
+SELECT CAST(k AS INTEGER) AS cancellation_key, code AS cancellation_code, n AS flights FROM (
+  SELECT code, n, row_number() OVER (ORDER BY code) + 4 AS k FROM (
+    SELECT 'X' || substr(o_orderpriority, 1, 1) AS code, count(*) AS n FROM orders GROUP BY 1) x) y""")
+def scd_3(spark, sf):
+    """A sheet of further reasons (the order priorities) merged after the seeded
+    ones: new codes get the next keys."""
+    orders = FX.table(spark, sf, "orders").groupBy(F.concat(F.lit("X"), F.substring("o_orderpriority", 1, 1)).alias("cancellation_code")) \
+        .agg(F.count(F.lit(1)).alias("flights"))
+    sheet = orders.select("cancellation_code", F.lit("from orders").alias("reason_description"),
+                          F.lit("Carrier").alias("responsible_party"), F.lit("No").alias("compensation_eligibility"))
+    dim = D.reason_dim(spark, D.reason_dim(spark), sheet)
+    return (dim.select(F.col("cancellation_key").cast("int").alias("cancellation_key"), "cancellation_code")
+            .join(orders, "cancellation_code"))
+
+
+@q("prj_6_defaults_and_casts", """
+SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 2)) AS price, CAST(o_orderdate AS DATE) + 7 AS due,
+       coalesce(nullif(o_orderpriority, '5-LOW'), 'none') AS priority FROM orders""")
+def prj_6(spark, sf):
+    """Null-to-default (PRJ-6), days added to a date (FN-4), casts and text to null (FN-11)."""
+    return FX.table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
+        F.date_add(F.col("o_orderdate").cast("date"), 7).alias("due"),
+        F.coalesce(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")), F.lit("none")).alias("priority"))

@@ -12,7 +12,8 @@ PARTS = ["carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_
 
 FLAT_CTE = """
 fl AS (
-  SELECT l_orderkey, l_partkey AS first_partkey, l_suppkey AS first_suppkey, l_shipdate AS first_ship
+  SELECT l_orderkey, l_partkey AS first_partkey, l_suppkey AS first_suppkey, l_shipdate AS first_ship,
+    l_linenumber AS first_number, l_quantity AS first_quantity, l_returnflag AS first_flag
   FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey, l_linenumber,
                l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS rn
         FROM lineitem) t
@@ -38,6 +39,11 @@ flat AS (
          THEN CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(la.min_ship AS DATE)) AS DOUBLE) END AS dep_delay,
     CASE WHEN o.o_orderstatus <> 'P'
          THEN CAST(date_diff('day', CAST(o.o_orderdate AS DATE), CAST(fl.first_ship AS DATE)) AS DOUBLE) END AS arr_delay,
+    CASE WHEN o.o_orderstatus <> 'P' THEN CAST(fl.first_number AS DOUBLE) END AS taxi_out,
+    CASE WHEN o.o_orderstatus <> 'P' THEN fl.first_quantity END AS taxi_in,
+    CASE WHEN o.o_orderstatus <> 'P' THEN fl.first_quantity * 6 + fl.first_number END AS actual_elapsed_time,
+    CASE WHEN o.o_orderstatus <> 'P' THEN fl.first_quantity * 5 END AS air_time,
+    CASE WHEN o.o_orderstatus <> 'P' AND fl.first_flag = 'R' THEN 1 ELSE 0 END AS diverted,
     coalesce(la.carrier_delay, 0) AS carrier_delay, coalesce(la.weather_delay, 0) AS weather_delay,
     coalesce(la.nas_delay, 0) AS nas_delay, coalesce(la.security_delay, 0) AS security_delay,
     coalesce(la.late_aircraft_delay, 0) AS late_aircraft_delay,
@@ -55,7 +61,7 @@ regions AS (
   FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey WHERE r.r_name <> 'MIDDLE EAST'),
 fact AS (
   SELECT f.operation_id, f.fl_date, f.carrier_code, f.carrier_name, f.flight_number, f.origin, f.dest,
-    f.distance, f.cancelled, f.dep_delay, f.arr_delay,
+    f.distance, f.cancelled, f.dep_delay, f.arr_delay, f.taxi_out, f.taxi_in, f.actual_elapsed_time, f.air_time, f.diverted,
     CASE WHEN f.cancelled = 0 THEN f.carrier_delay ELSE 0 END AS carrier_delay,
     CASE WHEN f.cancelled = 0 THEN f.weather_delay ELSE 0 END AS weather_delay,
     CASE WHEN f.cancelled = 0 THEN f.nas_delay ELSE 0 END AS nas_delay,

@@ -303,28 +303,45 @@ class CubeModel:
                           F.round("trend", 4).alias("trend"))
 
     def members(self, ref: str, filters: Mapping[str, object] | None = None) -> DataFrame:
-        """Members of an attribute under other filters, from the dimension
-        alone (OLAP-13, RPT-2)."""
+        """Members of an attribute under other filters (OLAP-13, RPT-2): from
+        the dimension alone if all filters are on it, else those that have
+        facts under the filters."""
         r, a = self._attr(ref)
+        if any(self._attr(f)[0].dimension.name != r.dimension.name for f in filters or {}):
+            f, names, _ = self._group_cols(self.frame([ref], filters), [ref])
+            return f.select(names[0]).where(F.col(names[0]).isNotNull()).distinct()
         d = r.dimension.table
         for fref, v in (filters or {}).items():
             rr, fa = self._attr(fref)
-            if rr.dimension.name != r.dimension.name:
-                raise ValueError("members() filters must be on the same dimension")
             d = d.where(F.col(fa.key).isin(*v) if isinstance(v, (list, tuple, set)) else F.col(fa.key) == v)
         return d.select(F.col(a.key).alias(self.col_name(ref))).where(F.col(a.key).isNotNull()).distinct()
 
 
+def check_dimensions(fact: DataFrame, relations: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
+    """Dimension integrity at process time (OLAP-11), one row per foreign key of
+    ``(fk, dimension, key)``: null keys on the fact, fact keys not found in the
+    dimension, duplicated dimension keys.  The fact is scanned once: its rows
+    are counted by their foreign keys first, and those counts meet the keys."""
+    x = fact.groupBy(*[F.col(fk) for fk, _, _ in relations]).agg(F.count(F.lit(1)).alias("__n"))
+    for i, (fk, dim, key) in enumerate(relations):
+        d = dim.select(F.col(key).alias(f"__k{i}")).distinct().withColumn(f"__hit{i}", F.lit(True))
+        x = x.join(d, x[fk] == d[f"__k{i}"], "left").drop(f"__k{i}")
+    n = F.col("__n")
+    one = x.agg(*[F.coalesce(F.sum(F.when(c, n)), F.lit(0)).cast("long").alias(f"__{name}{i}")
+                  for i, (fk, _, _) in enumerate(relations)
+                  for name, c in (("null", F.col(fk).isNull()), ("miss", F.col(fk).isNotNull() & F.col(f"__hit{i}").isNull()))])
+    rows = []
+    for i, (fk, dim, key) in enumerate(relations):
+        dups = dim.groupBy(key).count().where(F.col("count") > 1).select(F.count(F.lit(1))).scalar()
+        rows.append(F.struct(F.lit(fk).alias("fk"), F.col(f"__null{i}").alias("null_keys"), F.col(f"__miss{i}").alias("not_found"),
+                             dups.alias("duplicate_keys")))
+    return one.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def check_dimension(fact: DataFrame, fk: str, dim: DataFrame, key: str) -> DataFrame:
-    """Dimension integrity at process time (OLAP-11): null keys on the fact,
-    fact keys not found in the dimension, duplicated dimension keys.  One
-    row of counts; ``assert_dimension`` raises on any non-zero count."""
-    nulls = fact.select(F.count_if(F.col(fk).isNull())).scalar()
-    dups = dim.groupBy(key).count().where(F.col("count") > 1).select(F.count(F.lit(1))).scalar()
-    d = dim.select(F.col(key).alias("__dk")).distinct()
-    missing = fact.where(F.col(fk).isNotNull()).join(d, F.col(fk) == F.col("__dk"), "left_anti")
-    return missing.agg(F.count(F.lit(1)).alias("not_found")).select(
-        nulls.alias("null_keys"), "not_found", dups.alias("duplicate_keys"))
+    """``check_dimensions`` of one foreign key; ``assert_dimension`` raises on
+    any non-zero count."""
+    return check_dimensions(fact, [(fk, dim, key)]).drop("fk")
 
 
 def assert_dimension(fact: DataFrame, fk: str, dim: DataFrame, key: str) -> None:

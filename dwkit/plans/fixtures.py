@@ -59,7 +59,9 @@ def order_lines(lineitem: DataFrame) -> DataFrame:
         part(F.col("l_linestatus") == "F").alias("late_aircraft_delay"),
     ).select("l_orderkey", "min_ship", "carrier_delay", "weather_delay", "nas_delay", "security_delay",
              "late_aircraft_delay", F.col("first.l_partkey").alias("first_partkey"),
-             F.col("first.l_suppkey").alias("first_suppkey"), F.col("first.l_shipdate").alias("first_ship"))
+             F.col("first.l_suppkey").alias("first_suppkey"), F.col("first.l_shipdate").alias("first_ship"),
+             F.col("first.l_linenumber").alias("first_number"), F.col("first.l_quantity").alias("first_quantity"),
+             F.col("first.l_returnflag").alias("first_flag"))
 
 
 def flat_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +87,7 @@ def flat_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
     digit = F.substring("o_orderpriority", 1, 1)
     code = (F.when(digit == "1", "A").when(digit == "2", "B").when(digit == "3", "C").when(digit == "4", "D"))
     delay = lambda ship: F.when(~cancelled, F.datediff(F.col(ship).cast("date"), d).cast("double"))
+    operated = lambda v: F.when(~cancelled, v)
     return j.select(
         F.col("o_orderkey").alias("operation_id"),
         F.year(d).cast("short").alias("year"), F.month(d).cast("byte").alias("month"),
@@ -97,6 +100,11 @@ def flat_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("dest"), F.col("dest").alias("dest_city_name"), F.col("dest").alias("dest_state_nm"),
         delay("min_ship").alias("dep_delay"),
         delay("first_ship").alias("arr_delay"),
+        operated(F.col("first_number").cast("double")).alias("taxi_out"),
+        operated(F.col("first_quantity")).alias("taxi_in"),
+        operated(F.col("first_quantity") * 6 + F.col("first_number")).alias("actual_elapsed_time"),
+        operated(F.col("first_quantity") * 5).alias("air_time"),
+        F.coalesce(~cancelled & (F.col("first_flag") == "R"), F.lit(False)).cast("byte").alias("diverted"),
         cancelled.cast("byte").alias("cancelled"),
         F.when(cancelled, code).alias("cancellation_code"),
         (F.col("p_size") * 100).cast("double").alias("distance"),

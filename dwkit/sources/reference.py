@@ -49,6 +49,18 @@ ERROR_SCHEMA = T.StructType([
     T.StructField("captured_at", T.TimestampNTZType()),
 ])
 
+# Names of the source checks, as in the quality report.
+CHECK_NAMES = (
+    "Cancelled flights with non-null dep_time",
+    "Operated flights missing dep_time",
+    "Cancelled flights with non-zero delay components",
+    "dep_delay ↔ arr_delay Pearson correlation",
+    "Cancelled flights with actual_elapsed_time",
+    "Earliest fl_date",
+    "Latest fl_date",
+    "Months covered",
+)
+
 DELAY_PARTS = ("carrier_delay", "weather_delay", "nas_delay", "security_delay", "late_aircraft_delay")
 
 # ---------------------------------------------------------------------------
