@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TABLE = 700_000                # words a process remembers
 _STOPS = (b".", b"!", b"?", "…".encode())
@@ -32,6 +35,20 @@ def folded(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def few_texts(column: pa.Array, most: int) -> Iterator[tuple[int, list[str | None]]]:
+    """A column's texts in runs of ``most`` bytes (one text, if that alone is longer),
+    with the first one's place; only a run at a time is Python objects."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    lo = held = 0
+    for at, size in enumerate(sizes):
+        if at > lo and held + size > most:
+            yield lo, column.slice(lo, at - lo).to_pylist()
+            lo, held = at, 0
+        held += size
+    if lo < len(sizes):
+        yield lo, column.slice(lo).to_pylist()
+
+
 def tokenizer_words(text: str | None) -> list[bytes]:
     """Words for a tokenizer that ignores case; special tokens must keep theirs."""
     raw = (text or "").encode("utf-8", "surrogatepass")
