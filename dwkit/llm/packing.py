@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.subwords import WordTable, table, tokenizer_words
+from dwkit.llm.subwords import WordTable, few_texts, table, tokenizer_words
 
 LENGTH = 2048
 END = 1
@@ -44,30 +44,23 @@ SENTENCE, INSIDE = 4, 16       # penalties of a cut, in padding tokens
 GRID = 32
 BLOCK = 2_000_000
 TABLE = 1_500_000              # words a process remembers, about 300 MB
-_SLICE = 1_000_000             # characters tokenised at once
+_SLICE = 1_000_000             # bytes of text tokenised at once
 
 
 def tokenise(words: WordTable, texts: list[str | None], end: int = END) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per text its ids with the end id, and the places after its sentences."""
-    at = 0
-    while at < len(texts):
-        size, lists = 0, []
-        words.trim(TABLE)
-        while at < len(texts) and (not lists or size + len(texts[at] or "") <= _SLICE):
-            lists.append(tokenizer_words(texts[at]))
-            size += len(texts[at] or "")
-            at += 1
-        own = words.numbers(list(chain.from_iterable(lists)))
-        ids, lens = words.ids(own)
-        stop = words.stop[own]
-        ends = np.cumsum(lens)
-        word = 0
-        for ws in lists:
-            lo = int(ends[word - 1]) if word else 0
-            hi = int(ends[word + len(ws) - 1]) if ws else lo
-            stops = ends[word:word + len(ws)][stop[word:word + len(ws)]] - lo
-            yield np.append(ids[lo:hi], np.uint32(end)).astype("<u4"), stops
-            word += len(ws)
+    words.trim(TABLE)
+    lists = [tokenizer_words(t) for t in texts]
+    own = words.numbers(list(chain.from_iterable(lists)))
+    ids, lens = words.ids(own)
+    stop, ends = words.stop[own], np.cumsum(lens)
+    word = 0
+    for ws in lists:
+        lo = int(ends[word - 1]) if word else 0
+        hi = int(ends[word + len(ws) - 1]) if ws else lo
+        stops = ends[word:word + len(ws)][stop[word:word + len(ws)]] - lo
+        yield np.append(ids[lo:hi], np.uint32(end)).astype("<u4"), stops
+        word += len(ws)
 
 
 def places(sizes: list[int], stops: list[np.ndarray], grid: int = GRID) -> tuple[np.ndarray, np.ndarray]:
@@ -162,7 +155,8 @@ def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with
 
     for batch in it:
         ids_type = batch.column("id").type
-        for name, (ids, ends) in zip(batch.column("id").to_pylist(), tokenise(words, batch.column("text").to_pylist()), strict=True):
+        found = (x for _, some in few_texts(batch.column("text"), _SLICE) for x in tokenise(words, some))
+        for name, (ids, ends) in zip(batch.column("id").to_pylist(), found, strict=True):
             names.append(name)
             tokens.append(ids)
             stops.append(ends)
