@@ -49,8 +49,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     smallest node of each component; nodes without an edge are not listed.
 
     Alternating large-star and small-star contraction: every round is two
-    grouped minima and two equi-joins, the edge list is written to the shared
-    folder after each round, and only a count and a checksum reach the driver.
+    grouped minima and two equi-joins, and only a count and a checksum reach the
+    driver.  The edges of each step and the minima are written to the shared
+    folder: both sides of a join are then plain scans, so Spark can split a
+    centre with very many edges over tasks.
     The number of rounds grows with the logarithm of the longest path.  Null
     ends and loops are ignored; an empty list gives an empty result.
     """
@@ -63,9 +65,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     before = mark(cur)
     while before[0]:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = staged(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "edges")
+        large = staged(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "edges")
         small = (large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))))
         cur = staged(small.distinct(), "edges")
