@@ -98,20 +98,18 @@ class WordTable:
         self.at.update(zip(new, range(lo, hi), strict=True))
         self.used += total
 
-    def _encode(self, new: list[str]) -> None:
+    def _encode(self, letters: list[bytes], alone: list[bytes]) -> None:
         """Encode words; those of letters alone together, as each is one run of tokens up to a word's end."""
-        alone = [w for w in new if not w.isalpha()]
-        letters = [w for w in new if w.isalpha()]
         for at in range(0, len(letters), _JOINED):
             some = letters[at:at + _JOINED]
-            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype=np.int64)
+            ids = np.array(self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False).ids, dtype=np.int64)
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(some) and ends[-1] == len(ids):
-                self._append([w.encode() for w in some], np.diff(ends, prepend=0), ids)
+                self._append(some, np.diff(ends, prepend=0), ids)
             else:
-                alone += some
-        got = [e.ids for e in self.tokenizer.encode_batch(alone, add_special_tokens=False)]
-        self._append([w.encode("utf-8", "surrogatepass") for w in alone], *_flat(got))
+                alone = alone + some
+        got = [e.ids for e in self.tokenizer.encode_batch([w.decode("utf-8", "surrogatepass") for w in alone], add_special_tokens=False)]
+        self._append(alone, *_flat(got))
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """The words' numbers in the table."""
@@ -124,15 +122,16 @@ class WordTable:
 
     def _learn(self, new: set[bytes]) -> None:
         # Signs after letters are a token run of their own: take the letters' ids before theirs.
-        plain, ended = set(), []
-        for w in new:
-            m = _ENDED.match(s := w.decode("utf-8", "surrogatepass"))
-            if m:
+        letters, alone, ended = {w for w in new if w.isalpha()}, set(), []
+        for w in new - letters:
+            s = w.decode("utf-8", "surrogatepass")
+            if m := _ENDED.match(s):
                 ended.append((w, m[1].encode(), m[2].encode()))
-                plain.update(m.groups())
-            else:
-                plain.add(s)
-        self._encode([s for s in plain if s.encode("utf-8", "surrogatepass") not in self.at])
+            (letters if s.isalpha() else alone).add(w)
+        alone.difference_update(e[0] for e in ended)
+        letters.update(e[1] for e in ended if e[1] not in self.at)
+        alone.update(e[2] for e in ended if e[2] not in self.at)
+        self._encode(list(letters), list(alone))
         if ended:
             ids, lens = self.ids(np.array([self.at[part] for e in ended for part in e[1:]]))
             self._append([e[0] for e in ended], lens.reshape(-1, 2).sum(axis=1), ids)
