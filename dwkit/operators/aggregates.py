@@ -136,10 +136,3 @@ def rollup_totals(df: DataFrame, levels: Sequence[str], aggs: dict[str, Column],
         depth = depth + (F.lit(1) - F.grouping(c))
     return df.rollup(*levels).agg(*[c.alias(k) for k, c in aggs.items()],
                                   depth.cast("int").alias(level_col))
-
-
-def cube_totals(df: DataFrame, dims: Sequence[str], aggs: dict[str, Column],
-                grouping_col: str = "grouping_id") -> DataFrame:
-    """All-combination subtotals (AGG-17): ``GROUP BY CUBE(dims)``."""
-    return df.cube(*dims).agg(*[c.alias(k) for k, c in aggs.items()],
-                              F.grouping_id(*dims).alias(grouping_col))

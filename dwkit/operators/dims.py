@@ -99,9 +99,12 @@ def airport_dim(dim: DataFrame | None, airports: DataFrame, regions: DataFrame,
 
 def route_dim(dim: DataFrame | None, flights: DataFrame, edges=(500, 1500),
               labels=("Short", "Medium", "Long")) -> DataFrame:
-    """Routes keyed by ``flight_id`` with a distance band (DIM-3, PRJ-3)."""
+    """Routes keyed by ``flight_id`` with a distance band (DIM-3, PRJ-3).  On the
+    first load the routes' dense ``flight_id`` is their key: one projection."""
     attrs = [c for c in flights.columns if c != "flight_id"] + ["distance_band"]
     f = flights.withColumn("distance_band", band("distance", edges, labels))
+    if dim is None:
+        return f.select(F.col("flight_id").cast("long").alias("route_key"), "flight_id", *attrs)
     return scd1_merge(dim, f, "flight_id", attrs, "route_key")
 
 

@@ -1727,3 +1727,17 @@ def prj_6(spark, sf):
         "o_orderkey", F.col("o_totalprice").cast("decimal(18,2)").alias("price"),
         F.date_add(F.col("o_orderdate").cast("date"), 7).alias("due"),
         F.coalesce(F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")), F.lit("none")).alias("priority"))
+
+
+@q("dim_1_holiday_flags_of_event_days", """
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_key, d AS full_date,
+       d IN (DATE '2024-01-01', DATE '2024-01-15', DATE '2024-02-19', DATE '2024-05-27', DATE '2024-06-19', DATE '2024-07-04',
+             DATE '2024-09-02', DATE '2024-10-14', DATE '2024-11-11', DATE '2024-11-28', DATE '2024-12-25') AS is_public_holiday,
+       n AS events
+FROM (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events GROUP BY 1) x""")
+def dim_1_holidays(spark, sf):
+    """Calendar of the event days with their holiday flags and events."""
+    events = FX.table(spark, sf, "events")
+    days = D.date_dim_for(events, "ts", US_FEDERAL_HOLIDAYS_2024).select("date_key", "full_date", "is_public_holiday")
+    n = events.groupBy(F.col("ts").cast("date").alias("full_date")).agg(F.count(F.lit(1)).alias("events"))
+    return days.join(n, "full_date")

@@ -131,9 +131,10 @@ def run(spark: SparkSession, flat: DataFrame, feed: DataFrame | None, regions: D
     load = _Load(spark, out, fact_partition)
     w, st = load.tables, load.table
     load.open({"flat": flat, "feed": feed, "regions": regions, "names": carrier_names}, "source", **args)
-    # A flat input without ids gets them in a narrower step: the stored source is numbered as it is.
-    st("flat", lambda: w["source"] if "operation_id" in flat.columns
-       else with_surrogate(w["source"], "operation_id", list(flat.columns)))
+    if "operation_id" in flat.columns:
+        w["flat"] = w["source"]
+    else:
+        st("flat", lambda: with_surrogate(w["source"], "operation_id", list(flat.columns)))
     st("airline", lambda: airlines(w["flat"], carrier_names))
     st("airport", lambda: airports(w["flat"]))
     st("flight", lambda: flights(w["flat"]))
@@ -198,8 +199,11 @@ def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFra
         """The previous table and the batch's."""
         w[name] = prev[name].unionByName(w[f"{name}_batch"]) if name in prev else w[f"{name}_batch"]
 
-    st("flat_batch", lambda: w["source_batch"] if "operation_id" in flat.columns else with_surrogate(
-        w["source_batch"], "operation_id", list(flat.columns), start=_next(prev["flight_operation"], "operation_id")))
+    if "operation_id" in flat.columns:
+        w["flat_batch"] = w["source_batch"]
+    else:
+        st("flat_batch", lambda: with_surrogate(w["source_batch"], "operation_id", list(flat.columns),
+                                                start=_next(prev["flight_operation"], "operation_id")))
     st("flight", lambda: scd1_merge(prev["flight"], *route_identities(w["flat_batch"]), "flight_id"))
     st("prepared_batch", lambda: prepare_keyed(keyed_operations(w["flat_batch"], w["flight"])))
     op_cols = [c for c in OPERATION_COLS if c in w["prepared_batch"].columns]
@@ -242,7 +246,7 @@ def run_increment(spark: SparkSession, prev: dict[str, DataFrame], flat: DataFra
 
 
 def main(argv=None) -> None:
-    from dwkit.session import local_session
+    from dwkit.session import cluster_conf, local_session
     from dwkit.sources.files import convert_types, read_csv
     from dwkit.sources.reference import COMPLETION_SCHEMA, FLAT_SCHEMA, REGION_LENGTHS, us_region_reference
     ap = argparse.ArgumentParser(description="Load the warehouse from a flat operations file.")
@@ -251,9 +255,14 @@ def main(argv=None) -> None:
     ap.add_argument("--regions", help="CSV state_name,region,region_code (default: built-in US states)")
     ap.add_argument("--carriers", help="CSV carrier_code,carrier_name")
     ap.add_argument("--out", required=True)
+    ap.add_argument("--input-gb", type=float, help="input size: with --cores, sets partitions and thresholds for it")
+    ap.add_argument("--cores", type=int, help="cores of the cluster")
     ap.add_argument("--master", default=None, help="local[N] for a local run; omit under spark-submit")
     a = ap.parse_args(argv)
     spark = local_session(a.master[6:-1]) if a.master else SparkSession.builder.getOrCreate()
+    if a.input_gb and a.cores:
+        for k, v in cluster_conf(a.input_gb * 1e9, a.cores).items():
+            spark.conf.set(k, v)
     flat = read_csv(spark, a.flat, FLAT_SCHEMA, date_format="yyyy-MM-dd")
     feed = read_csv(spark, a.feed, COMPLETION_SCHEMA, timestamp_format="yyyy-MM-dd HH:mm:ss") if a.feed else None
     regions = (convert_types(read_csv(spark, a.regions, "state_name string, region string, region_code string"),

@@ -1,7 +1,8 @@
 """Scans and sinks (SRC-1..SRC-10).
 
 Reads always take a declared schema (no inference; malformed rows fail the
-job).  Writes never replace the folder they read from: a table is a base
+job).  Writes never replace the folder they read from (but for the in-place
+completion update, which repairs itself when repeated): a table is a base
 folder holding numbered version folders, each completed version marked by a
 ``_SUCCESS`` file, and readers take the newest complete version.
 """
