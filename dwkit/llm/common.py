@@ -23,12 +23,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def hash_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     """The ``n`` rows with the smallest hashes of ``key`` (all rows if there are no more).
 
-    Only hashes below a cut that leaves about twice as many rows are sorted, so what
+    Only hashes below a cut that leaves over twice as many rows are sorted, so what
     the tasks send for the final choice does not grow with their number."""
     total = df.count()
     if total <= n:
         return df
-    h, cut = F.xxhash64(*key), int((2 * n / total) * 2**64) - 2**63
+    h, cut = F.xxhash64(*key), int(((2 * n + 100) / total) * 2**64) - 2**63
     return (df.where(h < F.lit(cut)) if cut < 2**63 else df).orderBy(h, *key).limit(n)
 
 

@@ -13,8 +13,8 @@ Equal keys are joined with the earliest line of their group (links to the earlie
 decide as much as all pairs would), and the edit distance is verified on the words.
 
 Lines without any neighbour need no variants: two lines within one edit have the
-same first or the same last half, so only lines sharing a half with another line
-go into the join.  Their words are fetched in a second scan.  Where few rows of a large table are
+same first or the same last words (nearly half of them), so only lines sharing
+such an end with another line go into the join.  Their words are fetched in a second scan.  Where few rows of a large table are
 needed, a bitmap of ``SLOTS`` 64-bit words (a fixed size, whatever the input) lets
 them through before the exact join by key.
 
@@ -57,25 +57,34 @@ def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return (docs.select(F.col(id_col).alias("id"), _doc_key(text_col).alias("doc"),
                         F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "line"))
             .withColumn("norm", normal(F.col("line"))).where("norm != ''")
-            .select("id", "doc", "pos", place.alias("place"), "norm",
-                    F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("2"), F.col("norm")).alias("h2")))
+            .select("id", "doc", "pos", place.alias("place"), "norm", F.xxhash64("norm").alias("h1")))
 
 
-def _halves(min_words: int) -> list[Column]:
-    """Number of words, and hashes of the first and last halves that a line shares
-    with any line one edit away; a line of an even number of words has two sizes of half."""
+def _second_hash() -> Column:
+    return F.xxhash64(F.lit("2"), F.col("norm")).alias("h2")
+
+
+def _end_size(n: Column) -> Column:
+    """Words of a line's first and last end: half of them at most, in steps of two."""
+    return (F.floor(n / 4) * 2).cast("int")
+
+
+def _ends(min_words: int) -> list[Column]:
+    """Number of words, and hashes of the first and last ends, one of which a line shares
+    with any line one edit away.  Lines of n - 1 and n words have the same size of
+    end but where n is a multiple of four: those lines also enter the smaller size."""
     n = F.octet_length("norm") - F.octet_length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1
-    half = F.floor(F.col("n") / 2).cast("int")
-    enough, even = F.col("n") >= min_words, F.col("n") % 2 == 0
+    size = _end_size(F.col("n"))
+    enough, also = F.col("n") >= min_words, F.col("n") % 4 == 0
 
     def end(size: Column, last: bool) -> Column:
         return F.xxhash64(F.lit(last), size, F.call_function(
             "substring_index", F.col("norm"), F.lit(" "), -size if last else size))
-    return [n, F.when(enough, end(half, False)), F.when(enough, end(half, True)),
-            F.when(enough & even, end(half - 1, False)), F.when(enough & even, end(half - 1, True))]
+    return [n, F.when(enough, end(size, False)), F.when(enough, end(size, True)),
+            F.when(enough & also, end(size - 2, False)), F.when(enough & also, end(size - 2, True))]
 
 
-_HALVES = ["first1", "last1", "first2", "last2"]
+_ENDS = ["first1", "last1", "first2", "last2"]
 
 
 class _Bitmap:
@@ -107,16 +116,16 @@ def _repeated(rows: DataFrame, col: str) -> DataFrame:
 def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     """Keys ``(h1, h2)`` of the distinct lines with an earlier one within one word edit."""
     key = ["h1", "h2"]
-    halves = firsts.where("first1 IS NOT NULL").select(*key, "first", F.explode(F.array(*[
-        F.struct(F.col(c).alias("half"), F.lit(c.startswith("last")).alias("last")) for c in _HALVES])).alias("x"))
-    halves = halves.select(*key, "first", "x.half", "x.last").where("half IS NOT NULL")
-    some = staged(_repeated(halves, "half").groupBy(*key, "first").agg(
+    ends = firsts.where("first1 IS NOT NULL").select(*key, "first", F.explode(F.array(*[
+        F.struct(F.col(c).alias("end"), F.lit(c.startswith("last")).alias("last")) for c in _ENDS])).alias("x"))
+    ends = ends.select(*key, "first", F.col("x.end").alias("shared"), "x.last").where("shared IS NOT NULL")
+    some = staged(_repeated(ends, "shared").groupBy(*key, "first").agg(
         F.bool_or(~F.col("last")).alias("by_first"), F.bool_or("last").alias("by_last")), "near")
-    found = (_Bitmap(some, "h1").keep(lines.select(*key, "place", "norm"), "h1").join(some, key).where("place = first")
+    found = (_Bitmap(some, "h1").keep(lines.select("h1", "place", "norm"), "h1").withColumn("h2", _second_hash()).join(some, key).where("place = first")
              .select(*key, "place", "by_first", "by_last", F.split("norm", " ").alias("w")).dropDuplicates(key))
     texts = staged(found, "near")
 
-    # A shared first half leaves the edit to the rest, a shared last half to what is before.
+    # A shared first end leaves the edit to the rest, a shared last end to what is before.
     each = (texts.repartition(*key).select(*key, "place", "by_first", "by_last", F.size("w").alias("n"), F.posexplode("w").alias("gap", "word"))
             .withColumns({"here": F.xxhash64("word", "gap"), "moved": F.xxhash64("word", F.col("gap") - 1)}))
     line = Window.partitionBy(*key)
@@ -124,8 +133,8 @@ def _near(lines: DataFrame, firsts: DataFrame) -> DataFrame:
     before = F.coalesce(F.bit_xor("here").over(run.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
     after = F.bit_xor("moved").over(line).bitwiseXOR(
         F.bit_xor("moved").over(run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    half = F.floor(F.col("n") / 2)
-    fits = (F.col("by_first") & (F.col("gap") >= half - 1)) | (F.col("by_last") & (F.col("gap") <= F.col("n") - half))
+    size = _end_size(F.col("n")) - 2
+    fits = (F.col("by_first") & (F.col("gap") >= size)) | (F.col("by_last") & (F.col("gap") <= F.col("n") - size))
     left_out = (each.withColumn("v", before.bitwiseXOR(after)).where(fits)
                 .select("place", "gap", F.col("v").bitwiseXOR(F.xxhash64(F.col("n") - 1)).alias("key")))
     whole = each.groupBy(*key, "place", "n").agg(F.bit_xor("here").alias("v")).select(
@@ -165,12 +174,12 @@ def _one_edit(a: Column, b: Column) -> Column:
 def drops(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """``(id, doc, gone)``: per document (by id and text hash) the numbers of its dropped lines."""
     lines = _lines(docs, id_col, text_col)
-    n, *halves = _halves(min_words)
-    narrow = staged(lines.withColumn("n", n).select("id", "doc", "pos", "place", "h1", "h2", *[
-        h.alias(c) for h, c in zip(halves, _HALVES, strict=True)]), "lines")
+    n, *ends = _ends(min_words)
+    narrow = staged(lines.withColumn("n", n).select("id", "doc", "pos", "place", "h1", _second_hash(), *[
+        h.alias(c) for h, c in zip(ends, _ENDS, strict=True)]), "lines")
     key = ["h1", "h2"]
     firsts = staged(narrow.groupBy(*key).agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("k"),
-                                             *[F.min(c).alias(c) for c in _HALVES]), "firsts")
+                                             *[F.min(c).alias(c) for c in _ENDS]), "firsts")
     near = _near(lines, firsts).withColumn("near", F.lit(True))
     doubtful = staged(firsts.join(near, key, "left").where("k > 1 OR near")
                       .select(*key, "first", F.coalesce("near", F.lit(False)).alias("near")), "firsts")
@@ -183,11 +192,13 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_w
     """``docs`` without the dropped lines; ``counts`` adds ``n_lines`` and ``n_dropped``."""
     gone = drops(docs, id_col, text_col, min_words).select(F.col("id").alias("__id"), F.col("doc").alias("__doc"),
                                                            F.col("gone").alias("__gone"))
-    rows = F.split(F.col(text_col), "\n")
+    rows = F.col("__rows")
     rest = F.array_except(F.sequence(F.lit(0), F.size(rows) - 1), F.col("__gone"))
     text = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(
         F.array_join(F.transform(rest, lambda i: F.get(rows, i)), "\n"))
-    joined = docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (_doc_key(text_col) == F.col("__doc")), "left")
+    # The lines are a column of their own: inside the lambda they would be split again for each.
+    joined = (docs.join(gone, docs[id_col].eqNullSafe(F.col("__id")) & (_doc_key(text_col) == F.col("__doc")), "left")
+              .withColumn("__rows", F.split(F.col(text_col), "\n")))
     cols = [text.alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
     if counts:
         cols += [F.coalesce(F.size(rows), F.lit(0)).alias("n_lines"), F.coalesce(F.size("__gone"), F.lit(0)).alias("n_dropped")]

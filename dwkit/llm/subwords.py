@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-TABLE = 700_000                # words a process remembers
+TABLE = 500_000                # words a process remembers, about 120 MB
 _STOPS = (b".", b"!", b"?", "…".encode())
 _ENDED = re.compile(r"([^\W\d_]+)([!-/:-;=-@\[-`{}~]+)$")      # letters and ASCII signs but < and |
 _JOINED = 256
