@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 TABLE = 500_000                # words a process remembers, about 120 MB
 _STOPS = (b".", b"!", b"?", "…".encode())
 _ENDED = re.compile(r"([^\W\d_]+)([!-/:-;=-@\[-`{}~]+)$")      # letters and ASCII signs but < and |
+_ENDED_ASCII = re.compile(rb"([a-z]+)([!-/:-;=-@\[-`{}~]+)$")
 _JOINED = 256
 _tables: dict[str, "WordTable"] = {}
 
@@ -124,11 +125,16 @@ class WordTable:
         # Signs after letters are a token run of their own: take the letters' ids before theirs.
         letters, alone, ended = {w for w in new if w.isalpha()}, set(), []
         for w in new - letters:
-            s = w.decode("utf-8", "surrogatepass")
-            if m := _ENDED.match(s):
+            if m := _ENDED_ASCII.match(w):
+                ended.append((w, *m.groups()))
+            elif w.isascii():
+                alone.add(w)
+            elif (s := w.decode("utf-8", "surrogatepass")).isalpha():
+                letters.add(w)
+            elif m := _ENDED.match(s):
                 ended.append((w, m[1].encode(), m[2].encode()))
-            (letters if s.isalpha() else alone).add(w)
-        alone.difference_update(e[0] for e in ended)
+            else:
+                alone.add(w)
         letters.update(e[1] for e in ended if e[1] not in self.at)
         alone.update(e[2] for e in ended if e[2] not in self.at)
         self._encode(list(letters), list(alone))
