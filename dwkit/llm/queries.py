@@ -110,5 +110,65 @@ judged AS (
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(string_agg(j.line, chr(10) ORDER BY j.pos) FILTER (WHERE NOT coalesce(j.gone, false)), '') END AS text,
   CAST(count(j.pos) AS INTEGER) AS n_lines, CAST(count(j.pos) FILTER (WHERE j.gone) AS INTEGER) AS n_dropped
 FROM documents d LEFT JOIN judged j ON d.doc_id = j.doc_id GROUP BY d.doc_id, d.text
+""",
+    "op4_warc": r"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS first FROM payloads GROUP BY hex)
+SELECT p.page_id, CAST(octet_length(encode(p.payload)) AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda shift:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((CAST('0x' || substr(p.hex, CAST(5 * g + 1 AS BIGINT), 5) AS BIGINT) >> shift) & 31 AS BIGINT) + 1, 1)), '')), '') AS payload_digest,
+  CASE WHEN p.page_id = f.first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN p.page_id <> f.first THEN f.first END AS refers_to
+FROM payloads p JOIN firsts f ON p.hex = f.hex
+""",
+    "op5_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL),
+i AS (
+  SELECT item_id, w, len(w) AS n, least(5, len(w)) AS k
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM benchmark WHERE text IS NOT NULL) x
+  WHERE len(w) > 0),
+item_shingles AS (
+  SELECT item_id, n, k, shingle, count(*) AS c
+  FROM (SELECT item_id, n, k, array_to_string(w[p + 1:p + k], ' ') AS shingle
+        FROM (SELECT *, unnest(range(0, n - k + 1)) AS p FROM i) y) z
+  GROUP BY ALL),
+doc_shingles AS (
+  SELECT doc_id, l, k, p, array_to_string(w[p + 1:p + k], ' ') AS shingle
+  FROM (SELECT doc_id, w, len(w) AS l, k, unnest(range(0, len(w) - k + 1)) AS p
+        FROM d, (SELECT DISTINCT k FROM i) ks WHERE len(w) >= k) y),
+starts AS (
+  SELECT DISTINCT doc_id, item_id, n, k, size, s
+  FROM (SELECT h.doc_id, t.item_id, t.n, t.k, h.l, least(t.n, h.l) - t.k + 1 AS size,
+               unnest(range(greatest(0, h.p - (least(t.n, h.l) - t.k)), least(h.p, h.l - least(t.n, h.l)) + 1)) AS s
+        FROM doc_shingles h JOIN item_shingles t ON t.k = h.k AND t.shingle = h.shingle) y),
+counted AS (
+  SELECT a.doc_id, a.item_id, a.n, a.k, a.size, a.s, h.shingle, count(*) AS c
+  FROM starts a JOIN doc_shingles h ON h.doc_id = a.doc_id AND h.k = a.k AND h.p BETWEEN a.s AND a.s + a.size - 1
+  GROUP BY ALL),
+scored AS (
+  SELECT x.doc_id, x.item_id, x.s AS start, sum(least(x.c, t.c)) / CAST(x.size + x.n - x.k + 1 - sum(least(x.c, t.c)) AS DOUBLE) AS similarity
+  FROM counted x JOIN item_shingles t ON t.item_id = x.item_id AND t.shingle = x.shingle
+  GROUP BY x.doc_id, x.item_id, x.s, x.size, x.n, x.k)
+SELECT doc_id, item_id, start, similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS rank
+      FROM scored WHERE similarity >= 0.8) y
+WHERE rank = 1
+""",
+    "op7_embedding_near_dedup": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(id, r) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.id, links.b FROM reach JOIN links ON reach.r = links.a),
+n AS (SELECT a, count(*) AS n_links FROM links GROUP BY a),
+c AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT e.vec_id, coalesce(n.n_links, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN c ON c.id = e.vec_id LEFT JOIN n ON n.a = e.vec_id
 """,
 }
