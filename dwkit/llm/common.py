@@ -32,6 +32,19 @@ def hash_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     return (df.where(h < F.lit(cut)) if cut < 2**63 else df).orderBy(h, *key).limit(n)
 
 
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that the session hands texts to Python ``BATCH_ROWS``
+    rows at a time at most (Spark's default of 10,000 long texts can fill an
+    executor, once in each of its tasks); a smaller setting is kept."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= BATCH_ROWS:
+        df.sparkSession.conf.set(key, BATCH_ROWS)
+    return df
+
+
 def per_text(of: Callable[[str | None], Any], kind: str, text: Column) -> Column:
     """``of`` applied to every text; only a few texts of a batch are Python objects at a time."""
     result = {"long": pa.int64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}[kind]

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import per_text
+from dwkit.llm.common import per_text, small_batches
 from dwkit.llm.simhash import _counts
 
 SHINGLE = 5
@@ -199,7 +199,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     """``(id, item, start, similarity)``: for every document and every item found
     in it the best window (the first of equals), with its first word."""
     kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     out = None
     for some in passes(items, item_col, item_text_col, pass_words):
         index = Index(some, **how)
@@ -225,5 +225,5 @@ def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: s
     """The rows of ``docs`` in which no item is found."""
     for some in passes(items, item_col, item_text_col, pass_words):
         index = Index(some, **how)
-        docs = docs.where(~per_text(lambda x, index=index: bool(index.find(x)), "boolean", F.col(text_col)))
+        docs = small_batches(docs).where(~per_text(lambda x, index=index: bool(index.find(x)), "boolean", F.col(text_col)))
     return docs

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import hash_sample, per_text, staged
+from dwkit.llm.common import hash_sample, per_text, small_batches, staged
 
 SAMPLE = 4_000
 SLOTS = 1 << 16          # hashed byte trigrams
@@ -102,7 +102,7 @@ def page_rows(pages: DataFrame, languages: Languages, id_col: str = "page_id", u
               html_col: str = "html") -> DataFrame:
     """Evidence of web pages: ``(id, ll, declared, suffix, domain, host)``."""
     host = host_of(F.col(url_col))
-    return (pages.select(F.col(id_col).alias("id"), likelihoods(languages, F.col(html_col), True).alias("ll"),
+    return (small_batches(pages).select(F.col(id_col).alias("id"), likelihoods(languages, F.col(html_col), True).alias("ll"),
                          declared_language(F.col(html_col)).alias("declared"), host.alias("host"))
             .select("id", "ll", "declared", F.substring_index("host", ".", -1).alias("suffix"),
                     F.substring_index("host", ".", -2).alias("domain"), "host"))
@@ -112,7 +112,7 @@ def text_rows(docs: DataFrame, languages: Languages, id_col: str = "doc_id", tex
               source_col: str = "source") -> DataFrame:
     """Evidence of plain texts: their source stands for the host."""
     none = F.lit(None).cast("string")
-    return docs.select(F.col(id_col).alias("id"), likelihoods(languages, F.col(text_col), False).alias("ll"),
+    return small_batches(docs).select(F.col(id_col).alias("id"), likelihoods(languages, F.col(text_col), False).alias("ll"),
                        none.alias("declared"), none.alias("suffix"), none.alias("domain"),
                        F.col(source_col).cast("string").alias("host"))
 

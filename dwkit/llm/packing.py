@@ -36,6 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dwkit.llm.common import small_batches
 from dwkit.llm.subwords import WordTable, few_texts, table, tokenizer_words
 
 LENGTH = 2048
@@ -43,7 +44,7 @@ END = 1
 SENTENCE, INSIDE = 4, 16       # penalties of a cut, in padding tokens
 GRID = 32
 BLOCK = 2_000_000
-TABLE = 1_500_000              # words a process remembers, about 300 MB
+TABLE = 600_000                # words a process remembers, about 140 MB
 _SLICE = 1_000_000             # bytes of text tokenised at once
 
 
@@ -174,7 +175,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     ``path`` is the tokenizer's file, known to every executor; ``with_ids`` adds the
     pieces' token ids.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+    rows = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.monotonically_increasing_id().alias("rid"))
     kind = rows.schema["id"].dataType.simpleString()
     schema = (f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

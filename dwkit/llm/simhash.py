@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import components, per_text, staged
+from dwkit.llm.common import components, per_text, small_batches, staged
 
 BITS = 64
 LIMIT = 200_000          # fingerprints of one subtree in one task
@@ -165,18 +165,21 @@ def _forest(pdf: pd.DataFrame, bound: int, width: int) -> pd.DataFrame:
 
 def _walk_groups(it: Iterator[pd.DataFrame], bound: int, width: int, rows: int) -> Iterator[pd.DataFrame]:
     """Cut a sorted stream into batches of whole groups and walk each."""
-    held = None
+    parts, size = [], 0
     for pdf in it:
-        held = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-        if len(held) < rows:
+        parts.append(pdf)
+        size += len(pdf)
+        if size < rows:
             continue
+        held = pd.concat(parts, ignore_index=True)
         last = held.iloc[-1]
         tail = ((held["rot"] == last["rot"]) & (held["pa"] == last["pa"]) & (held["pb"] == last["pb"])).to_numpy()
         if not tail.all():
             yield _forest(held[~tail], bound, width)
             held = held[tail].reset_index(drop=True)
-    if held is not None and len(held):
-        yield _forest(held, bound, width)
+        parts, size = [held], 0          # the last group goes on; it is looked at again after as many more rows
+    if sum(map(len, parts)):
+        yield _forest(pd.concat(parts, ignore_index=True), bound, width)
 
 
 def link(fps: DataFrame, col: str = "fp", bound: int = 3, limit: int = LIMIT) -> DataFrame:
@@ -217,7 +220,7 @@ def link(fps: DataFrame, col: str = "fp", bound: int = 3, limit: int = LIMIT) ->
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3,
                     bound: int = 3, limit: int = LIMIT) -> DataFrame:
     """``(id, fingerprint, component_id)`` for every row of ``docs``."""
-    rows = staged(docs.select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), k).alias("fp")), "simhash")
+    rows = staged(small_batches(docs).select(F.col(id_col).alias("id"), fingerprint(F.col(text_col), k).alias("fp")), "simhash")
     reach = groups(rows, bound, limit)
     return (rows.join(reach, "fp")
             .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -239,7 +242,7 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   bound: int = 3, limit: int = LIMIT) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the smallest
     id, null ids last; of repeated rows one."""
-    marked = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"),
+    marked = small_batches(docs).select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"),
                          F.col(id_col).alias("id"), fingerprint(F.col(text_col), k).alias("fp"))
     rows = staged(marked, "simhash")
     reach = groups(rows, bound, limit).select("fp", "component")

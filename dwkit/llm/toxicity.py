@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import hash_sample, per_text
+from dwkit.llm.common import hash_sample, per_text, small_batches
 
 SAMPLE = 10_000    # labelled documents the models are fitted on
 SLOTS = 1 << 22    # hashed features
@@ -237,7 +237,7 @@ def classify(docs: DataFrame, labels: DataFrame, categories: dict[str, str], rej
     """``(id, <category> ..., rejected)`` for every row of ``docs``."""
     chain = train(docs, labels, categories, id_col, text_col, sample)
     threshold = chain.cuts[chain.names.index(reject)] if threshold is None else threshold
-    scored = docs.select(F.col(id_col), probabilities(chain, F.col(text_col)).alias("p"))
+    scored = small_batches(docs).select(F.col(id_col), probabilities(chain, F.col(text_col)).alias("p"))
     return scored.select(id_col, *[F.get("p", F.lit(i)).alias(f"p_{c}") for i, c in enumerate(chain.names)],
                          (F.get("p", F.lit(chain.names.index(reject))) >= threshold).alias("rejected"))
 
@@ -247,4 +247,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, categories: dict[str, str], r
     """The rows of ``docs`` whose probability of ``reject`` is below the threshold."""
     chain = train(docs, labels, categories, id_col, text_col, sample)
     threshold = chain.cuts[chain.names.index(reject)] if threshold is None else threshold
-    return docs.where(F.get(probabilities(chain, F.col(text_col)), F.lit(chain.names.index(reject))) < threshold)
+    return small_batches(docs).where(F.get(probabilities(chain, F.col(text_col)), F.lit(chain.names.index(reject))) < threshold)

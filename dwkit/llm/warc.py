@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import staged
+from dwkit.llm.common import small_batches, staged
 from dwkit.sources.files import scratch_path
 
 # Fixed values of the formats.
@@ -220,7 +220,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str =
           min_bytes: int = 0) -> DataFrame:
     """Write ``pages`` as archives under ``folder``; the manifest ``(archive, records)``."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
-    rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
+    rows = small_batches(pages).select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("sha", F.sha1(F.col("payload").cast("binary")))
     firsts = staged(rows.where(F.octet_length("payload") >= min_bytes).groupBy("sha").agg(F.min("id").alias("first")), "firsts")
     again = F.col("sha2").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
