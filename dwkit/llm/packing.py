@@ -48,9 +48,9 @@ TABLE = 600_000                # words a process remembers, about 140 MB
 _SLICE = 1_000_000             # bytes of text tokenised at once
 
 
-def tokenise(words: WordTable, texts: list[str | None], end: int = END) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def tokenise(words: WordTable, texts: list[str | None], end: int = END, most: int = TABLE) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Per text its ids with the end id, and the places after its sentences."""
-    words.trim(TABLE)
+    words.trim(most)
     lists = [tokenizer_words(t) for t in texts]
     own = words.numbers(list(chain.from_iterable(lists)))
     ids, lens = words.ids(own)
@@ -134,7 +134,7 @@ def pack_block(sizes: list[int], stops: list[np.ndarray], length: int = LENGTH)
             "offset": lo - bounds[window]}
 
 
-def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with_ids: bool) -> Iterator[pa.RecordBatch]:
+def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with_ids: bool, most: int) -> Iterator[pa.RecordBatch]:
     words, first = table(path), TaskContext.get().partitionId() << 32
     names, tokens, stops, held, ids_type = [], [], [], 0, None
 
@@ -156,7 +156,7 @@ def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with
 
     for batch in it:
         ids_type = batch.column("id").type
-        found = (x for _, some in few_texts(batch.column("text"), _SLICE) for x in tokenise(words, some))
+        found = (x for _, some in few_texts(batch.column("text"), _SLICE) for x in tokenise(words, some, most=most))
         for name, (ids, ends) in zip(batch.column("id").to_pylist(), found, strict=True):
             names.append(name)
             tokens.append(ids)
@@ -169,11 +169,12 @@ def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with
 
 
 def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH,
-         block: int = BLOCK, with_ids: bool = False) -> DataFrame:
+         block: int = BLOCK, with_ids: bool = False, table_words: int = TABLE) -> DataFrame:
     """``(id, start, length, ids_crc32, doc_tokens, sequence_id, offset)`` per piece.
 
     ``path`` is the tokenizer's file, known to every executor; ``with_ids`` adds the
-    pieces' token ids.
+    pieces' token ids.  A process remembers ``table_words`` words, about 200 bytes
+    each: more of them save encoding a word again.
     """
     rows = small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                        F.monotonically_increasing_id().alias("rid"))
@@ -181,4 +182,4 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     schema = (f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
               + (", ids array<int>" if with_ids else ""))
     ordered = rows.repartitionByRange("id", "rid").sortWithinPartitions("id", "rid")
-    return ordered.mapInArrow(lambda it: _pack(it, path, length, block, with_ids), schema).withColumnRenamed("id", id_col)
+    return ordered.mapInArrow(lambda it: _pack(it, path, length, block, with_ids, table_words), schema).withColumnRenamed("id", id_col)

@@ -59,7 +59,8 @@ def tokenizer(name: str = "word_bpe_49k.json") -> str:
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+    # Alone in its executors, so its processes may remember more words than in the pipeline.
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer(), table_words=1_500_000)
 
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
