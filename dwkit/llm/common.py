@@ -24,12 +24,18 @@ def hash_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     """The ``n`` rows with the smallest hashes of ``key`` (all rows if there are no more).
 
     Only hashes below a cut that leaves over twice as many rows are sorted, so what
-    the tasks send for the final choice does not grow with their number."""
+    the tasks send for the final choice does not grow with their number.  Rows of equal
+    keys pass or miss the cut together, so it is raised until ``n`` rows are below it."""
     total = df.count()
     if total <= n:
         return df
     h, cut = F.xxhash64(*key), int(((2 * n + 100) / total) * 2**64) - 2**63
-    return (df.where(h < F.lit(cut)) if cut < 2**63 else df).orderBy(h, *key).limit(n)
+    while cut < 2**63:
+        some = df.where(h < F.lit(cut))
+        if some.count() >= n:
+            return some.orderBy(h, *key).limit(n)
+        cut = 8 * (cut + 2**63) - 2**63
+    return df.orderBy(h, *key).limit(n)
 
 
 BATCH_ROWS = 1_000

@@ -1,6 +1,6 @@
 """Embedding near-duplicates: iterative quantisation and multi-index Hamming tables.
 
-A rotation is learned on at most ``sample`` vectors (PCA, then alternating sign
+A rotation is learned on at most ``sample`` distinct vectors (PCA, then alternating sign
 codes and an orthogonal fit) so that the sign bits are balanced.  Every distinct
 vector gets such a code, cut into ``blocks`` blocks; each block is a Hamming table
 keyed by (label, block, value).  Both sides enter their block values and all
@@ -68,10 +68,11 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
                           F.col(vec_col).cast("array<double>").alias("vec"))
     ready = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
-    seen = hash_sample(ready.where("ok").select("vec"), sample, "vec").toPandas()["vec"]
-    if len(seen) == 0:
+    distinct = staged(ready.where("ok").select("label", "vec").distinct(), "distinct")
+    if distinct.isEmpty():
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
+    seen = hash_sample(distinct, sample, "label", "vec").toPandas()["vec"]
     dim = len(seen.iloc[0])
     fit = _unit(np.array([x for x in seen if len(x) == dim], dtype=np.float64))
     bits = min(BITS, dim)

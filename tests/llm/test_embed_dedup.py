@@ -2,6 +2,7 @@ import numpy as np
 from pyspark.sql import types as T
 
 from dwkit.llm import embed_dedup as E
+from dwkit.llm.common import hash_sample
 
 SCHEMA = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("embedding", T.ArrayType(T.FloatType())),
                        T.StructField("label", T.IntegerType()), T.StructField("cls", T.StringType()), T.StructField("n", T.StringType())])
@@ -64,3 +65,17 @@ def test_codes_are_balanced():
     mean, proj = E.fit_rotation(x, 64)
     on = np.unpackbits(E.encode(x, mean, proj).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").mean(axis=0)
     assert 0.4 < on.min() and on.max() < 0.6
+
+
+def test_few_distinct_vectors_among_many_copies(spark):
+    r = np.random.default_rng(1)
+    for kinds in (1, 3):                       # the smallest hash of so few may lie above any cut
+        base = r.standard_normal((kinds, 8))
+        rows = [(i, base[i % kinds].tolist(), 1) for i in range(3000)]
+        got = {x.vec_id: x for x in E.link(frame(spark, rows), sample=2).collect()}
+        assert all(got[i].n_links == 3000 // kinds - 1 and got[i].component_id == i % kinds for i in got) and len(got) == 3000
+
+
+def test_sample_has_its_size_whatever_the_copies(spark):
+    df = spark.range(3000).selectExpr("id % 3 AS k")
+    assert [hash_sample(df, n, "k").count() for n in (1, 10, 2999, 3000)] == [1, 10, 2999, 3000]
