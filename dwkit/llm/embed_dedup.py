@@ -1,25 +1,33 @@
 """Embedding near-duplicates: iterative quantisation and multi-index Hamming tables.
 
-A rotation is learned on at most ``sample`` distinct vectors (PCA, then alternating sign
-codes and an orthogonal fit) so that the sign bits are balanced.  Every distinct
+A rotation is learned on at most ``sample`` distinct vectors (PCA, then alternating
+sign codes and an orthogonal fit) so that the sign bits are balanced.  Every distinct
 vector gets such a code, cut into ``blocks`` blocks; each block is a Hamming table
-keyed by (label, block, value).  Both sides enter their block values and all
-values one bit away, so two codes meet in a table if any block differs in at most
-two bits: every pair up to ``3 * blocks - 1`` bits is sure to be found.  Meetings
-above ``radius`` bits are dropped, the rest is reranked with the original vectors.
+keyed by (label, length, rotation, block, value).  Both sides enter their block values
+and all values one bit away, so two codes meet in a table if any block differs in at
+most two bits.  Meetings above the radius are dropped, the rest is reranked with the
+original vectors.
+
+How far apart the codes of a pair at the threshold lie depends on the vectors (a
+common mean moves them apart), so radius and number of rotations are taken from
+sampled pairs at the threshold (``fit_tables``): the radius holds 0.999 of them, and
+rotations are added until ``RECALL`` of them meet.  Where ``ROTATIONS`` are not
+enough, and among at most ``FEW`` vectors, all pairs of a label are compared, in
+blocks of about ``CHUNK`` by ``CHUNK``.
 
 Equal vectors of a label are one class, so copies cost one entry; a class counts
 with its size in ``n_links``.
 
-Edge cases: vectors that are null, empty, zero, of another length than the
-sample's first, or that hold null or non-finite components, and vectors without a
-label, link with nothing; null ids are kept, and name a component only if it has
+Edge cases: vectors that are null, empty or zero, or that hold null or non-finite
+components, and vectors without a label, link with nothing; vectors of another length than the
+sample's first likewise; null ids are kept, and name a component only if it has
 no other id; repeated rows are vectors of their own; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,6 +38,9 @@ from dwkit.llm.common import components, hash_sample, staged
 
 SAMPLE = 5_000   # vectors the rotation is fitted on
 BITS = 64
+RECALL = 0.995   # of sampled pairs at the threshold
+ROTATIONS = 16   # most rotations of one length
+FEW, CHUNK = 200, 1_000
 
 
 def fit_rotation(x: np.ndarray, bits: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -58,6 +69,62 @@ def encode(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
     return np.packbits(on, axis=1, bitorder="little").view("<i8")[:, 0]
 
 
+def pairs_at(x: np.ndarray, threshold: float, n: int = 2_000, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at the threshold, by kind: sampled vectors moved in random
+    directions and along differences of others, and close pairs of the sample itself."""
+    r = np.random.default_rng(seed)
+    some = x[r.integers(0, len(x), n)]
+    out = []
+    for away in (r.standard_normal(some.shape), x[r.integers(0, len(x), n)] - x[r.integers(0, len(x), n)]):
+        away = away - (away * some).sum(axis=1, keepdims=True) * some
+        size = np.linalg.norm(away, axis=1, keepdims=True)
+        ok = size[:, 0] > 1e-6
+        out.append((some[ok], threshold * some[ok] + np.sqrt(max(0.0, 1 - threshold ** 2)) * away[ok] / size[ok]))
+    own = x[r.permutation(len(x))[:n]]
+    cosine = own @ own.T
+    a, b = np.nonzero(np.triu((cosine >= threshold) & (cosine < threshold + 0.02), 1))
+    out.append((own[a[:n]], own[b[:n]]))
+    return [kind for kind in out if len(kind[0]) >= 200]
+
+
+@dataclass
+class Tables:
+    """Rotations and radius for vectors of one length; without rotations all pairs are compared."""
+    rotations: list[tuple[np.ndarray, np.ndarray]]
+    radius: int = 0
+
+
+def fit_tables(x: np.ndarray, threshold: float, radius: int, blocks: int) -> Tables:
+    """As many rotations, and as large a radius, as sampled pairs at the threshold need."""
+    bits = min(BITS, x.shape[1])
+    width = bits // blocks
+    kinds = pairs_at(x, threshold)
+    met = [np.zeros(len(a), dtype=bool) for a, _ in kinds]
+    out = Tables([], radius)
+    for seed in range(7, 7 + ROTATIONS):
+        mean, proj = fit_rotation(x, bits, seed=seed)
+        out.rotations.append((mean, proj))
+        apart = [((a - mean) @ proj >= 0) != ((b - mean) @ proj >= 0) for a, b in kinds]
+        if seed == 7:
+            out.radius = max([radius, *(int(np.ceil(np.quantile(d.sum(axis=1), 0.999))) for d in apart)])
+        for m, d in zip(met, apart, strict=True):
+            m |= (d[:, :width * blocks].reshape(len(d), blocks, width).sum(axis=2).min(axis=1) <= 2) & (d.sum(axis=1) <= out.radius)
+        if all(m.mean() >= RECALL for m in met):
+            return out
+    return Tables([])
+
+
+def _all_pairs(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
+    """Pairs of two parts of a label, or of a part with itself, that may reach the threshold."""
+    a, b = pdf[pdf["part"] == pdf["lo"]], pdf[pdf["part"] == pdf["hi"]]
+    if not len(a) or not len(b):
+        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+    i, j = np.nonzero(np.stack(a["unit"].to_numpy()) @ np.stack(b["unit"].to_numpy()).T >= threshold - 1e-9)
+    one, two = a["cls"].to_numpy()[i], b["cls"].to_numpy()[j]
+    ok = one < two if pdf["lo"].iloc[0] == pdf["hi"].iloc[0] else one != two
+    return pd.DataFrame({"a": np.minimum(one, two)[ok], "b": np.maximum(one, two)[ok]})
+
+
 def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
          threshold: float = 0.93, radius: int = 16, blocks: int = 4, sample: int = SAMPLE) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row of ``vectors``."""
@@ -72,39 +139,50 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
     if distinct.isEmpty():
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    seen = hash_sample(distinct, sample, "label", "vec").toPandas()["vec"]
-    dim = len(seen.iloc[0])
-    fit = _unit(np.array([x for x in seen if len(x) == dim], dtype=np.float64))
-    bits = min(BITS, dim)
-    mean, proj = fit_rotation(fit, bits)
+    dim = hash_sample(distinct, 1, "label", "vec").select(F.size("vec")).first()[0]
+    distinct = distinct.where(F.size("vec") == dim)
+    tables = {}
+    for length, n in distinct.groupBy(F.size("vec")).count().where(F.col("count") > FEW).collect():
+        some = hash_sample(distinct.where(F.size("vec") == length).select("label", "vec"), sample, "label", "vec").toPandas()["vec"]
+        tables[length] = fit_tables(_unit(np.stack(some.to_numpy()).astype(np.float64)), threshold, radius, blocks)
     ready = staged(ready.withColumn("ok", F.col("ok") & (F.size("vec") == dim)), "vectors")
 
     def code(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            x = _unit(np.stack(pdf["vec"].to_numpy()).astype(np.float64)) if len(pdf) else np.zeros((0, dim))
-            yield pdf.drop(columns="vec").assign(unit=list(x), code=encode(x, mean, proj))
+            for length, part in pdf.groupby(pdf["vec"].str.len()):
+                x, fit = _unit(np.stack(part["vec"].to_numpy()).astype(np.float64)), tables.get(length, Tables([]))
+                codes = [encode(x, *rotation) for rotation in fit.rotations]
+                yield part.drop(columns="vec").assign(length=length, unit=list(x), radius=fit.radius,
+                                                      codes=list(np.stack(codes, axis=1)) if codes else None)
 
     classes = (ready.where("ok").groupBy("label", "vec").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
                .withColumn("cls", F.monotonically_increasing_id()))
     keyed = staged(classes, "classes")
     label = keyed.schema["label"].dataType.simpleString()
     coded = staged(keyed.select("cls", "label", "vec").mapInPandas(
-        code, f"cls long, label {label}, unit array<double>, code long"), "codes")
-
-    width = bits // blocks
-
-    def values(b: int):
-        """A block's value and all values one bit away."""
-        own = F.shiftright("code", b * width).bitwiseAND(F.lit((1 << width) - 1))
-        return F.array(own, *[own.bitwiseXOR(F.lit(1 << i).cast("long")) for i in range(width)])
-    entries = F.array(*[F.struct(F.lit(b).alias("block"), values(b).alias("values")) for b in range(blocks)])
-    tables = (coded.select("cls", "label", "code", F.explode(entries).alias("t"))
-              .select("cls", "label", "code", F.col("t.block").alias("block"), F.explode("t.values").alias("value")))
-    a, b = tables.alias("a"), tables.alias("b")
-    meet = (a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("label", "block", "value")])
-            .where((F.col("a.cls") < F.col("b.cls"))
-                   & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= radius))
-            .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
+        code, f"cls long, label {label}, length int, unit array<double>, radius int, codes array<long>"), "codes")
+
+    # A block's value and all values one bit away.
+    bit = F.sequence(F.lit(0), F.col("width") - 1)
+    own = F.expr("shiftright(code, block * width) & (shiftleft(1L, width) - 1)")
+    values = F.when(F.col("width") > 0, F.concat(F.array("own"), F.transform(
+        bit, lambda i: F.col("own").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))).otherwise(F.array("own"))
+    entered = (coded.where("codes IS NOT NULL").withColumn("width", (F.least("length", F.lit(BITS)) / blocks).cast("int"))
+               .select("cls", "label", "length", "radius", "width", F.posexplode("codes").alias("rotation", "code"))
+               .withColumn("block", F.explode(F.array(*map(F.lit, range(blocks))))).withColumn("own", own)
+               .withColumn("value", F.explode(values)).drop("own", "width"))
+    a, b = entered.alias("a"), entered.alias("b")
+    met = (a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("label", "length", "rotation", "block", "value")])
+           .where((F.col("a.cls") < F.col("b.cls"))
+                  & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= F.col("a.radius")))
+           .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
+    rest = coded.where("codes IS NULL").select("cls", "label", "length", "unit")
+    parts = rest.groupBy("label", "length").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
+    dealt = (rest.join(parts, ["label", "length"]).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("cls", "label", "length", "unit", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")))
+    compared = dealt.groupBy("label", "length", "lo", "hi").applyInPandas(lambda pdf: _all_pairs(pdf, threshold), "a long, b long")
+    meet = met.unionByName(compared)
     unit = coded.select("cls", "unit")
     cosine = F.aggregate(F.zip_with("x", "y", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     pairs = staged(meet.join(unit.select(F.col("cls").alias("a"), F.col("unit").alias("x")), "a")

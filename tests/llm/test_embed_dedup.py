@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import types as T
 
 from dwkit.llm import embed_dedup as E
@@ -79,3 +80,35 @@ def test_few_distinct_vectors_among_many_copies(spark):
 def test_sample_has_its_size_whatever_the_copies(spark):
     df = spark.range(3000).selectExpr("id % 3 AS k")
     assert [hash_sample(df, n, "k").count() for n in (1, 10, 2999, 3000)] == [1, 10, 2999, 3000]
+
+
+def at_cosine(n, dim, share, seed=6):
+    """Pairs at cosine 0.93 to 0.97, among vectors with ``share`` of their squared norm in a common mean."""
+    r = np.random.default_rng(seed)
+    mean = r.standard_normal(dim)
+    base = E._unit(np.sqrt(1 - share) * r.standard_normal((n, dim)) / np.sqrt(dim) + np.sqrt(share) * mean / np.linalg.norm(mean))
+    away = r.standard_normal((n, dim))
+    away = E._unit(away - (away * base).sum(axis=1, keepdims=True) * base)
+    c = r.uniform(0.9301, 0.97, (n, 1))
+    return np.concatenate((base, c * base + np.sqrt(1 - c * c) * away))
+
+
+@pytest.mark.parametrize("share", [0, 0.7])
+def test_recall_at_the_threshold_with_and_without_a_common_mean(spark, share):
+    x = at_cosine(1500, 64, share)
+    rows = [(i, v.tolist(), int(i % 1500 % 2)) for i, v in enumerate(x)]
+    u = E._unit(np.array([v for _, v, _ in rows], dtype=np.float32).astype(np.float64))
+    label = np.array([l for _, _, l in rows])
+    near = (u @ u.T >= 0.93) & (label[:, None] == label)
+    want = near.sum(axis=1) - 1
+    got = {r.vec_id: r.n_links for r in E.link(frame(spark, rows)).collect()}
+    assert all(got[i] <= want[i] for i in got) and want.sum() >= 3000
+    assert sum(got.values()) / want.sum() >= 0.99
+
+
+def test_all_pairs_where_no_rotation_is_enough(spark, monkeypatch):
+    monkeypatch.setattr(E, "ROTATIONS", 0)
+    monkeypatch.setattr(E, "CHUNK", 50)
+    rows = planted()
+    got = sorted((tuple(r) for r in E.link(frame(spark, rows)).collect()), key=str)
+    assert got == brute(rows, 64)
