@@ -19,8 +19,8 @@ Equal vectors of a label are one class, so copies cost one entry; a class counts
 with its size in ``n_links``.
 
 Edge cases: vectors that are null, empty or zero, or that hold null or non-finite
-components, and vectors without a label, link with nothing; vectors of another length than the
-sample's first likewise; null ids are kept, and name a component only if it has
+components, and vectors without a label, link with nothing; vectors of different
+lengths do not link with each other; null ids are kept, and name a component only if it has
 no other id; repeated rows are vectors of their own; an empty table gives no rows.
 """
 
@@ -134,18 +134,17 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
               & F.coalesce(F.exists(v, lambda x: x != 0), F.lit(False)))
     rows = vectors.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"),
                           F.col(vec_col).cast("array<double>").alias("vec"))
-    ready = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
-    distinct = staged(ready.where("ok").select("label", "vec").distinct(), "distinct")
-    if distinct.isEmpty():
+    ready = staged(rows.withColumn("ok", F.coalesce(usable, F.lit(False))), "vectors")
+    classes = (ready.where("ok").groupBy("label", "vec").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+               .withColumn("cls", F.monotonically_increasing_id()))
+    keyed = staged(classes, "classes")
+    if keyed.isEmpty():
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = hash_sample(distinct, 1, "label", "vec").select(F.size("vec")).first()[0]
-    distinct = distinct.where(F.size("vec") == dim)
     tables = {}
-    for length, n in distinct.groupBy(F.size("vec")).count().where(F.col("count") > FEW).collect():
-        some = hash_sample(distinct.where(F.size("vec") == length).select("label", "vec"), sample, "label", "vec").toPandas()["vec"]
+    for length, n in keyed.groupBy(F.size("vec")).count().where(F.col("count") > FEW).collect():
+        some = hash_sample(keyed.where(F.size("vec") == length).select("label", "vec"), sample, "label", "vec").toPandas()["vec"]
         tables[length] = fit_tables(_unit(np.stack(some.to_numpy()).astype(np.float64)), threshold, radius, blocks)
-    ready = staged(ready.withColumn("ok", F.col("ok") & (F.size("vec") == dim)), "vectors")
 
     def code(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -155,9 +154,6 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                 yield part.drop(columns="vec").assign(length=length, unit=list(x), radius=fit.radius,
                                                       codes=list(np.stack(codes, axis=1)) if codes else None)
 
-    classes = (ready.where("ok").groupBy("label", "vec").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
-               .withColumn("cls", F.monotonically_increasing_id()))
-    keyed = staged(classes, "classes")
     label = keyed.schema["label"].dataType.simpleString()
     coded = staged(keyed.select("cls", "label", "vec").mapInPandas(
         code, f"cls long, label {label}, length int, unit array<double>, radius int, codes array<long>"), "codes")

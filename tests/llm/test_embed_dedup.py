@@ -112,3 +112,15 @@ def test_all_pairs_where_no_rotation_is_enough(spark, monkeypatch):
     rows = planted()
     got = sorted((tuple(r) for r in E.link(frame(spark, rows)).collect()), key=str)
     assert got == brute(rows, 64)
+
+
+def test_each_length_links_with_itself(spark):
+    r = np.random.default_rng(9)
+    of = {32: planted(500, 32), 64: planted(500, 64)}
+    rows = [(2000 * k + i, v, l) for k, (dim, some) in enumerate(of.items()) for i, v, l in some]
+    rows += [(9000 + i, r.standard_normal(3 + i).tolist(), 1) for i in range(20)]       # malformed rows
+    got = {x.vec_id: (x.n_links, x.component_id) for x in E.link(frame(spark, rows)).collect()}
+    assert len(got) == len(rows) and all(got[i] == (0, i) for i in range(9000, 9020))
+    for k, (dim, some) in enumerate(of.items()):
+        want = brute(some, dim)
+        assert sum(got[2000 * k + i][0] for i, *_ in want) >= 0.99 * sum(n for _, n, *_ in want) > 500
