@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwkit.sources.files import scratch_path, stage
@@ -38,6 +38,31 @@ def hash_sample(df: DataFrame, n: int, *key: str) -> DataFrame:
     return df.orderBy(h, *key).limit(n)
 
 
+def sample_of_each(df: DataFrame, numbers: Callable[[dict], dict], by: str, *key: str) -> DataFrame:
+    """Of each value of ``by`` the rows with the smallest hashes of ``key``: as many as ``numbers``
+    says for it, given the rows of all values (all rows of a value that has no more).
+
+    As in ``hash_sample``, only hashes below a cut are ranked; ``by`` is not null and has few values."""
+    total = {v: n for v, n in df.groupBy(by).count().collect()}
+    if not total:
+        return df.limit(0)
+    want, h, top = {v: min(n, total[v]) for v, n in numbers(total).items()}, F.xxhash64(*key), 2**63 - 1
+    cuts = {v: min(top, int(((2 * n + 100) / total[v]) * 2**64) - 2**63) for v, n in want.items()}
+
+    def below() -> DataFrame:
+        rows = df.sparkSession.createDataFrame([(v, cuts[v], want[v]) for v in want], f"_of {df.schema[by].dataType.simpleString()}, _cut long, _n long")
+        return df.join(F.broadcast(rows), F.col(by) == F.col("_of")).where(h <= F.col("_cut"))
+    while True:
+        got = {v: n for v, n in below().groupBy(by).count().collect()}
+        short = [v for v in want if got.get(v, 0) < want[v] and cuts[v] < top]
+        if not short:
+            break
+        cuts |= {v: min(top, 8 * (cuts[v] + 2**63) - 2**63) for v in short}
+    rank = F.row_number().over(Window.partitionBy(by).orderBy(h, *key))
+    return (below().withColumn("_rank", rank).where((F.col("_rank") <= max(want.values())) & (F.col("_rank") <= F.col("_n")))
+            .drop("_of", "_cut", "_n", "_rank"))
+
+
 BATCH_ROWS = 1_000
 
 

@@ -5,7 +5,8 @@ For each row, log posterior of a language =
   + log P(declared language | language) (markup of the page)
   + log prior of the host               (smoothed towards domain, suffix, whole).
 
-The trigram table is fitted on at most ``SAMPLE`` labelled texts.  All else is
+The languages are those of all labelled texts; the trigram table is fitted on an equal
+share of ``SAMPLE`` texts of each (``LEAST`` at least, or all it has).  All else is
 estimated from all rows by grouped aggregation of the text posteriors: a declared
 language is trusted as far as it agrees with the texts that carry it, and the
 language shares of each address suffix are smoothed towards the shares of the
@@ -33,9 +34,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import hash_sample, per_text, small_batches, staged
+from dwkit.llm.common import per_text, sample_of_each, small_batches, staged
 
-SAMPLE = 4_000
+SAMPLE = 4_000           # labelled texts, shared out to the languages
+LEAST = 200              # of each language, if it has them
 SLOTS = 1 << 16          # hashed byte trigrams
 TEMPER = 0.2             # overlapping trigrams are not independent
 STRENGTH = 5.0
@@ -75,10 +77,10 @@ class Languages:
 
 def train(docs: DataFrame, lang_col: str = "lang", id_col: str = "doc_id", text_col: str = "text",
           sample: int = SAMPLE) -> Languages:
-    """Fit the trigram table on the ``sample`` labelled texts with the smallest hashes."""
+    """Fit the trigram table on the labelled texts of each language with the smallest hashes."""
     rows = docs.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                                                           F.col(lang_col).alias("lang"))
-    some = hash_sample(rows, sample, "id").toPandas()
+    some = sample_of_each(rows, lambda total: dict.fromkeys(total, max(LEAST, sample // len(total))), "lang", "id").toPandas()
     return Languages(some["text"].tolist(), some["lang"].tolist())
 
 

@@ -7,8 +7,9 @@ row's value comes from models that never saw the row, so a later model learns ho
 far it can trust an earlier one; the final models of all rows score the corpus.
 Unless a threshold is given, the one with the best out-of-fold F1 is taken.
 
-The models are fitted in numpy on at most ``SAMPLE`` labelled documents (those with
-the smallest hash of their id); scoring runs over all documents in parallel with
+The models are fitted in numpy on about ``SAMPLE`` labelled documents (of each
+combination of labels its share, but ``RARE`` or all if it has fewer, with the smallest
+hashes of their ids; losses and thresholds are weighted back to the true shares); scoring runs over all documents in parallel with
 the small model (at most ``FEATURES`` words and word beginnings a category) in each task.
 
 Edge cases: null and empty texts are scored by the intercepts and the letter
@@ -26,12 +27,13 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dwkit.llm.common import hash_sample, per_text, small_batches
+from dwkit.llm.common import per_text, sample_of_each, small_batches, staged
 
 SAMPLE = 10_000    # labelled documents the models are fitted on
+RARE = 1_000       # of each combination of labels, if it has them
 SLOTS = 1 << 22    # hashed features
 FEATURES = 4_000   # words of a model
 FOLDS = 3
@@ -113,9 +115,9 @@ def choose(m: Matrix, rows: np.ndarray, y: np.ndarray, most: int = FEATURES, lea
     return some[np.argsort(-chi2[some], kind="stable")][:most]
 
 
-def fit_linear(m: Matrix, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, rounds: int = 300, rate: float = 0.2,
-               l2: float = 1e-5) -> Linear:
-    """Full-batch Adam on the mean log loss of the marked rows."""
+def fit_linear(m: Matrix, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None,
+               rounds: int = 300, rate: float = 0.2, l2: float = 1e-5) -> Linear:
+    """Full-batch Adam on the weighted mean log loss of the marked rows."""
     n, pos = int(rows.sum()), int(np.nansum(y[rows]))
     if not n:
         return Linear()
@@ -127,15 +129,17 @@ def fit_linear(m: Matrix, rows: np.ndarray, dense: np.ndarray, y: np.ndarray, ro
     use = rows[m.row] & (number[m.col] >= 0)
     row, col = (np.cumsum(rows) - 1)[m.row[use]], number[m.col[use]]
     y, x = y[rows], dense[rows]
+    weights = np.ones(n) if weights is None else weights[rows]
+    total, share = weights.sum(), weights @ y
     mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
     x = (x - mean) / scale
     k, d = len(some), dense.shape[1]
     theta = np.zeros(k + d + 1)
-    theta[-1] = np.log(pos / (n - pos))
+    theta[-1] = np.log(share / (total - share))
     up, var = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
         z = np.bincount(row, weights=theta[col], minlength=n) + x @ theta[k:k + d] + theta[-1]
-        g = (sigmoid(z) - y) / n
+        g = weights * (sigmoid(z) - y) / total
         grad = np.concatenate((np.bincount(col, weights=g[row], minlength=k), x.T @ g, [g.sum()]))
         grad[:-1] += l2 * theta[:-1]
         up, var = 0.9 * up + 0.1 * grad, 0.999 * var + 0.001 * grad * grad
@@ -174,9 +178,11 @@ class Chain:
         return probs
 
 
-def fit_chain(texts: Sequence[str | None], folds: np.ndarray, labels: dict[str, np.ndarray], n_folds: int = FOLDS) -> Chain:
+def fit_chain(texts: Sequence[str | None], folds: np.ndarray, labels: dict[str, np.ndarray], n_folds: int = FOLDS,
+              weights: np.ndarray | None = None) -> Chain:
     """Fit a chain; ``labels`` holds 0/1 or NaN per row and category, in the chain's order."""
     m = Matrix(texts)
+    weights = np.ones(len(texts)) if weights is None else weights
     dense = np.array([letter_numbers(t) for t in texts]).reshape(len(texts), _LETTER_NUMBERS)
     starts = np.searchsorted(m.row, np.arange(len(texts) + 1))
     names, models, cuts = [], [], []
@@ -184,26 +190,27 @@ def fit_chain(texts: Sequence[str | None], folds: np.ndarray, labels: dict[str,
         known = ~np.isnan(y)
         held_out = np.zeros(len(texts))
         for f in range(n_folds):
-            part = fit_linear(m, known & (folds != f), dense, y)
+            part = fit_linear(m, known & (folds != f), dense, y, weights)
             number = np.array([part.numbers.get(x, -1) for x in m.slots.tolist()], dtype=np.int64)
             for i in np.flatnonzero(folds == f):
                 found = number[m.col[starts[i]:starts[i + 1]]]
                 held_out[i] = part.prob(found[found >= 0], dense[i])
         names.append(name)
-        models.append(fit_linear(m, known, dense, y))
-        cuts.append(best_cut(held_out[known], y[known]))
+        models.append(fit_linear(m, known, dense, y, weights))
+        cuts.append(best_cut(held_out[known], y[known], weights[known]))
         dense = np.column_stack((dense, held_out))
     return Chain(names, models, cuts)
 
 
-def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+def best_cut(p: np.ndarray, y: np.ndarray, weights: np.ndarray | None = None) -> float:
     """The threshold with the best F1 on out-of-fold probabilities, half way (in
     log odds) to the next lower one; 0.5 without rows of both classes."""
     if not 0 < y.sum() < len(y):
         return 0.5
     order = np.argsort(-p, kind="stable")
-    p, hits = p[order], np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(p) + 1) + y.sum())
+    w = np.ones(len(p)) if weights is None else weights[order]
+    p, hits = p[order], np.cumsum(w * y[order])
+    f1 = 2 * hits / (np.cumsum(w) + hits[-1])
     f1[:-1][p[:-1] == p[1:]] = 0          # rows of equal probability stand together
     at = int(np.argmax(f1))
     low = p[at + 1] if at + 1 < len(p) else 0.0
@@ -219,12 +226,24 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
     """
     known = (labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("label_id"))
              .agg(*[F.max(F.expr(e).cast("double")).alias(c) for c, e in categories.items()]))
-    some = hash_sample(known, sample, "label_id").limit(sample)          # ``sample`` rows at most, so it may be broadcast
+    stratum = F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in categories])
+    known = staged(known.withColumn("stratum", stratum), "labels")
+    total: dict = {}
+
+    def numbers(rows: dict) -> dict:
+        total.update(rows)
+        return {v: max(-(-sample * n // sum(rows.values())), RARE) for v, n in rows.items()}
+    some = staged(sample_of_each(known, numbers, "stratum", "label_id"), "labels")      # bounded, so it may be broadcast
+    rank = F.row_number().over(Window.partitionBy("stratum").orderBy(F.xxhash64("id", "text")))
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
             .join(F.broadcast(some), F.col("id") == F.col("label_id")).drop("label_id")
-            .orderBy(F.xxhash64("id", "text")).limit(sample).toPandas())
+            .withColumn("rank", rank).where(F.col("rank") <= max(RARE, sample)).toPandas())
+    most = numbers(total) if total else {}
+    rows = rows[rows["rank"] <= rows["stratum"].map(most)].reset_index(drop=True)
     fold = np.array([zlib.crc32(str(i).encode()) % folds for i in rows["id"].tolist()], dtype=int)
-    return fit_chain(rows["text"].tolist(), fold, {c: rows[c].to_numpy(dtype=float) for c in categories}, folds)
+    weights = rows["stratum"].map(total).to_numpy(float) / rows.groupby("stratum")["id"].transform("size").to_numpy(float)
+    weights = weights * len(rows) / max(weights.sum(), 1e-300)
+    return fit_chain(rows["text"].tolist(), fold, {c: rows[c].to_numpy(dtype=float) for c in categories}, folds, weights)
 
 
 def probabilities(chain: Chain, text: Column) -> Column:

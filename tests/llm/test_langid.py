@@ -75,3 +75,12 @@ def test_edges_and_empty(spark):
     assert L.identify(L.page_rows(pages, langs), langs).count() == 3
     none = L.train(docs(spark, []))
     assert none.names == [] and {x.lang for x in L.identify(L.text_rows(docs(spark, EDGES), none), none).collect()} == {None}
+
+
+def test_rare_languages_are_candidates(spark):
+    words = {"en": "the quick fox and the dog", "de": "der schnelle fuchs und der hund", "is": "hinn snöggi refur og hundurinn þar"}
+    rows = [(i, words["is" if i % 1000 == 7 else "en" if i % 2 else "de"], "is" if i % 1000 == 7 else "en" if i % 2 else "de", "s") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    langs = L.train(df, sample=40)
+    assert langs.names == ["de", "en", "is"]
+    assert langs.names[int(np.argmax(langs.likelihood("refur og hundurinn")))] == "is"

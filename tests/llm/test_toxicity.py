@@ -42,3 +42,11 @@ def test_edges_and_empty(spark):
     none = labels.where("1 = 0")
     kept = X.keep_clean(docs(spark, EDGES), none, CHAIN, "toxic")
     assert kept.count() == len(EDGES) and kept.columns == docs(spark, EDGES).columns
+
+
+def test_rare_toxic_rows_are_learned(spark):
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"n{x}" for x in r.integers(0, 200, 12)) + (" vile slur awful" if i % 500 == 3 else "")) for i in range(12_000)]
+    labels = spark.createDataFrame([(i, 1, int(i % 500 == 3)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    got = {x.doc_id: x.rejected for x in X.classify(docs(spark, rows), labels, CHAIN, "toxic", sample=500).collect()}
+    assert all(got[i] == (i % 500 == 3) for i in got)
