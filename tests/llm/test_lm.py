@@ -120,3 +120,21 @@ def test_attention_learns_what_follows_what():
     seen, held = [walk() for _ in range(100)], [walk() for _ in range(30)]
     plain, trained = lm.fit(seen, steps=0).log10(held).sum(), lm.fit(seen, steps=300).log10(held).sum()
     assert trained > 0.4 * plain
+
+
+def test_all_training_documents_are_learned(spark):
+    # The start sees 10 documents; the words of the others count, and so does their order.
+    t, rows = subwords.table(tokenizer()), [(i, "the small cat sat on the mat") for i in range(400)]
+    rows += [(i, " ".join(["zebra quagga okapi"] * 60)) for i in range(400, 800)]
+    df = docs(spark, rows).repartition(2)
+    ids = t.ids(t.numbers(subwords.folded("zebra quagga okapi")))[0].astype(int)
+    flow = [t.ids(t.numbers(subwords.folded(x)))[0] for i, x in rows if zlib.crc32(str(i).encode()) % 10]
+    start = df.where("doc_id < 400")
+    few = lm.train(start, tokenizer(), sample=10, steps=20)
+    full = lm.train(df, tokenizer(), sample=10, steps=20)
+    assert len(set(full.entry[ids])) == len(set(ids)) and all((full.entry != full.entry[x]).sum() == lm.IDS - 1 for x in ids)
+    assert np.array_equal(full.entry, lm._entries(flow)[0]) and np.allclose(full.rare, lm._entries(flow)[1], atol=1e-6)
+    one = flow[-1]
+    assert full.log10([one])[0] > 0.5 * few.log10([one])[0]
+    raw = lm.fit(flow[:10], steps=20, layout=(full.entry, full.rare))
+    assert full.log10([one])[0] > raw.log10([one])[0]
