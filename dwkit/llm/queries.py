@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwkit.llm import decontam, embed_dedup, langid, line_dedup, lm, packing, sharding, simhash, toxicity, warc
+from dwkit.llm import decontam, embed_dedup, langid, line_dedup, lm, packing, runs, sharding, simhash, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +74,31 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, bound=3)
 
 
+def looped(doc_id: int | None, w: list[str]) -> list[str]:
+    """A tenth of the documents, by the hash of the id (null: none of its digits), repeat their words from one on."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not w:
+        return w
+    g = h // 10
+    a = g % len(w)
+    p = 1 + (len(w) - a) // (3 + g % 8)
+    return w[:a] + (w[a:a + p] * (1 + (len(w) - a) // p))[:len(w) - a]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find(table(spark, sf_dir, "documents"), alter=looped)
+    # The longest, then the first, then that of the smallest period.
+    top = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return (found.select("*", top.alias("top"))
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.col2")).alias("start"),
+                    F.col("top.length").alias("length"), (-F.col("top.col3")).alias("period"),
+                    F.floor(1000 * F.col("top.length") / -F.col("top.col3")).alias("exponent_milli"),
+                    F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+                    F.sha2(F.coalesce("collapsed", F.lit("")).cast("binary"), 256).alias("collapsed_sha256")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_sharding": op2_sharding,
@@ -83,6 +110,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES: dict[str, str] = {
