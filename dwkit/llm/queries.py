@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 import zlib
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from dwkit.llm import decontam, embed_dedup, langid, line_dedup, lm, packing, runs, sharding, simhash, toxicity, warc
+from dwkit.llm import conversations, decontam, embed_dedup, langid, line_dedup, lm, packing, runs, sharding, simhash, toxicity, warc
+from dwkit.llm.common import small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +79,50 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), k=3, bound=3)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with a fifth or so of their turns dropped, emptied, cut off, doubled or given to the user."""
+    space = F.lit(" ")
+    kind = F.crc32(F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"),
+                            F.coalesce(F.col("turn").cast("string"), space)).cast("binary")) % 20
+    role, text = (F.coalesce(F.col(c), space) for c in ("role", "text"))
+    return (rows.select("conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+                        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+                        F.explode(F.array_repeat(F.lit(0), F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1))).alias("copy")).drop("copy"))
+
+
+def _digests(it: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """SHA-256 of each conversation's lines; rows come in order, and only a batch of them is held."""
+    name, sha = None, None
+    for batch in it:
+        ids, hashes = [], []
+        for conv, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "role", "text")), strict=True):
+            line = f"{role}:{text}".encode("utf-8", "surrogatepass")
+            if sha is not None and conv == name:
+                sha.update(b"\n" + line)
+                continue
+            if sha is not None:
+                ids.append(name)
+                hashes.append(sha.hexdigest())
+            name, sha = conv, hashlib.sha256(line)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, schema.field(0).type), pa.array(hashes, pa.string())], schema=schema)
+    if sha is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([name], schema.field(0).type), pa.array([sha.hexdigest()], pa.string())], schema=schema)
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    fixed = conversations.repair(damaged(rows))
+    kind = rows.schema["conv_id"].dataType
+    schema = pa.schema([("conv_id", to_arrow_type(kind)), ("sha", pa.string())])
+    digests = (small_batches(fixed.turns).repartition("conv_id").sortWithinPartitions("conv_id", "block", "place").select("conv_id", "role", "text")
+               .mapInArrow(lambda it: _digests(it, schema), f"conv_id {kind.simpleString()}, sha string"))
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (rows.select("conv_id").distinct().unionByName(fixed.report, allowMissingColumns=True).unionByName(digests, allowMissingColumns=True)
+            .groupBy("conv_id").agg(*[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in counts],
+                                    F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+                                    F.coalesce(F.max("sha"), F.sha2(F.lit(b""), 256)).alias("repaired_sha256")))
+
+
 def looped(doc_id: int | None, w: list[str]) -> list[str]:
     """A tenth of the documents, by the hash of the id (null: none of its digits), repeat their words from one on."""
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -110,6 +159,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
