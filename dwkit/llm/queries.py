@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dwkit.llm import conversations, decontam, embed_dedup, langid, line_dedup, lm, packing, runs, sharding, simhash, toxicity, warc
+from dwkit.llm import conversations, decontam, embed_dedup, langid, line_dedup, lm, neighbours, packing, runs, sharding, simhash, toxicity, warc
 from dwkit.llm.common import small_batches
 
 
@@ -123,6 +123,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     F.coalesce(F.max("sha"), F.sha2(F.lit(b""), 256)).alias("repaired_sha256")))
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def looped(doc_id: int | None, w: list[str]) -> list[str]:
     """A tenth of the documents, by the hash of the id (null: none of its digits), repeat their words from one on."""
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -160,6 +164,7 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

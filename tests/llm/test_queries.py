@@ -15,6 +15,11 @@ COLUMNS = {
     "op6_toxicity": "doc_id bigint, p_low_quality double, p_toxic double, rejected boolean",
     "op7_embedding_near_dedup": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op8_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op11_conversation_repair": "conv_id bigint, gaps bigint, blank bigint, duplicate bigint, truncated bigint, illegal bigint, cost bigint, "
+                                "audit string, repaired_sha256 string",
+    "op12_nearest_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
+    "op13_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
+                          "runs_sha256 string, collapsed_sha256 string",
     "op10_simhash_near_dedup": "doc_id bigint, fingerprint string, component_id bigint",
 }
 
@@ -36,6 +41,6 @@ def test_oracle(spark, name):
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(want.fetchall(), key=repr)
 
 
-def test_eleven_queries_are_registered():
+def test_all_queries_are_registered():
     names = E.queries()
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11)) and "pipeline" in names
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14)) and "pipeline" in names
