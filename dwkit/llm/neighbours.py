@@ -286,7 +286,8 @@ def search(vectors: DataFrame, query: Column, k: int = 10, id_col: str = "vec_id
     options = {"degree": degree, "beam": build_beam, "alpha": alpha}
     dealt = (points.select(F.size("vec").alias("length"), "point", "vec", "digest").join(of, "length")
              .select("length", F.pmod("digest", "shards").alias("shard"), "point", "vec"))
-    graphs = staged(dealt.repartition("length", "shard").sortWithinPartitions("length", "shard", "point").mapInArrow(
+    tasks = 2 * (of.agg(F.sum("shards")).first()[0] or 1)      # a given number: a few shards in one task are slow, however small
+    graphs = staged(dealt.repartition(tasks, "length", "shard").sortWithinPartitions("length", "shard", "point").mapInArrow(
         partial(_shards, options=options), "length int, shard long, points binary, vectors binary, edges binary, starts binary"), "graphs")
 
     asking = ready.where("asks").select("id", "rid", "vec")
