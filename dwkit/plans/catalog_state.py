@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dwkit.operators import bitmaps as B
+from dwkit.operators import sketches as K
+from dwkit.plans import fixtures as FX
 from dwkit.plans import catalog_sql as S
 from dwkit.plans.catalog import q
 from dwkit.plans.warehouse import build
@@ -78,3 +80,45 @@ def agg_4_loads(spark, sf):
     later = stage(B.state(fact.where("load >= 1996"), ["airline_key"], members), scratch_path(spark, "bitmaps"))
     airline = w["dim_airline"].select("airline_key", "carrier_code")
     return B.counts(B.merge(earlier, later), ["airline_key"], list(members)).join(airline, "airline_key").drop("airline_key")
+
+
+#: Numeric columns of the flat table, whose median is checked.
+_NUMBERS = ["dep_delay", "arr_delay", "taxi_out", "taxi_in", "actual_elapsed_time", "air_time", "distance", "carrier_delay", "late_aircraft_delay"]
+_TEXTS = {"op_unique_carrier": "carrier_code", "origin": "origin", "dest": "dest", "fl_date": "fl_date", "operation_id": "operation_id",
+          "op_carrier_fl_num": "flight_number"}
+
+
+def _exact_sql(name: str, column: str) -> str:
+    return (f"SELECT '{name}' AS column, count(*) AS total_rows, count(*) - count({column}) AS null_count, CAST(min({column}) AS VARCHAR) AS min, "
+            f"CAST(max({column}) AS VARCHAR) AS max, count(DISTINCT {column}) AS exact_distinct, true AS distinct_ok, true AS quantiles_ok, "
+            f"true AS frequent_ok FROM flat")
+
+
+@q("dq_1_sketches_of_yearly_loads", S.with_ctes("", " UNION ALL ".join(
+    [_exact_sql(c, c) for c in _NUMBERS] + [_exact_sql(name, c) for name, c in _TEXTS.items()])))
+def dq_1_sketches(spark, sf):
+    """State of each year's rows, merged, against exact figures: distinct counts, quartiles and most frequent
+    values within their bounds."""
+    cols = [*_NUMBERS, *_TEXTS]
+    flat = stage(FX.flat_operations(spark, sf).select("year", *cols), scratch_path(spark, "flat"))
+    years = [r.year for r in flat.select("year").distinct().collect()]                       # a handful: calendar years
+    loads = [stage(K.sketch(flat.where(F.col("year").eqNullSafe(F.lit(y))), cols), scratch_path(spark, "sketch")) for y in years]
+    found = stage(K.report(K.merge(loads)), scratch_path(spark, "profile"))
+
+    # Exact: values and their counts, once; the sketches' answers are looked up in them.
+    pairs = flat.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"),
+                                                    (F.col(c).cast("double") if c in _NUMBERS else F.lit(None).cast("double")).alias("x")) for c in cols])))
+    counted = stage(pairs.where("value IS NOT NULL").groupBy("column", "value", "x").agg(F.count(F.lit(1)).alias("n")), scratch_path(spark, "values"))
+    distinct = counted.groupBy("column").agg(F.count(F.lit(1)).alias("exact_distinct"), F.sum("n").alias("values"))
+    quarter = found.select("column", F.posexplode("quantiles").alias("i", "at")).withColumn("rank", (F.col("i") + 1) / F.lit(4.0))
+    below = (counted.where("x IS NOT NULL").join(quarter, "column").groupBy("column", "rank")
+             .agg((F.sum(F.when(F.col("x") < F.col("at"), F.col("n")).otherwise(0)) / F.sum("n")).alias("under"),
+                  (F.sum(F.when(F.col("x") <= F.col("at"), F.col("n")).otherwise(0)) / F.sum("n")).alias("upto")))
+    ranks = below.groupBy("column").agg(F.bool_and((F.col("under") <= F.col("rank") + K.QUANTILE_BOUND) & (F.col("upto") >= F.col("rank") - K.QUANTILE_BOUND)).alias("ok"))
+    top = found.select("column", "total_rows", F.inline_outer("frequent")).join(counted.select("column", "value", "n"), ["column", "value"], "left")
+    often = top.groupBy("column").agg(F.bool_and((F.abs(F.col("count") - F.col("n")) <= K.frequent_bound(F.col("total_rows")))
+                                                 | F.col("value").isNull()).alias("often"))
+    return (found.join(distinct, "column", "left").join(ranks, "column", "left").join(often, "column", "left")
+            .select("column", "total_rows", "null_count", "min", "max", F.coalesce("exact_distinct", F.lit(0)).alias("exact_distinct"),
+                    (F.abs(F.col("unique_values") - F.col("exact_distinct")) <= F.ceil(K.distinct_bound() * F.col("exact_distinct"))).alias("distinct_ok"),
+                    F.coalesce("ok", F.lit(True)).alias("quantiles_ok"), F.coalesce("often", F.lit(True)).alias("frequent_ok")))
