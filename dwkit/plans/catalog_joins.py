@@ -1,4 +1,4 @@
-"""Registered queries: point-in-time joins by merging (JOIN-12)."""
+"""Registered queries: point-in-time joins by merging (JOIN-12) and the snapshot in buckets (ACC-4)."""
 
 from __future__ import annotations
 
@@ -7,9 +7,11 @@ from pyspark.sql import Window
 
 from dwkit.operators.asof import merge_as_of
 from dwkit.plans import catalog_sql as S
-from dwkit.plans.catalog import _SCD2, _airline_two_loads, q
-from dwkit.plans.fixtures import table
+from dwkit.plans.catalog import ORACLES, _SCD2, _airline_two_loads, q
+from dwkit.plans.fixtures import RUN_TS, table
 from dwkit.plans.warehouse import build
+from dwkit.sources.bucketed import BucketedSnapshot
+from dwkit.sources.files import scratch_path
 
 
 @q("join_12_merged_as_of", S.with_ctes(_SCD2, """
@@ -40,3 +42,24 @@ def join_12_daily(spark, sf):
     events = (table(spark, sf, "lineitem").join(orders.select(F.col("o_orderkey").alias("l_orderkey"), "code"), "l_orderkey")
               .select("l_orderkey", "l_linenumber", "code", "l_shipdate"))
     return merge_as_of(events, ends, "code", "l_shipdate", ["since", "price"], eff="since", exp="until").drop("l_shipdate")
+
+
+def _bucketed(spark, sf):
+    """The snapshot in buckets after two feeds, with what they could not close; between them the first is folded in."""
+    w = build(spark, sf)
+    box = BucketedSnapshot(spark, scratch_path(spark, "buckets"), buckets=8)
+    box.create(w["fact_loaded"])
+    half = F.pmod(F.xxhash64("operation_id"), F.lit(2))
+    first = box.apply(w["feed"].where(half == 0), RUN_TS)
+    box.compact()
+    return box, first.unionByName(box.apply(w["feed"].where(half == 1), RUN_TS))
+
+
+@q("acc_4_bucketed_update", ORACLES["acc_4_apply_completions"])
+def acc_4_bucketed(spark, sf):
+    return _bucketed(spark, sf)[0].view().select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")
+
+
+@q("acc_4_bucketed_errors", ORACLES["acc_4_completion_errors"])
+def acc_4_bucketed_errors(spark, sf):
+    return _bucketed(spark, sf)[1]
