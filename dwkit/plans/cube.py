@@ -51,6 +51,7 @@ class Dimension:
     attributes: tuple[Attribute, ...]
     hierarchies: tuple[Hierarchy, ...] = ()
     bounded: bool | None = None  # True: size bounded by construction, broadcast freely
+    grows: bool = False          # grows with the fact: facts are grouped by its key before it is joined
 
     def attribute(self, name: str) -> Attribute:
         for a in self.attributes:
@@ -200,6 +201,27 @@ class CubeModel:
                 raise KeyError(f"no measure {n}")
         return [base[n].agg() for n in dict.fromkeys(wanted_base)], post
 
+    def _merge(self, cells: DataFrame, names: Sequence[str]) -> list[Column]:
+        kinds = {m.name: m.kind for m in self.measures}
+        return [{"min": F.min, "max": F.max}.get(kinds[c], F.sum)(c).alias(c) for c in cells.columns if c not in names]
+
+    def _cells(self, rows: Sequence[str], aggs: Sequence[Column], filters: Mapping[str, object] | None) -> DataFrame:
+        """Base measures by attributes.  A dimension that grows with the fact is joined
+        to facts grouped by its key, not to the facts (unless it is filtered: then it comes
+        first, to leave facts out)."""
+        filtered = {ref.split(".", 1)[0] for ref in filters or {}}
+        late = {r.name: r for ref in rows if (r := self._attr(ref)[0]).dimension.grows and r.name not in filtered}
+        early = [ref for ref in rows if ref.split(".", 1)[0] not in late]
+        f, names, _ = self._group_cols(self.frame(early, filters), early)
+        if not late:
+            return f.groupBy(*names).agg(*aggs)
+        keys = list(dict.fromkeys(r.fact_key for r in late.values()))
+        cells = CubeModel(f.groupBy(*names, *keys).agg(*aggs), list(late.values()), ())
+        joined, others, _ = cells._group_cols(cells.frame([ref for ref in rows if ref not in early]), [ref for ref in rows if ref not in early])
+        measures = [c for c in cells.fact.columns if c not in (*names, *keys)]
+        order = [self.col_name(ref) for ref in rows]
+        return joined.select(*names, *others, *measures).groupBy(*order).agg(*self._merge(joined.select(*measures), ()))
+
     def query(self, rows: Sequence[str], measures: Sequence[str], filters: Mapping[str, object] | None = None,
               totals: str | None = None, sort: bool = False) -> DataFrame:
         """Measures by attributes.  ``totals``: None (plain GROUP BY),
@@ -207,19 +229,14 @@ class CubeModel:
         combinations, AGG-17); subtotal rows carry ``grouping_id``.  With
         ``sort`` the (small) result is ordered by the attributes' keys, so
         months come in calendar order, not by name (OLAP-12, SURVEY Q14)."""
-        f, names, shows = self._group_cols(self.frame(rows, filters), rows)
+        names = [self.col_name(ref) for ref in rows]
         aggs, post = self._measures(measures)
-        if totals is None:
-            out = f.groupBy(*names).agg(*aggs)
-        else:
+        out = self._cells(rows, aggs, filters)
+        if totals is not None:
             # Base measures are additive: group the fact to the finest members
             # once, then expand that small result, not the fact's rows.
-            kinds = {m.name: m.kind for m in self.measures}
-            cells = f.groupBy(*names).agg(*aggs)
-            base = [c for c in cells.columns if c not in names]
-            merge = [{"min": F.min, "max": F.max}.get(kinds[c], F.sum)(c).alias(c) for c in base]
-            g = cells.rollup(*names) if totals == "rollup" else cells.cube(*names)
-            out = g.agg(*merge, F.grouping_id().alias("grouping_id"))
+            g = out.rollup(*names) if totals == "rollup" else out.cube(*names)
+            out = g.agg(*self._merge(out, names), F.grouping_id().alias("grouping_id"))
         out = self._with_display(out, rows)
         for n, e in post:
             out = out.withColumn(n, e)

@@ -41,7 +41,7 @@ def flight_cube(tables: dict[str, DataFrame]) -> CubeModel:
         Attribute("distance_band", "distance_band"), Attribute("flight_number", "flight_number"),
         Attribute("route", "flight_id"), Attribute("origin_code", "origin_code"),
         Attribute("dest_code", "dest_code"),
-    ))
+    ), grows=True)
     reason = Dimension("reason", tables["dim_reason"], "cancellation_key", (
         Attribute("code", "cancellation_code", "reason_description"),
         Attribute("party", "responsible_party"),

@@ -58,3 +58,23 @@ def test_months_sort_by_number_not_name(spark):
     c = _cube(spark)
     names = [r.date_month_name for r in c.query(["date.month"], ["flights"], sort=True).collect()]
     assert names == ["January", "February", "June"]
+
+
+def test_dimension_that_grows_is_joined_after_its_key_is_grouped(spark):
+    from dataclasses import replace
+    fact = spark.createDataFrame([(i % 5, i % 3, float(i)) for i in range(60)] + [(4, 1, None)], "route_key int, day_key int, delay double")
+    routes = spark.createDataFrame([(i, "short" if i < 2 else "long", f"r{i}") for i in range(5)], "route_key int, band string, code string")
+    days = spark.createDataFrame([(i, f"d{i}") for i in range(3)], "day_key int, day string")
+    route = Dimension("route", routes, "route_key", (Attribute("band", "band"), Attribute("code", "code")), grows=True)
+    day = Dimension("day", days, "day_key", (Attribute("day", "day"),), bounded=True)
+    measures = [Measure("n", "count"), Measure("sum", "sum", "delay"), Measure("some", "count_nonnull", "delay"),
+                Measure("least", "min", "delay"), Measure("most", "max", "delay"), Measure("late", "count_if", condition=F.col("delay") > 30)]
+    late = CubeModel(fact, [Role("route", route, "route_key"), Role("day", day, "day_key")], measures)
+    first = CubeModel(fact, [Role("route", replace(route, grows=False), "route_key"), Role("day", day, "day_key")], measures)
+    names = [m.name for m in measures]
+    for rows, totals, filters in ((["route.band", "day.day"], None, None), (["day.day", "route.band"], "cube", None), (["route.code", "route.band"], "rollup", None),
+                                  (["route.band"], None, {"day.day": "d1"}), (["route.band"], None, {"route.code": ["r1", "r3"]})):
+        a, b = (c.query(rows, names, filters, totals=totals) for c in (late, first))
+        assert a.columns == b.columns and sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+    plan = late.query(["route.band"], ["n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.rindex("Aggregate [route_key")
