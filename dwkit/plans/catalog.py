@@ -129,13 +129,7 @@ SELECT carrier_name, flight_number, origin, dest, avg_arr_delay, flights, route_
         FROM fact GROUP BY 1, 2, 3, 4) a) b
 WHERE route_rank <= 10"""))
 def rpt_6(spark, sf):
-    f = cube(spark, sf).frame(["airline.carrier_name", "route.flight_number", "route.origin_code",
-                                "route.dest_code"])
-    f = f.select(F.col("airline_carrier_name").alias("carrier_name"),
-                 F.col("route_flight_number").alias("flight_number"),
-                 F.col("route_origin_code").alias("origin"), F.col("route_dest_code").alias("dest"),
-                 "cancelled", "arr_delay")
-    out = R.top_routes(f, ["carrier_name"], ["flight_number", "origin", "dest"], 10)
+    out = R.top_routes_of_cube(cube(spark, sf), "airline.carrier_name", 10)
     return out.withColumn("route_rank", F.col("route_rank").cast("long"))
 
 
@@ -1412,16 +1406,17 @@ def _complete_then_load(spark, sf):
     second batch, and once more with the feed; kept for the queries on it."""
     from dwkit.plans.pipeline import run, run_increment
     from dwkit.sources.files import scratch_path
-    if (id(spark), sf) not in _TWO:
+    key = (spark.sparkContext.applicationId, sf)      # an address may belong to a later session
+    if key not in _TWO:
         w, base = build(spark, sf), scratch_path(spark, "pipe2")
         cut = F.col("fl_date") < F.lit("1998-01-01").cast("date")
         regions = FX.region_reference(spark, sf)
         w1 = run(spark, w["flat"].where(cut), w["feed"], regions, base + "/load1", FX.RUN_TS, unmatched_airports="default")
         more = (w["flat"].where(~cut), regions)
-        _TWO[id(spark), sf] = (
+        _TWO[key] = (
             run_increment(spark, w1, *more, base + "/load2", FX.RUN_TS, unmatched_airports="default"),
             run_increment(spark, w1, *more, base + "/load3", FX.RUN_TS, unmatched_airports="default", feed=w["feed"]))
-    return _TWO[id(spark), sf]
+    return _TWO[key]
 
 
 @q("pipe_2_load_complete_load_again", S.with_ctes(_KEYS, """

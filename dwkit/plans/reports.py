@@ -129,6 +129,16 @@ def top_routes(df: DataFrame, part: Sequence[str], route: Sequence[str], k: int
     return top_k_per_group(agg, part, k, order, out="route_rank")
 
 
+def top_routes_of_cube(cube, part: str, k: int = 10, filters: dict | None = None) -> DataFrame:
+    """``top_routes`` per member of ``part``, from the cube: facts are grouped by route before the route dimension is joined."""
+    route = {"route.flight_number": "flight_number", "route.origin_code": "origin", "route.dest_code": "dest"}
+    cells = cube.query([part, *route], ["avg_arr_delay", "flights"], filters)
+    name = cube.col_name(part)
+    agg = cells.select(F.col(name).alias(part.split(".")[1]), *[F.col(cube.col_name(r)).alias(n) for r, n in route.items()], "avg_arr_delay", "flights")
+    order = [F.col("avg_arr_delay").desc_nulls_last(), *[F.col(c).asc() for c in route.values()]]
+    return top_k_per_group(agg, [part.split(".")[1]], k, order, out="route_rank")
+
+
 def gauge(df: DataFrame, target: float = 85.0, by: Sequence[str] = ()) -> DataFrame:
     """On-time rate against a target (RPT-6 gauge)."""
     g = df.groupBy(*by) if by else df
@@ -158,11 +168,9 @@ def carrier_detail(cube, carrier: str, target: float = 85.0, k: int = 10) -> dic
     f = {"airline.carrier": carrier}
     by_q = cube.frame(["date.year", "date.quarter"], f).select(
         F.col("date_year").alias("year"), F.col("date_quarter").alias("quarter"), *DELAY_PARTS)
-    routes = cube.frame(["route.flight_number", "route.origin_code", "route.dest_code"], f)
-    routes = routes.groupBy(F.col("route_flight_number").alias("flight_number"),
-                            F.col("route_origin_code").alias("origin"),
-                            F.col("route_dest_code").alias("dest")).agg(
-        avg_arrival_delay().alias("avg_arr_delay"), n_flights().alias("flights"))
+    routes = cube.query(["route.flight_number", "route.origin_code", "route.dest_code"], ["avg_arr_delay", "flights"], f).select(
+        F.col("route_flight_number").alias("flight_number"), F.col("route_origin_code").alias("origin"),
+        F.col("route_dest_code").alias("dest"), "avg_arr_delay", "flights")
     from dwkit.operators.sampling import top_n
     return {
         "monthly": cube.query(["date.year", "date.month"], ["flights", "on_time_rate", "avg_arr_delay"], f),

@@ -38,14 +38,14 @@ BUILD_VERSION = _code_version()
 FACT_PARTITION = "month"
 
 _lock = threading.RLock()
-_memo: dict[tuple[int, str], dict[str, DataFrame]] = {}
-_roots: dict[tuple[int, str], str] = {}
+_memo: dict[tuple[str, str], dict[str, DataFrame]] = {}          # by application, not by the session's address
+_roots: dict[tuple[str, str], str] = {}
 
 
 def table_path(spark: SparkSession, sf_dir: str, name: str) -> str:
     """Folder of a stored warehouse table (after ``build``)."""
     build(spark, sf_dir)
-    return f"{current_load(spark, _roots[(id(spark), os.path.abspath(sf_dir))])}/{name}"
+    return f"{current_load(spark, _roots[(spark.sparkContext.applicationId, os.path.abspath(sf_dir))])}/{name}"
 
 
 def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataFrame]:
@@ -54,7 +54,7 @@ def build(spark: SparkSession, sf_dir: str, run_ts=fx.RUN_TS) -> dict[str, DataF
 
 
 def _build(spark: SparkSession, sf_dir: str, run_ts) -> dict[str, DataFrame]:
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key in _memo:
         return _memo[key]
     tag = hashlib.sha1(f"{BUILD_VERSION}|{os.path.abspath(sf_dir)}|{run_ts}".encode()).hexdigest()[:12]

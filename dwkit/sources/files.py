@@ -102,15 +102,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 
 def _versions(spark: SparkSession, base: str) -> list[int]:
     """Numbers of the complete version folders under ``base``: one glob
-    listing through Spark's file source (any filesystem), then a direct
-    check of each candidate's ``_SUCCESS`` marker (hidden files are not
-    listed by globs)."""
+    listing through Spark's file source (any filesystem), of which only the
+    numbers reach the driver, then a direct check of each one's ``_SUCCESS``
+    marker (hidden files are not listed by globs).  Only a folder that is not there means no version; any other error is raised."""
     try:
-        found = spark.read.format("binaryFile").load(base.rstrip("/") + "/v*").select("path").collect()
-    except Exception:  # noqa: BLE001 - no version yet
-        return []
-    cands = sorted({int(m.group(1)) for r in found if (m := _V.search(r.path))})
-    return [v for v in cands if is_complete(spark, f"{base.rstrip('/')}/v{v:06d}")]
+        files = spark.read.format("binaryFile").load(base.rstrip("/") + "/v*")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    numbers = files.select(F.regexp_extract("path", _V.pattern, 1).alias("v")).where("v <> ''").distinct()
+    found = sorted(int(r.v) for r in numbers.collect())
+    return [v for v in found if is_complete(spark, f"{base.rstrip('/')}/v{v:06d}")]
 
 
 def latest_version(base: str, spark: SparkSession | None = None) -> str | None:
