@@ -1,4 +1,4 @@
-"""Registered queries: point-in-time joins by merging (JOIN-12) and the snapshot in buckets (ACC-4)."""
+"""Registered queries: point-in-time joins by merging (JOIN-12) and the snapshot in buckets or by manifest (ACC-4)."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from dwkit.plans.fixtures import RUN_TS, table
 from dwkit.plans.warehouse import build
 from dwkit.sources.bucketed import BucketedSnapshot
 from dwkit.sources.files import scratch_path
+from dwkit.sources.manifest import ManifestTable, apply_completions
 
 
 @q("join_12_merged_as_of", S.with_ctes(_SCD2, """
@@ -63,3 +64,21 @@ def acc_4_bucketed(spark, sf):
 @q("acc_4_bucketed_errors", ORACLES["acc_4_completion_errors"])
 def acc_4_bucketed_errors(spark, sf):
     return _bucketed(spark, sf)[1]
+
+
+def _by_manifest(spark, sf):
+    """The stored snapshot by month after the feed, and what the feed could not close."""
+    w = build(spark, sf)
+    fact = ManifestTable(spark, scratch_path(spark, "fact"), "month_key")
+    fact.append(w["fact_loaded"])
+    return fact, apply_completions(fact, w["feed"], RUN_TS)
+
+
+@q("acc_4_update_by_manifest", ORACLES["acc_4_apply_completions"])
+def acc_4_manifest(spark, sf):
+    return _by_manifest(spark, sf)[0].read().select("operation_id", "accm_txn_complete_time", "txn_process_time_hours")
+
+
+@q("acc_4_errors_by_manifest", ORACLES["acc_4_completion_errors"])
+def acc_4_manifest_errors(spark, sf):
+    return _by_manifest(spark, sf)[1]

@@ -206,3 +206,10 @@ def test_read_table_sql_and_view(spark):
     spark.range(3).createOrReplaceTempView("dwkit_t")
     assert read_table(spark, "dwkit_t").count() == 3
     assert read_table(spark, "", sql="SELECT count(*) AS n FROM dwkit_t").first().n == 3
+
+
+def test_only_a_missing_path_means_no_version(spark, tmp_path):
+    from dwkit.sources.files import _versions
+    assert _versions(spark, str(tmp_path / "none")) == []
+    with pytest.raises(Exception, match="nosuchscheme"):
+        _versions(spark, "nosuchscheme://host/table")
