@@ -72,7 +72,8 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return lm.score(docs, lm.train(docs, tokenizer()), tokenizer())
+    blocks = lm.corpus(docs, tokenizer())                 # tokenised once, for both
+    return lm.score(docs, lm.train(docs, tokenizer(), blocks=blocks), tokenizer(), blocks=blocks)
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
