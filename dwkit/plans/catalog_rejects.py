@@ -110,7 +110,7 @@ def err_1_replayed(spark, sf):
 @q("dq_8_reconcile_with_replays", _LOST + """
 SELECT (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity FROM lineitem) x) AS source_rows,
   (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_suppkey, l_partkey, l_quantity FROM lineitem) x) - count(*) AS loaded,
-  count(*) FILTER (WHERE n_name IN ('EGYPT', 'IRAN')) AS recovered, 0 AS open, count(*) FILTER (WHERE n_name NOT IN ('EGYPT', 'IRAN')) AS given_up,
+  count(*) FILTER (WHERE n_name IN ('EGYPT', 'IRAN')) AS recovered, CAST(0 AS BIGINT) AS open, count(*) FILTER (WHERE n_name NOT IN ('EGYPT', 'IRAN')) AS given_up,
   true AS balanced FROM lost""")
 def dq_8_replays(spark, sf):
     first, loads, box = _replayed(spark, sf)
