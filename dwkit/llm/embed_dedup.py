@@ -1,19 +1,22 @@
 """Embedding near-duplicates: iterative quantisation and multi-index Hamming tables.
 
-A rotation is learned on at most ``sample`` distinct vectors (PCA, then alternating
-sign codes and an orthogonal fit) so that the sign bits are balanced.  Every distinct
-vector gets such a code, cut into ``blocks`` blocks; each block is a Hamming table
-keyed by (label, length, rotation, block, value).  Both sides enter their block values
-and all values one bit away, so two codes meet in a table if any block differs in at
-most two bits.  Meetings above the radius are dropped, the rest is reranked with the
-original vectors.
+Rotations are learned on at most ``sample`` distinct vectors (PCA, then alternating
+sign codes and an orthogonal fit) so that the sign bits are balanced.  Their bits,
+one rotation after another, are a vector's code.  It is cut into blocks; each block
+is a Hamming table keyed by (label, length, block, value), so two codes that differ
+in fewer bits than there are blocks are sure to meet.  Meetings whose first ``BITS``
+bits differ by more than the radius are dropped inside the table, the rest is
+reranked with the original vectors.
 
 How far apart the codes of a pair at the threshold lie depends on the vectors (a
-common mean moves them apart), so radius and number of rotations are taken from
-sampled pairs at the threshold (``fit_tables``): the radius holds 0.999 of them, and
-rotations are added until ``RECALL`` of them meet.  Where ``ROTATIONS`` are not
-enough, and among at most ``FEW`` vectors, all pairs of a label are compared, in
-blocks of about ``CHUNK`` by ``CHUNK``.
+common mean moves them apart), so everything is taken from sampled pairs at the
+threshold (``fit_tables``): the radius holds 0.999 of them, the blocks' width is the
+one with the least work for the largest label (it grows with the logarithm of the
+label, so a vector meets about as many others in a table of any size), and blocks
+are added until ``RECALL`` of the pairs of every kind meet.  There is no limit on
+blocks and no other way beside them: after ``LEARNED`` rotations, random ones
+through the origin follow, whose bits part a pair at the threshold with a
+probability that does not depend on where the mean lies, so the blocks come to an end.
 
 Equal vectors of a label are one class, so copies cost one entry; a class counts
 with its size in ``n_links``.
@@ -38,9 +41,10 @@ from dwkit.llm.common import components, hash_sample, staged
 
 SAMPLE = 5_000   # vectors the rotation is fitted on
 BITS = 64
-RECALL = 0.995   # of sampled pairs at the threshold
-ROTATIONS = 16   # most rotations of one length
-FEW, CHUNK = 200, 1_000
+RECALL = 0.995   # of sampled pairs at the threshold, of each kind
+LEARNED = 16     # rotations that are learned, random ones follow
+WIDTHS = range(4, 33)
+MEETING = 0.2    # work of a meeting in a table, in entries of a vector
 
 
 def fit_rotation(x: np.ndarray, bits: int, rounds: int = 30, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
@@ -62,71 +66,105 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def encode(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
-    """Sign codes of unit vectors as signed 64-bit numbers."""
-    on = ((x - mean) @ proj >= 0).astype(np.uint8)
+def signs(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
+    """Sign bits of unit vectors; what is zero but for rounding has the same bit in all of them."""
+    return (x - mean) @ proj >= -1e-9
+
+
+def packed(on: np.ndarray) -> np.ndarray:
+    """The first ``BITS`` sign bits as signed 64-bit numbers."""
+    on = on[:, :BITS].astype(np.uint8)
     on = np.pad(on, ((0, 0), (0, BITS - on.shape[1])))
     return np.packbits(on, axis=1, bitorder="little").view("<i8")[:, 0]
 
 
-def pairs_at(x: np.ndarray, threshold: float, n: int = 2_000, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of unit vectors at the threshold, by kind: sampled vectors moved in random
-    directions and along differences of others, and close pairs of the sample itself."""
+def encode(x: np.ndarray, mean: np.ndarray, proj: np.ndarray) -> np.ndarray:
+    """Codes of one rotation."""
+    return packed(signs(x, mean, proj))
+
+
+def pairs_at(x: np.ndarray, labels: np.ndarray, threshold: float, n: int = 2_000, seed: int = 11) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of unit vectors at the threshold, by kind: sampled vectors moved in random directions
+    and along differences within their label, and the sample's own pairs next above the threshold."""
     r = np.random.default_rng(seed)
-    some = x[r.integers(0, len(x), n)]
-    out = []
-    for away in (r.standard_normal(some.shape), x[r.integers(0, len(x), n)] - x[r.integers(0, len(x), n)]):
+    order = np.argsort(labels, kind="stable")
+    _, first, size = np.unique(labels[order], return_index=True, return_counts=True)
+    group = np.repeat(np.arange(len(first)), size)
+    at = r.integers(0, len(x), n)
+    one, two = (order[first[group[at]] + (r.random(n) * size[group[at]]).astype(int)] for _ in range(2))
+    some, out = x[order[at]], []
+    for away in (r.standard_normal(some.shape), x[one] - x[two]):
         away = away - (away * some).sum(axis=1, keepdims=True) * some
-        size = np.linalg.norm(away, axis=1, keepdims=True)
-        ok = size[:, 0] > 1e-6
-        out.append((some[ok], threshold * some[ok] + np.sqrt(max(0.0, 1 - threshold ** 2)) * away[ok] / size[ok]))
-    own = x[r.permutation(len(x))[:n]]
-    cosine = own @ own.T
-    a, b = np.nonzero(np.triu((cosine >= threshold) & (cosine < threshold + 0.02), 1))
-    out.append((own[a[:n]], own[b[:n]]))
-    return [kind for kind in out if len(kind[0]) >= 200]
+        norm = np.linalg.norm(away, axis=1, keepdims=True)
+        ok = norm[:, 0] > 1e-6
+        out.append((some[ok], threshold * some[ok] + np.sqrt(max(0.0, 1 - threshold ** 2)) * away[ok] / norm[ok]))
+    own = r.permutation(len(x))[:n]
+    cosine = x[own] @ x[own].T
+    a, b = np.nonzero(np.triu((cosine >= threshold) & (labels[own][:, None] == labels[own]), 1))
+    hardest = np.argsort(cosine[a, b], kind="stable")[:n]
+    out.append((x[own[a[hardest]]], x[own[b[hardest]]]))
+    return [kind for kind in out if len(kind[0])]
 
 
 @dataclass
 class Tables:
-    """Rotations and radius for vectors of one length; without rotations all pairs are compared."""
+    """Rotations, width and number of the blocks, and radius, for vectors of one length."""
     rotations: list[tuple[np.ndarray, np.ndarray]]
-    radius: int = 0
-
-
-def fit_tables(x: np.ndarray, threshold: float, radius: int, blocks: int) -> Tables:
-    """As many rotations, and as large a radius, as sampled pairs at the threshold need."""
-    bits = min(BITS, x.shape[1])
-    width = bits // blocks
-    kinds = pairs_at(x, threshold)
-    met = [np.zeros(len(a), dtype=bool) for a, _ in kinds]
-    out = Tables([], radius)
-    for seed in range(7, 7 + ROTATIONS):
-        mean, proj = fit_rotation(x, bits, seed=seed)
-        out.rotations.append((mean, proj))
-        apart = [((a - mean) @ proj >= 0) != ((b - mean) @ proj >= 0) for a, b in kinds]
-        if seed == 7:
-            out.radius = max([radius, *(int(np.ceil(np.quantile(d.sum(axis=1), 0.999))) for d in apart)])
-        for m, d in zip(met, apart, strict=True):
-            m |= (d[:, :width * blocks].reshape(len(d), blocks, width).sum(axis=2).min(axis=1) <= 2) & (d.sum(axis=1) <= out.radius)
-        if all(m.mean() >= RECALL for m in met):
-            return out
-    return Tables([])
-
-
-def _all_pairs(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Pairs of two parts of a label, or of a part with itself, that may reach the threshold."""
-    a, b = pdf[pdf["part"] == pdf["lo"]], pdf[pdf["part"] == pdf["hi"]]
-    if not len(a) or not len(b):
-        return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-    i, j = np.nonzero(np.stack(a["unit"].to_numpy()) @ np.stack(b["unit"].to_numpy()).T >= threshold - 1e-9)
-    one, two = a["cls"].to_numpy()[i], b["cls"].to_numpy()[j]
-    ok = one < two if pdf["lo"].iloc[0] == pdf["hi"].iloc[0] else one != two
-    return pd.DataFrame({"a": np.minimum(one, two)[ok], "b": np.maximum(one, two)[ok]})
+    width: int = 1
+    blocks: int = 1
+    radius: int = BITS
+
+    def bits(self, x: np.ndarray) -> np.ndarray:
+        return np.concatenate([signs(x, *rotation) for rotation in self.rotations], axis=1)
+
+    def values(self, on: np.ndarray) -> np.ndarray:
+        """Block values of codes given by their bits."""
+        return on[:, :self.blocks * self.width].reshape(len(on), self.blocks, self.width) @ (1 << np.arange(self.width, dtype=np.int64))
+
+
+def fit_tables(x: np.ndarray, labels: np.ndarray, threshold: float, largest: int) -> Tables:
+    """Rotations, radius and blocks that sampled pairs at the threshold need, for a label of ``largest`` vectors."""
+    bits, kinds = min(BITS, x.shape[1]), pairs_at(x, labels, threshold)
+    out = Tables([])
+    apart = [np.zeros((len(a), 0), dtype=bool) for a, _ in kinds]
+
+    def longer(least: int) -> None:
+        while len(out.rotations) * bits < least:
+            n = len(out.rotations)
+            mean, proj = fit_rotation(x, bits, rounds=30 if n < LEARNED else 0, seed=7 + n)
+            out.rotations.append((mean if n < LEARNED else np.zeros_like(mean), proj))
+            for i, (a, b) in enumerate(kinds):
+                apart[i] = np.concatenate((apart[i], signs(a, *out.rotations[-1]) != signs(b, *out.rotations[-1])), axis=1)
+
+    longer(BITS)
+    if not kinds:                       # length 1: the sign is all there is
+        return out
+    out.radius = max(int(np.ceil(np.quantile(d[:, :BITS].sum(axis=1), 0.999))) for d in apart)
+    # How often a bit parts a pair that should meet, and how often eight bits agree in a pair of a label.
+    differ = min(0.5, max(1e-6, *(d.mean() for d in apart)))
+    some = np.random.default_rng(13).integers(0, len(x), (20_000, 2))
+    some = some[(labels[some[:, 0]] == labels[some[:, 1]]) & (some[:, 0] != some[:, 1])]
+    on = out.bits(x)[:, :BITS // 8 * 8]
+    agree = (on[some[:, 0]] == on[some[:, 1]]).reshape(len(some), -1, 8).all(axis=2).mean() if len(some) else 0.0
+    agree = max(agree, 1 / 256) ** (1 / 8)
+
+    def work(width: int) -> float:
+        meet = (1 - differ) ** width
+        return np.log(1 - RECALL) / np.log1p(-meet) * (1 + MEETING * largest * agree ** width)
+    out.width = min(WIDTHS, key=work)
+    met, out.blocks = [np.zeros(len(a), dtype=bool) for a, _ in kinds], 0
+    near = [d[:, :BITS].sum(axis=1) <= out.radius for d in apart]
+    while not all(m.mean() >= RECALL for m in met):
+        lo = out.blocks * out.width
+        longer(lo + out.width)
+        for m, d, ok in zip(met, apart, near, strict=True):
+            m |= ok & ~d[:, lo:lo + out.width].any(axis=1)
+        out.blocks += 1
+    return out
 
 
 def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label",
-         threshold: float = 0.93, radius: int = 16, blocks: int = 4, sample: int = SAMPLE) -> DataFrame:
+         threshold: float = 0.93, sample: int = SAMPLE) -> DataFrame:
     """``(id, n_links, component_id, kept)`` for every row of ``vectors``."""
     v = F.col("vec")
     usable = (F.col("label").isNotNull() & v.isNotNull() & (F.size(v) > 0)
@@ -142,43 +180,32 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     tables = {}
-    for length, n in keyed.groupBy(F.size("vec")).count().where(F.col("count") > FEW).collect():
-        some = hash_sample(keyed.where(F.size("vec") == length).select("label", "vec"), sample, "label", "vec").toPandas()["vec"]
-        tables[length] = fit_tables(_unit(np.stack(some.to_numpy()).astype(np.float64)), threshold, radius, blocks)
+    of_label = keyed.groupBy("label", F.size("vec").alias("length")).count()
+    for length, largest in of_label.groupBy("length").agg(F.max("count")).where("`max(count)` > 1").collect():
+        some = hash_sample(keyed.where(F.size("vec") == length).select("label", "vec"), sample, "label", "vec").toPandas()
+        x = _unit(np.stack(some["vec"].to_numpy()).astype(np.float64))
+        tables[length] = fit_tables(x, pd.factorize(some["label"])[0], threshold, largest)
 
     def code(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for length, part in pdf.groupby(pdf["vec"].str.len()):
-                x, fit = _unit(np.stack(part["vec"].to_numpy()).astype(np.float64)), tables.get(length, Tables([]))
-                codes = [encode(x, *rotation) for rotation in fit.rotations]
-                yield part.drop(columns="vec").assign(length=length, unit=list(x), radius=fit.radius,
-                                                      codes=list(np.stack(codes, axis=1)) if codes else None)
+                x, fit = _unit(np.stack(part["vec"].to_numpy()).astype(np.float64)), tables.get(length)
+                part = part.drop(columns="vec").assign(length=length, unit=list(x), radius=0, code=0, values=None)
+                if fit is not None:         # else no label has two vectors of this length
+                    on = fit.bits(x)
+                    part = part.assign(radius=fit.radius, code=packed(on), values=list(fit.values(on)))
+                yield part
 
     label = keyed.schema["label"].dataType.simpleString()
     coded = staged(keyed.select("cls", "label", "vec").mapInPandas(
-        code, f"cls long, label {label}, length int, unit array<double>, radius int, codes array<long>"), "codes")
-
-    # A block's value and all values one bit away.
-    bit = F.sequence(F.lit(0), F.col("width") - 1)
-    own = F.expr("shiftright(code, block * width) & (shiftleft(1L, width) - 1)")
-    values = F.when(F.col("width") > 0, F.concat(F.array("own"), F.transform(
-        bit, lambda i: F.col("own").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))).otherwise(F.array("own"))
-    entered = (coded.where("codes IS NOT NULL").withColumn("width", (F.least("length", F.lit(BITS)) / blocks).cast("int"))
-               .select("cls", "label", "length", "radius", "width", F.posexplode("codes").alias("rotation", "code"))
-               .withColumn("block", F.explode(F.array(*map(F.lit, range(blocks))))).withColumn("own", own)
-               .withColumn("value", F.explode(values)).drop("own", "width"))
+        code, f"cls long, label {label}, length int, unit array<double>, radius int, code long, values array<long>"), "codes")
+
+    entered = coded.select("cls", "label", "length", "radius", "code", F.posexplode("values").alias("block", "value"))
     a, b = entered.alias("a"), entered.alias("b")
-    met = (a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("label", "length", "rotation", "block", "value")])
-           .where((F.col("a.cls") < F.col("b.cls"))
-                  & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= F.col("a.radius")))
-           .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
-    rest = coded.where("codes IS NULL").select("cls", "label", "length", "unit")
-    parts = rest.groupBy("label", "length").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
-    dealt = (rest.join(parts, ["label", "length"]).withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("cls", "label", "length", "unit", "part", F.least("part", "other").alias("lo"), F.greatest("part", "other").alias("hi")))
-    compared = dealt.groupBy("label", "length", "lo", "hi").applyInPandas(lambda pdf: _all_pairs(pdf, threshold), "a long, b long")
-    meet = met.unionByName(compared)
+    meet = (a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("label", "length", "block", "value")])
+            .where((F.col("a.cls") < F.col("b.cls"))
+                   & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= F.col("a.radius")))
+            .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
     unit = coded.select("cls", "unit")
     cosine = F.aggregate(F.zip_with("x", "y", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     pairs = staged(meet.join(unit.select(F.col("cls").alias("a"), F.col("unit").alias("x")), "a")

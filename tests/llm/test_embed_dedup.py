@@ -106,12 +106,33 @@ def test_recall_at_the_threshold_with_and_without_a_common_mean(spark, share):
     assert sum(got.values()) / want.sum() >= 0.99
 
 
-def test_all_pairs_where_no_rotation_is_enough(spark, monkeypatch):
-    monkeypatch.setattr(E, "ROTATIONS", 0)
-    monkeypatch.setattr(E, "CHUNK", 50)
-    rows = planted()
-    got = sorted((tuple(r) for r in E.link(frame(spark, rows)).collect()), key=str)
-    assert got == brute(rows, 64)
+def test_few_vectors_and_those_on_both_sides_of_their_mean(spark):
+    r = np.random.default_rng(5)
+    c = np.sqrt(1 - 0.94 ** 2)
+    rows = [(1, [1.0, 0.0], 1), (2, [0.94, c], 1),                                                  # every centred bit differs
+            (3, [1.0, 1.0, 1.0], 1), (4, [2.0, 2.0, 2.0], 1), (5, [3.0, 3.0, 3.0], 1),              # nothing but rounding
+            (6, [2.0], 1), (7, [5.0], 1), (8, [-1.0], 1), (9, [3.0], 2)]
+    rows += [(100 + i, (np.array([5.0] * 16) + r.standard_normal(16) * 0.3).tolist(), 1) for i in range(60)]   # all within the threshold
+    got = {x.vec_id: (x.n_links, x.component_id) for x in E.link(frame(spark, rows)).collect()}
+    for dim in (1, 2, 3, 16):
+        for i, n, c, _ in brute([x for x in rows if len(x[1]) == dim], dim):
+            assert got[i] == (n, c)
+
+
+@pytest.mark.parametrize("dim, share", [(2, 0), (8, 0), (64, 0.9)])
+def test_blocks_reach_the_recall_in_any_geometry(dim, share):
+    x = at_cosine(400, dim, share)
+    fit = E.fit_tables(x, np.arange(len(x)) % 400 % 2, 0.93, 400)
+    a, b = fit.bits(x[:400]), fit.bits(x[400:])
+    met = (fit.values(a) == fit.values(b)).any(axis=1) & (np.bitwise_count((E.packed(a) ^ E.packed(b)).view("<u8")) <= fit.radius)
+    assert met.mean() >= 0.985
+
+
+def test_width_grows_with_the_label():
+    x = E._unit(np.random.default_rng(0).standard_normal((2000, 64)))
+    fits = [E.fit_tables(x, np.zeros(2000), 0.93, n) for n in (1_000, 100_000, 10_000_000)]
+    assert fits[0].width < fits[1].width < fits[2].width and fits[2].blocks < 20 * fits[0].blocks
+    assert all(n / 2 ** f.width < 10 for n, f in zip((1_000, 100_000, 10_000_000), fits, strict=True))
 
 
 def test_each_length_links_with_itself(spark):
