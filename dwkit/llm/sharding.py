@@ -8,11 +8,18 @@ texts stand side by side and stay in one shard, except a group of more than
 ``1 / whole`` of a shard's target: its rows are cut one by one, which keeps the
 sizes near equal however large a group of copies is.
 
-Only DataFrame functions are used; texts are read once and never shuffled.
+``place`` returns the documents, all columns kept, with their shard and slot;
+``write`` stores them as one folder a shard, in the order of the slots; ``shard``
+is the short form of ``place`` without texts.  The order is that of the texts' MD5,
+so runs are contiguous in that order, not in the table's.
+
+Only DataFrame functions are used.  The documents are written once with a row
+number; sizes and digests are placed without the texts and joined back by that number.
 
 Edge cases: a null text has no bytes (size 1, CRC 0) and stands with the empty
 texts; repeated rows each get their own slot; null ids come first among equal
-texts; an empty table gives no rows; other columns are ignored.
+texts; an empty table gives no rows; a column of the documents that is named
+``shard`` or ``slot`` is replaced, whatever other columns are named.
 """
 
 from __future__ import annotations
@@ -23,18 +30,17 @@ from pyspark.sql import functions as F
 from dwkit.llm.common import staged
 
 
-def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text",
-          whole: int = 64) -> DataFrame:
-    """``(id, size, text_crc32, law, shard, slot, grown_shard)`` per row.
+def place(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", whole: int = 64) -> DataFrame:
+    """The rows of ``docs`` with ``shard`` (int, from 0) and ``slot`` (long, gapless from 0 in the shard).
 
-    ``size`` is the text's UTF-8 bytes plus 1.  A shard differs from the target
+    A row weighs its text's UTF-8 bytes plus 1.  A shard differs from the target
     (total / ``shards``) by at most ``1 / whole`` of it plus one row at each end.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = staged(docs.select(
-        F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("crc"), F.md5(text.cast("binary")).alias("digest"),
-        F.monotonically_increasing_id().alias("rid")), "sizes")
+    held = staged(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid")), "documents")
+    text = F.coalesce(F.col("row")[text_col], F.lit(""))
+    rows = staged(held.select(
+        F.col("row")[id_col].alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.md5(text.cast("binary")).alias("digest"), "rid"), "sizes")
     total = rows.agg(F.sum("size")).first()[0] or 1
     # No more than shards * whole groups can exceed that share of the total.
     large = (rows.groupBy("digest").agg(F.sum("size").alias("bytes"))
@@ -55,9 +61,25 @@ def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: st
               .join(F.broadcast(offsets), "part"))
     at = (F.col("start") + F.col("bytes_before")).cast("decimal(38,0)")
     placed = staged(placed.select(
-        "id", "size", "crc", (F.col("pos") + F.col("rows_before")).alias("at"),
+        "rid", (F.col("pos") + F.col("rows_before")).alias("at"),
         F.least(F.floor(at * shards / F.lit(total).cast("decimal(20,0)")), F.lit(shards - 1)).cast("int").alias("shard")), "shards")
     first = placed.groupBy("shard").agg(F.min("at").alias("first"))
-    return (placed.join(F.broadcast(first), "shard")
-            .select(F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("bytes").alias("law"), "shard",
-                    (F.col("at") - F.col("first")).cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard")))
+    slots = (placed.join(F.broadcast(first), "shard")
+             .select("rid", F.col("shard").alias("_shard"), (F.col("at") - F.col("first")).cast("long").alias("_slot")))
+    own = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
+    return (held.join(slots, "rid")
+            .select(*[F.col("row")[c].alias(c) for c in own], F.col("_shard").alias("shard"), F.col("_slot").alias("slot")))
+
+
+def write(docs: DataFrame, path: str, **how) -> None:
+    """Store the placed documents under ``path``, one folder ``shard=N`` a shard; its files hold runs of slots in order."""
+    (place(docs, **how).repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+     .write.partitionBy("shard").parquet(path))
+
+
+def shard(docs: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str = "text", whole: int = 64) -> DataFrame:
+    """``(id, size, text_crc32, law, shard, slot, grown_shard)`` per row of ``place``; ``size`` is what the row weighs."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return place(docs, shards, id_col, text_col, whole).select(
+        id_col, (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
