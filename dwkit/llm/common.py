@@ -78,7 +78,7 @@ def small_batches(df: DataFrame) -> DataFrame:
 
 def per_text(of: Callable[[str | None], Any], kind: str, text: Column) -> Column:
     """``of`` applied to every text; only a few texts of a batch are Python objects at a time."""
-    result = {"long": pa.int64(), "boolean": pa.bool_(), "array<double>": pa.list_(pa.float64())}[kind]
+    result = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "array<double>": pa.list_(pa.float64())}[kind]
 
     @F.arrow_udf(kind)
     def run(it: Iterator[pa.Array]) -> Iterator[pa.Array]:

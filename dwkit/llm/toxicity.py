@@ -9,8 +9,9 @@ Unless a threshold is given, the one with the best out-of-fold F1 is taken.
 
 The models are fitted in numpy on about ``SAMPLE`` labelled documents (of each
 combination of labels its share, but ``RARE`` or all if it has fewer, with the smallest
-hashes of their ids; losses and thresholds are weighted back to the true shares); scoring runs over all documents in parallel with
-the small model (at most ``FEATURES`` words and word beginnings a category) in each task.
+hashes of their ids; losses and thresholds are weighted back to the true shares).  Tasks turn those documents into
+their features, so no text reaches the driver and a very long one is no more there than its vocabulary.  Scoring runs over
+all documents in parallel with the small model (at most ``FEATURES`` words and word beginnings a category) in each task.
 
 Edge cases: null and empty texts are scored by the intercepts and the letter
 numbers at zero; labels that are null are left out of that category; several
@@ -68,6 +69,11 @@ def features(word: str) -> list[int]:
     return [zlib.crc32(f.encode("utf-8", "surrogatepass")) & (SLOTS - 1) for f in some]
 
 
+def text_features(text: str | None) -> np.ndarray:
+    """Distinct features of a text's words, in order."""
+    return np.unique(np.array([f for w in set(tokens(text)) for f in features(w)], dtype="<i4"))
+
+
 @dataclass
 class Linear:
     """Logistic model over text features and standardised dense columns."""
@@ -89,8 +95,7 @@ class Linear:
 class Matrix:
     """Which of the sample's common features each row has."""
 
-    def __init__(self, texts: Sequence[str | None], least_df: int = 3) -> None:
-        rows = [np.unique(np.array([f for w in set(tokens(t)) for f in features(w)], dtype=np.int32)) for t in texts]
+    def __init__(self, rows: Sequence[np.ndarray], least_df: int = 3) -> None:
         df = np.zeros(SLOTS, dtype=np.int64)
         for r in rows:
             df[r] += 1
@@ -181,20 +186,26 @@ class Chain:
 def fit_chain(texts: Sequence[str | None], folds: np.ndarray, labels: dict[str, np.ndarray], n_folds: int = FOLDS,
               weights: np.ndarray | None = None) -> Chain:
     """Fit a chain; ``labels`` holds 0/1 or NaN per row and category, in the chain's order."""
-    m = Matrix(texts)
-    weights = np.ones(len(texts)) if weights is None else weights
-    dense = np.array([letter_numbers(t) for t in texts]).reshape(len(texts), _LETTER_NUMBERS)
-    starts = np.searchsorted(m.row, np.arange(len(texts) + 1))
+    return fit_features([text_features(t) for t in texts], [letter_numbers(t) for t in texts], folds, labels, n_folds, weights)
+
+
+def fit_features(found: Sequence[np.ndarray], letters: Sequence[Sequence[float]], folds: np.ndarray, labels: dict[str, np.ndarray],
+                 n_folds: int = FOLDS, weights: np.ndarray | None = None) -> Chain:
+    """``fit_chain`` of texts given by their features and letter numbers."""
+    n, m = len(found), Matrix(found)
+    weights = np.ones(n) if weights is None else weights
+    dense = np.array(letters, dtype=float).reshape(n, _LETTER_NUMBERS)
+    starts = np.searchsorted(m.row, np.arange(n + 1))
     names, models, cuts = [], [], []
     for name, y in labels.items():
         known = ~np.isnan(y)
-        held_out = np.zeros(len(texts))
+        held_out = np.zeros(n)
         for f in range(n_folds):
             part = fit_linear(m, known & (folds != f), dense, y, weights)
             number = np.array([part.numbers.get(x, -1) for x in m.slots.tolist()], dtype=np.int64)
             for i in np.flatnonzero(folds == f):
-                found = number[m.col[starts[i]:starts[i + 1]]]
-                held_out[i] = part.prob(found[found >= 0], dense[i])
+                own = number[m.col[starts[i]:starts[i + 1]]]
+                held_out[i] = part.prob(own[own >= 0], dense[i])
         names.append(name)
         models.append(fit_linear(m, known, dense, y, weights))
         cuts.append(best_cut(held_out[known], y[known], weights[known]))
@@ -234,16 +245,27 @@ def train(docs: DataFrame, labels: DataFrame, categories: dict[str, str], id_col
         total.update(rows)
         return {v: max(-(-sample * n // sum(rows.values())), RARE) for v, n in rows.items()}
     some = staged(sample_of_each(known, numbers, "stratum", "label_id"), "labels")      # bounded, so it may be broadcast
-    rank = F.row_number().over(Window.partitionBy("stratum").orderBy(F.xxhash64("id", "text")))
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(some), F.col("id") == F.col("label_id")).drop("label_id")
-            .withColumn("rank", rank).where(F.col("rank") <= max(RARE, sample)).toPandas())
+    described = staged(
+        small_batches(docs).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+        .join(F.broadcast(some), F.col("id") == F.col("label_id")).drop("label_id")
+        .select("id", "stratum", *categories, F.xxhash64("id", "text").alias("at"),
+                per_text(lambda t: text_features(t).tobytes(), "binary", F.col("text")).alias("found"),
+                per_text(letter_numbers, "array<double>", F.col("text")).alias("letters")), "described")
+    # An id may stand for many rows: the bound holds for them, too.  Ranked without the features.
+    rank = F.row_number().over(Window.partitionBy("stratum").orderBy("at", "rid"))
+    described = described.withColumn("rid", F.monotonically_increasing_id())
     most = numbers(total) if total else {}
-    rows = rows[rows["rank"] <= rows["stratum"].map(most)].reset_index(drop=True)
+    if described.count() > sum(min(n, total[v]) for v, n in most.items()):
+        described = staged(described, "described")
+        first = (described.select("rid", "stratum", "at").withColumn("rank", rank)
+                 .where(F.coalesce(F.col("rank") <= F.element_at(F.create_map(*[F.lit(x) for v in most.items() for x in v]), F.col("stratum")), F.lit(False))))
+        described = described.join(first.select("rid"), "rid", "left_semi")
+    rows = described.toPandas().sort_values(["at", "rid"], kind="stable").reset_index(drop=True)
     fold = np.array([zlib.crc32(str(i).encode()) % folds for i in rows["id"].tolist()], dtype=int)
     weights = rows["stratum"].map(total).to_numpy(float) / rows.groupby("stratum")["id"].transform("size").to_numpy(float)
     weights = weights * len(rows) / max(weights.sum(), 1e-300)
-    return fit_chain(rows["text"].tolist(), fold, {c: rows[c].to_numpy(dtype=float) for c in categories}, folds, weights)
+    found = [np.frombuffer(x, dtype="<i4") for x in rows["found"].tolist()]
+    return fit_features(found, rows["letters"].tolist(), fold, {c: rows[c].to_numpy(dtype=float) for c in categories}, folds, weights)
 
 
 def probabilities(chain: Chain, text: Column) -> Column:
