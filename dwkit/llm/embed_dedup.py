@@ -5,8 +5,8 @@ sign codes and an orthogonal fit) so that the sign bits are balanced.  Their bit
 one rotation after another, are a vector's code.  It is cut into blocks; each block
 is a Hamming table keyed by (label, length, block, value), so two codes that differ
 in fewer bits than there are blocks are sure to meet.  Meetings whose first ``BITS``
-bits differ by more than the radius are dropped inside the table, the rest is
-reranked with the original vectors.
+bits differ by more than the radius are dropped inside the table, as are those that an
+earlier block within these bits makes; the rest is reranked with the original vectors.
 
 How far apart the codes of a pair at the threshold lie depends on the vectors (a
 common mean moves them apart), so everything is taken from sampled pairs at the
@@ -190,21 +190,25 @@ def link(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
         for pdf in it:
             for length, part in pdf.groupby(pdf["vec"].str.len()):
                 x, fit = _unit(np.stack(part["vec"].to_numpy()).astype(np.float64)), tables.get(length)
-                part = part.drop(columns="vec").assign(length=length, unit=list(x), radius=0, code=0, values=None)
+                part = part.drop(columns="vec").assign(length=length, unit=list(x), width=0, radius=0, code=0, values=None)
                 if fit is not None:         # else no label has two vectors of this length
                     on = fit.bits(x)
-                    part = part.assign(radius=fit.radius, code=packed(on), values=list(fit.values(on)))
+                    part = part.assign(width=fit.width, radius=fit.radius, code=packed(on), values=list(fit.values(on)))
                 yield part
 
     label = keyed.schema["label"].dataType.simpleString()
     coded = staged(keyed.select("cls", "label", "vec").mapInPandas(
-        code, f"cls long, label {label}, length int, unit array<double>, radius int, code long, values array<long>"), "codes")
+        code, f"cls long, label {label}, length int, unit array<double>, width int, radius int, code long, values array<long>"), "codes")
 
-    entered = coded.select("cls", "label", "length", "radius", "code", F.posexplode("values").alias("block", "value"))
+    entered = coded.select("cls", "label", "length", "width", "radius", "code", F.posexplode("values").alias("block", "value"))
     a, b = entered.alias("a"), entered.alias("b")
+    # Close pairs share most blocks: of those that the codes hold, only the first one they share returns them.
+    first = F.expr(" AND ".join(
+        f"(a.block <= {j} OR a.width * {j + 1} > {BITS} OR (shiftrightunsigned(a.code ^ b.code, a.width * {j}) & (shiftleft(1L, a.width) - 1)) != 0)"
+        for j in range(BITS // min(WIDTHS))))
     meet = (a.join(b, [F.col(f"a.{c}") == F.col(f"b.{c}") for c in ("label", "length", "block", "value")])
             .where((F.col("a.cls") < F.col("b.cls"))
-                   & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= F.col("a.radius")))
+                   & (F.bit_count(F.col("a.code").bitwiseXOR(F.col("b.code"))) <= F.col("a.radius")) & first)
             .select(F.col("a.cls").alias("a"), F.col("b.cls").alias("b")).distinct())
     unit = coded.select("cls", "unit")
     cosine = F.aggregate(F.zip_with("x", "y", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
