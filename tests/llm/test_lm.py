@@ -138,3 +138,17 @@ def test_all_training_documents_are_learned(spark):
     assert full.log10([one])[0] > 0.5 * few.log10([one])[0]
     raw = lm.fit(flow[:10], steps=20, layout=(full.entry, full.rare))
     assert full.log10([one])[0] > raw.log10([one])[0]
+
+
+def test_every_window_of_the_training_texts_is_learned_from(spark, monkeypatch):
+    rows = [(i, t) for i, t in enumerate(texts())]
+    df, seen = docs(spark, rows), []
+    step = lm.Adam.step
+    monkeypatch.setattr(lm.Adam, "step", lambda self, w, want, some, rate: (seen.extend(some.tolist()), step(self, w, want, some, rate)))
+    t = subwords.table(tokenizer())
+    want = sum(-(-(len(t.ids(t.numbers(subwords.folded(x)))[0]) + 1) // lm.STRIDE) for i, x in rows if zlib.crc32(str(i).encode()) % 10)
+    m, n = model(2), 0
+    seen.clear()
+    for row in lm.corpus(df.coalesce(1), tokenizer()).where("NOT is_word").select(*lm._TEXTS).toArrow().to_pylist():
+        n += lm._passed(row, m, 64, 0.001)[1]
+    assert n == want == len(seen) == len(set(seen))
