@@ -37,7 +37,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, tokenizer())
+    # Its processes share their executor with what earlier stages left there, so they remember fewer words.
+    return packing.pack(docs, tokenizer(), table_words=250_000)
 
 
 STAGES = [

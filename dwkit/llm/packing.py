@@ -152,6 +152,7 @@ def _pack(it: Iterator[pa.RecordBatch], path: str, length: int, block: int, with
             cols["ids"] = pa.array([r.astype(np.int32) for r in runs], pa.list_(pa.int32()))
         first += int(p["window"][-1]) + 1
         names, tokens, stops, held = [], [], [], 0
+        pa.default_memory_pool().release_unused()
         return pa.RecordBatch.from_pydict(cols)
 
     for batch in it:
