@@ -11,8 +11,7 @@ not minimal and is left out, as is one whose columns have too few distinct value
 for its rows.  Of the others a HyperLogLog of the whole table, all sets of a level in one
 aggregate without a shuffle of rows, rules out those that are far from unique.  The rest is grouped by
 a 64-bit hash of its columns: equal values have equal hashes, so a set whose hashes are all different is
-a key, and rows are compared by their columns only where hashes are equal.  A set that is no key mostly
-shows it in a slice of its hashes, so a slice is grouped before all of them; a key is always checked on all rows.
+a key, and rows are compared by their columns only where hashes are equal.
 
 Values are compared within their family (whole numbers, fractions, texts, dates, times); nulls
 are no values.  A key has no null in any of its columns.  A column without a value refers to
@@ -31,7 +30,7 @@ from pyspark.sql import types as T
 
 MASK = 63                 # columns of a word (the sign bit stays clear)
 RSD = 0.02                # relative standard deviation of the prefilter
-SLICES = 64               # one hash in so many is looked at first
+SHOWN = 100               # repeated hashes that are looked at before all of them
 _H = "__h"
 
 
@@ -71,16 +70,13 @@ def references(tables: Mapping[str, DataFrame], families: Sequence[str] = ("whol
 def _repeated(df: DataFrame, columns: Sequence[str]) -> bool:
     """Whether two rows have the same values in all of ``columns`` (none of them null)."""
     rows = df.select(F.xxhash64(*columns).alias(_H), *columns)
-    for slices in (SLICES, 1):
-        part = rows.where(F.pmod(_H, F.lit(slices)) == 0) if slices > 1 else rows
-        twice = part.groupBy(_H).count().where("count > 1").select(_H)
-        if twice.isEmpty():
-            continue
-        # Equal hashes are nearly always equal values: a few of them show it; if they do not, all are compared.
-        for hashes in (twice.limit(1000), twice):
-            if not part.join(hashes, _H, "left_semi").groupBy(*columns).count().where("count > 1").isEmpty():
-                return True
-    return False
+    twice = rows.groupBy(_H).count().where("count > 1").select(_H)
+    few = [r[_H] for r in twice.limit(SHOWN).collect()]
+    if not few:
+        return False
+    # Equal hashes are nearly always equal values: a few of them show it; if they do not, all are compared.
+    return any(not some.groupBy(*columns).count().where("count > 1").isEmpty()
+               for some in (rows.where(F.col(_H).isin(few)), rows.join(twice, _H, "left_semi")))
 
 
 def minimal_keys(df: DataFrame, columns: Sequence[str] | None = None, most: int = 3) -> list[tuple[str, ...]]:
