@@ -33,7 +33,8 @@ from dwkit.operators.snapshot import COMPLETE, CREATE
 
 OPERATION, COMPLETION = "operation", "completion"
 CLOSED, EXPIRED = "closed", "expired"
-_STATE = "created timestamp, waiting timestamp, closed boolean, seen timestamp"
+_BEGUN, _CAME, _NEITHER = range(3)
+_STATE = "created long, waiting long, closed boolean, seen long"              # microseconds
 
 
 def arrivals(operations: DataFrame, completions: DataFrame, key: str = "operation_id", created: str = CREATE, completed: str = COMPLETE,
@@ -45,6 +46,7 @@ def arrivals(operations: DataFrame, completions: DataFrame, key: str = "operatio
 
 
 def _matcher(key: str, wait_ms: int):
+    """Called once per id and micro-batch, so it works on plain numbers: what it costs is making frames, not matching."""
     def on(name: tuple, parts: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         created, waiting, closed, seen = state.get if state.exists else (None, None, False, None)
         out = None
@@ -53,31 +55,38 @@ def _matcher(key: str, wait_ms: int):
             if waiting is not None:
                 out = (EXPIRED, None, waiting, seen)
         else:
-            rows = pd.concat(list(parts))
-            came = rows.loc[rows["kind"] == COMPLETION, "at"].dropna()
-            begun = rows.loc[rows["kind"] == OPERATION, "at"].dropna()
-            first, last = rows["seen"].min(), rows["seen"].max()
-            created = begun.min() if created is None and len(begun) else created
-            if not closed and waiting is None and len(came):
-                waiting, seen = came.max(), first
+            rows = [tuple(map(int, r)) for part in parts for r in part["record"].array]
+            came = [at for kind, at, _ in rows if kind == _CAME]
+            begun = [at for kind, at, _ in rows if kind == _BEGUN]
+            arrived = [at for _, _, at in rows]
+            first, last = min(arrived), max(arrived)
+            created = min(begun) if created is None and begun else created
+            if not closed and waiting is None and came:
+                waiting, seen = max(came), first
             if not closed and created is not None and waiting is not None:
                 out, closed, waiting = (CLOSED, created, waiting, last), True, None
             touched = last if waiting is None else seen           # a completion waits from when it was first seen
-            state.update((created, waiting, closed, seen if waiting is not None else last))
-            state.setTimeoutTimestamp(max(int(touched.timestamp() * 1000) + wait_ms, state.getCurrentWatermarkMs() + 1))
+            state.update((created, waiting, closed, touched))
+            state.setTimeoutTimestamp(max(touched // 1000 + wait_ms, state.getCurrentWatermarkMs() + 1))
         if out is not None:
-            yield pd.DataFrame({key: [name[0]], "outcome": [out[0]], CREATE: pd.to_datetime([out[1]]), COMPLETE: pd.to_datetime([out[2]]),
-                                "seen": pd.to_datetime([out[3]])})
+            yield pd.DataFrame({key: [name[0]], "outcome": [out[0]], CREATE: [out[1]], COMPLETE: [out[2]], "seen": [out[3]]})
     return on
 
 
 def match(records: DataFrame, wait: timedelta, delay: str = "0 seconds", key: str = "operation_id") -> DataFrame:
-    """``(key, outcome, created, completed, seen)`` of a stream of ``arrivals``."""
+    """``(key, outcome, created, completed, seen)`` of a stream of ``arrivals``.
+
+    The matcher reads one array of numbers a record, ``[kind, at, seen]`` in microseconds: each further column costs every
+    call its conversion, a timestamp most of all (``seen`` stays as one, since the watermark needs it)."""
     kind = records.schema[key].dataType.simpleString()
     wait_ms = int(wait.total_seconds() * 1000)
-    return (records.where(F.col(key).isNotNull() & F.col("seen").isNotNull()).withWatermark("seen", delay).groupBy(key)
-            .applyInPandasWithState(_matcher(key, wait_ms), f"{key} {kind}, outcome string, {CREATE} timestamp, {COMPLETE} timestamp, seen timestamp",
-                                    _STATE, "append", GroupStateTimeout.EventTimeTimeout))
+    at = F.unix_micros("at")
+    code = F.when(at.isNull(), _NEITHER).when(F.col("kind") == COMPLETION, _CAME).when(F.col("kind") == OPERATION, _BEGUN).otherwise(_NEITHER)
+    record = F.array(code.cast("long"), F.coalesce(at, F.lit(0).cast("long")), F.unix_micros("seen")).alias("record")
+    matched = (records.where(F.col(key).isNotNull() & F.col("seen").isNotNull()).withWatermark("seen", delay).select(key, record, "seen").groupBy(key)
+               .applyInPandasWithState(_matcher(key, wait_ms), f"{key} {kind}, outcome string, {CREATE} long, {COMPLETE} long, seen long",
+                                       _STATE, "append", GroupStateTimeout.EventTimeTimeout))
+    return matched.select(key, "outcome", *[F.timestamp_micros(c).alias(c) for c in (CREATE, COMPLETE, "seen")])
 
 
 def run(records: DataFrame, wait: timedelta, out_path: str, checkpoint: str, delay: str = "0 seconds", key: str = "operation_id", available_now: bool = True):

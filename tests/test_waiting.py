@@ -71,3 +71,19 @@ def test_state_is_forgotten(spark, tmp_path):
     play(spark, base, BATCHES)
     state = spark.read.format("statestore").load(f"{base}/ck")
     assert {r.id for r in state.select(F.col("key.operation_id").alias("id")).collect()} == {9}
+
+
+def test_a_call_works_on_numbers():
+    """The cost of a stream is that of its calls: one column of numbers is read, and the state is numbers."""
+    import types
+
+    import pandas as pd
+
+    told = {}
+    state = types.SimpleNamespace(exists=False, hasTimedOut=False, update=lambda v: told.update(state=v),
+                                  setTimeoutTimestamp=lambda ms: told.update(until=ms), getCurrentWatermarkMs=lambda: 0)
+    far = 253_370_764_800_000_000                           # the year 9999, which nanoseconds do not hold
+    parts = [pd.DataFrame({"record": [[W._BEGUN, 7_000, 5_000_000], [W._NEITHER, 0, 6_000_000]]}), pd.DataFrame({"record": [[W._CAME, far, 5_000_000]]})]
+    got = list(W._matcher("operation_id", 1000)((1,), iter(parts), state))
+    assert [f.values.tolist() for f in got] == [[[1, W.CLOSED, 7_000, far, 6_000_000]]]
+    assert told == {"state": (7_000, None, True, 6_000_000), "until": 7_000}
