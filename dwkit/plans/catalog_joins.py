@@ -10,7 +10,7 @@ from dwkit.plans import catalog_sql as S
 from dwkit.plans.catalog import ORACLES, _SCD2, _airline_two_loads, q
 from dwkit.plans.fixtures import RUN_TS, table
 from dwkit.plans.warehouse import build
-from dwkit.sources.bucketed import BucketedSnapshot
+from dwkit.sources.bucketed import BucketedSnapshot, buckets_for
 from dwkit.sources.files import scratch_path
 from dwkit.sources.manifest import ManifestTable, apply_completions
 
@@ -48,7 +48,7 @@ def join_12_daily(spark, sf):
 def _bucketed(spark, sf):
     """The snapshot in buckets after two feeds, with what they could not close; between them the first is folded in."""
     w = build(spark, sf)
-    box = BucketedSnapshot(spark, scratch_path(spark, "buckets"), buckets=8)
+    box = BucketedSnapshot(spark, scratch_path(spark, "buckets"), buckets=buckets_for(w["fact_loaded"]))
     box.create(w["fact_loaded"])
     half = F.pmod(F.xxhash64("operation_id"), F.lit(2))
     first = box.apply(w["feed"].where(half == 0), RUN_TS)

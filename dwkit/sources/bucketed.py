@@ -27,6 +27,14 @@ from dwkit.operators.snapshot import COMPLETE, UNKNOWN_ID, compute_process_hours
 from dwkit.sources.files import is_complete, scratch_path, stage
 
 
+ROWS_PER_BUCKET = 100_000
+
+
+def buckets_for(fact: DataFrame, rows: int = ROWS_PER_BUCKET, least: int = 8) -> int:
+    """How many buckets hold about ``rows`` rows each: a task joins and sorts whole buckets, so their number has to grow with the fact."""
+    return max(least, -(-fact.count() // rows))
+
+
 class BucketedSnapshot:
     """The snapshot under ``path``; ``buckets`` is fixed when it is created."""
 

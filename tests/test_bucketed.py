@@ -3,9 +3,10 @@ import os
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from dwkit.operators.snapshot import apply_completions, open_snapshot
-from dwkit.sources.bucketed import BucketedSnapshot
+from dwkit.sources.bucketed import BucketedSnapshot, buckets_for
 
 FEED = "operation_id long, accm_txn_complete_time timestamp_ntz"
 
@@ -78,3 +79,18 @@ def test_folders_are_found_again_and_unfinished_ones_are_not(spark, box, tmp_pat
     assert rows(again.view()) == want
     again.apply(feeds(spark)[1])
     assert rows(again.view()) != want
+
+
+def test_buckets_grow_with_the_fact(spark, tmp_path):
+    """A task holds whole buckets: their rows stay the same when the fact grows, so does its memory."""
+    assert [buckets_for(spark.range(n), rows=100, least=2) for n in (0, 200, 201, 2000)] == [2, 2, 3, 20]
+    largest = []
+    for n in (400, 1600):
+        fact = open_snapshot(spark.range(n).select(F.col("id").alias("operation_id"), F.lit(dt.date(2024, 1, 1)).alias("fl_date")))
+        out = BucketedSnapshot(spark, str(tmp_path / f"fact-{n}"), buckets=buckets_for(fact, rows=50, least=2))
+        out.create(fact)
+        out.apply(feeds(spark)[0])
+        assert rows(out.view()) == rows(apply_completions(fact, feeds(spark)[0])[0])
+        per_file = spark.read.parquet(str(tmp_path / f"fact-{n}" / "fact-000001")).groupBy(F.input_file_name()).count()
+        largest.append(per_file.agg(F.max("count")).first()[0])
+    assert largest[1] < 2 * largest[0] < 200
